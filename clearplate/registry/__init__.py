@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from clearplate.registry import star  # noqa: F401
+from clearplate.registry import star, business  # noqa: F401, I001
 from clearplate.registry.base import ORACLES, QUERIES  # noqa: F401
