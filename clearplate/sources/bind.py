@@ -84,6 +84,25 @@ def raw_inspections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select(*columns, loaded.alias(LOADED_AT))
 
 
+def points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as places to search around."""
+    key = F.col("s_suppkey")
+    return table(spark, sf_dir, "supplier").select(
+        key.alias("point_id"), ((key % 400 + 40500) / F.lit(1000.0)).alias("point_lat"), ((key * 7 % 500 - 74200) / F.lit(1000.0)).alias("point_lon"),
+    )
+
+
+def result_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as result-set events: one row each, nested in a block on even lines, beside an item to skip."""
+    names = ["RESTAURANT_NAME", "BOROUGH", "LATITUDE", "LONGITUDE", "INSPECTION_SCORE"]
+    head = '{"event":"response.table","data":{"result_set":{"resultSetMetaData":{"numRows":1,"rowType":[' + ",".join(f'{{"name":"{n}"}}' for n in names) + ']},"data":["skip",'
+    raw = raw_inspections(spark, sf_dir)
+    row = F.to_json(F.array(F.upper(F.trim("dba")), "boro", "latitude", "longitude", "score"))
+    nested = F.col("violation_code").rlike("[BDF]$")
+    block = F.when(nested, F.concat(F.lit("["), row, F.lit("]"))).otherwise(row)
+    return raw.select(F.concat(F.lit(head), block, F.lit("]}}}")).alias("payload"))
+
+
 def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as agent requests with a nested credit payload."""
     k = F.get_json_object("props", "$.k").cast("long")

@@ -27,7 +27,7 @@ def result_rows(events: DataFrame, payload: str = "payload", keys: Sequence[str]
     is_block = F.col("item").rlike(r"^\s*\[\s*\[")
     is_row = F.col("item").rlike(r"^\s*\[")
     rows = F.when(is_block, block).when(is_row, F.array(row))
-    return items.select(*keys, "names", F.explode(rows).alias("cells"))
+    return items.select(*keys, "names", F.explode(rows).alias("cells")).filter(F.col("cells").isNotNull())
 
 
 def result_table(events: DataFrame, columns: Sequence[str], payload: str = "payload", keys: Sequence[str] = ()) -> DataFrame:
