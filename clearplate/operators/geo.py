@@ -37,7 +37,7 @@ def within_radius(df: DataFrame, points: DataFrame, metres: float = CALL_RADIUS_
     })
     part = F.pmod(F.xxhash64(*df.columns), F.lit(salt)) if salt > 1 else F.lit(0).cast("long")
     located = located.withColumns({"cell_lat": cell_lat(F.col("_lat"), step), "cell_lon": cell_lon(F.col("_lon"), step, around), "_salt": part})
-    spread = points.withColumn("_cell", F.explode(covering_cells(F.col("point_lat"), F.col("point_lon"), metres)))
+    spread = points.withColumn("_cell", F.explode_outer(covering_cells(F.col("point_lat"), F.col("point_lon"), metres)))
     spread = spread.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt - 1).cast("long"))))
     spread = spread.select(*points.columns, "_cell.cell_lat", "_cell.cell_lon", "_salt")
     distance = haversine_m(F.col("_lat"), F.col("_lon"), F.col("point_lat"), F.col("point_lon"))

@@ -205,6 +205,56 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def manual_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as pages of one manual per source, some with appendix and section headings."""
+    n = F.col("doc_id") % 13
+    heading = (
+        F.when(n == 0, "APPENDIX 23-A\nINSPECTION WORKSHEET\n").when(n == 4, "Appendix 23-B\nGuide to Conditions\nFood Source\n")
+        .when(n == 7, "APPENDIX 23-C PENALTY SCHEDULE\n").when(n == 10, "APPENDIX 23-C\nUNSCORED VIOLATIONS\n")
+        .when(n == 2, "Food Protection\n").when(n == 8, "General Violations\n").when(n == 11, "Other Criticals\n").otherwise("")
+    )
+    return table(spark, sf_dir, "documents").select(
+        F.col("source").alias("doc_id"), F.col("doc_id").alias("page_number"), F.concat(heading, F.col("text")).alias("page_text")
+    )
+
+
+def manual_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as table rows, in the three layouts in turn, on the page of the document with that number."""
+    key, n = F.col("p_partkey"), F.col("p_partkey") % 3
+    code = F.concat(F.lpad((key % 25).cast("string"), 2, "0"), F.substr(F.lit("ABCDEFG"), (key % 7 + 1).cast("int"), F.lit(1)))
+    mark = F.when(key % 2 == 0, "*").when(key % 5 == 0, "+").otherwise("")
+    worksheet = F.array(F.concat(code, mark, F.lit("\n"), F.col("p_type")), F.when(key % 4 == 0, "- – 9 — 28").otherwise(""), F.when(key % 6 != 0, "7 8 9 10 28"))
+    guide = F.array(code, F.concat("p_type", F.lit("\nin "), "p_brand"), F.lit("slight amount seen"), F.lit("—"), F.concat(F.lit("more than "), F.col("p_size"), F.lit(" seen")))
+    penalty = F.array(F.when(key % 9 == 0, "none").otherwise(code), F.concat(F.lit("§81."), F.col("p_size")), F.when(key % 2 == 0, F.col("p_brand")), F.col("p_type"), F.lit("$200"), F.lit("-"), F.concat(F.lit("$"), F.col("p_size") * 10))
+    return table(spark, sf_dir, "part").select(
+        key.alias("page_number"), F.lit(1).alias("position"),
+        F.when(n == 0, "worksheet").when(n == 1, "guide").otherwise("penalty").alias("layout"),
+        F.when(n == 0, worksheet).when(n == 1, guide).otherwise(penalty).alias("cells"),
+    )
+
+
+def code_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as short passages that name violation codes."""
+    letter = lambda n: F.substr(F.lit("ABCDEFG"), (n % 7 + 1).cast("int"), F.lit(1))
+    code = lambda a, b: F.concat(F.lpad((a % 25).cast("string"), 2, "0"), letter(b))
+    order, part, supp = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
+    text = F.concat(F.lit("Codes "), code(order, part), F.lit("*, "), code(part, supp), F.lit("+ and "), code(order, part), F.lit("; also "), code(supp, order), F.lit("."))
+    return table(spark, sf_dir, "lineitem").select(F.concat_ws("-", order, F.col("l_linenumber"), part, supp).alias("doc_id"), text.alias("chunk_text"))
+
+
+def search_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with the vector of the same number, where there is one."""
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("chunk_text"), F.col("lang").alias("doc_type"), F.col("source").alias("doc_label"))
+    return docs.join(vectors, "doc_id", "left")
+
+
+def search_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages as queries, each with the vector of its number."""
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("item_id"), "embedding")
+    return table(spark, sf_dir, "benchmark").join(vectors, "item_id", "left").select(F.col("item_id").alias("query_id"), F.col("text").alias("query_text"), "embedding")
+
+
 def memory_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embeddings as stored user facts."""
     categories = F.array(*map(F.lit, ["location", "preference", "identity", "analytical", "general"]))
