@@ -40,13 +40,12 @@ def carry_last(df: DataFrame, keys: Sequence[str], position: str, columns: dict[
     base = _blocked(df, position, block)
     inside = Window.partitionBy(*keys, "_block").orderBy(position).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    tails = base.groupBy(*keys, "_block").agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(position))).alias(f"_tail_{out}") for out, c in columns.items()]
-    )
+    local = base.select("*", *[F.last(c, ignorenulls=True).over(inside).alias(f"_local_{out}") for out, c in columns.items()])
+    # Taken from the windowed rows, which lie together by block already: no second shuffle of the input.
+    tails = local.groupBy(*keys, "_block").agg(*[F.max_by(f"_local_{out}", position).alias(f"_tail_{out}") for out in columns])
     tails = tails.select(
         *keys, "_block", *[F.last(f"_tail_{out}", ignorenulls=True).over(before).alias(f"_carry_{out}") for out in columns]
     )
-    local = base.select("*", *[F.last(c, ignorenulls=True).over(inside).alias(f"_local_{out}") for out, c in columns.items()])
     joined = join_null_safe(local, tails, [*keys, "_block"])
     return joined.select(
         *df.columns, *[F.coalesce(f"_local_{out}", f"_carry_{out}").alias(out) for out in columns]
@@ -66,9 +65,18 @@ def neighbour(df: DataFrame, keys: Sequence[str], position: str, columns: dict[s
     edge_pick = F.max_by if step < 0 else F.min_by
     edge = F.struct(*order)
     packed = F.struct(*[F.col(c).alias(out) for out, c in columns.items()])
+    local = base.withColumn("_near", shift(packed).over(inside))
     edges = base.groupBy(*keys, "_block").agg(edge_pick(packed, edge).alias("_edge"))
     edges = edges.select(*keys, "_block", shift("_edge").over(Window.partitionBy(*keys).orderBy("_block")).alias("_edge"))
-    local = base.withColumn("_near", shift(packed).over(inside))
     joined = join_null_safe(local, edges, [*keys, "_block"])
     near = F.coalesce("_near", "_edge")
     return joined.select(*df.columns, *[near[out].alias(out) for out in columns])
+
+
+def keep_computed(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column and drop the rows in which it is NULL, computing it once.
+
+    A plain filter on a computed column is pushed below it and repeats the whole
+    expression; a filter on a generated column stays above.
+    """
+    return df.select("*", F.explode_outer(F.array(value)).alias(name)).filter(F.col(name).isNotNull())

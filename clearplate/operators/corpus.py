@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clearplate.functions.latest import carry_last
+from clearplate.functions.latest import carry_last, keep_computed
 from clearplate.functions.text import strip, words
 
 # Chunk sizes, appendix and section headings, page texts and layouts.
@@ -52,7 +52,7 @@ def page_text(pages: DataFrame, source: str = "html", out: str = "page_text") ->
         c = F.replace(c, F.lit(entity), F.lit(char))
     c = F.regexp_replace(c, r"[ \t\x0B\f\r]+", " ")
     c = strip(F.regexp_replace(c, r" ?\n[ \n]*", "\n"))
-    return pages.withColumn(out, c).filter(F.col(out) != "")
+    return keep_computed(pages, out, F.nullif(c, F.lit("")))
 
 
 def matched_appendix(text: Column) -> Column:
@@ -159,7 +159,7 @@ def narrate(cells: Column, layout: Column) -> Column:
 
 
 def narrate_rows(rows: DataFrame, cells: str = "cells", layout: str = "layout") -> DataFrame:
-    return rows.withColumn("prose", narrate(F.col(cells), F.col(layout))).filter(F.col("prose").isNotNull())
+    return keep_computed(rows, "prose", narrate(F.col(cells), F.col(layout)))
 
 
 def assemble_pages(pages: DataFrame, rows: DataFrame, doc: str = "doc_id", page: str = "page_number", text: str = "page_text") -> DataFrame:

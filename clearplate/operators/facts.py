@@ -7,9 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clearplate.functions.latest import neighbour, top_per_key
+from clearplate.functions.latest import keep_computed, neighbour, top_per_key
 from clearplate.functions.text import strip
-from clearplate.functions.vector import cosine
+from clearplate.functions.vector import cosine, dot, l2_norm
 from clearplate.sources import tables
 
 # Categories, limits, texts and patterns.
@@ -117,8 +117,7 @@ def context_text(users: DataFrame, facts: DataFrame) -> DataFrame:
 
 def detect_request(turns: DataFrame, patterns: Sequence[tuple[str, str]] = tuple(REQUEST_PATTERNS)) -> DataFrame:
     """Assistant turns that ask for a fact: at most one key per turn."""
-    asked = turns.filter(F.col("role") == "assistant").withColumn("fact_key", first_match(F.col("text"), patterns))
-    return asked.filter(F.col("fact_key").isNotNull())
+    return keep_computed(turns.filter(F.col("role") == "assistant"), "fact_key", first_match(F.col("text"), patterns))
 
 
 def looks_like_answer(text: Column) -> Column:
@@ -131,10 +130,10 @@ def capture_facts(turns: DataFrame, patterns: Sequence[tuple[str, str]] = tuple(
     Only requests and user turns take part in the look-back, and only their keys; the
     text of the reply is the value.
     """
-    key = F.when(F.col("role") == "assistant", first_match(F.col("text"), patterns))
-    marked = turns.filter(F.col("role").isin("user", "assistant")).withColumn("_key", key)
-    marked = marked.filter((F.col("role") == "user") | F.col("_key").isNotNull())
-    before = neighbour(marked.select(conv, turn, "role", "_key"), [conv], turn, {"fact_key": "_key"}, step=-1)
+    slim = turns.select(conv, turn, "role", "text")
+    asked = detect_request(slim, patterns).select(conv, turn, "role", F.col("fact_key").alias("_key"))
+    said = slim.filter(F.col("role") == "user").select(conv, turn, "role", F.lit(None).cast("string").alias("_key"))
+    before = neighbour(asked.unionByName(said), [conv], turn, {"fact_key": "_key"}, step=-1)
     replies = before.filter((F.col("role") == "user") & F.col("fact_key").isNotNull()).select(conv, turn, "fact_key")
     answers = turns.filter(F.col("role") == "user").select(conv, turn, F.col("text").alias("fact_value"))
     if guard:
@@ -144,8 +143,7 @@ def capture_facts(turns: DataFrame, patterns: Sequence[tuple[str, str]] = tuple(
 
 def detect_delete(turns: DataFrame, patterns: Sequence[tuple[str, str]] = tuple(DELETE_PATTERNS)) -> DataFrame:
     """User turns that ask to forget a fact."""
-    said = turns.filter(F.col("role") == "user").withColumn("fact_key", first_match(F.col("text"), patterns))
-    return said.filter(F.col("fact_key").isNotNull())
+    return keep_computed(turns.filter(F.col("role") == "user"), "fact_key", first_match(F.col("text"), patterns))
 
 
 def latest_events(events: DataFrame, order: Sequence[str] = ("ts",)) -> DataFrame:
@@ -177,13 +175,14 @@ def recall(queries: DataFrame, facts: DataFrame, k: int | None = DEFAULT_RESULTS
     best of a task do not leave it.
     """
     asked = queries.select(
-        "query_id", "user_id", F.col("embedding").alias("_q"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("_part")
+        "query_id", "user_id", F.col("embedding").alias("_q"), l2_norm(F.col("embedding")).alias("_q_norm"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("_part")
     )
     held = facts.filter(F.col("fact_embedding").isNotNull()).select(
-        "user_id", "fact_key", "fact_embedding", F.pmod(F.xxhash64("fact_key"), F.lit(parts)).alias("_part")
+        "user_id", "fact_key", "fact_embedding", l2_norm(F.col("fact_embedding")).alias("_f_norm"), F.pmod(F.xxhash64("fact_key"), F.lit(parts)).alias("_part")
     )
+    similarity = dot(F.col("fact_embedding"), F.col("_q")) / F.nullif(F.col("_f_norm") * F.col("_q_norm"), F.lit(0.0))
     scored = held.join(asked, ["user_id", "_part"]).select(
-        "query_id", "user_id", "fact_key", F.round(F.coalesce(cosine(F.col("fact_embedding"), F.col("_q")), F.lit(0.0)), 4).alias("similarity")
+        "query_id", "user_id", "fact_key", F.round(F.coalesce(similarity, F.lit(0.0)), 4).alias("similarity")
     )
     best = top_per_key(scored, ["query_id"], [F.desc("similarity"), F.col("fact_key")], clamp_results(k), rank="rank")
     detail = facts.select("user_id", "fact_key", "fact_value", "category", "updated_at")

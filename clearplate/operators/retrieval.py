@@ -14,9 +14,9 @@ from pyspark.sql import types as T
 
 from clearplate.functions.latest import top_per_key
 from clearplate.functions.text import terms
-from clearplate.functions.vector import cosine
+from clearplate.functions.vector import dot, unit
 from clearplate.operators.corpus import all_codes
-from clearplate.session import fresh_path
+from clearplate.session import written
 
 # BM25 constants, and fixed values of the scoring profiles.
 K1, B = 1.2, 0.75
@@ -109,8 +109,8 @@ def keyword_scores(queries: DataFrame, index: Index, id_col: str = "doc_id", par
     """
     asked = queries.select("query_id", F.explode_outer(F.array_distinct(terms(F.col("query_text")))).alias("term")).filter(F.col("term").isNotNull())
     hits = index.postings.join(asked.select("term").distinct(), "term", "left_semi")
-    total = index.lengths.agg(F.count(F.lit(1)).alias("n")).scalar()
-    mean = index.lengths.agg(F.avg("length").alias("m")).scalar()
+    corpus = index.lengths.agg(F.struct(F.count(F.lit(1)).alias("n"), F.avg("length").alias("m")).alias("s")).scalar()
+    total, mean = corpus["n"], corpus["m"]
     frequency = hits.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     weights = asked.join(frequency, "term").withColumn("idf", F.log(1 + (total - F.col("df") + 0.5) / (F.col("df") + 0.5)))
     weights = weights.select("query_id", "term", "idf", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("_part"))
@@ -223,23 +223,20 @@ def hybrid_legs(queries: DataFrame, corpus: DataFrame, index: Index, k: int, id_
     ``k`` by vector can win. The candidates are these and all documents with a query term:
     the result is exact, not cut to a sample of either leg.
     """
-    spark = queries.sparkSession
-    text = keyword_scores(queries, index, id_col)
-    # Written once: ranking, ranges and candidates below all read it.
-    path = fresh_path(spark, "vector-leg")
-    vector_candidates(queries, corpus, k, id_col, vector).write.parquet(path)
-    parts = spark.read.parquet(path)
+    # Each leg is written once: ranges, ranking and candidates below all read it.
+    text = written(keyword_scores(queries, index, id_col), "text-leg")
+    parts = written(vector_candidates(queries, corpus, k, id_col, vector), "vector-leg")
     vector_range = parts.groupBy("query_id").agg(F.min("low").alias("_vlow"), F.max("high").alias("_vhigh"))
     nearest = top_per_key(parts.select("query_id", id_col, "score"), ["query_id"], [F.desc("score"), F.col(id_col)], k)
     text_range = text.groupBy("query_id").agg(F.min("score").alias("_tlow"), F.max("score").alias("_thigh"))
 
-    q = queries.select("query_id", F.col(vector).alias("_qv"))
+    # Vectors are brought to length 1 before the join, so a pair costs one product.
     pairs = (
         text.select("query_id", id_col, F.col("score").alias("_t"))
-        .join(corpus.select(id_col, F.col(vector).alias("_dv")), id_col, "left")
-        .join(q, "query_id", "left")
+        .join(corpus.select(id_col, unit(F.col(vector)).alias("_dv")), id_col, "left")
+        .join(queries.select("query_id", unit(F.col(vector)).alias("_qv")), "query_id", "left")
     )
-    scored = pairs.select("query_id", id_col, "_t", F.round(cosine(F.col("_qv"), F.col("_dv")), 4).alias("_v"))
+    scored = pairs.select("query_id", id_col, "_t", F.round(dot(F.col("_qv"), F.col("_dv")), 4).alias("_v"))
     only_vector = nearest.join(text.select("query_id", id_col), ["query_id", id_col], "left_anti")
     candidates = scored.unionByName(only_vector.select("query_id", id_col, F.lit(None).cast("double").alias("_t"), F.col("score").alias("_v")))
     ranged = candidates.join(vector_range, "query_id", "left").join(text_range, "query_id", "left")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clearplate.functions.cast import to_day, to_decimal, to_whole_number
@@ -51,27 +51,22 @@ def clean_inspections(raw: DataFrame) -> DataFrame:
     )
 
 
-def dedupe_latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """One row per key: first by ``order``, then by all other columns so the winner is always the same."""
-    named = [F.col(c).asc_nulls_last() for c in df.columns if c not in keys]
-    return top_per_key(df, keys, [*order, *named])
+def dedupe_latest(df: DataFrame, keys: Sequence[str], order: Sequence[tuple[str, str]]) -> DataFrame:
+    """One row per key: first by ``order`` (column, 'asc' or 'desc'), then by all other columns, so that the winner is always the same. NULLs come last."""
+    ranked = [n for n, _ in order]
+    ways = [*order, *[(c, "asc") for c in df.columns if c not in keys and c not in ranked]]
+    return top_per_key(df, keys, [F.col(c).desc_nulls_last() if way == "desc" else F.col(c).asc_nulls_last() for c, way in ways])
 
 
 def stage_inspections(raw: DataFrame) -> DataFrame:
     """Clean records, one per business key: newest load, then highest score."""
-    order = [
-        F.col("loaded_at").desc_nulls_last(),
-        F.col("inspection_score").desc_nulls_last(),
-        F.col("violation_description").asc_nulls_last(),
-        F.col("grade").asc_nulls_last(),
-        F.col("grade_date").asc_nulls_last(),
-    ]
+    order = [("loaded_at", "desc"), ("inspection_score", "desc"), ("violation_description", "asc"), ("grade", "asc"), ("grade_date", "asc")]
     return dedupe_latest(clean_inspections(raw), BUSINESS_KEY, order)
 
 
 def latest_profile(stg: DataFrame) -> DataFrame:
     """Latest known profile of each restaurant."""
-    order = [F.col("record_date").desc_nulls_last(), F.col("loaded_at").desc_nulls_last()]
+    order = [("record_date", "desc"), ("loaded_at", "desc")]
     rows = stg.select(*PROFILE, "record_date", "loaded_at").filter(F.col("restaurant_id").isNotNull())
     return dedupe_latest(rows, ["restaurant_id"], order).select(
         *PROFILE, concat_ws_strict(" ", F.col("building_number"), F.col("street_name")).alias("street_address")
@@ -82,4 +77,4 @@ def reference_codes(stg: DataFrame) -> DataFrame:
     """One description and flag per violation code: critical before not critical before unknown."""
     columns = ["violation_code", "violation_description", "is_critical_violation"]
     rows = stg.select(*columns).filter(F.trim("violation_code") != "").distinct()
-    return dedupe_latest(rows, ["violation_code"], [F.col("is_critical_violation").desc_nulls_last()])
+    return dedupe_latest(rows, ["violation_code"], [("is_critical_violation", "desc")])

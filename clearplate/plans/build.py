@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,7 @@ class Marts:
     fct_violations: DataFrame
 
 
+THREADS = 4
 TABLES = list(Marts.__dataclass_fields__)
 
 
@@ -49,9 +51,14 @@ def build_marts(raw: DataFrame, target: str) -> Marts:
     spark = raw.sparkSession
     staging.stage_inspections(raw).write.mode("overwrite").parquet(f"{target}/stg_inspections")
     built = derive_marts(spark.read.parquet(f"{target}/stg_inspections"))
-    for name in TABLES[1:]:
+
+    def write(name: str) -> None:
         df = getattr(built, name)
         if name.startswith("fct_"):
             df = df.sortWithinPartitions("inspection_date")
         df.write.mode("overwrite").parquet(f"{target}/{name}")
+
+    # The marts do not depend on each other; submitted together they share the cluster.
+    with ThreadPoolExecutor(THREADS) as pool:
+        list(pool.map(write, TABLES[1:]))
     return read_marts(spark, target)

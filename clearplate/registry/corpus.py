@@ -33,7 +33,7 @@ for _entity, _char in C.ENTITIES.items():
     _CLEAN = f"replace({_CLEAN}, '{_entity}', '{_char.replace(chr(39), chr(39) * 2)}')"
 _CLEAN = rf"regexp_replace(regexp_replace(regexp_replace({_CLEAN}, '[ \t\x0B\f\r]+', ' ', 'g'), ' ?\n[ \n]*', '" + "\n" + r"', 'g'), '^\s+|\s+$', '', 'g')"
 query("d1_page_text", f"SELECT * FROM (SELECT page_id, url, {_CLEAN} AS page_text FROM pages) WHERE page_text <> ''")(
-    lambda s, d: C.page_text(bind.table(s, d, "pages")).select("page_id", "url", "page_text")
+    lambda s, d: C.page_text(bind.wide_table(s, d, "pages")).select("page_id", "url", "page_text")
 )
 
 _MANUAL = """WITH manual AS (SELECT source AS doc_id, doc_id AS page_number,
@@ -91,7 +91,7 @@ query(
     "d5_parse_scores",
     f"""SELECT l_orderkey, l_linenumber::bigint AS l_linenumber, l_partkey, l_suppkey, array_to_string(list_transform({_points(_tokens('scores'))}, lambda p: p[1] || '=' || p[2]), '|') AS points FROM ({_SCORES})""",
 )(
-    lambda s, d: bind.table(s, d, "lineitem").select(
+    lambda s, d: bind.wide_table(s, d, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         F.concat(
             F.col("l_quantity").cast("int"), F.lit(" "), F.when(F.col("l_suppkey") % 4 == 0, "-").when(F.col("l_suppkey") % 4 == 1, "–").when(F.col("l_suppkey") % 4 == 2, "—").otherwise("9"),

@@ -6,7 +6,7 @@ import hashlib
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int = 8, app: str = "clearplate", **conf: str) -> SparkSession:
@@ -56,3 +56,10 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 
 def dir_tag(path: str) -> str:
     return hashlib.sha1(path.encode()).hexdigest()[:12]
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The frame as a table in the work folder: computed once, safe from lost executors, lineage cut."""
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
