@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 from clearplate.functions.latest import keep_computed, neighbour, top_per_key
 from clearplate.functions.text import strip
 from clearplate.functions.vector import cosine, dot, l2_norm
+from clearplate.operators.retrieval import MAX_BROADCAST_QUERIES, best_in_cells, best_schema, numbers_below
 from clearplate.sources import tables
 
 # Categories, limits, texts and patterns.
 CATEGORIES = ["location", "preference", "identity", "analytical", "general"]
 DEFAULT_RESULTS, MAX_RESULTS, THRESHOLD = 5, 10, 0.3
+# Beyond this many facts a user is worked on in cells of this size.
+MANY_FACTS = 20_000
 TOMBSTONE = "REMOVE"
 CONTEXT_HEADER = (
     "The following facts about this user are known and should be used "
@@ -167,24 +170,50 @@ def clamp_results(k: int | None) -> int:
     return max(1, min(k or DEFAULT_RESULTS, MAX_RESULTS))
 
 
-def recall(queries: DataFrame, facts: DataFrame, k: int | None = DEFAULT_RESULTS, parts: int = 8) -> DataFrame:
-    """Relevant facts per query (query_id, user_id, embedding), from the facts of its user only.
+def _scores_of_few(queries: DataFrame, facts: DataFrame) -> DataFrame:
+    """Every query against the facts of its user. Lengths are taken before the join, so a pair costs one product."""
+    asked = queries.select("query_id", "user_id", F.col("embedding").alias("_q"), l2_norm(F.col("embedding")).alias("_q_norm"))
+    held = facts.select("user_id", "fact_key", "fact_embedding", l2_norm(F.col("fact_embedding")).alias("_f_norm"))
+    similarity = dot(F.col("fact_embedding"), F.col("_q")) / F.nullif(F.col("_f_norm") * F.col("_q_norm"), F.lit(0.0))
+    return held.join(asked, "user_id").select(
+        "query_id", "user_id", "fact_key", F.round(F.coalesce(similarity, F.lit(0.0)), 4).alias("similarity")
+    )
 
-    The best ``k`` come first and the threshold after, so a query never gets more than k.
-    A user with very many facts is cut into ``parts`` for the join; scores below the k
-    best of a task do not leave it.
+
+def _scores_of_many(queries: DataFrame, facts: DataFrame, sizes: DataFrame, k: int, cell_rows: int) -> DataFrame:
+    """The same for users with very many facts: only the best ``k`` per query leave a cell of bounded size.
+
+    ``sizes`` has (user_id, facts) of these users. Their facts are cut into cells and their
+    queries into blocks, and each (user, block, cell) is one matrix product.
     """
-    asked = queries.select(
-        "query_id", "user_id", F.col("embedding").alias("_q"), l2_norm(F.col("embedding")).alias("_q_norm"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("_part")
-    )
-    held = facts.filter(F.col("fact_embedding").isNotNull()).select(
-        "user_id", "fact_key", "fact_embedding", l2_norm(F.col("fact_embedding")).alias("_f_norm"), F.pmod(F.xxhash64("fact_key"), F.lit(parts)).alias("_part")
+    cells = F.ceil(F.col("facts") / cell_rows)
+    asked = queries.join(sizes, "user_id")
+    blocks = asked.groupBy("user_id").agg(F.ceil(F.count(F.lit(1)) / MAX_BROADCAST_QUERIES).alias("blocks"))
+    left = asked.join(blocks, "user_id").select(
+        "user_id", "query_id", F.col("embedding").alias("_v"), F.pmod(F.xxhash64("query_id"), F.col("blocks")).alias("_block"), numbers_below(cells).alias("_cell")
     )
-    similarity = dot(F.col("fact_embedding"), F.col("_q")) / F.nullif(F.col("_f_norm") * F.col("_q_norm"), F.lit(0.0))
-    scored = held.join(asked, ["user_id", "_part"]).select(
-        "query_id", "user_id", "fact_key", F.round(F.coalesce(similarity, F.lit(0.0)), 4).alias("similarity")
+    right = facts.join(sizes, "user_id").join(blocks, "user_id").select(
+        "user_id", F.col("fact_key").alias("_id"), F.col("fact_embedding").alias("_v"), F.pmod(F.xxhash64("fact_key"), cells).alias("_cell"), numbers_below(F.col("blocks")).alias("_block")
     )
-    best = top_per_key(scored, ["query_id"], [F.desc("similarity"), F.col("fact_key")], clamp_results(k), rank="rank")
+    found = best_in_cells(left, right, ["user_id", "_block", "_cell"], k, best_schema(left.schema["query_id"].dataType, right.schema["_id"].dataType))
+    named = found.select("query_id", F.col("_id").alias("fact_key"), F.col("score").alias("similarity"))
+    return named.join(queries.select("query_id", "user_id"), "query_id").select("query_id", "user_id", "fact_key", "similarity")
+
+
+def recall(queries: DataFrame, facts: DataFrame, k: int | None = DEFAULT_RESULTS, many: int = MANY_FACTS) -> DataFrame:
+    """Relevant facts per query (query_id, user_id, embedding), from the facts of its user only.
+
+    The best ``k`` come first and the threshold after, so a query never gets more than k.
+    A user has some dozens of facts, and a plain join by user does; users with more than
+    ``many`` go through bounded cells instead.
+    """
+    k = clamp_results(k)
+    asked = queries.filter(F.col("embedding").isNotNull())
+    held = facts.filter(F.col("fact_embedding").isNotNull()).join(asked.select("user_id").distinct(), "user_id", "left_semi")
+    sizes = held.groupBy("user_id").agg(F.count(F.lit(1)).alias("facts")).filter(F.col("facts") > many)
+    few = _scores_of_few(asked, held.join(sizes, "user_id", "left_anti"))
+    scored = few.unionByName(_scores_of_many(asked, held, sizes, k, many))
+    best = top_per_key(scored, ["query_id"], [F.desc("similarity"), F.col("fact_key")], k, rank="rank")
     detail = facts.select("user_id", "fact_key", "fact_value", "category", "updated_at")
     return best.filter(F.col("similarity") >= THRESHOLD).join(detail, ["user_id", "fact_key"])
 

@@ -20,9 +20,11 @@ GRADE_A_MAX, GRADE_B_MAX = 13, 27
 COLOURS = {"A": [0, 180, 0, 210], "B": [255, 165, 0, 210], "C": [220, 50, 50, 210]}
 OTHER_COLOUR = [150, 150, 150, 180]
 MISSING_SCORE = "–"
+# A crowded grid cell is cut into this many parts.
+CELL_PARTS = 4
 
 
-def within_radius(df: DataFrame, points: DataFrame, metres: float = CALL_RADIUS_M, salt: int = 1) -> DataFrame:
+def within_radius(df: DataFrame, points: DataFrame, metres: float = CALL_RADIUS_M, salt: int = CELL_PARTS) -> DataFrame:
     """Pairs of a located row and a point at most ``metres`` apart, with the distance.
 
     ``df`` has latitude and longitude, ``points`` has point_lat and point_lon. Every

@@ -113,7 +113,7 @@ def keyword_scores(queries: DataFrame, index: Index, id_col: str = "doc_id", par
     total, mean = corpus["n"], corpus["m"]
     frequency = hits.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     weights = asked.join(frequency, "term").withColumn("idf", F.log(1 + (total - F.col("df") + 0.5) / (F.col("df") + 0.5)))
-    weights = weights.select("query_id", "term", "idf", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("_part"))
+    weights = weights.select("query_id", "term", "idf", numbers_below(parts).alias("_part"))
     placed = hits.withColumn("_part", F.pmod(F.xxhash64(id_col), F.lit(parts)))
     gain = F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / mean))
     return placed.join(weights, ["term", "_part"]).groupBy("query_id", id_col).agg(F.round(F.sum(gain), 4).alias("score"))
@@ -149,7 +149,7 @@ def _best(query_ids: np.ndarray, queries: np.ndarray, batches: Iterator[pd.DataF
     for batch in batches:
         if batch.empty:
             continue
-        ids = batch.iloc[:, 0].to_numpy()
+        ids = np.asarray(batch.iloc[:, 0].tolist())
         scores = np.round(queries @ _unit(batch.iloc[:, 1]).T, 4) + 0.0
         low, high = np.minimum(low, scores.min(axis=1)), np.maximum(high, scores.max(axis=1))
         for q in range(len(query_ids)):
@@ -166,6 +166,17 @@ def _best(query_ids: np.ndarray, queries: np.ndarray, batches: Iterator[pd.DataF
             yield pd.DataFrame({"query_id": query_ids[q], "_id": found[1], "score": found[0], "low": low[q], "high": high[q]})
 
 
+def best_schema(query_id: T.DataType, item_id: T.DataType) -> T.StructType:
+    types = {"query_id": query_id, "_id": item_id, "score": T.DoubleType(), "low": T.DoubleType(), "high": T.DoubleType()}
+    return T.StructType([T.StructField(n, t) for n, t in types.items()])
+
+
+def numbers_below(n: Column | int) -> Column:
+    """One row per number from 0 to n - 1."""
+    top = n if isinstance(n, Column) else F.lit(n)
+    return F.explode(F.sequence(F.lit(0).cast("long"), (top - 1).cast("long")))
+
+
 def vector_candidates(queries: DataFrame, corpus: DataFrame, k: int, id_col: str = "doc_id", vector: str = "embedding", max_broadcast: int = MAX_BROADCAST_QUERIES, cell_rows: int = CELL_ROWS) -> DataFrame:
     """Exact cosine: the best ``k`` of each part of the corpus per query (query_id, id, score, low, high).
 
@@ -178,8 +189,7 @@ def vector_candidates(queries: DataFrame, corpus: DataFrame, k: int, id_col: str
     spark = queries.sparkSession
     q = queries.select("query_id", F.col(vector).alias("_v")).filter(F.col("_v").isNotNull())
     c = corpus.select(F.col(id_col).alias("_id"), F.col(vector).alias("_v")).filter(F.col("_v").isNotNull())
-    types = {"query_id": q.schema["query_id"].dataType, "_id": c.schema["_id"].dataType, "score": T.DoubleType(), "low": T.DoubleType(), "high": T.DoubleType()}
-    schema = T.StructType([T.StructField(n, t) for n, t in types.items()])
+    schema = best_schema(q.schema["query_id"].dataType, c.schema["_id"].dataType)
     head = q.limit(max_broadcast + 1).toPandas()
     if len(head) <= max_broadcast:
         if head.empty:
@@ -189,17 +199,21 @@ def vector_candidates(queries: DataFrame, corpus: DataFrame, k: int, id_col: str
 
     blocks = -(-q.count() // max_broadcast)
     cells = max(1, -(-c.count() // cell_rows))
-    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
-    left = q.withColumns({"_block": F.pmod(F.xxhash64("query_id"), F.lit(blocks)), "_cell": upto(cells)})
-    right = c.withColumns({"_cell": F.pmod(F.xxhash64("_id"), F.lit(cells)), "_block": upto(blocks)})
+    left = q.withColumns({"_block": F.pmod(F.xxhash64("query_id"), F.lit(blocks)), "_cell": numbers_below(cells)})
+    right = c.withColumns({"_cell": F.pmod(F.xxhash64("_id"), F.lit(cells)), "_block": numbers_below(blocks)})
+
+    return best_in_cells(left, right, ["_block", "_cell"], k, schema).withColumnRenamed("_id", id_col)
+
+
+def best_in_cells(left: DataFrame, right: DataFrame, keys: Sequence[str], k: int, schema: T.StructType) -> DataFrame:
+    """Best ``k`` of ``right`` (_id, _v) for each row of ``left`` (query_id, _v) within groups of bounded size."""
 
     def one_cell(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         if asked.empty or held.empty:
             return pd.DataFrame(columns=schema.fieldNames())
         return pd.concat(_best(asked["query_id"].to_numpy(), _unit(asked["_v"]), iter([held[["_id", "_v"]]]), k))
 
-    keys = ["_block", "_cell"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(one_cell, schema).withColumnRenamed("_id", id_col)
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(one_cell, schema)
 
 
 def vector_search(queries: DataFrame, corpus: DataFrame, k: int = DEFAULT_LIMIT, id_col: str = "doc_id", vector: str = "embedding", **how) -> DataFrame:
@@ -261,7 +275,7 @@ def hybrid(queries: DataFrame, corpus: DataFrame, index: Index, profile: str = "
 
 def compare_profiles(queries: DataFrame, corpus: DataFrame, index: Index, profiles: Sequence[str] = tuple(PROFILES), k: int = 3, id_col: str = "doc_id", vector: str = "embedding") -> DataFrame:
     """The results of one query under each profile side by side, by rank."""
-    legs = hybrid_legs(queries, corpus, index, k, id_col, vector)
+    legs = written(hybrid_legs(queries, corpus, index, k, id_col, vector), "legs")
     each = [fuse(legs, p, k, id_col).select("query_id", "rank", F.lit(p).alias("profile"), id_col) for p in profiles]
     return reduce(DataFrame.unionByName, each).groupBy("query_id", "rank").pivot("profile", list(profiles)).agg(F.first(id_col))
 

@@ -17,8 +17,12 @@ class SemanticError(ValueError):
 
 @dataclass(frozen=True)
 class Part:
-    """One aggregate of a metric. sum, count, min, max merge by themselves; distinct and
-    median are carried to the last step as grouping values."""
+    """One aggregate of a metric.
+
+    sum, count, min and max merge by themselves. key counts distinct keys of the entity: a
+    key fixes its foreign keys, so counts per foreign key add up. distinct and median are
+    carried to the last step as grouping values.
+    """
 
     kind: str
     expr: str
@@ -30,8 +34,6 @@ class Metric:
     parts: Mapping[str, Part]
     result: str
     unit: str = ""
-    # Distinct over a nearly unique column: grouping by it first would reduce nothing.
-    direct: bool = False
 
 
 @dataclass(frozen=True)
@@ -169,7 +171,7 @@ class SemanticLayer:
             time = self.model.entities[owner].time
             if recent and time:
                 own.append(_Rule(owner, lambda t=time: F.expr(f"{t} >= add_months(date'{self.as_of}', -12)")))
-            results.append(self._aggregate(self.model.entities[owner], wanted, dims, own, rounded))
+            results += [self._aggregate(self.model.entities[owner], batch, dims, own, rounded) for batch in _batches(wanted)]
         out = results[0]
         if len(results) > 1:
             # Drill-across: one row per group from each fact, laid over each other. Grouping
@@ -229,7 +231,7 @@ class SemanticLayer:
         for e in (e for e in first_hop if self.model.entities[e.right].fixed_size):
             base = self._attach(base, e, dims, rules, edges)
         growing = [e for e in edges if not (e in first_hop and self.model.entities[e.right].fixed_size)]
-        if growing and not any(m.direct for m in metrics):
+        if growing:
             keep = [c for c in base.columns if c not in parts] + list(carried)
             sums = [_first_step(p.kind, a) for a, p in parts.items() if a not in carried]
             base = base.groupBy(*keep).agg(*sums, F.count(F.lit(1)).alias("_rows"))
@@ -264,12 +266,21 @@ class SemanticLayer:
         return df.join(right, df[f"_fk_{edge.right}"] == right["_pk"]).drop("_pk", f"_fk_{edge.right}")
 
 
+def _batches(metrics: list[Metric]) -> list[list[Metric]]:
+    """Metrics that can share one aggregation. Values carried as groups would split a key, so keys are counted apart from them."""
+    by_key = [m for m in metrics if any(p.kind == "key" for p in m.parts.values())]
+    carry = any(p.kind in ("distinct", "median") for m in metrics for p in m.parts.values())
+    if not (by_key and carry):
+        return [metrics]
+    return [by_key, [m for m in metrics if m not in by_key]]
+
+
 def _first_step(kind: str, alias: str) -> Column:
-    return {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}[kind](alias).alias(alias)
+    return {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max, "key": F.count_distinct}[kind](alias).alias(alias)
 
 
 def _merge(kind: str, alias: str) -> Column:
-    return {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}[kind](alias).alias(alias)
+    return {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max, "key": F.sum}[kind](alias).alias(alias)
 
 
 def _carried(kind: str, alias: str) -> Column:

@@ -75,10 +75,10 @@ INSPECTIONS = Entity(
         Metric(
             "inspections_with_critical_pct",
             {
-                "hit": Part("distinct", "if(has_critical_violation, fct_inspection_key, null)"),
-                "all": Part("distinct", "fct_inspection_key"),
+                "hit": Part("key", "if(has_critical_violation, fct_inspection_key, null)"),
+                "all": Part("key", "fct_inspection_key"),
             },
-            "{hit} * 100d / nullif({all}, 0)", "percent", direct=True,
+            "{hit} * 100d / nullif({all}, 0)", "percent",
         ),
         _mean("avg_violations_per_inspection", "total_violations"),
         _mean("avg_critical_violations_per_inspection", "critical_violations"),
