@@ -227,11 +227,17 @@ _EN_OR_SRC1 = {"@or": [{"@eq": {"doc_type": "en"}}, {"@eq": {"doc_label": "src1"
 query("r5_filtered", _bm25("WHERE lang = 'en' OR source = 'src1'") + _TOP.format("kw", 5))(
     lambda s, d: R.keyword_search(bind.search_queries(s, d), index_of(bind.search_corpus(s, d).filter(R.attribute_filter(_EN_OR_SRC1))))
 )
-query("r5_impossible_and", "SELECT doc_id AS query_id, doc_id, 0.0::double AS score, 0::bigint AS rank FROM documents WHERE lang = 'en' AND lang = 'de'")(
-    lambda s, d: R.keyword_search(
-        bind.search_queries(s, d), index_of(bind.search_corpus(s, d).filter(R.attribute_filter({"@and": [{"@eq": {"doc_type": "en"}}, {"@eq": {"doc_type": "de"}}]})))
-    )
-)
+query("r5_filter_forms", """SELECT 'either' AS form, count(*) AS documents FROM documents WHERE lang = 'en' OR source = 'src1' UNION ALL SELECT 'both', count(*) FROM documents WHERE lang = 'en' AND source = 'src1'
+  UNION ALL SELECT 'two types at once', count(*) FROM documents WHERE lang = 'en' AND lang = 'de'""")(lambda s, d: _filter_forms(bind.search_corpus(s, d)))
+
+
+def _filter_forms(corpus):
+    en, de, src1 = ({"@eq": {"doc_type": "en"}}, {"@eq": {"doc_type": "de"}}, {"@eq": {"doc_label": "src1"}})
+    forms = {"either": {"@or": [en, src1]}, "both": {"@and": [en, src1]}, "two types at once": {"@and": [en, de]}}
+    counted = corpus.agg(*[F.count_if(R.attribute_filter(f)).alias(name) for name, f in forms.items()])
+    return counted.unpivot([], list(forms), "form", "documents")
+
+
 query("r6_projected", _bm25() + f" SELECT query_id, doc_id, score, rank, lang AS doc_type, source AS doc_label FROM ({_TOP.format('kw', 3)}) JOIN documents USING (doc_id)")(
     lambda s, d: R.with_columns(R.keyword_search(bind.search_queries(s, d), index_of(bind.search_corpus(s, d))), bind.search_corpus(s, d), "doc_id", ["doc_type", "doc_label"], 3)
 )
