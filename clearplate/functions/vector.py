@@ -18,8 +18,3 @@ def l2_norm(a: Column) -> Column:
 def cosine(a: Column, b: Column) -> Column:
     return dot(a, b) / F.nullif(l2_norm(a) * l2_norm(b), F.lit(0.0))
 
-
-def unit(a: Column) -> Column:
-    """The vector scaled to length 1; a zero vector stays zero."""
-    length = F.coalesce(F.nullif(l2_norm(a), F.lit(0.0)), F.lit(1.0))
-    return F.transform(a, lambda x: x.cast("double") / length)

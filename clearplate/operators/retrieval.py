@@ -14,7 +14,6 @@ from pyspark.sql import types as T
 
 from clearplate.functions.latest import top_per_key
 from clearplate.functions.text import terms
-from clearplate.functions.vector import dot, unit
 from clearplate.operators.corpus import all_codes
 from clearplate.session import written
 
@@ -25,7 +24,10 @@ DEFAULT_LIMIT = 5
 # At most this many queries travel to every task; a larger batch is cut into blocks instead.
 MAX_BROADCAST_QUERIES = 2048
 CELL_ROWS = 50_000
-TERM_PARTS = 16
+# Query terms that travel to every task at a time, and rows gathered before a product.
+BLOCK_TERMS = 50_000
+GATHER_ROWS = 100_000
+TERM_FILES = 16
 
 
 @dataclass(frozen=True)
@@ -75,7 +77,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text: str = "chunk_text
 def write_index(index: Index, path: str, buckets: int = 64) -> None:
     """Postings in folders by term hash; a frequent term is spread over several files."""
     bucket = F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int")
-    spread = F.pmod(F.xxhash64(*[c for c in index.postings.columns if c != "term"]), F.lit(TERM_PARTS))
+    spread = F.pmod(F.xxhash64(*[c for c in index.postings.columns if c != "term"]), F.lit(TERM_FILES))
     placed = index.postings.withColumn("term_bucket", bucket)
     placed.repartition("term_bucket", spread).sortWithinPartitions("term").write.mode("overwrite").partitionBy("term_bucket").parquet(f"{path}/postings")
     index.lengths.write.mode("overwrite").parquet(f"{path}/lengths")
@@ -100,27 +102,108 @@ def changed_since(chunks: DataFrame, since) -> DataFrame:
     return chunks.filter(F.col("loaded_at") > F.lit(since).cast("timestamp_ntz"))
 
 
-def keyword_scores(queries: DataFrame, index: Index, id_col: str = "doc_id", parts: int = TERM_PARTS) -> DataFrame:
-    """BM25 score of every (query, document) pair that shares a term.
+@dataclass(frozen=True)
+class _Block:
+    """Some queries and the weights of their terms: small enough for every task."""
+
+    query_ids: np.ndarray
+    terms: list[str]
+    weights: np.ndarray  # terms x queries
+
 
-    Only postings of query terms are read past the semi-join. A term found in a third of
-    all documents is cut into ``parts`` for the join; sums per pair are formed before the
-    shuffle. No term is left out.
+def _query_blocks(queries: DataFrame, index: Index, block_terms: int) -> tuple[list[_Block], float]:
+    """Queries in blocks of bounded size, with the idf of each query term, and the mean document length.
+
+    Document frequencies are one aggregate over the postings of query terms; its result,
+    a row per query and term, is written and fetched block by block.
     """
     asked = queries.select("query_id", F.explode_outer(F.array_distinct(terms(F.col("query_text")))).alias("term")).filter(F.col("term").isNotNull())
     hits = index.postings.join(asked.select("term").distinct(), "term", "left_semi")
-    corpus = index.lengths.agg(F.struct(F.count(F.lit(1)).alias("n"), F.avg("length").alias("m")).alias("s")).scalar()
-    total, mean = corpus["n"], corpus["m"]
+    total, mean = index.lengths.agg(F.count(F.lit(1)), F.avg("length")).first()
     frequency = hits.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    weights = asked.join(frequency, "term").withColumn("idf", F.log(1 + (total - F.col("df") + 0.5) / (F.col("df") + 0.5)))
-    weights = weights.select("query_id", "term", "idf", numbers_below(parts).alias("_part"))
-    placed = hits.withColumn("_part", F.pmod(F.xxhash64(id_col), F.lit(parts)))
-    gain = F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / mean))
-    return placed.join(weights, ["term", "_part"]).groupBy("query_id", id_col).agg(F.round(F.sum(gain), 4).alias("score"))
+    idf = F.log(1 + (F.lit(total) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    weights = written(asked.join(frequency, "term").select("query_id", "term", idf.alias("idf")), "term-weights")
+    parts = max(1, -(-weights.count() // block_terms))
+    blocks = []
+    for n in range(parts):
+        held = weights.filter(F.pmod(F.xxhash64("query_id"), F.lit(parts)) == n).toPandas()
+        if held.empty:
+            continue
+        query_ids, q = np.unique(held["query_id"].to_numpy(), return_inverse=True)
+        names, t = np.unique(held["term"].to_numpy().astype(str), return_inverse=True)
+        matrix = np.zeros((len(names), len(query_ids)))
+        matrix[t, q] = held["idf"]
+        blocks.append(_Block(query_ids, names.tolist(), matrix))
+    return blocks, mean or 0.0
+
+
+def _gains(index: Index, block: _Block, mean: float, id_col: str) -> DataFrame:
+    """(_id, _term, _gain) of the postings of a block's terms: BM25 without the idf."""
+    spark = index.postings.sparkSession
+    numbered = spark.createDataFrame(pd.DataFrame({"term": block.terms, "_term": range(len(block.terms))}), "term string, _term int")
+    gain = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.lit(mean)))
+    return index.postings.join(F.broadcast(numbered), "term").select(F.col(id_col).alias("_id"), "_term", gain.alias("_gain"))
+
+
+def _by_document(rows: DataFrame) -> DataFrame:
+    return rows.repartition("_id").sortWithinPartitions("_id")
 
 
-def keyword_search(queries: DataFrame, index: Index, k: int = DEFAULT_LIMIT, id_col: str = "doc_id") -> DataFrame:
-    return top_per_key(keyword_scores(queries, index, id_col), ["query_id"], [F.desc("score"), F.col(id_col)], k, rank="rank")
+def _whole_documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Batches sorted by document, cut so that no document is in two of them."""
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(map(len, held)) >= GATHER_ROWS:
+            gathered = pd.concat(held)
+            last = gathered["_id"] == gathered["_id"].iloc[-1]
+            held = [gathered[last]]
+            if not last.all():
+                yield gathered[~last]
+    if held and any(map(len, held)):
+        yield pd.concat(held)
+
+
+def _text_scores(block: _Block, rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Documents, their positions by row, and the score of each (query, document)."""
+    ids, doc = np.unique(np.asarray(rows["_id"].tolist()), return_inverse=True)
+    real = rows["_term"].notna().to_numpy()
+    used, term = np.unique(rows["_term"].to_numpy()[real].astype(int), return_inverse=True)
+    gains = np.zeros((len(ids), len(used)))
+    gains[doc[real], term] = rows["_gain"].to_numpy()[real]
+    return ids, doc, (gains @ block.weights[used]).T
+
+
+def keyword_candidates(queries: DataFrame, index: Index, k: int, id_col: str = "doc_id", block_terms: int = BLOCK_TERMS) -> DataFrame:
+    """Exact BM25: the best ``k`` of each task per query (query_id, id, score, low, high).
+
+    A frequent word makes nearly every document match nearly every query, so a row per
+    matching pair would be all pairs. Postings are brought together by document instead;
+    a task multiplies its documents with the query weights and keeps ``k`` per query. No
+    term and no document is left out.
+    """
+    blocks, mean = _query_blocks(queries, index, block_terms)
+    schema = best_schema(queries.schema["query_id"].dataType, index.postings.schema[id_col].dataType)
+
+    def best_of(block: _Block):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            best = _Best(len(block.query_ids), k)
+            for rows in _whole_documents(batches):
+                ids, _, scores = _text_scores(block, rows)
+                best.add(ids, np.round(scores, 4), scores > 0)
+            yield from best.frames(block.query_ids)
+
+        return run
+
+    found = [_by_document(_gains(index, b, mean, id_col)).mapInPandas(best_of(b), schema) for b in blocks]
+    if not found:
+        return queries.sparkSession.createDataFrame([], schema).withColumnRenamed("_id", id_col)
+    return reduce(DataFrame.unionByName, found).withColumnRenamed("_id", id_col)
+
+
+def keyword_search(queries: DataFrame, index: Index, k: int = DEFAULT_LIMIT, id_col: str = "doc_id", **how) -> DataFrame:
+    found = keyword_candidates(queries, index, k, id_col, **how).select("query_id", id_col, "score")
+    return top_per_key(found, ["query_id"], [F.desc("score"), F.col(id_col)], k, rank="rank")
 
 
 # -- vector ----------------------------------------------------------------------
@@ -142,28 +225,41 @@ def _first_k(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return held[np.lexsort((ids[held], -scores[held]))][:k]
 
 
-def _best(query_ids: np.ndarray, queries: np.ndarray, batches: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]:
-    """Best k of a stream of corpus batches for each query, with the lowest and highest score met."""
-    best: list = [None] * len(query_ids)
-    low, high = np.full(len(query_ids), np.inf), np.full(len(query_ids), -np.inf)
-    for batch in batches:
-        if batch.empty:
-            continue
-        ids = np.asarray(batch.iloc[:, 0].tolist())
-        scores = np.round(queries @ _unit(batch.iloc[:, 1]).T, 4) + 0.0
-        low, high = np.minimum(low, scores.min(axis=1)), np.maximum(high, scores.max(axis=1))
-        for q in range(len(query_ids)):
-            s, i = scores[q], ids
-            pick = _first_k(s, i, k)
+class _Best:
+    """The best k of a stream of scored batches for each query, with the lowest and highest score met."""
+
+    def __init__(self, queries: int, k: int):
+        self.k, self.kept = k, [None] * queries
+        self.low, self.high = np.full(queries, np.inf), np.full(queries, -np.inf)
+
+    def add(self, ids: np.ndarray, scores: np.ndarray, valid: np.ndarray | None = None) -> None:
+        """``scores`` is queries x ids; entries that are not ``valid`` do not count."""
+        for q in range(len(self.kept)):
+            s, i = (scores[q], ids) if valid is None else (scores[q][valid[q]], ids[valid[q]])
+            if not len(s):
+                continue
+            self.low[q], self.high[q] = min(self.low[q], s.min()), max(self.high[q], s.max())
+            pick = _first_k(s, i, self.k)
             s, i = s[pick], i[pick]
-            if best[q] is not None:
-                s, i = np.concatenate([best[q][0], s]), np.concatenate([best[q][1], i])
-                pick = _first_k(s, i, k)
+            if self.kept[q] is not None:
+                s, i = np.concatenate([self.kept[q][0], s]), np.concatenate([self.kept[q][1], i])
+                pick = _first_k(s, i, self.k)
                 s, i = s[pick], i[pick]
-            best[q] = (s, i)
-    for q, found in enumerate(best):
-        if found is not None:
-            yield pd.DataFrame({"query_id": query_ids[q], "_id": found[1], "score": found[0], "low": low[q], "high": high[q]})
+            self.kept[q] = (s, i)
+
+    def frames(self, query_ids: np.ndarray) -> Iterator[pd.DataFrame]:
+        for q, found in enumerate(self.kept):
+            if found is not None:
+                yield pd.DataFrame({"query_id": query_ids[q], "_id": found[1], "score": found[0], "low": self.low[q], "high": self.high[q]})
+
+
+def _best(query_ids: np.ndarray, queries: np.ndarray, batches: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]:
+    """Best k of corpus batches (id, vector) by cosine."""
+    best = _Best(len(query_ids), k)
+    for batch in batches:
+        if not batch.empty:
+            best.add(np.asarray(batch.iloc[:, 0].tolist()), np.round(queries @ _unit(batch.iloc[:, 1]).T, 4) + 0.0)
+    yield from best.frames(query_ids)
 
 
 def best_schema(query_id: T.DataType, item_id: T.DataType) -> T.StructType:
@@ -224,60 +320,101 @@ def vector_search(queries: DataFrame, corpus: DataFrame, k: int = DEFAULT_LIMIT,
 # -- hybrid ----------------------------------------------------------------------
 
 
-def _scaled(score: str, low: str, high: str) -> Column:
-    """Score between 0 and 1 within a query; 1 when all scores are equal."""
-    width = F.col(high) - F.col(low)
-    return F.when(width > 0, (F.col(score) - F.col(low)) / width).otherwise(1.0)
-
-
-def hybrid_legs(queries: DataFrame, corpus: DataFrame, index: Index, k: int, id_col: str = "doc_id", vector: str = "embedding") -> DataFrame:
-    """(query_id, id, text, vector): both scores scaled per query, for every document that can be in a top ``k``.
+def _ranges(parts: DataFrame, query_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lowest and highest score of each query, as columns; equal where a query has no score."""
+    seen = parts.groupBy("query_id").agg(F.min("low").alias("low"), F.max("high").alias("high")).toPandas().set_index("query_id").reindex(query_ids)
+    low, high = seen["low"].fillna(0.0).to_numpy()[:, None], seen["high"].fillna(0.0).to_numpy()[:, None]
+    return low, high
 
-    A document without a query term scores by its vector alone, so among those only the best
-    ``k`` by vector can win. The candidates are these and all documents with a query term:
-    the result is exact, not cut to a sample of either leg.
-    """
-    # Each leg is written once: ranges, ranking and candidates below all read it.
-    text = written(keyword_scores(queries, index, id_col), "text-leg")
-    parts = written(vector_candidates(queries, corpus, k, id_col, vector), "vector-leg")
-    vector_range = parts.groupBy("query_id").agg(F.min("low").alias("_vlow"), F.max("high").alias("_vhigh"))
-    nearest = top_per_key(parts.select("query_id", id_col, "score"), ["query_id"], [F.desc("score"), F.col(id_col)], k)
-    text_range = text.groupBy("query_id").agg(F.min("score").alias("_tlow"), F.max("score").alias("_thigh"))
-
-    # Vectors are brought to length 1 before the join, so a pair costs one product.
-    pairs = (
-        text.select("query_id", id_col, F.col("score").alias("_t"))
-        .join(corpus.select(id_col, unit(F.col(vector)).alias("_dv")), id_col, "left")
-        .join(queries.select("query_id", unit(F.col(vector)).alias("_qv")), "query_id", "left")
-    )
-    scored = pairs.select("query_id", id_col, "_t", F.round(dot(F.col("_qv"), F.col("_dv")), 4).alias("_v"))
-    only_vector = nearest.join(text.select("query_id", id_col), ["query_id", id_col], "left_anti")
-    candidates = scored.unionByName(only_vector.select("query_id", id_col, F.lit(None).cast("double").alias("_t"), F.col("score").alias("_v")))
-    ranged = candidates.join(vector_range, "query_id", "left").join(text_range, "query_id", "left")
-    return ranged.select(
-        "query_id", id_col,
-        F.coalesce(F.when(F.col("_t").isNotNull(), _scaled("_t", "_tlow", "_thigh")), F.lit(0.0)).alias("text"),
-        F.coalesce(F.when(F.col("_v").isNotNull(), _scaled("_v", "_vlow", "_vhigh")), F.lit(0.0)).alias("vector"),
-    )
 
+def _scaled(scores: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Scores between 0 and 1 within a query; 1 when all its scores are equal."""
+    width = high - low
+    return np.where(width > 0, (scores - low) / np.where(width > 0, width, 1.0), 1.0)
 
-def fuse(legs: DataFrame, profile: str, k: int, id_col: str = "doc_id") -> DataFrame:
-    """Weighted mean of the two scaled scores. How the legs are joined is our choice; no reranker follows."""
-    texts, vectors = PROFILES[profile]
-    score = F.round((F.col("text") * texts + F.col("vector") * vectors) / (texts + vectors), 10)
-    ranked = top_per_key(legs.select("query_id", id_col, score.alias("score")), ["query_id"], [F.desc("score"), F.col(id_col)], k, rank="rank")
-    return ranked.withColumn("score", F.round("score", 4))
 
+def hybrid_candidates(queries: DataFrame, corpus: DataFrame, index: Index, profiles: Sequence[str], k: int, id_col: str = "doc_id", vector: str = "embedding", block_terms: int = BLOCK_TERMS) -> DataFrame:
+    """The best ``k`` of each task per query and profile (query_id, id, score, profile).
 
-def hybrid(queries: DataFrame, corpus: DataFrame, index: Index, profile: str = "default", k: int = DEFAULT_LIMIT, id_col: str = "doc_id", vector: str = "embedding") -> DataFrame:
-    return fuse(hybrid_legs(queries, corpus, index, k, id_col, vector), profile, k, id_col)
+    Both scores are scaled per query to 0..1 over the documents they apply to and averaged by
+    the weights of the profile; a leg that does not apply counts 0. A first pass over each leg
+    finds the ranges. The second brings postings and vectors of a document together, scores it
+    on both legs at once, and keeps ``k`` per query: exact, and no pair becomes a row.
+    How the legs are joined is our choice; no reranker follows.
+    """
+    blocks, mean = _query_blocks(queries, index, block_terms)
+    # Queries without any known term still have a vector: they form a block of their own.
+    known = np.concatenate([b.query_ids for b in blocks]) if blocks else np.array([])
+    others = queries.select("query_id").filter(~F.col("query_id").isin(known.tolist())).toPandas()["query_id"].to_numpy()
+    if len(others):
+        blocks.append(_Block(others, [], np.zeros((0, len(others)))))
+    item = index.postings.schema[id_col].dataType
+    base = best_schema(queries.schema["query_id"].dataType, item)
+    schema = T.StructType([*base.fields[:3], T.StructField("profile", T.StringType())])
+    vectors = corpus.filter(F.col(vector).isNotNull()).select(F.col(id_col).alias("_id"), F.col(vector).alias("_v"))
+
+    def one_block(block: _Block) -> DataFrame:
+        mine = queries.filter(F.col("query_id").isin(block.query_ids.tolist()))
+        gains = written(_gains(index, block, mean, id_col), "gains")
+
+        def ranges_of_text(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            best = _Best(len(block.query_ids), 1)
+            for rows in _whole_documents(batches):
+                ids, _, scores = _text_scores(block, rows)
+                best.add(ids, np.round(scores, 4), scores > 0)
+            yield from best.frames(block.query_ids)
+
+        text_range = _ranges(_by_document(gains).mapInPandas(ranges_of_text, base), block.query_ids)
+        vector_range = _ranges(vector_candidates(mine, corpus, 1, id_col, vector), block.query_ids)
+        asked = mine.select("query_id", vector).toPandas().set_index("query_id").reindex(block.query_ids)[vector]
+        has_vector = asked.notna().to_numpy()
+        size = len(asked[has_vector].iloc[0]) if has_vector.any() else 1
+        matrix = np.zeros((len(asked), size))
+        if has_vector.any():
+            matrix[has_vector] = _unit(asked[has_vector])
+
+        def fused(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            best = {p: _Best(len(block.query_ids), k) for p in profiles}
+            for rows in _whole_documents(batches):
+                ids, doc, text = _text_scores(block, rows)
+                with_vector = rows["_v"].notna().to_numpy()
+                near, placed = np.zeros_like(text), np.zeros(len(ids), dtype=bool)
+                if with_vector.any() and has_vector.any():
+                    near[:, doc[with_vector]] = np.round(matrix @ _unit(rows["_v"][with_vector]).T, 4) + 0.0
+                    placed[doc[with_vector]] = True
+                has_text, has_near = text > 0, has_vector[:, None] & placed[None, :]
+                t = np.where(has_text, _scaled(np.round(text, 4), *text_range), 0.0)
+                v = np.where(has_near, _scaled(near, *vector_range), 0.0)
+                for p in profiles:
+                    wt, wv = PROFILES[p]
+                    best[p].add(ids, np.round((t * wt + v * wv) / (wt + wv), 10), has_text | has_near)
+            for p in profiles:
+                for frame in best[p].frames(block.query_ids):
+                    yield frame[["query_id", "_id", "score"]].assign(profile=p)
+
+        rows = gains.unionByName(vectors, allowMissingColumns=True)
+        return _by_document(rows).mapInPandas(fused, schema)
+
+    found = [one_block(b) for b in blocks]
+    if not found:
+        return queries.sparkSession.createDataFrame([], schema).withColumnRenamed("_id", id_col)
+    return reduce(DataFrame.unionByName, found).withColumnRenamed("_id", id_col)
+
+
+def _ranked(found: DataFrame, k: int, id_col: str) -> DataFrame:
+    best = top_per_key(found, ["profile", "query_id"], [F.desc("score"), F.col(id_col)], k, rank="rank")
+    return best.withColumn("score", F.round("score", 4))
+
+
+def hybrid(queries: DataFrame, corpus: DataFrame, index: Index, profile: str = "default", k: int = DEFAULT_LIMIT, id_col: str = "doc_id", vector: str = "embedding", **how) -> DataFrame:
+    found = hybrid_candidates(queries, corpus, index, [profile], k, id_col, vector, **how)
+    return _ranked(found, k, id_col).select("query_id", id_col, "score", "rank")
 
 
 def compare_profiles(queries: DataFrame, corpus: DataFrame, index: Index, profiles: Sequence[str] = tuple(PROFILES), k: int = 3, id_col: str = "doc_id", vector: str = "embedding") -> DataFrame:
-    """The results of one query under each profile side by side, by rank."""
-    legs = written(hybrid_legs(queries, corpus, index, k, id_col, vector), "legs")
-    each = [fuse(legs, p, k, id_col).select("query_id", "rank", F.lit(p).alias("profile"), id_col) for p in profiles]
-    return reduce(DataFrame.unionByName, each).groupBy("query_id", "rank").pivot("profile", list(profiles)).agg(F.first(id_col))
+    """The results of one query under each profile side by side, by rank. All profiles come from the same passes."""
+    ranked = _ranked(hybrid_candidates(queries, corpus, index, profiles, k, id_col, vector), k, id_col)
+    return ranked.groupBy("query_id", "rank").pivot("profile", list(profiles)).agg(F.first(id_col))
 
 
 def explain_codes(top_codes: DataFrame, chunks: DataFrame, id_col: str = "doc_id", text: str = "chunk_text", code: str = "violation_code") -> DataFrame:

@@ -184,7 +184,7 @@ def repeat_closures(m: Marts, more_than: int = 1, k: int = 20) -> DataFrame:
 
 def by_weekday(m: Marts, as_of: str) -> DataFrame:
     day = F.col("inspection_date")
-    this_year = m.fct_inspections.filter(F.year(F.lit(as_of).cast("date")) == F.year(day)).filter(day >= _year_start(as_of))
+    this_year = m.fct_inspections.filter((day >= _year_start(as_of)) & (day < F.add_months(_year_start(as_of), 12)))
     dated = with_calendar(this_year, m.dim_date.withColumnRenamed("day_name_short", "day_name"), "day_name", "day_of_week")
     return (
         dated.groupBy("day_name", "day_of_week")

@@ -127,7 +127,7 @@ def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as agent requests with a nested credit payload."""
     k = F.get_json_object("props", "$.k").cast("long")
     value = F.col("value")
-    return table(spark, sf_dir, "events").select(
+    return wide_table(spark, sf_dir, "events").select(
         F.col("event_id").cast("string").alias("request_id"),
         F.col("user_id").cast("string").alias("user_name"),
         F.col("event_type").alias("agent_name"),

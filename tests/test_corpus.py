@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import math
+
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -159,21 +162,55 @@ def test_many_copies_do_not_crowd_a_task(spark, queries):
     assert [r.doc_id for r in first.collect()] == [0, 3, 6, 9, 12]
 
 
+def brute_bm25(docs, queries):
+    split = {r.doc_id: r.chunk_text.lower().split() for r in docs.collect()}
+    mean = sum(map(len, split.values())) / len(split)
+    out = {}
+    for q in queries.collect():
+        for d, ws in split.items():
+            score = 0.0
+            for t in set("".join(c if c.isalnum() else " " for c in q.query_text.lower()).split()) & set(ws):
+                df = sum(t in other for other in split.values())
+                score += math.log(1 + (len(split) - df + 0.5) / (df + 0.5)) * ws.count(t) * 2.2 / (ws.count(t) + 1.2 * (0.25 + 0.75 * len(ws) / mean))
+            if score:
+                out[q.query_id, d] = round(score, 4)
+    return out
+
+
+@pytest.mark.parametrize("how", [{}, {"block_terms": 1}])
+def test_keyword_equals_brute_force(docs, queries, how):
+    want = brute_bm25(docs, queries)
+    got = R.keyword_search(queries, R.build_index(docs), 7, **how)
+    best = [(q, d, s, n + 1) for q in (1, 2) for n, (s, d) in enumerate(sorted(((s, d) for (a, d), s in want.items() if a == q), key=lambda p: (-p[0], p[1]))[:7])]
+    assert rows(got, "query_id", "doc_id", "score", "rank") == sorted(best, key=repr)
+
+
+def test_documents_are_not_cut(monkeypatch):
+    monkeypatch.setattr(R, "GATHER_ROWS", 5)
+    frames = [pd.DataFrame({"_id": ids}) for ids in ([1, 1, 1], [1, 1, 1, 1], [1, 2, 2], [3], [3, 3, 4, 5, 5], [])]
+    whole = [sorted(set(f["_id"])) for f in R._whole_documents(iter(frames))]
+    assert sorted(i for ids in whole for i in ids) == [1, 2, 3, 4, 5]
+    assert sum(len(f) for f in R._whole_documents(iter(frames))) == 16
+
+
+@pytest.mark.parametrize("how", [{}, {"block_terms": 1}])
 @pytest.mark.parametrize("profile", list(R.PROFILES))
-def test_hybrid_is_exact(docs, queries, profile):
-    """Candidates leave out documents that cannot win; the result equals scoring every pair."""
+def test_hybrid_is_exact(docs, queries, profile, how):
+    """The result equals scoring every pair on both legs."""
+    docs = docs.withColumn("embedding", F.when(F.col("doc_id") % 6 != 0, F.col("embedding")))
     index = R.build_index(docs)
     k, (wt, wv) = 5, R.PROFILES[profile]
-    text = {(r.query_id, r.doc_id): r.score for r in R.keyword_scores(queries, index).collect()}
-    vec = {(q, d): s for q, d, s, _ in brute_vectors(docs, queries, 10**6)}
+    text = brute_bm25(docs, queries)
+    vec = {(q, d): s for q, d, s, _ in brute_vectors(docs.filter("embedding IS NOT NULL"), queries, 10**6)}
     want = []
     for q in (1, 2, 3):
         t = [s for (a, _), s in text.items() if a == q]
         v = [s for (a, _), s in vec.items() if a == q]
         scale = lambda s, all_: 0.0 if s is None else (s - min(all_)) / (max(all_) - min(all_)) if max(all_) > min(all_) else 1.0
-        scored = sorted(((round((scale(text.get((q, d)), t) * wt + scale(vec.get((q, d)), v) * wv) / (wt + wv), 10), d) for d in range(60)), key=lambda p: (-p[0], p[1]))
+        held = [d for d in range(60) if (q, d) in text or (q, d) in vec]
+        scored = sorted(((round((scale(text.get((q, d)), t) * wt + scale(vec.get((q, d)), v) * wv) / (wt + wv), 10), d) for d in held), key=lambda p: (-p[0], p[1]))
         want += [(q, d, n + 1) for n, (_, d) in enumerate(scored[:k])]
-    got = R.hybrid(queries, docs, index, profile, k).filter("query_id < 4")
+    got = R.hybrid(queries, docs, index, profile, k, **how)
     assert rows(got, "query_id", "doc_id", "rank") == sorted(want, key=repr)
 
 
