@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from clearplate.functions.latest import top_per_key
 from clearplate.functions.text import terms
 from clearplate.operators.corpus import all_codes
-from clearplate.session import written
+from clearplate.session import fresh_path, written
 
 # BM25 constants, and fixed values of the scoring profiles.
 K1, B = 1.2, 0.75
@@ -27,6 +27,7 @@ CELL_ROWS = 50_000
 # Query terms that travel to every task at a time, and rows gathered before a product.
 BLOCK_TERMS = 50_000
 GATHER_ROWS = 100_000
+MATRIX_CELLS = 4_000_000
 TERM_FILES = 16
 
 
@@ -111,30 +112,57 @@ class _Block:
     weights: np.ndarray  # terms x queries
 
 
-def _query_blocks(queries: DataFrame, index: Index, block_terms: int) -> tuple[list[_Block], float]:
-    """Queries in blocks of bounded size, with the idf of each query term, and the mean document length.
+@dataclass(frozen=True)
+class _Batch:
+    """A batch of queries, its term weights as a table, and into how many blocks it is cut."""
+
+    weights: DataFrame
+    parts: int
+    mean_length: float
 
-    Document frequencies are one aggregate over the postings of query terms; its result,
-    a row per query and term, is written and fetched block by block.
+    def block(self, n: int) -> _Block | None:
+        """Fetch one block; its size is bounded by how the batch was cut."""
+        held = self.weights.filter(F.pmod(F.xxhash64("query_id"), F.lit(self.parts)) == n).toPandas()
+        if held.empty:
+            return None
+        query_ids, q = np.unique(held["query_id"].to_numpy(), return_inverse=True)
+        real = held["term"].notna().to_numpy()
+        names, t = np.unique(held["term"].to_numpy()[real].astype(str), return_inverse=True)
+        matrix = np.zeros((len(names), len(query_ids)))
+        matrix[t, q[real]] = held["idf"].to_numpy()[real]
+        return _Block(query_ids, names.tolist(), matrix)
+
+    def run(self, best_of: Callable[[_Block], DataFrame], schema: T.StructType) -> DataFrame:
+        """Candidates of all blocks. Of several blocks each is written before the next is fetched, so the driver holds one at a time."""
+        spark = self.weights.sparkSession
+        if self.parts == 1:
+            block = self.block(0)
+            return spark.createDataFrame([], schema) if block is None else best_of(block)
+        path = fresh_path(spark, "candidates")
+        spark.createDataFrame([], schema).write.parquet(path)
+        for n in range(self.parts):
+            block = self.block(n)
+            if block is not None:
+                best_of(block).write.mode("append").parquet(path)
+        return spark.read.schema(schema).parquet(path)
+
+
+def _batch(queries: DataFrame, index: Index, block_terms: int) -> _Batch:
+    """Term weights (idf) of each query; a query without a known term keeps one row without a term.
+
+    Document frequencies are one aggregate over the postings of query terms.
     """
+    ids = queries.select("query_id")
     asked = queries.select("query_id", F.explode_outer(F.array_distinct(terms(F.col("query_text")))).alias("term")).filter(F.col("term").isNotNull())
     hits = index.postings.join(asked.select("term").distinct(), "term", "left_semi")
     total, mean = index.lengths.agg(F.count(F.lit(1)), F.avg("length")).first()
     frequency = hits.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log(1 + (F.lit(total) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weights = written(asked.join(frequency, "term").select("query_id", "term", idf.alias("idf")), "term-weights")
-    parts = max(1, -(-weights.count() // block_terms))
-    blocks = []
-    for n in range(parts):
-        held = weights.filter(F.pmod(F.xxhash64("query_id"), F.lit(parts)) == n).toPandas()
-        if held.empty:
-            continue
-        query_ids, q = np.unique(held["query_id"].to_numpy(), return_inverse=True)
-        names, t = np.unique(held["term"].to_numpy().astype(str), return_inverse=True)
-        matrix = np.zeros((len(names), len(query_ids)))
-        matrix[t, q] = held["idf"]
-        blocks.append(_Block(query_ids, names.tolist(), matrix))
-    return blocks, mean or 0.0
+    known = asked.join(frequency, "term").select("query_id", "term", idf.alias("idf"))
+    weights = written(ids.join(known, "query_id", "left"), "term-weights")
+    size = weights.agg(F.count(F.lit(1)), F.count_distinct("query_id")).first()
+    parts = max(1, -(-size[0] // block_terms), -(-size[1] // MAX_BROADCAST_QUERIES))
+    return _Batch(weights, parts, mean or 0.0)
 
 
 def _gains(index: Index, block: _Block, mean: float, id_col: str) -> DataFrame:
@@ -149,19 +177,28 @@ def _by_document(rows: DataFrame) -> DataFrame:
     return rows.repartition("_id").sortWithinPartitions("_id")
 
 
-def _whole_documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Batches sorted by document, cut so that no document is in two of them."""
+def _whole_documents(batches: Iterator[pd.DataFrame], block: _Block) -> Iterator[pd.DataFrame]:
+    """Batches sorted by document, cut so that no document is in two of them.
+
+    A cut holds as many documents as keep its matrices small for this block.
+    """
+    most = max(1, MATRIX_CELLS // max(1, len(block.query_ids), len(block.terms)))
     held: list[pd.DataFrame] = []
+
+    def slices(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        number = rows["_id"].ne(rows["_id"].shift()).cumsum().to_numpy() - 1
+        for start in range(0, number[-1] + 1 if len(number) else 0, most):
+            yield rows[(number >= start) & (number < start + most)]
+
     for batch in batches:
         held.append(batch)
         if sum(map(len, held)) >= GATHER_ROWS:
             gathered = pd.concat(held)
             last = gathered["_id"] == gathered["_id"].iloc[-1]
             held = [gathered[last]]
-            if not last.all():
-                yield gathered[~last]
-    if held and any(map(len, held)):
-        yield pd.concat(held)
+            yield from slices(gathered[~last])
+    if held:
+        yield from slices(pd.concat(held))
 
 
 def _text_scores(block: _Block, rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -182,23 +219,20 @@ def keyword_candidates(queries: DataFrame, index: Index, k: int, id_col: str = "
     a task multiplies its documents with the query weights and keeps ``k`` per query. No
     term and no document is left out.
     """
-    blocks, mean = _query_blocks(queries, index, block_terms)
+    batch = _batch(queries, index, block_terms)
     schema = best_schema(queries.schema["query_id"].dataType, index.postings.schema[id_col].dataType)
 
-    def best_of(block: _Block):
+    def best_of(block: _Block) -> DataFrame:
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             best = _Best(len(block.query_ids), k)
-            for rows in _whole_documents(batches):
+            for rows in _whole_documents(batches, block):
                 ids, _, scores = _text_scores(block, rows)
                 best.add(ids, np.round(scores, 4), scores > 0)
             yield from best.frames(block.query_ids)
 
-        return run
+        return _by_document(_gains(index, block, batch.mean_length, id_col)).mapInPandas(run, schema)
 
-    found = [_by_document(_gains(index, b, mean, id_col)).mapInPandas(best_of(b), schema) for b in blocks]
-    if not found:
-        return queries.sparkSession.createDataFrame([], schema).withColumnRenamed("_id", id_col)
-    return reduce(DataFrame.unionByName, found).withColumnRenamed("_id", id_col)
+    return batch.run(best_of, schema).withColumnRenamed("_id", id_col)
 
 
 def keyword_search(queries: DataFrame, index: Index, k: int = DEFAULT_LIMIT, id_col: str = "doc_id", **how) -> DataFrame:
@@ -342,12 +376,7 @@ def hybrid_candidates(queries: DataFrame, corpus: DataFrame, index: Index, profi
     on both legs at once, and keeps ``k`` per query: exact, and no pair becomes a row.
     How the legs are joined is our choice; no reranker follows.
     """
-    blocks, mean = _query_blocks(queries, index, block_terms)
-    # Queries without any known term still have a vector: they form a block of their own.
-    known = np.concatenate([b.query_ids for b in blocks]) if blocks else np.array([])
-    others = queries.select("query_id").filter(~F.col("query_id").isin(known.tolist())).toPandas()["query_id"].to_numpy()
-    if len(others):
-        blocks.append(_Block(others, [], np.zeros((0, len(others)))))
+    batch = _batch(queries, index, block_terms)
     item = index.postings.schema[id_col].dataType
     base = best_schema(queries.schema["query_id"].dataType, item)
     schema = T.StructType([*base.fields[:3], T.StructField("profile", T.StringType())])
@@ -355,11 +384,11 @@ def hybrid_candidates(queries: DataFrame, corpus: DataFrame, index: Index, profi
 
     def one_block(block: _Block) -> DataFrame:
         mine = queries.filter(F.col("query_id").isin(block.query_ids.tolist()))
-        gains = written(_gains(index, block, mean, id_col), "gains")
+        gains = written(_gains(index, block, batch.mean_length, id_col), "gains")
 
         def ranges_of_text(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             best = _Best(len(block.query_ids), 1)
-            for rows in _whole_documents(batches):
+            for rows in _whole_documents(batches, block):
                 ids, _, scores = _text_scores(block, rows)
                 best.add(ids, np.round(scores, 4), scores > 0)
             yield from best.frames(block.query_ids)
@@ -375,7 +404,7 @@ def hybrid_candidates(queries: DataFrame, corpus: DataFrame, index: Index, profi
 
         def fused(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             best = {p: _Best(len(block.query_ids), k) for p in profiles}
-            for rows in _whole_documents(batches):
+            for rows in _whole_documents(batches, block):
                 ids, doc, text = _text_scores(block, rows)
                 with_vector = rows["_v"].notna().to_numpy()
                 near, placed = np.zeros_like(text), np.zeros(len(ids), dtype=bool)
@@ -395,10 +424,7 @@ def hybrid_candidates(queries: DataFrame, corpus: DataFrame, index: Index, profi
         rows = gains.unionByName(vectors, allowMissingColumns=True)
         return _by_document(rows).mapInPandas(fused, schema)
 
-    found = [one_block(b) for b in blocks]
-    if not found:
-        return queries.sparkSession.createDataFrame([], schema).withColumnRenamed("_id", id_col)
-    return reduce(DataFrame.unionByName, found).withColumnRenamed("_id", id_col)
+    return batch.run(one_block, schema).withColumnRenamed("_id", id_col)
 
 
 def _ranked(found: DataFrame, k: int, id_col: str) -> DataFrame:

@@ -187,10 +187,13 @@ def test_keyword_equals_brute_force(docs, queries, how):
 
 def test_documents_are_not_cut(monkeypatch):
     monkeypatch.setattr(R, "GATHER_ROWS", 5)
+    monkeypatch.setattr(R, "MATRIX_CELLS", 2)
+    block = R._Block(np.array([1]), ["a"], np.ones((1, 1)))
     frames = [pd.DataFrame({"_id": ids}) for ids in ([1, 1, 1], [1, 1, 1, 1], [1, 2, 2], [3], [3, 3, 4, 5, 5], [])]
-    whole = [sorted(set(f["_id"])) for f in R._whole_documents(iter(frames))]
+    assert max(f["_id"].nunique() for f in R._whole_documents(iter(frames), block)) <= 2
+    whole = [sorted(set(f["_id"])) for f in R._whole_documents(iter(frames), block)]
     assert sorted(i for ids in whole for i in ids) == [1, 2, 3, 4, 5]
-    assert sum(len(f) for f in R._whole_documents(iter(frames))) == 16
+    assert sum(len(f) for f in R._whole_documents(iter(frames), block)) == 16
 
 
 @pytest.mark.parametrize("how", [{}, {"block_terms": 1}])
