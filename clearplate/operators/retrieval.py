@@ -112,32 +112,36 @@ class _Block:
     weights: np.ndarray  # terms x queries
 
 
+def _block_of(held: pd.DataFrame) -> _Block | None:
+    """Rows (query_id, term, idf) as a matrix; a NULL term only makes its query known."""
+    if held.empty:
+        return None
+    query_ids, q = np.unique(held["query_id"].to_numpy(), return_inverse=True)
+    real = held["term"].notna().to_numpy()
+    names, t = np.unique(held["term"].to_numpy()[real].astype(str), return_inverse=True)
+    matrix = np.zeros((len(names), len(query_ids)))
+    matrix[t, q[real]] = held["idf"].to_numpy()[real]
+    return _Block(query_ids, names.tolist(), matrix)
+
+
 @dataclass(frozen=True)
 class _Batch:
-    """A batch of queries, its term weights as a table, and into how many blocks it is cut."""
+    """A batch of queries: term weights as a table, and into how many blocks it is cut. A batch of one block is fetched already."""
 
     weights: DataFrame
     parts: int
     mean_length: float
+    only: _Block | None = None
 
     def block(self, n: int) -> _Block | None:
         """Fetch one block; its size is bounded by how the batch was cut."""
-        held = self.weights.filter(F.pmod(F.xxhash64("query_id"), F.lit(self.parts)) == n).toPandas()
-        if held.empty:
-            return None
-        query_ids, q = np.unique(held["query_id"].to_numpy(), return_inverse=True)
-        real = held["term"].notna().to_numpy()
-        names, t = np.unique(held["term"].to_numpy()[real].astype(str), return_inverse=True)
-        matrix = np.zeros((len(names), len(query_ids)))
-        matrix[t, q[real]] = held["idf"].to_numpy()[real]
-        return _Block(query_ids, names.tolist(), matrix)
+        return _block_of(self.weights.filter(F.pmod(F.xxhash64("query_id"), F.lit(self.parts)) == n).toPandas())
 
     def run(self, best_of: Callable[[_Block], DataFrame], schema: T.StructType) -> DataFrame:
         """Candidates of all blocks. Of several blocks each is written before the next is fetched, so the driver holds one at a time."""
         spark = self.weights.sparkSession
         if self.parts == 1:
-            block = self.block(0)
-            return spark.createDataFrame([], schema) if block is None else best_of(block)
+            return spark.createDataFrame([], schema) if self.only is None else best_of(self.only)
         path = fresh_path(spark, "candidates")
         spark.createDataFrame([], schema).write.parquet(path)
         for n in range(self.parts):
@@ -159,10 +163,13 @@ def _batch(queries: DataFrame, index: Index, block_terms: int) -> _Batch:
     frequency = hits.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log(1 + (F.lit(total) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     known = asked.join(frequency, "term").select("query_id", "term", idf.alias("idf"))
-    weights = written(ids.join(known, "query_id", "left"), "term-weights")
-    size = weights.agg(F.count(F.lit(1)), F.count_distinct("query_id")).first()
-    parts = max(1, -(-size[0] // block_terms), -(-size[1] // MAX_BROADCAST_QUERIES))
-    return _Batch(weights, parts, mean or 0.0)
+    weights = ids.join(known, "query_id", "left")
+    head = weights.limit(block_terms + 1).toPandas()
+    if len(head) <= block_terms and head["query_id"].nunique() <= MAX_BROADCAST_QUERIES:
+        return _Batch(weights, 1, mean or 0.0, _block_of(head))
+    weights = written(weights, "term-weights")
+    rows, asking = weights.agg(F.count(F.lit(1)), F.count_distinct("query_id")).first()
+    return _Batch(weights, max(2, -(-rows // block_terms), -(-asking // MAX_BROADCAST_QUERIES)), mean or 0.0)
 
 
 def _gains(index: Index, block: _Block, mean: float, id_col: str) -> DataFrame:
