@@ -8,6 +8,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -250,12 +251,28 @@ def keyword_search(queries: DataFrame, index: Index, k: int = DEFAULT_LIMIT, id_
 # -- vector ----------------------------------------------------------------------
 
 
-def _unit(vectors: pd.Series) -> np.ndarray:
-    m = np.stack(vectors.to_numpy()).astype("float64")
+def _unit(m: np.ndarray) -> np.ndarray:
+    """Rows scaled to length 1; a zero row stays zero."""
+    m = m.astype("float64")
     norms = np.linalg.norm(m, axis=1, keepdims=True)
     return m / np.where(norms == 0, 1, norms)
 
 
+def _stacked(vectors: pd.Series) -> np.ndarray:
+    return np.stack(vectors.to_numpy())
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    """The vectors of an Arrow column that are not NULL, one per row, without a Python object per value."""
+    held = column.drop_null()
+    return held.flatten().to_numpy(zero_copy_only=False).reshape(len(held), -1)
+
+
+def _out(frames: Iterator[pd.DataFrame]) -> Iterator[pa.RecordBatch]:
+    for frame in frames:
+        yield pa.RecordBatch.from_pandas(frame, preserve_index=False)
+
+
 def _first_k(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Positions of the k best scores, equal scores by id."""
     if len(scores) > k:
@@ -294,12 +311,12 @@ class _Best:
                 yield pd.DataFrame({"query_id": query_ids[q], "_id": found[1], "score": found[0], "low": self.low[q], "high": self.high[q]})
 
 
-def _best(query_ids: np.ndarray, queries: np.ndarray, batches: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]:
-    """Best k of corpus batches (id, vector) by cosine."""
+def _best(query_ids: np.ndarray, queries: np.ndarray, batches: Iterator[tuple[np.ndarray, np.ndarray]], k: int) -> Iterator[pd.DataFrame]:
+    """Best k of corpus batches (ids, vectors) by cosine."""
     best = _Best(len(query_ids), k)
-    for batch in batches:
-        if not batch.empty:
-            best.add(np.asarray(batch.iloc[:, 0].tolist()), np.round(queries @ _unit(batch.iloc[:, 1]).T, 4) + 0.0)
+    for ids, vectors in batches:
+        if len(ids):
+            best.add(ids, np.round(queries @ _unit(vectors).T, 4) + 0.0)
     yield from best.frames(query_ids)
 
 
@@ -331,8 +348,13 @@ def vector_candidates(queries: DataFrame, corpus: DataFrame, k: int, id_col: str
     if len(head) <= max_broadcast:
         if head.empty:
             return spark.createDataFrame([], schema).withColumnRenamed("_id", id_col)
-        ids, matrix = head["query_id"].to_numpy(), _unit(head["_v"])
-        return c.mapInPandas(lambda batches: _best(ids, matrix, batches, k), schema).withColumnRenamed("_id", id_col)
+        ids, matrix = head["query_id"].to_numpy(), _unit(_stacked(head["_v"]))
+
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            pairs = ((np.asarray(b.column("_id").to_pylist()), _matrix(b.column("_v"))) for b in batches if b.num_rows)
+            return _out(_best(ids, matrix, pairs, k))
+
+        return c.mapInArrow(scan, schema).withColumnRenamed("_id", id_col)
 
     blocks = -(-q.count() // max_broadcast)
     cells = max(1, -(-c.count() // cell_rows))
@@ -348,7 +370,8 @@ def best_in_cells(left: DataFrame, right: DataFrame, keys: Sequence[str], k: int
     def one_cell(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         if asked.empty or held.empty:
             return pd.DataFrame(columns=schema.fieldNames())
-        return pd.concat(_best(asked["query_id"].to_numpy(), _unit(asked["_v"]), iter([held[["_id", "_v"]]]), k))
+        corpus = [(np.asarray(held["_id"].tolist()), _stacked(held["_v"]))]
+        return pd.concat(_best(asked["query_id"].to_numpy(), _unit(_stacked(asked["_v"])), iter(corpus), k))
 
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(one_cell, schema)
 
@@ -374,6 +397,17 @@ def _scaled(scores: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray
     return np.where(width > 0, (scores - low) / np.where(width > 0, width, 1.0), 1.0)
 
 
+def _rows_with_vectors(batch: pa.RecordBatch) -> pd.DataFrame:
+    """Posting and vector rows; only rows that have a vector pay for one."""
+    frame = pa.table({name: batch.column(name) for name in ("_id", "_term", "_gain")}).to_pandas()
+    column = batch.column("_v")
+    held = np.full(batch.num_rows, None, dtype=object)
+    for at, vector in zip(np.nonzero(column.is_valid().to_numpy(zero_copy_only=False))[0], _matrix(column) if column.null_count < len(column) else []):
+        held[at] = vector
+    frame["_v"] = held
+    return frame
+
+
 def hybrid_candidates(queries: DataFrame, corpus: DataFrame, index: Index, profiles: Sequence[str], k: int, id_col: str = "doc_id", vector: str = "embedding", block_terms: int = BLOCK_TERMS) -> DataFrame:
     """The best ``k`` of each task per query and profile (query_id, id, score, profile).
 
@@ -407,16 +441,16 @@ def hybrid_candidates(queries: DataFrame, corpus: DataFrame, index: Index, profi
         size = len(asked[has_vector].iloc[0]) if has_vector.any() else 1
         matrix = np.zeros((len(asked), size))
         if has_vector.any():
-            matrix[has_vector] = _unit(asked[has_vector])
+            matrix[has_vector] = _unit(_stacked(asked[has_vector]))
 
-        def fused(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def best_by_profile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             best = {p: _Best(len(block.query_ids), k) for p in profiles}
             for rows in _whole_documents(batches, block):
                 ids, doc, text = _text_scores(block, rows)
                 with_vector = rows["_v"].notna().to_numpy()
                 near, placed = np.zeros_like(text), np.zeros(len(ids), dtype=bool)
                 if with_vector.any() and has_vector.any():
-                    near[:, doc[with_vector]] = np.round(matrix @ _unit(rows["_v"][with_vector]).T, 4) + 0.0
+                    near[:, doc[with_vector]] = np.round(matrix @ _unit(_stacked(rows["_v"][with_vector])).T, 4) + 0.0
                     placed[doc[with_vector]] = True
                 has_text, has_near = text > 0, has_vector[:, None] & placed[None, :]
                 t = np.where(has_text, _scaled(np.round(text, 4), *text_range), 0.0)
@@ -428,8 +462,11 @@ def hybrid_candidates(queries: DataFrame, corpus: DataFrame, index: Index, profi
                 for frame in best[p].frames(block.query_ids):
                     yield frame[["query_id", "_id", "score"]].assign(profile=p)
 
+        def fused(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            return _out(best_by_profile(map(_rows_with_vectors, batches)))
+
         rows = gains.unionByName(vectors, allowMissingColumns=True)
-        return _by_document(rows).mapInPandas(fused, schema)
+        return _by_document(rows).mapInArrow(fused, schema)
 
     return batch.run(one_block, schema).withColumnRenamed("_id", id_col)
 
