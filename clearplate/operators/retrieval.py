@@ -9,6 +9,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,9 +26,8 @@ DEFAULT_LIMIT = 5
 # At most this many queries travel to every task; a larger batch is cut into blocks instead.
 MAX_BROADCAST_QUERIES = 2048
 CELL_ROWS = 50_000
-# Query terms that travel to every task at a time, and rows gathered before a product.
+# Query terms that travel to every task at a time, and the size of a product's matrices.
 BLOCK_TERMS = 50_000
-GATHER_ROWS = 100_000
 MATRIX_CELLS = 4_000_000
 TERM_FILES = 16
 
@@ -181,42 +181,40 @@ def _gains(index: Index, block: _Block, mean: float, id_col: str) -> DataFrame:
     return index.postings.join(F.broadcast(numbered), "term").select(F.col(id_col).alias("_id"), "_term", gain.alias("_gain"))
 
 
-def _by_document(rows: DataFrame) -> DataFrame:
-    return rows.repartition("_id").sortWithinPartitions("_id")
+def _by_document(gains: DataFrame) -> DataFrame:
+    """One row per document with its postings of query terms: at most one per term of the block."""
+    return gains.groupBy("_id").agg(F.collect_list(F.struct("_term", "_gain")).alias("_post"))
 
 
-def _whole_documents(batches: Iterator[pd.DataFrame], block: _Block) -> Iterator[pd.DataFrame]:
-    """Batches sorted by document, cut so that no document is in two of them.
-
-    A cut holds as many documents as keep its matrices small for this block.
-    """
+def _cuts(batches: Iterator[pa.RecordBatch], block: _Block) -> Iterator[pa.RecordBatch]:
+    """As many documents at a time as keep the matrices of this block small."""
     most = max(1, MATRIX_CELLS // max(1, len(block.query_ids), len(block.terms)))
-    held: list[pd.DataFrame] = []
+    for batch in batches:
+        for start in range(0, batch.num_rows, most):
+            yield batch.slice(start, most)
 
-    def slices(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        number = rows["_id"].ne(rows["_id"].shift()).cumsum().to_numpy() - 1
-        for start in range(0, number[-1] + 1 if len(number) else 0, most):
-            yield rows[(number >= start) & (number < start + most)]
 
-    for batch in batches:
-        held.append(batch)
-        if sum(map(len, held)) >= GATHER_ROWS:
-            gathered = pd.concat(held)
-            last = gathered["_id"] == gathered["_id"].iloc[-1]
-            held = [gathered[last]]
-            yield from slices(gathered[~last])
-    if held:
-        yield from slices(pd.concat(held))
-
-
-def _text_scores(block: _Block, rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Documents, their positions by row, and the score of each (query, document)."""
-    ids, doc = np.unique(np.asarray(rows["_id"].tolist()), return_inverse=True)
-    real = rows["_term"].notna().to_numpy()
-    used, term = np.unique(rows["_term"].to_numpy()[real].astype(int), return_inverse=True)
-    gains = np.zeros((len(ids), len(used)))
-    gains[doc[real], term] = rows["_gain"].to_numpy()[real]
-    return ids, doc, (gains @ block.weights[used]).T
+def _ids(batch: pa.RecordBatch) -> np.ndarray:
+    return np.asarray(batch.column("_id").to_pylist())
+
+
+def _text_scores(block: _Block, batch: pa.RecordBatch) -> np.ndarray:
+    """Score of each (query, document); 0 where they share no term."""
+    posts = batch.column("_post")
+    doc = np.repeat(np.arange(batch.num_rows), pc.fill_null(pc.list_value_length(posts), 0).to_numpy(zero_copy_only=False))
+    term, gain = (c.to_numpy(zero_copy_only=False) for c in posts.flatten().flatten())
+    used, column = np.unique(term, return_inverse=True)
+    gains = np.zeros((batch.num_rows, len(used)))
+    gains[doc, column] = gain
+    return (gains @ block.weights[used.astype(int)]).T
+
+
+def _best_by_text(block: _Block, batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    best = _Best(len(block.query_ids), k)
+    for batch in _cuts(batches, block):
+        scores = _text_scores(block, batch)
+        best.add(_ids(batch), np.round(scores, 4), scores > 0)
+    return _out(best.frames(block.query_ids))
 
 
 def keyword_candidates(queries: DataFrame, index: Index, k: int, id_col: str = "doc_id", block_terms: int = BLOCK_TERMS) -> DataFrame:
@@ -231,14 +229,8 @@ def keyword_candidates(queries: DataFrame, index: Index, k: int, id_col: str = "
     schema = best_schema(queries.schema["query_id"].dataType, index.postings.schema[id_col].dataType)
 
     def best_of(block: _Block) -> DataFrame:
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            best = _Best(len(block.query_ids), k)
-            for rows in _whole_documents(batches, block):
-                ids, _, scores = _text_scores(block, rows)
-                best.add(ids, np.round(scores, 4), scores > 0)
-            yield from best.frames(block.query_ids)
-
-        return _by_document(_gains(index, block, batch.mean_length, id_col)).mapInPandas(run, schema)
+        documents = _by_document(_gains(index, block, batch.mean_length, id_col))
+        return documents.mapInArrow(lambda batches: _best_by_text(block, batches, k), schema)
 
     return batch.run(best_of, schema).withColumnRenamed("_id", id_col)
 
@@ -397,17 +389,6 @@ def _scaled(scores: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray
     return np.where(width > 0, (scores - low) / np.where(width > 0, width, 1.0), 1.0)
 
 
-def _rows_with_vectors(batch: pa.RecordBatch) -> pd.DataFrame:
-    """Posting and vector rows; only rows that have a vector pay for one."""
-    frame = pa.table({name: batch.column(name) for name in ("_id", "_term", "_gain")}).to_pandas()
-    column = batch.column("_v")
-    held = np.full(batch.num_rows, None, dtype=object)
-    for at, vector in zip(np.nonzero(column.is_valid().to_numpy(zero_copy_only=False))[0], _matrix(column) if column.null_count < len(column) else []):
-        held[at] = vector
-    frame["_v"] = held
-    return frame
-
-
 def hybrid_candidates(queries: DataFrame, corpus: DataFrame, index: Index, profiles: Sequence[str], k: int, id_col: str = "doc_id", vector: str = "embedding", block_terms: int = BLOCK_TERMS) -> DataFrame:
     """The best ``k`` of each task per query and profile (query_id, id, score, profile).
 
@@ -425,16 +406,8 @@ def hybrid_candidates(queries: DataFrame, corpus: DataFrame, index: Index, profi
 
     def one_block(block: _Block) -> DataFrame:
         mine = queries.filter(F.col("query_id").isin(block.query_ids.tolist()))
-        gains = written(_gains(index, block, batch.mean_length, id_col), "gains")
-
-        def ranges_of_text(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            best = _Best(len(block.query_ids), 1)
-            for rows in _whole_documents(batches, block):
-                ids, _, scores = _text_scores(block, rows)
-                best.add(ids, np.round(scores, 4), scores > 0)
-            yield from best.frames(block.query_ids)
-
-        text_range = _ranges(_by_document(gains).mapInPandas(ranges_of_text, base), block.query_ids)
+        documents = written(_by_document(_gains(index, block, batch.mean_length, id_col)), "postings-by-document")
+        text_range = _ranges(documents.mapInArrow(lambda batches: _best_by_text(block, batches, 1), base), block.query_ids)
         vector_range = _ranges(vector_candidates(mine, corpus, 1, id_col, vector), block.query_ids)
         asked = mine.select("query_id", vector).toPandas().set_index("query_id").reindex(block.query_ids)[vector]
         has_vector = asked.notna().to_numpy()
@@ -443,15 +416,14 @@ def hybrid_candidates(queries: DataFrame, corpus: DataFrame, index: Index, profi
         if has_vector.any():
             matrix[has_vector] = _unit(_stacked(asked[has_vector]))
 
-        def best_by_profile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def fused(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             best = {p: _Best(len(block.query_ids), k) for p in profiles}
-            for rows in _whole_documents(batches, block):
-                ids, doc, text = _text_scores(block, rows)
-                with_vector = rows["_v"].notna().to_numpy()
-                near, placed = np.zeros_like(text), np.zeros(len(ids), dtype=bool)
-                if with_vector.any() and has_vector.any():
-                    near[:, doc[with_vector]] = np.round(matrix @ _unit(_stacked(rows["_v"][with_vector])).T, 4) + 0.0
-                    placed[doc[with_vector]] = True
+            for part in _cuts(batches, block):
+                ids, text = _ids(part), _text_scores(block, part)
+                placed = part.column("_v").is_valid().to_numpy(zero_copy_only=False)
+                near = np.zeros_like(text)
+                if placed.any() and has_vector.any():
+                    near[:, placed] = np.round(matrix @ _unit(_matrix(part.column("_v"))).T, 4) + 0.0
                 has_text, has_near = text > 0, has_vector[:, None] & placed[None, :]
                 t = np.where(has_text, _scaled(np.round(text, 4), *text_range), 0.0)
                 v = np.where(has_near, _scaled(near, *vector_range), 0.0)
@@ -459,14 +431,9 @@ def hybrid_candidates(queries: DataFrame, corpus: DataFrame, index: Index, profi
                     wt, wv = PROFILES[p]
                     best[p].add(ids, np.round((t * wt + v * wv) / (wt + wv), 10), has_text | has_near)
             for p in profiles:
-                for frame in best[p].frames(block.query_ids):
-                    yield frame[["query_id", "_id", "score"]].assign(profile=p)
-
-        def fused(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            return _out(best_by_profile(map(_rows_with_vectors, batches)))
+                yield from _out(frame[["query_id", "_id", "score"]].assign(profile=p) for frame in best[p].frames(block.query_ids))
 
-        rows = gains.unionByName(vectors, allowMissingColumns=True)
-        return _by_document(rows).mapInArrow(fused, schema)
+        return documents.join(vectors, "_id", "full").mapInArrow(fused, schema)
 
     return batch.run(one_block, schema).withColumnRenamed("_id", id_col)
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -185,15 +185,13 @@ def test_keyword_equals_brute_force(docs, queries, how):
     assert rows(got, "query_id", "doc_id", "score", "rank") == sorted(best, key=repr)
 
 
-def test_documents_are_not_cut(monkeypatch):
-    monkeypatch.setattr(R, "GATHER_ROWS", 5)
-    monkeypatch.setattr(R, "MATRIX_CELLS", 2)
-    block = R._Block(np.array([1]), ["a"], np.ones((1, 1)))
-    frames = [pd.DataFrame({"_id": ids}) for ids in ([1, 1, 1], [1, 1, 1, 1], [1, 2, 2], [3], [3, 3, 4, 5, 5], [])]
-    assert max(f["_id"].nunique() for f in R._whole_documents(iter(frames), block)) <= 2
-    whole = [sorted(set(f["_id"])) for f in R._whole_documents(iter(frames), block)]
-    assert sorted(i for ids in whole for i in ids) == [1, 2, 3, 4, 5]
-    assert sum(len(f) for f in R._whole_documents(iter(frames), block)) == 16
+def test_small_products_give_the_same(docs, queries, monkeypatch):
+    whole = rows(R.keyword_search(queries, R.build_index(docs), 7))
+    monkeypatch.setattr(R, "MATRIX_CELLS", 10)
+    block = R._Block(np.array([1, 2]), ["a"], np.ones((1, 2)))
+    parts = list(R._cuts(iter([pa.record_batch({"_id": list(range(12))})]), block))
+    assert [p.num_rows for p in parts] == [5, 5, 2]
+    assert rows(R.keyword_search(queries, R.build_index(docs), 7)) == whole
 
 
 @pytest.mark.parametrize("how", [{}, {"block_terms": 1}])
