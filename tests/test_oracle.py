@@ -27,4 +27,5 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry_file.queries()) == set(entry_file.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_file.queries()) and set(ORACLES) <= set(entry_file.oracle_sql())
