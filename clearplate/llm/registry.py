@@ -1,4 +1,4 @@
 """All queries of the pipeline operators."""
 
-from clearplate.llm import exact_dedup, simhash  # noqa: F401
+from clearplate.llm import exact_dedup, langid, main_text, mixing, pieces, quality_model, quality_rules, secrets, simhash  # noqa: F401
 from clearplate.llm.base import ORACLES, QUERIES  # noqa: F401
