@@ -94,9 +94,9 @@ def all_codes(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(text, F.lit(rf"(?U)\b({CODE})\b"), 1))
 
 
-def page_codes(text: Column) -> Column:
-    """The codes named in the summary line of a page: the first 15."""
-    return F.slice(all_codes(text), 1, MAX_PAGE_CODES)
+def page_codes(text: Column, most: int = MAX_PAGE_CODES) -> Column:
+    """The codes named in the summary line of a page: the first ``most``, as the page layout states."""
+    return F.slice(all_codes(text), 1, most)
 
 
 def parse_scores(text: Column) -> Column:
@@ -112,6 +112,11 @@ def _cell(cells: Column, i: int) -> Column:
     return strip(F.replace(F.coalesce(F.get(cells, F.lit(i)), F.lit("")), F.lit("\n"), F.lit(" ")))
 
 
+def _cells_from(cells: Column, first: int) -> Column:
+    """All cells from the ``first``-th on."""
+    return F.slice(cells, F.lit(first), F.greatest(F.size(cells) - (first - 1), F.lit(0)))
+
+
 def _long_enough(prose: Column) -> Column:
     return F.when(F.length(prose) > MIN_PROSE, prose)
 
@@ -120,7 +125,7 @@ def _worksheet_row(cells: Column) -> Column:
     first = _cell(cells, 0)
     pattern = rf"(?sU)^({CODE})\s+(.+)"
     code, description = F.regexp_extract(first, pattern, 1), strip(F.regexp_extract(first, pattern, 2))
-    others = F.transform(F.slice(cells, 2, 1000), lambda c: parse_scores(c))
+    others = F.transform(_cells_from(cells, 2), lambda c: parse_scores(c))
     scores = F.get(F.filter(others, lambda m: F.size(m) > 0), F.lit(0))
     listed = F.array_join(F.transform(F.map_entries(scores), lambda e: F.concat(F.lit("Condition "), e["key"], F.lit(" = "), e["value"].cast("string"), F.lit(" points"))), ", ")
     mark = F.when(F.contains(code, F.lit("*")), "(Critical/Public Health Hazard)").when(F.contains(code, F.lit("+")), "(Pre-permit Serious)")
@@ -141,7 +146,7 @@ def _guide_row(cells: Column) -> Column:
 
 def _penalty_row(cells: Column) -> Column:
     code = strip(F.coalesce(F.get(cells, F.lit(0)), F.lit("")))
-    amounts = F.transform(F.slice(cells, 5, 1000), lambda c: strip(F.coalesce(c, F.lit(""))))
+    amounts = F.transform(_cells_from(cells, 5), lambda c: strip(F.coalesce(c, F.lit(""))))
     amounts = F.filter(amounts, lambda c: (c != "") & ~c.isin(*DASHES))
     category = _cell(cells, 2)
     prose = F.concat_ws(

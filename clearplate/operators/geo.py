@@ -15,7 +15,7 @@ from clearplate.sources.resultset import name_borough_pairs, result_table
 # Fixed values.
 RULE_RADIUS_M = 800.0
 CALL_RADIUS_M = 804.0
-TABLE_LIMIT, PAIR_LIMIT, FEED_LIMIT, FEED_DAYS = 500, 300, 2000, 365
+TABLE_LIMIT, FEED_DAYS = 500, 365
 GRADE_A_MAX, GRADE_B_MAX = 13, 27
 COLOURS = {"A": [0, 180, 0, 210], "B": [255, 165, 0, 210], "C": [220, 50, 50, 210]}
 OTHER_COLOUR = [150, 150, 150, 180]
@@ -53,18 +53,19 @@ def nearby_critical(m: Marts, points: DataFrame, as_of: str, metres: float = CAL
     Keys are narrowed to the circle first; the facts then meet only those restaurants.
     One row per point and restaurant: latest grade, mean score over citations, last date.
     """
-    start = F.add_months(F.lit(as_of).cast("date"), -months)
+    end = F.lit(as_of).cast("date")
+    recent = F.col("inspection_date").between(F.add_months(end, -months), end)
     columns = ["dim_restaurant_key", "restaurant_name", "street_address", "borough", "cuisine_description", "latitude", "longitude"]
     near = within_radius(m.dim_restaurant.select(*columns), points, metres)
     keys = near.select("dim_restaurant_key").distinct()
     cited = (
-        m.fct_violations.filter(F.col("is_critical_violation") & (F.col("inspection_date") >= start))
+        m.fct_violations.filter(F.col("is_critical_violation") & recent)
         .select("dim_restaurant_key", "fct_inspection_key", "inspection_date")
         .join(keys, "dim_restaurant_key", "left_semi")
         # Citations of one visit count as many equal rows; one row with their number is enough.
         .groupBy("dim_restaurant_key", "fct_inspection_key", "inspection_date").agg(F.count(F.lit(1)).alias("n"))
     )
-    visits = m.fct_inspections.filter(F.col("inspection_date") >= start).select("fct_inspection_key", "grade", "inspection_score")
+    visits = m.fct_inspections.filter(recent).select("fct_inspection_key", "grade", "inspection_score")
     newest = F.struct("inspection_date", "fct_inspection_key", F.coalesce("grade", F.lit("")))
     weight = F.when(F.col("inspection_score").isNotNull(), F.col("n"))
     per = cited.join(visits, "fct_inspection_key").groupBy("dim_restaurant_key").agg(
@@ -146,12 +147,9 @@ def summary_table(df: DataFrame, k: int = TABLE_LIMIT) -> DataFrame:
     )
 
 
-def points_for_pairs(layer: SemanticLayer, pairs: DataFrame, k: int = PAIR_LIMIT) -> DataFrame:
-    """Map points of named (restaurant_name, borough) pairs that had a critical visit; an empty borough matches any.
-
-    The feature takes the first ``k`` pairs, which also bounds the broadcast side.
-    """
-    chosen = pairs.select("restaurant_name", "borough").distinct().orderBy("restaurant_name", "borough").limit(k)
+def points_for_pairs(layer: SemanticLayer, pairs: DataFrame) -> DataFrame:
+    """Map points of named (restaurant_name, borough) pairs that had a critical visit; an empty borough matches any."""
+    chosen = pairs.select("restaurant_name", "borough").distinct()
     places = layer.facts(["latitude", "longitude"], ["restaurant_name"]).groupBy("restaurant_name").agg(
         F.max("latitude").alias("latitude"), F.max("longitude").alias("longitude")
     ).filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
@@ -159,7 +157,7 @@ def points_for_pairs(layer: SemanticLayer, pairs: DataFrame, k: int = PAIR_LIMIT
         ["average_score"], ["restaurant_name", "borough", "inspections.inspection_date", "grade", "has_critical_violation"],
         where=[("has_critical_violation", lambda c: c)],
     )
-    wanted = F.broadcast(chosen.select(F.col("restaurant_name").alias("_name"), F.col("borough").alias("_borough")))
+    wanted = chosen.select(F.col("restaurant_name").alias("_name"), F.col("borough").alias("_borough"))
     match = (visits["restaurant_name"] == wanted["_name"]) & ((wanted["_borough"] == "") | (wanted["_borough"] == visits["borough"]))
     newest = F.struct("inspection_date", F.coalesce("grade", F.lit("")))
     outcome = visits.join(wanted, match, "left_semi").groupBy("restaurant_name", "borough").agg(
@@ -172,8 +170,8 @@ def pairs_in_results(events: DataFrame, payload: str = "payload") -> DataFrame:
     return name_borough_pairs(events, payload)
 
 
-def default_feed(layer: SemanticLayer, as_of: str, critical_only: bool = True, k: int = FEED_LIMIT) -> DataFrame:
-    """Map feed of the last year, capped for display: points by name and borough."""
+def default_feed(layer: SemanticLayer, as_of: str, critical_only: bool = True, k: int | None = None) -> DataFrame:
+    """Map feed of the last year: points by name and borough, the first ``k`` of them if given."""
     end = F.lit(as_of).cast("date")
     where = [("inspections.inspection_date", lambda c: c.between(F.date_sub(end, FEED_DAYS), end))]
     if critical_only:
@@ -185,7 +183,7 @@ def default_feed(layer: SemanticLayer, as_of: str, critical_only: bool = True, k
     newest = F.struct("inspection_date", F.coalesce("grade", F.lit("")))
     out = visits.groupBy("restaurant_name", "borough").agg(F.max_by("grade", newest).alias("grade"), F.round(F.avg("average_score"), 1).alias("score"))
     joined = out.join(places, "restaurant_name").select("restaurant_name", "borough", "latitude", "longitude", "grade", "score")
-    return joined.orderBy("restaurant_name", F.asc_nulls_last("borough")).limit(k)
+    return joined if k is None else joined.orderBy("restaurant_name", F.asc_nulls_last("borough")).limit(k)
 
 
 def inferred_grade(score: Column) -> Column:

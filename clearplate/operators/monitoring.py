@@ -1,7 +1,8 @@
 """Usage, cost, latency, audit and feedback reports.
 
-Every report takes ``as_of`` (the end of its window) and reads only the columns it
-sums. Money is credits times a price per credit.
+Every report takes ``as_of``, the end of its window (itself outside), and the window's
+days, and reads only the columns it sums. Reports without a first-k limit come unordered
+where they list rows: the caller sorts what it shows. Money is credits times a price per credit.
 """
 
 from __future__ import annotations
@@ -25,9 +26,10 @@ CREDIT_COUNTERS = ["input", "output", "cache_read_input", "cache_write_input"]
 STEM_LENGTH = 80
 
 
-def _within(df: DataFrame, column: str, as_of: str, days: int = WINDOW_DAYS) -> DataFrame:
-    start = F.lit(as_of).cast("timestamp_ntz") - F.make_dt_interval(days=F.lit(days))
-    return df.filter(F.col(column) >= start)
+def _within(df: DataFrame, column: str, as_of: str, days: int) -> DataFrame:
+    """Rows of the ``days`` days before ``as_of``; ``as_of`` itself is outside."""
+    end = F.lit(as_of).cast("timestamp_ntz")
+    return df.filter((F.col(column) >= end - F.make_dt_interval(days=F.lit(days))) & (F.col(column) < end))
 
 
 def _day(column: str) -> Column:
@@ -45,9 +47,9 @@ def _rows() -> Column:
 # -- usage and cost ------------------------------------------------------------
 
 
-def daily_usage(usage: DataFrame, as_of: str) -> DataFrame:
+def daily_usage(usage: DataFrame, as_of: str, days: int = WINDOW_DAYS) -> DataFrame:
     return (
-        _within(usage, "start_time", as_of).groupBy(_day("start_time").alias("usage_date"), "agent_name")
+        _within(usage, "start_time", as_of, days).groupBy(_day("start_time").alias("usage_date"), "agent_name")
         .agg(
             _rows().alias("total_requests"), F.sum("tokens").alias("total_tokens"), F.sum("token_credits").alias("total_credits"),
             _cost(F.sum("token_credits")).alias("estimated_cost_usd"), F.round(F.sum("tokens") / _rows(), 0).alias("avg_tokens_per_request"),
@@ -56,14 +58,14 @@ def daily_usage(usage: DataFrame, as_of: str) -> DataFrame:
     )
 
 
-def nested_credits(usage: DataFrame, as_of: str) -> DataFrame:
+def nested_credits(usage: DataFrame, as_of: str, days: int = WINDOW_DAYS) -> DataFrame:
     """Credits by service and model out of the nested payload.
 
     Array, request, service, model: one explode per level. Only the payload and the day
     enter the explodes. A scalar beside the services (the start time) yields no rows; it
     is also named, as its key is known.
     """
-    rows = _within(usage, "start_time", as_of).select(_day("start_time").alias("usage_date"), F.try_parse_json("credits_granular").alias("payload"))
+    rows = _within(usage, "start_time", as_of, days).select(_day("start_time").alias("usage_date"), F.try_parse_json("credits_granular").alias("payload"))
     flat = rows
     for source, level in [("payload", "arr"), ("arr.value", "req"), ("req.value", "svc"), ("svc.value", "mdl")]:
         inner = rows.sparkSession.tvf.variant_explode(F.col(source).outer()).select(F.struct("key", "value").alias(level))
@@ -78,54 +80,54 @@ def nested_credits(usage: DataFrame, as_of: str) -> DataFrame:
     )
 
 
-def latency(usage: DataFrame, as_of: str) -> DataFrame:
+def latency(usage: DataFrame, as_of: str, days: int = WINDOW_DAYS) -> DataFrame:
     took = millis_between(F.col("start_time"), F.col("end_time"))
     return (
-        _within(usage, "start_time", as_of).groupBy(_day("start_time").alias("usage_date"))
+        _within(usage, "start_time", as_of, days).groupBy(_day("start_time").alias("usage_date"))
         .agg(_rows().alias("requests"), F.round(F.avg(took) / 1000.0, 1).alias("avg_latency_sec"), F.round(F.max(took) / 1000.0, 1).alias("max_latency_sec"))
         .orderBy(F.desc("usage_date"))
     )
 
 
-def user_cost(usage: DataFrame, as_of: str) -> DataFrame:
+def user_cost(usage: DataFrame, as_of: str, days: int = WINDOW_DAYS) -> DataFrame:
     return (
-        _within(usage, "start_time", as_of).groupBy("user_name")
+        _within(usage, "start_time", as_of, days).groupBy("user_name")
         .agg(_rows().alias("total_requests"), F.sum("token_credits").alias("credits_consumed"), _cost(F.sum("token_credits")).alias("estimated_cost_usd"))
         .orderBy(F.desc_nulls_last("credits_consumed"), "user_name")
     )
 
 
-def search_credits(search: DataFrame, as_of: str) -> DataFrame:
-    return _within(search, "usage_date", as_of).select("usage_date", "service_name", "consumption_type", "credits").orderBy(F.desc("usage_date"), "service_name")
+def search_credits(search: DataFrame, as_of: str, days: int = WINDOW_DAYS) -> DataFrame:
+    return _within(search, "usage_date", as_of, days).select("usage_date", "service_name", "consumption_type", "credits")
 
 
-def service_rollup(metering: DataFrame, as_of: str, services: Sequence[str] = tuple(AI_SERVICES), by_day: bool = True) -> DataFrame:
+def service_rollup(metering: DataFrame, as_of: str, services: Sequence[str] = tuple(AI_SERVICES), by_day: bool = True, days: int = WINDOW_DAYS) -> DataFrame:
     """Credits per service type of a list, by day or over the whole window."""
     group = (["usage_date"] if by_day else []) + ["service_type"]
-    out = _within(metering.filter(F.col("service_type").isin(list(services))), "usage_date", as_of).groupBy(*group).agg(
+    out = _within(metering.filter(F.col("service_type").isin(list(services))), "usage_date", as_of, days).groupBy(*group).agg(
         F.sum("credits_used").alias("credits_used"), _cost(F.sum("credits_used")).alias("estimated_cost_usd")
     )
     return out.orderBy(*([F.desc("usage_date"), "service_type"] if by_day else [F.desc("credits_used"), "service_type"]))
 
 
-def compute_daily(metering: DataFrame, as_of: str, warehouse: str) -> DataFrame:
+def compute_daily(metering: DataFrame, as_of: str, warehouse: str, days: int = WINDOW_DAYS) -> DataFrame:
     return (
-        _within(metering.filter(F.col("warehouse_name") == warehouse), "start_time", as_of)
+        _within(metering.filter(F.col("warehouse_name") == warehouse), "start_time", as_of, days)
         .groupBy(_day("start_time").alias("usage_date"), "warehouse_name")
         .agg(F.sum("credits_used").alias("credits_used"), _cost(F.sum("credits_used")).alias("estimated_cost_usd"))
         .orderBy(F.desc("usage_date"))
     )
 
 
-def cost_categories(compute: DataFrame, usage: DataFrame, search: DataFrame, as_of: str, warehouse: str) -> DataFrame:
+def cost_categories(compute: DataFrame, usage: DataFrame, search: DataFrame, as_of: str, warehouse: str, days: int = WINDOW_DAYS) -> DataFrame:
     def line(df: DataFrame, name: str, column: str) -> DataFrame:
         total = F.sum(column)
         return df.agg(F.round(total, 6).alias("total_credits"), _cost(total).alias("estimated_cost_usd")).select(F.lit(name).alias("cost_category"), "*")
 
     return (
-        line(_within(compute.filter(F.col("warehouse_name") == warehouse), "start_time", as_of), "warehouse_compute", "credits_used")
-        .unionByName(line(_within(usage, "start_time", as_of), "agent", "token_credits"))
-        .unionByName(line(_within(search, "usage_date", as_of), "search", "credits"))
+        line(_within(compute.filter(F.col("warehouse_name") == warehouse), "start_time", as_of, days), "warehouse_compute", "credits_used")
+        .unionByName(line(_within(usage, "start_time", as_of, days), "agent", "token_credits"))
+        .unionByName(line(_within(search, "usage_date", as_of, days), "search", "credits"))
         .orderBy(F.desc_nulls_last("total_credits"))
     )
 
@@ -133,18 +135,17 @@ def cost_categories(compute: DataFrame, usage: DataFrame, search: DataFrame, as_
 # -- audit -----------------------------------------------------------------------
 
 
-def password_only_logins(logins: DataFrame, as_of: str) -> DataFrame:
+def password_only_logins(logins: DataFrame, as_of: str, days: int = LOGIN_WINDOW_DAYS) -> DataFrame:
     weak = (F.col("first_authentication_factor") == "PASSWORD") & F.col("second_authentication_factor").isNull()
     return (
-        _within(logins.filter(weak), "event_timestamp", as_of, LOGIN_WINDOW_DAYS)
+        _within(logins.filter(weak), "event_timestamp", as_of, days)
         .select("user_name", "event_timestamp", "reported_client_type", "is_success", "error_message", "client_ip")
-        .orderBy(F.desc("event_timestamp"))
     )
 
 
-def password_only_users(logins: DataFrame, as_of: str) -> DataFrame:
+def password_only_users(logins: DataFrame, as_of: str, days: int = LOGIN_WINDOW_DAYS) -> DataFrame:
     return (
-        password_only_logins(logins, as_of).groupBy("user_name")
+        password_only_logins(logins, as_of, days).groupBy("user_name")
         .agg(_rows().alias("login_attempts"), F.max("event_timestamp").alias("last_attempt"), F.bool_or(~F.col("is_success")).alias("had_failure"))
         .orderBy(F.desc("login_attempts"), "user_name")
     )
@@ -153,7 +154,7 @@ def password_only_users(logins: DataFrame, as_of: str) -> DataFrame:
 def users_without_key(users: DataFrame) -> DataFrame:
     return (
         users.filter(F.col("has_password") & ~F.col("has_rsa_public_key") & ~F.col("disabled"))
-        .select("name", "login_name", "has_password", "has_rsa_public_key", "disabled").orderBy("name")
+        .select("name", "login_name", "has_password", "has_rsa_public_key", "disabled")
     )
 
 
@@ -165,16 +166,16 @@ def _ratings() -> list[Column]:
     return [_rows().alias("total_ratings"), up.alias("thumbs_up"), down.alias("thumbs_down"), F.round(percent(up, _rows()), 1).alias("satisfaction_pct")]
 
 
-def satisfaction(feedback: DataFrame, as_of: str) -> DataFrame:
-    return _within(feedback, "created_at", as_of).agg(*_ratings())
+def satisfaction(feedback: DataFrame, as_of: str, days: int = WINDOW_DAYS) -> DataFrame:
+    return _within(feedback, "created_at", as_of, days).agg(*_ratings())
 
 
-def satisfaction_trend(feedback: DataFrame, as_of: str) -> DataFrame:
-    return _within(feedback, "created_at", as_of).groupBy(_day("created_at").alias("feedback_date")).agg(*_ratings()).orderBy(F.desc("feedback_date"))
+def satisfaction_trend(feedback: DataFrame, as_of: str, days: int = WINDOW_DAYS) -> DataFrame:
+    return _within(feedback, "created_at", as_of, days).groupBy(_day("created_at").alias("feedback_date")).agg(*_ratings()).orderBy(F.desc("feedback_date"))
 
 
-def satisfaction_by_user(feedback: DataFrame, as_of: str, at_least: int = 3) -> DataFrame:
-    out = _within(feedback, "created_at", as_of).groupBy("user_id").agg(*_ratings())
+def satisfaction_by_user(feedback: DataFrame, as_of: str, at_least: int = 3, days: int = WINDOW_DAYS) -> DataFrame:
+    out = _within(feedback, "created_at", as_of, days).groupBy("user_id").agg(*_ratings())
     return out.filter(F.col("total_ratings") >= at_least).orderBy("satisfaction_pct", F.desc("total_ratings"), "user_id")
 
 
@@ -204,17 +205,20 @@ def question_stems(feedback: DataFrame, at_least: int = 2) -> DataFrame:
     return out.filter(F.col("negative_ratings") >= at_least).orderBy(F.desc("negative_ratings"), F.desc("last_seen"), "question_prefix")
 
 
-def cost_and_quality(feedback: DataFrame, usage: DataFrame, as_of: str, raw_join: bool = False) -> DataFrame:
+def cost_and_quality(feedback: DataFrame, usage: DataFrame, as_of: str, raw_join: bool = False, days: int = WINDOW_DAYS) -> DataFrame:
     """Ratings beside the usage of the same user and hour.
 
     Both sides are summed before they meet. ``raw_join`` gives the numbers of a row-by-row
     join, in which n ratings and m requests make n times m rows: they follow from the sums.
     """
     hour = lambda c: F.date_trunc("hour", F.col(c)).cast("timestamp_ntz")
-    rated = _within(feedback, "created_at", as_of).groupBy("user_id", "session_id", hour("created_at").alias("session_hour")).agg(
+    rated = _within(feedback, "created_at", as_of, days).groupBy("user_id", "session_id", hour("created_at").alias("session_hour")).agg(
         _rows().alias("n"), F.count_if(F.col("rating") == "down").alias("down"), F.count_if(F.col("rating") == "up").alias("up")
     )
-    used = usage.groupBy(F.col("user_name").alias("user_id"), hour("start_time").alias("session_hour")).agg(
+    # Only usage in hours that a rating of the window can fall into.
+    end = F.lit(as_of).cast("timestamp_ntz")
+    first, last = F.date_trunc("hour", end - F.make_dt_interval(days=F.lit(days))), end + F.make_dt_interval(hours=F.lit(1))
+    used = usage.filter((F.col("start_time") >= first) & (F.col("start_time") < last)).groupBy(F.col("user_name").alias("user_id"), hour("start_time").alias("session_hour")).agg(
         _rows().alias("m"), F.sum("tokens").alias("tokens"), F.sum("token_credits").alias("credits")
     )
     both = rated.join(used, ["user_id", "session_hour"], "left")
@@ -236,35 +240,33 @@ def _attribute(column: str, path: str) -> Column:
 
 
 def platform_feedback(events: DataFrame, k: int = 50) -> DataFrame:
-    out = events.filter(F.col("record_name") == FEEDBACK_RECORD).select(
-        F.col("timestamp").alias("event_time"), _attribute("record_attributes", "$.user_id").alias("user_id"),
-        _attribute("record_attributes", "$.feedback").alias("feedback_sentiment"), F.col("record_attributes").alias("raw_attributes"),
-    )
+    given = events.filter(F.col("record_name") == FEEDBACK_RECORD)
+    parsed = given.select(F.col("timestamp").alias("event_time"), F.from_json("record_attributes", "user_id string, feedback string").alias("a"), F.col("record_attributes").alias("raw_attributes"))
+    out = parsed.select("event_time", "a.user_id", F.col("a.feedback").alias("feedback_sentiment"), "raw_attributes")
     return out.orderBy(F.desc("event_time"), "user_id").limit(k)
 
 
-def platform_feedback_daily(events: DataFrame, as_of: str) -> DataFrame:
-    rows = _within(events.filter(F.col("record_name") == FEEDBACK_RECORD), "timestamp", as_of)
+def platform_feedback_daily(events: DataFrame, as_of: str, days: int = WINDOW_DAYS) -> DataFrame:
+    rows = _within(events.filter(F.col("record_name") == FEEDBACK_RECORD), "timestamp", as_of, days)
     return (
         rows.groupBy(_day("timestamp").alias("event_date"), _attribute("record_attributes", "$.feedback").alias("sentiment"))
         .agg(_rows().alias("count")).orderBy(F.desc("event_date"), "sentiment")
     )
 
 
-def requests_with_feedback(requests: DataFrame, as_of: str) -> DataFrame:
+def requests_with_feedback(requests: DataFrame, as_of: str, days: int = WINDOW_DAYS) -> DataFrame:
     given = F.size(F.from_json("feedback", "array<string>")) > 0
     return (
-        _within(requests.filter(F.col("feedback").isNotNull() & given), "timestamp", as_of)
+        _within(requests.filter(F.col("feedback").isNotNull() & given), "timestamp", as_of, days)
         .select("timestamp", "user_id", "semantic_model_name", "latest_question", "generated_sql", "response_status_code", "feedback")
-        .orderBy(F.desc("timestamp"))
     )
 
 
-def agent_requests(requests: DataFrame, as_of: str, k: int = 200) -> DataFrame:
+def agent_requests(requests: DataFrame, as_of: str, k: int = 200, days: int = WINDOW_DAYS) -> DataFrame:
     """Newest requests that carry the id of the agent that made them."""
     linked = requests.withColumn("agent_request_id", _attribute("source", "$.agent_request_id")).filter("agent_request_id IS NOT NULL")
     return (
-        _within(linked, "timestamp", as_of).orderBy(F.desc("timestamp"), "agent_request_id").limit(k)
+        _within(linked, "timestamp", as_of, days).orderBy(F.desc("timestamp"), "agent_request_id").limit(k)
         .select("timestamp", "user_id", "latest_question", "generated_sql", "agent_request_id", "response_status_code", "feedback")
     )
 
@@ -276,14 +278,14 @@ def fact_store_stats(facts: DataFrame) -> DataFrame:
 # -- dashboard tiles -----------------------------------------------------------------
 
 
-def tile_daily(usage: DataFrame, as_of: str) -> DataFrame:
-    out = _within(usage, "start_time", as_of).groupBy(_day("start_time").alias("usage_date"))
+def tile_daily(usage: DataFrame, as_of: str, days: int = WINDOW_DAYS) -> DataFrame:
+    out = _within(usage, "start_time", as_of, days).groupBy(_day("start_time").alias("usage_date"))
     return out.agg(_rows().alias("total_requests"), F.round(F.sum("token_credits"), 6).alias("total_credits")).orderBy("usage_date")
 
 
-def tile_by_service(metering: DataFrame, as_of: str) -> DataFrame:
-    return service_rollup(metering, as_of, by_day=False).withColumn("credits_used", F.round("credits_used", 6))
+def tile_by_service(metering: DataFrame, as_of: str, days: int = WINDOW_DAYS) -> DataFrame:
+    return service_rollup(metering, as_of, by_day=False, days=days).withColumn("credits_used", F.round("credits_used", 6))
 
 
-def tile_serving(search: DataFrame, as_of: str) -> DataFrame:
-    return search_credits(search, as_of).select("usage_date", "consumption_type", "credits").orderBy("usage_date", "consumption_type")
+def tile_serving(search: DataFrame, as_of: str, days: int = WINDOW_DAYS) -> DataFrame:
+    return search_credits(search, as_of, days).select("usage_date", "consumption_type", "credits")

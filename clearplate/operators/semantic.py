@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clearplate.functions.latest import top_per_key
 
 
 class SemanticError(ValueError):
@@ -157,20 +157,20 @@ class SemanticLayer:
         applied: list[str] = []
         where = list(where)
         rules = [self._dimension_rule(n, p) for n, p in where] + [self._named_filter(n) for n in filters]
-        if defaults and ("restaurants", "borough") in dims and "borough" not in [n for n, _ in where]:
+        if defaults and "borough" not in [n.rpartition(".")[2] for n, _ in where]:
             rules.append(self._dimension_rule("borough", lambda c: c != "0"))
             applied.append("borough != '0' — records with missing borough data are left out")
         dated = any(self._is_date(n) for n, _ in where) or any(n.rpartition(".")[2].startswith("recent") for n in filters)
         recent = defaults and not dated and any(self.model.entities[e].time for e in by_entity)
         if recent:
-            applied.append(f"inspection_date >= add_months(date'{self.as_of}', -12) — last 12 months, as no date was given")
+            applied.append(f"inspection_date between add_months(date'{self.as_of}', -12) and date'{self.as_of}' — last 12 months, as no date was given")
 
         results = []
         for owner, wanted in by_entity.items():
             own = list(rules)
             time = self.model.entities[owner].time
             if recent and time:
-                own.append(_Rule(owner, lambda t=time: F.expr(f"{t} >= add_months(date'{self.as_of}', -12)")))
+                own.append(_Rule(owner, lambda t=time: F.expr(f"{t} between add_months(date'{self.as_of}', -12) and date'{self.as_of}'")))
             results += [self._aggregate(self.model.entities[owner], batch, dims, own, rounded) for batch in _batches(wanted)]
         out = results[0]
         if len(results) > 1:
@@ -253,7 +253,7 @@ class SemanticLayer:
         right = self.tables[entity.table]
         if not entity.key_is_unique:
             # Declared many-to-one, but the data may hold two rows per key: keep one, or rows would multiply.
-            right = top_per_key(right, [edge.right_key], [F.col(c).asc_nulls_last() for c in right.columns if c != edge.right_key])
+            right = self._one_per_key(right, edge, [entity.dimensions[d] for o, d in dims if o == entity.name], [e.left_key for e in edges if e.left == edge.right], any(r.entity == entity.name for r in rules))
         for rule in (r for r in rules if r.entity == entity.name):
             right = right.filter(rule.build())
         right = right.select(
@@ -266,6 +266,22 @@ class SemanticLayer:
         return df.join(right, df[f"_fk_{edge.right}"] == right["_pk"]).drop("_pk", f"_fk_{edge.right}")
 
 
+    @staticmethod
+    def _one_per_key(right: DataFrame, edge: Relationship, dimensions: Sequence[str], keys: Sequence[str], ruled: bool) -> DataFrame:
+        """Least row per key over the columns asked for, nulls last: one aggregate, cut to a row per key on each task.
+
+        A rule may read any column, so with rules all columns take part.
+        """
+        columns = [c for c in right.columns if c != edge.right_key]
+        if not ruled:
+            wanted = " ".join([*dimensions, *keys])
+            columns = [c for c in columns if re.search(rf"\b{re.escape(c)}\b", wanted)]
+        if not columns:
+            return right.select(edge.right_key).distinct()
+        least = F.min(F.struct(*[x for c in columns for x in (F.col(c).isNull().alias(f"_n_{c}"), F.col(c))]))
+        return right.groupBy(edge.right_key).agg(least.alias("_least")).select(edge.right_key, *[F.col(f"_least.{c}").alias(c) for c in columns])
+
+
 def _batches(metrics: list[Metric]) -> list[list[Metric]]:
     """Metrics that can share one aggregation. Values carried as groups would split a key, so keys are counted apart from them."""
     by_key = [m for m in metrics if any(p.kind == "key" for p in m.parts.values())]

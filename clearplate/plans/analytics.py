@@ -45,9 +45,9 @@ def worst_cuisines(layer: SemanticLayer, k: int = 10) -> DataFrame:
 
 
 def trend(layer: SemanticLayer, months: int = 24) -> DataFrame:
-    start = F.add_months(F.lit(layer.as_of).cast("date"), -months)
+    end = F.lit(layer.as_of).cast("date")
     return layer.query(
-        ["total_inspections", "average_score"], ["year_month"], where=[("dates.calendar_date", lambda c: c >= start)], order=[("year_month", "asc")]
+        ["total_inspections", "average_score"], ["year_month"], where=[("dates.calendar_date", lambda c: c.between(F.add_months(end, -months), end))], order=[("year_month", "asc")]
     )
 
 

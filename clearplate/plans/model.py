@@ -89,7 +89,8 @@ INSPECTIONS = Entity(
         "re_inspections": "inspection_type ilike '%Re-Inspection%'",
         "closures": "action ilike '%Establishment Closed%'",
         "clean_inspections": "action ilike '%No violations were recorded%'",
-        "recent_12_months": "inspection_date >= add_months({as_of}, -12)",
+        "recent_12_months": "inspection_date between add_months({as_of}, -12) and {as_of}",
+        "recent_6_months": "inspection_date between add_months({as_of}, -6) and {as_of}",
     },
     private=frozenset({"grade_sort_order"}),
     time="inspection_date",
@@ -116,7 +117,8 @@ VIOLATIONS = Entity(
     filters={
         "critical_only": "is_critical_violation = true",
         "non_critical_only": "is_critical_violation = false",
-        "recent_12_months": "inspection_date >= add_months({as_of}, -12)",
+        "recent_12_months": "inspection_date between add_months({as_of}, -12) and {as_of}",
+        "recent_6_months": "inspection_date between add_months({as_of}, -6) and {as_of}",
     },
     private=frozenset({"inspection_score"}),
     time="inspection_date",

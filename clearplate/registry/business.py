@@ -92,22 +92,22 @@ _V5 = """SELECT borough, count(*) AS total_inspections, count(*) FILTER (WHERE a
 v("v05_closure_rate", _V5, V.closure_rate)
 _V6 = f"""SELECT borough, count(*) AS total_inspections, count(*) FILTER (WHERE inspection_type ILIKE '%Re-Inspection%') AS re_inspections,
   round(count(*) FILTER (WHERE inspection_type ILIKE '%Re-Inspection%') * 100.0::double / count(*), 2) AS re_inspection_rate_pct
-  FROM ir JOIN dates ON inspection_date_key = date_key WHERE calendar_date >= {_YEAR} GROUP BY 1"""
+  FROM ir JOIN dates ON inspection_date_key = date_key WHERE calendar_date BETWEEN {_YEAR} AND {{as_of}} GROUP BY 1"""
 v("v06_re_inspection_rate", _V6, lambda m: V.re_inspection_rate(m, AS_OF))
 v(
     "v07_monthly_trend", """SELECT year_number::bigint AS year_number, month_name, month_number::bigint AS month_number, count(*) AS inspections, round(avg(inspection_score), 1) AS avg_score,
   round(avg(CASE WHEN passed_with_grade_a THEN 100.0::double ELSE 0 END), 1) AS grade_a_rate FROM inspections JOIN dates ON inspection_date_key = date_key
-  WHERE year_number >= year({as_of}) - 1 GROUP BY 1, 2, 3""", lambda m: V.monthly_trend(m, AS_OF),
+  WHERE year_number >= year({as_of}) - 1 AND calendar_date <= {as_of} GROUP BY 1, 2, 3""", lambda m: V.monthly_trend(m, AS_OF),
 )
 v(
     "v08_quarterly_critical", f"""SELECT year_number::bigint AS year_number, quarter_label, {_CRIT} AS critical_citations, sum(violation_count)::bigint AS total_citations,
   round({_CRIT} * 100.0::double / nullif(sum(violation_count), 0), 1) AS critical_share_pct FROM vr JOIN dates ON inspection_date_key = date_key
-  WHERE borough = 'Europe' AND year_number >= year({{as_of}}) - 2 GROUP BY 1, 2""", lambda m: V.quarterly_critical_trend(m, AS_OF, "Europe"),
+  WHERE borough = 'Europe' AND year_number >= year({{as_of}}) - 2 AND calendar_date <= {{as_of}} GROUP BY 1, 2""", lambda m: V.quarterly_critical_trend(m, AS_OF, "Europe"),
 )
 v(
     "v09_zip_hotspots", f"""SELECT zipcode, borough, count(DISTINCT restaurant_id) AS restaurants, {_CRIT} AS critical_citations,
   round({_CRIT} * 1.0::double / nullif(count(DISTINCT restaurant_id), 0), 1) AS critical_per_restaurant FROM vr JOIN dates ON inspection_date_key = date_key
-  WHERE calendar_date >= {{as_of}} - INTERVAL 12 MONTH AND zipcode IS NOT NULL GROUP BY 1, 2 HAVING count(DISTINCT restaurant_id) >= 20
+  WHERE calendar_date BETWEEN {{as_of}} - INTERVAL 12 MONTH AND {{as_of}} AND zipcode IS NOT NULL GROUP BY 1, 2 HAVING count(DISTINCT restaurant_id) >= 20
   ORDER BY critical_per_restaurant DESC, zipcode, borough NULLS LAST LIMIT 20""", lambda m: V.zip_hotspots(m, AS_OF),
 )
 
@@ -115,7 +115,7 @@ v(
 def _v10(digits: int) -> str:
     return f"""SELECT restaurant_name, borough, cuisine_type, street_address, max(inspection_score)::bigint AS worst_score, round(avg(inspection_score), {digits}) AS avg_score,
   sum(critical_violations)::bigint AS total_critical, count(*) AS inspections_this_year FROM ir JOIN dates ON inspection_date_key = date_key
-  WHERE calendar_date >= {_YEAR} AND inspection_score IS NOT NULL GROUP BY 1, 2, 3, 4 HAVING count(*) >= 2
+  WHERE calendar_date BETWEEN {_YEAR} AND {{as_of}} AND inspection_score IS NOT NULL GROUP BY 1, 2, 3, 4 HAVING count(*) >= 2
   ORDER BY avg_score DESC, restaurant_name NULLS LAST, borough NULLS LAST, cuisine_type NULLS LAST, street_address NULLS LAST LIMIT 20"""
 
 
@@ -127,7 +127,7 @@ v(
 )
 v(
     "v12_weekday", """SELECT day_name_short AS day_name, day_of_week::bigint AS day_of_week, count(*) AS inspections, round(avg(inspection_score), 1) AS avg_score
-  FROM inspections JOIN dates ON inspection_date_key = date_key WHERE year_number = year({as_of}) GROUP BY 1, 2""", lambda m: V.by_weekday(m, AS_OF),
+  FROM inspections JOIN dates ON inspection_date_key = date_key WHERE year_number = year({as_of}) AND calendar_date <= {as_of} GROUP BY 1, 2""", lambda m: V.by_weekday(m, AS_OF),
 )
 v("v13_grade_a_rate_rounded", "SELECT borough, round(avg(CASE WHEN passed_with_grade_a THEN 100.0::double ELSE 0 END), 1) AS grade_a_pass_rate, count(*) AS total_inspections FROM ir WHERE borough <> '0' GROUP BY 1", lambda m: V.grade_a_rate(m, True, 1))
 v("v13_closure_rate_known", _V5.replace("FROM ir", "FROM ir WHERE borough <> '0'"), lambda m: V.closure_rate(m, True))
@@ -199,8 +199,8 @@ sv(
 )
 _NAMED = {
     "graded_inspections": "grade IN ('A', 'B', 'C')", "initial_inspections": "inspection_type ILIKE '%Initial Inspection%'", "re_inspections": "inspection_type ILIKE '%Re-Inspection%'",
-    "closures": "action ILIKE '%Establishment Closed%'", "clean_inspections": "action ILIKE '%No violations were recorded%'", "inspections.recent_12_months": "inspection_date >= {as_of} - INTERVAL 12 MONTH",
-    "critical_only": "is_critical_violation", "non_critical_only": "NOT is_critical_violation", "violations.recent_12_months": "inspection_date >= {as_of} - INTERVAL 12 MONTH",
+    "closures": "action ILIKE '%Establishment Closed%'", "clean_inspections": "action ILIKE '%No violations were recorded%'", "inspections.recent_12_months": "inspection_date BETWEEN {as_of} - INTERVAL 12 MONTH AND {as_of}", "inspections.recent_6_months": "inspection_date BETWEEN {as_of} - INTERVAL 6 MONTH AND {as_of}",
+    "critical_only": "is_critical_violation", "non_critical_only": "NOT is_critical_violation", "violations.recent_12_months": "inspection_date BETWEEN {as_of} - INTERVAL 12 MONTH AND {as_of}", "violations.recent_6_months": "inspection_date BETWEEN {as_of} - INTERVAL 6 MONTH AND {as_of}",
 }
 
 
@@ -225,8 +225,8 @@ sv(
 sv(
     "sv_default_rules",
     f"""SELECT borough, {_cols(_METRIC_SQL, ['total_inspections', 'closure_rate'])},
-  'borough != ''0'' — records with missing borough data are left out|inspection_date >= add_months(date''{AS_OF}'', -12) — last 12 months, as no date was given' AS applied_filters
-  FROM ir WHERE borough <> '0' AND inspection_date >= {{as_of}} - INTERVAL 12 MONTH GROUP BY 1""",
+  'borough != ''0'' — records with missing borough data are left out|inspection_date between add_months(date''{AS_OF}'', -12) and date''{AS_OF}'' — last 12 months, as no date was given' AS applied_filters
+  FROM ir WHERE borough <> '0' AND inspection_date BETWEEN {{as_of}} - INTERVAL 12 MONTH AND {{as_of}} GROUP BY 1""",
     lambda s: s.query(["total_inspections", "closure_rate"], ["borough"], defaults=True),
 )
 sv(
@@ -266,7 +266,7 @@ sv(
 sv("a4_worst_cuisines", f"SELECT cuisine_type, {_cols(_METRIC_SQL, ['average_score', 'total_inspections'])} FROM ir GROUP BY 1 ORDER BY avg(inspection_score) DESC NULLS LAST, cuisine_type LIMIT 10", A.worst_cuisines)
 sv(
     "a5_trend_24_months", f"""SELECT year_month::bigint AS year_month, {_cols(_METRIC_SQL, ['average_score', 'total_inspections'])} FROM inspections JOIN dates ON inspection_date_key = date_key
-  WHERE calendar_date >= {{as_of}} - INTERVAL 24 MONTH GROUP BY 1""", A.trend,
+  WHERE calendar_date BETWEEN {{as_of}} - INTERVAL 24 MONTH AND {{as_of}} GROUP BY 1""", A.trend,
 )
 a(
     "a6_code_rate", """SELECT cuisine_type, sum(CASE WHEN violation_code = '04B' THEN violation_count ELSE 0 END)::bigint AS code_citations, sum(violation_count)::bigint AS total_citations,

@@ -68,8 +68,8 @@ def _code(a: str, b: str) -> str:
 _PASSAGES = f"""WITH passages AS (SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS doc_id,
   'Codes ' || {_code('l_orderkey', 'l_partkey')} || '*, ' || {_code('l_partkey', 'l_suppkey')} || '+ and ' || {_code('l_orderkey', 'l_partkey')} || '; also ' || {_code('l_suppkey', 'l_orderkey')} || '.' AS text FROM lineitem),
 found AS (SELECT doc_id, text, regexp_extract_all(text, '\\b([0-9]{{1,2}}[A-Z]\\*?\\+?)\\b', 1) AS codes FROM passages)"""
-query("d4_codes", _PASSAGES + " SELECT doc_id, array_to_string(list_filter(codes, lambda c, i: list_position(codes, c) = i)[1:15], '|') AS codes FROM found")(
-    lambda s, d: bind.code_passages(s, d).select("doc_id", C.page_codes(F.col("chunk_text")).alias("codes"))
+query("d4_codes", _PASSAGES + " SELECT doc_id, array_to_string(list_filter(codes, lambda c, i: list_position(codes, c) = i), '|') AS codes FROM found")(
+    lambda s, d: bind.code_passages(s, d).select("doc_id", C.all_codes(F.col("chunk_text")).alias("codes"))
 )
 
 _LEVELS = "['I', 'II', 'III', 'IV', 'V']"

@@ -35,7 +35,7 @@ query(
   latest_grade, score, last_inspection FROM {_NEAR} JOIN (
     SELECT v.dim_restaurant_key, arg_max(coalesce(i.grade, ''), (v.inspection_date, i.fct_inspection_key, coalesce(i.grade, ''))) AS latest_grade, round(avg(i.inspection_score), 1) AS score,
       CAST(max(v.inspection_date) AS varchar) AS last_inspection
-    FROM violations v JOIN inspections i USING (fct_inspection_key) WHERE v.is_critical_violation AND v.inspection_date >= {{as_of}} - INTERVAL 6 MONTH GROUP BY 1) USING (dim_restaurant_key)"""),
+    FROM violations v JOIN inspections i USING (fct_inspection_key) WHERE v.is_critical_violation AND v.inspection_date BETWEEN {{as_of}} - INTERVAL 6 MONTH AND {{as_of}} GROUP BY 1) USING (dim_restaurant_key)"""),
 )(lambda s, d: G.nearby_critical(marts_of(s, d), bind.points(s, d), END).drop("point_lat", "point_lon").withColumns({"distance_m": F.round("distance_m", 3), "latest_grade": F.coalesce("latest_grade", F.lit(""))}))
 
 _WIN = f"inspection_date BETWEEN DATE '{START}' AND DATE '{END}'"
@@ -70,7 +70,7 @@ g(
     "g5_summary_top500", """SELECT restaurant_name, borough, cuisine_type, inspection_count, avg_score, latest_grade FROM per
   ORDER BY inspection_count DESC, avg_score NULLS LAST, restaurant_name NULLS LAST, borough NULLS LAST, cuisine_type NULLS LAST LIMIT 500""", lambda s, d: G.summary_table(per(s, d)),
 )
-_PAIRS = "(SELECT DISTINCT restaurant_name, CASE WHEN latitude IS NULL THEN '' ELSE borough END AS borough FROM restaurants ORDER BY 1, 2 LIMIT 300)"
+_PAIRS = "(SELECT DISTINCT restaurant_name, CASE WHEN latitude IS NULL THEN '' ELSE borough END AS borough FROM restaurants)"
 g(
     "g6_pairs",
     f"""SELECT i.restaurant_name, i.borough, latitude, longitude, nullif(arg_max(coalesce(grade, ''), (inspection_date, coalesce(grade, ''))), '') AS grade, round(avg(average_score), 1) AS score
@@ -89,7 +89,7 @@ g(
     f"""SELECT i.restaurant_name, borough, latitude, longitude, nullif(arg_max(coalesce(grade, ''), (inspection_date, coalesce(grade, ''))), '') AS grade, round(avg(average_score), 1) AS score
   FROM (SELECT restaurant_name, borough, inspection_date, grade, has_critical_violation, avg(inspection_score) AS average_score FROM ir
     WHERE inspection_date BETWEEN {{as_of}} - 365 AND {{as_of}} AND has_critical_violation GROUP BY 1, 2, 3, 4, 5) i JOIN {_PLACES} USING (restaurant_name)
-  GROUP BY 1, 2, 3, 4 ORDER BY 1, 2 NULLS LAST LIMIT 2000""".replace("{as_of}", f"DATE '{END}'"),
+  GROUP BY 1, 2, 3, 4""".replace("{as_of}", f"DATE '{END}'"),
     lambda s, d: G.default_feed(layer_of(s, d), END),
 )
 _GRADE = "CASE WHEN m IS NULL THEN '' WHEN m <= 13 THEN 'A' WHEN m <= 27 THEN 'B' ELSE 'C' END"

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from clearplate.sources.schemas import LOADED_AT, RAW_COLUMNS
 
-AS_OF = "2001-08-01"
-EVENTS_AS_OF = "2024-01-31"
+AS_OF = "2001-03-15"
+EVENTS_AS_OF = "2024-01-20"
 
 # What each order status and priority stands for in the bound records.
 ACTIONS = {
