@@ -31,18 +31,19 @@ def _blocked(df: DataFrame, position: str, block: int) -> DataFrame:
     return df.withColumn("_block", F.floor(F.col(position) / block).cast("long"))
 
 
-def carry_last(df: DataFrame, keys: Sequence[str], position: str, columns: dict[str, str], block: int = 10_000) -> DataFrame:
+def carry_last(df: DataFrame, keys: Sequence[str], position: str, columns: dict[str, str], block: int = 10_000, tie: Sequence[str] = ()) -> DataFrame:
     """Add ``out = last non-null value of column up to this row`` for each item of ``columns``.
 
     A group is cut into blocks of positions; each block is one small window, and
     only one row per block is passed on to the next. No task sees a whole long group.
+    Rows of one position are ordered by ``tie``.
     """
     base = _blocked(df, position, block)
-    inside = Window.partitionBy(*keys, "_block").orderBy(position).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*keys, "_block").orderBy(position, *tie).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     local = base.select("*", *[F.last(c, ignorenulls=True).over(inside).alias(f"_local_{out}") for out, c in columns.items()])
     # Taken from the windowed rows, which lie together by block already: no second shuffle of the input.
-    tails = local.groupBy(*keys, "_block").agg(*[F.max_by(f"_local_{out}", position).alias(f"_tail_{out}") for out in columns])
+    tails = local.groupBy(*keys, "_block").agg(*[F.max_by(f"_local_{out}", F.struct(position, *tie)).alias(f"_tail_{out}") for out in columns])
     tails = tails.select(
         *keys, "_block", *[F.last(f"_tail_{out}", ignorenulls=True).over(before).alias(f"_carry_{out}") for out in columns]
     )

@@ -68,19 +68,19 @@ def forward_fill_context(pages: DataFrame, doc: str = "doc_id", page: str = "pag
     """Add the appendix and section each page is in.
 
     A page without a heading stays in the last one seen. A new appendix ends the section:
-    a section counts only if its heading came at or after the appendix heading. Headings
-    are found once per page, and only they (not the text) go through the look-back.
+    a section counts only if its heading came at or after the appendix heading. Rows stay
+    as many as they were, also where a page number repeats; such rows are ordered by text.
+    The text is shuffled once, for the look-back itself.
     """
     kept = pages.filter(strip(F.col(text)) != "")
-    heads = kept.select(doc, page, matched_appendix(F.col(text)).alias("_a"), matched_section(F.col(text)).alias("_s"))
+    heads = kept.select("*", matched_appendix(F.col(text)).alias("_a"), matched_section(F.col(text)).alias("_s"))
     heads = heads.withColumns({
         "_at": F.when(F.col("_a").isNotNull(), F.struct(F.col("_a").alias("name"), F.col(page).alias("page"))),
         "_st": F.when(F.col("_s").isNotNull(), F.struct(F.col("_s").alias("name"), F.col(page).alias("page"))),
-    }).select(doc, page, "_at", "_st")
-    filled = carry_last(heads, [doc], page, {"_app": "_at", "_sec": "_st"})
+    }).drop("_a", "_s")
+    filled = carry_last(heads, [doc], page, {"_app": "_at", "_sec": "_st"}, tie=[text])
     current = F.when(F.coalesce(F.col("_sec.page") >= F.col("_app.page"), F.lit(True)), F.col("_sec.name"))
-    context = filled.select(doc, page, F.col("_app.name").alias("appendix"), current.alias("section"))
-    return kept.join(context, [doc, page])
+    return filled.select(*pages.columns, F.col("_app.name").alias("appendix"), current.alias("section"))
 
 
 def context_prefix(appendix: Column, section: Column) -> Column:

@@ -4,20 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clearplate.functions.latest import keep_computed, neighbour, top_per_key
 from clearplate.functions.text import strip
-from clearplate.functions.vector import cosine, dot, l2_norm
-from clearplate.operators.retrieval import MAX_BROADCAST_QUERIES, best_in_cells, best_schema, numbers_below
+from clearplate.functions.vector import cosine
+from clearplate.operators.retrieval import first_k, numbers_below, stacked, unit_rows
+from clearplate.session import written
 from clearplate.sources import tables
 
 # Categories, limits, texts and patterns.
 CATEGORIES = ["location", "preference", "identity", "analytical", "general"]
 DEFAULT_RESULTS, MAX_RESULTS, THRESHOLD = 5, 10, 0.3
-# Beyond this many facts a user is worked on in cells of this size.
-MANY_FACTS = 20_000
+# Facts and queries of a user that meet in one matrix product.
+CELL_FACTS, BLOCK_QUERIES = 20_000, 2048
 TOMBSTONE = "REMOVE"
 CONTEXT_HEADER = (
     "The following facts about this user are known and should be used "
@@ -170,52 +174,41 @@ def clamp_results(k: int | None) -> int:
     return max(1, min(k or DEFAULT_RESULTS, MAX_RESULTS))
 
 
-def _scores_of_few(queries: DataFrame, facts: DataFrame) -> DataFrame:
-    """Every query against the facts of its user. Lengths are taken before the join, so a pair costs one product."""
-    asked = queries.select("query_id", "user_id", F.col("embedding").alias("_q"), l2_norm(F.col("embedding")).alias("_q_norm"))
-    held = facts.select("user_id", "fact_key", "fact_embedding", l2_norm(F.col("fact_embedding")).alias("_f_norm"))
-    similarity = dot(F.col("fact_embedding"), F.col("_q")) / F.nullif(F.col("_f_norm") * F.col("_q_norm"), F.lit(0.0))
-    return held.join(asked, "user_id").select(
-        "query_id", "user_id", "fact_key", F.round(F.coalesce(similarity, F.lit(0.0)), 4).alias("similarity")
-    )
-
-
-def _scores_of_many(queries: DataFrame, facts: DataFrame, sizes: DataFrame, k: int, cell_rows: int) -> DataFrame:
-    """The same for users with very many facts: only the best ``k`` per query leave a cell of bounded size.
-
-    ``sizes`` has (user_id, facts) of these users. Their facts are cut into cells and their
-    queries into blocks, and each (user, block, cell) is one matrix product.
-    """
-    cells = F.ceil(F.col("facts") / cell_rows)
-    asked = queries.join(sizes, "user_id")
-    blocks = asked.groupBy("user_id").agg(F.ceil(F.count(F.lit(1)) / MAX_BROADCAST_QUERIES).alias("blocks"))
-    left = asked.join(blocks, "user_id").select(
-        "user_id", "query_id", F.col("embedding").alias("_v"), F.pmod(F.xxhash64("query_id"), F.col("blocks")).alias("_block"), numbers_below(cells).alias("_cell")
-    )
-    right = facts.join(sizes, "user_id").join(blocks, "user_id").select(
-        "user_id", F.col("fact_key").alias("_id"), F.col("fact_embedding").alias("_v"), F.pmod(F.xxhash64("fact_key"), cells).alias("_cell"), numbers_below(F.col("blocks")).alias("_block")
-    )
-    found = best_in_cells(left, right, ["user_id", "_block", "_cell"], k, best_schema(left.schema["query_id"].dataType, right.schema["_id"].dataType))
-    named = found.select("query_id", F.col("_id").alias("fact_key"), F.col("score").alias("similarity"))
-    return named.join(queries.select("query_id", "user_id"), "query_id").select("query_id", "user_id", "fact_key", "similarity")
-
-
-def recall(queries: DataFrame, facts: DataFrame, k: int | None = DEFAULT_RESULTS, many: int = MANY_FACTS) -> DataFrame:
+def recall(queries: DataFrame, facts: DataFrame, k: int | None = DEFAULT_RESULTS, cell_facts: int = CELL_FACTS, block_queries: int = BLOCK_QUERIES) -> DataFrame:
     """Relevant facts per query (query_id, user_id, embedding), from the facts of its user only.
 
     The best ``k`` come first and the threshold after, so a query never gets more than k.
-    A user has some dozens of facts, and a plain join by user does; users with more than
-    ``many`` go through bounded cells instead.
+    A user's facts are cut into cells and its queries into blocks of bounded size; most
+    users have one of each. A (user, block, cell) is one matrix product, of which k rows per
+    query come out: no pair becomes a row. The numbers of cells and blocks are counted once
+    and written as a small table.
     """
     k = clamp_results(k)
-    asked = queries.filter(F.col("embedding").isNotNull())
-    held = facts.filter(F.col("fact_embedding").isNotNull()).join(asked.select("user_id").distinct(), "user_id", "left_semi")
-    sizes = held.groupBy("user_id").agg(F.count(F.lit(1)).alias("facts")).filter(F.col("facts") > many)
-    few = _scores_of_few(asked, held.join(sizes, "user_id", "left_anti"))
-    scored = few.unionByName(_scores_of_many(asked, held, sizes, k, many))
-    best = top_per_key(scored, ["query_id"], [F.desc("similarity"), F.col("fact_key")], k, rank="rank")
-    detail = facts.select("user_id", "fact_key", "fact_value", "category", "updated_at")
-    return best.filter(F.col("similarity") >= THRESHOLD).join(detail, ["user_id", "fact_key"])
+    asked = queries.filter(F.col("embedding").isNotNull()).select("user_id", "query_id", F.col("embedding").alias("_v"))
+    held = facts.filter(F.col("fact_embedding").isNotNull()).select("user_id", "fact_key", F.col("fact_embedding").alias("_v"), "fact_value", "category", "updated_at")
+    per = lambda df, out, size: df.groupBy("user_id").agg(F.ceil(F.count(F.lit(1)) / size).alias(out))
+    sizes = written(per(asked, "blocks", block_queries).join(per(held, "cells", cell_facts), "user_id"), "recall-sizes")
+    left = asked.join(sizes, "user_id").select("user_id", "query_id", "_v", F.pmod(F.xxhash64("query_id"), F.col("blocks")).alias("_block"), numbers_below(F.col("cells")).alias("_cell"))
+    right = held.join(sizes, "user_id").select(*held.columns, F.pmod(F.xxhash64("fact_key"), F.col("cells")).alias("_cell"), numbers_below(F.col("blocks")).alias("_block"))
+    fields = [asked.schema["query_id"], asked.schema["user_id"], held.schema["fact_key"], T.StructField("similarity", T.DoubleType()), *[held.schema[c] for c in ("fact_value", "category", "updated_at")]]
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
+
+    def product(key: tuple, q: pd.DataFrame, f: pd.DataFrame) -> pd.DataFrame:
+        if q.empty or f.empty:
+            return pd.DataFrame(columns=schema.fieldNames())
+        f = f.reset_index(drop=True)
+        names = np.asarray(f["fact_key"].tolist())
+        scores = np.round(unit_rows(stacked(q["_v"])) @ unit_rows(stacked(f["_v"])).T, 4) + 0.0
+        best = [first_k(row, names, k) for row in scores]
+        at = np.concatenate(best)
+        who = np.repeat(np.arange(len(q)), [len(b) for b in best])
+        out = f.loc[at, ["fact_key", "fact_value", "category", "updated_at"]].reset_index(drop=True)
+        return out.assign(query_id=q["query_id"].to_numpy()[who], user_id=key[0], similarity=scores[who, at])[schema.fieldNames()]
+
+    keys = ["user_id", "_block", "_cell"]
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(product, schema)
+    best = top_per_key(found, ["query_id"], [F.desc("similarity"), F.col("fact_key")], k, rank="rank")
+    return best.filter(F.col("similarity") >= THRESHOLD)
 
 
 def recall_text(queries: DataFrame, facts: DataFrame, k: int | None = DEFAULT_RESULTS) -> DataFrame:
@@ -239,16 +232,25 @@ def similarity_matrix(facts: DataFrame, probes: Mapping[str, Sequence[float]]) -
     return facts.select("user_id", "fact_key", "fact_value", "category", *columns, "updated_at")
 
 
-def conflicts(facts: DataFrame, places: Mapping[str, str], keys: Sequence[str]) -> DataFrame:
+def conflicts(facts: DataFrame, places: Mapping[str, str] | DataFrame, keys: Sequence[str]) -> DataFrame:
     """Pairs of location facts of one user that name different places.
 
-    ``places`` maps a pattern to the place it means, ``keys`` lists the facts that tell a
+    ``places`` maps a pattern to the place it means, or is a table (name, place) of place
+    names that are looked up among the runs of one to three words of a value; of several,
+    the longest name, then the first in order, counts. ``keys`` lists the facts that tell a
     place; a user has one row per key, so a user gives at most as many pairs as there are
     pairs of keys.
     """
-    told = facts.filter(F.col("fact_key").isin(list(keys))).select(
-        "user_id", "fact_key", "fact_value", first_match(F.col("fact_value"), [(place, p) for p, place in places.items()]).alias("place")
-    ).filter(F.col("place").isNotNull())
+    asked = facts.filter(F.col("fact_key").isin(list(keys))).select("user_id", "fact_key", "fact_value")
+    if isinstance(places, DataFrame):
+        said = F.filter(F.split(F.lower("fact_value"), r"[^\p{L}\p{N}_]+"), lambda w: w != "")
+        runs = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(3)), lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.size(said) - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(said, i, n), " "))))
+        each = asked.select("*", F.explode(F.array_distinct(runs)).alias("_name"))
+        named = each.join(places.select(F.lower("name").alias("_name"), "place"), "_name")
+        told = named.groupBy("user_id", "fact_key", "fact_value").agg(F.min(F.struct(-F.length("_name"), "_name", "place")).alias("_p"))
+        told = told.select("user_id", "fact_key", "fact_value", F.col("_p.place").alias("place"))
+    else:
+        told = asked.select("*", first_match(F.col("fact_value"), [(place, p) for p, place in places.items()]).alias("place")).filter(F.col("place").isNotNull())
     left, right = (told.select("user_id", *[F.col(c).alias(f"{c}_{side}") for c in ("fact_key", "fact_value", "place")]) for side in ("a", "b"))
     return left.join(right, "user_id").filter((F.col("fact_key_a") < F.col("fact_key_b")) & (F.col("place_a") != F.col("place_b")))
 

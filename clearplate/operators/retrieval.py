@@ -243,14 +243,14 @@ def keyword_search(queries: DataFrame, index: Index, k: int = DEFAULT_LIMIT, id_
 # -- vector ----------------------------------------------------------------------
 
 
-def _unit(m: np.ndarray) -> np.ndarray:
+def unit_rows(m: np.ndarray) -> np.ndarray:
     """Rows scaled to length 1; a zero row stays zero."""
     m = m.astype("float64")
     norms = np.linalg.norm(m, axis=1, keepdims=True)
     return m / np.where(norms == 0, 1, norms)
 
 
-def _stacked(vectors: pd.Series) -> np.ndarray:
+def stacked(vectors: pd.Series) -> np.ndarray:
     return np.stack(vectors.to_numpy())
 
 
@@ -265,7 +265,7 @@ def _out(frames: Iterator[pd.DataFrame]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pandas(frame, preserve_index=False)
 
 
-def _first_k(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+def first_k(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Positions of the k best scores, equal scores by id."""
     if len(scores) > k:
         cut = np.partition(scores, len(scores) - k)[len(scores) - k]
@@ -289,11 +289,11 @@ class _Best:
             if not len(s):
                 continue
             self.low[q], self.high[q] = min(self.low[q], s.min()), max(self.high[q], s.max())
-            pick = _first_k(s, i, self.k)
+            pick = first_k(s, i, self.k)
             s, i = s[pick], i[pick]
             if self.kept[q] is not None:
                 s, i = np.concatenate([self.kept[q][0], s]), np.concatenate([self.kept[q][1], i])
-                pick = _first_k(s, i, self.k)
+                pick = first_k(s, i, self.k)
                 s, i = s[pick], i[pick]
             self.kept[q] = (s, i)
 
@@ -308,7 +308,7 @@ def _best(query_ids: np.ndarray, queries: np.ndarray, batches: Iterator[tuple[np
     best = _Best(len(query_ids), k)
     for ids, vectors in batches:
         if len(ids):
-            best.add(ids, np.round(queries @ _unit(vectors).T, 4) + 0.0)
+            best.add(ids, np.round(queries @ unit_rows(vectors).T, 4) + 0.0)
     yield from best.frames(query_ids)
 
 
@@ -340,7 +340,7 @@ def vector_candidates(queries: DataFrame, corpus: DataFrame, k: int, id_col: str
     if len(head) <= max_broadcast:
         if head.empty:
             return spark.createDataFrame([], schema).withColumnRenamed("_id", id_col)
-        ids, matrix = head["query_id"].to_numpy(), _unit(_stacked(head["_v"]))
+        ids, matrix = head["query_id"].to_numpy(), unit_rows(stacked(head["_v"]))
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pairs = ((np.asarray(b.column("_id").to_pylist()), _matrix(b.column("_v"))) for b in batches if b.num_rows)
@@ -362,8 +362,8 @@ def best_in_cells(left: DataFrame, right: DataFrame, keys: Sequence[str], k: int
     def one_cell(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         if asked.empty or held.empty:
             return pd.DataFrame(columns=schema.fieldNames())
-        corpus = [(np.asarray(held["_id"].tolist()), _stacked(held["_v"]))]
-        return pd.concat(_best(asked["query_id"].to_numpy(), _unit(_stacked(asked["_v"])), iter(corpus), k))
+        corpus = [(np.asarray(held["_id"].tolist()), stacked(held["_v"]))]
+        return pd.concat(_best(asked["query_id"].to_numpy(), unit_rows(stacked(asked["_v"])), iter(corpus), k))
 
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(one_cell, schema)
 
@@ -414,7 +414,7 @@ def hybrid_candidates(queries: DataFrame, corpus: DataFrame, index: Index, profi
         size = len(asked[has_vector].iloc[0]) if has_vector.any() else 1
         matrix = np.zeros((len(asked), size))
         if has_vector.any():
-            matrix[has_vector] = _unit(_stacked(asked[has_vector]))
+            matrix[has_vector] = unit_rows(stacked(asked[has_vector]))
 
         def fused(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             best = {p: _Best(len(block.query_ids), k) for p in profiles}
@@ -423,7 +423,7 @@ def hybrid_candidates(queries: DataFrame, corpus: DataFrame, index: Index, profi
                 placed = part.column("_v").is_valid().to_numpy(zero_copy_only=False)
                 near = np.zeros_like(text)
                 if placed.any() and has_vector.any():
-                    near[:, placed] = np.round(matrix @ _unit(_matrix(part.column("_v"))).T, 4) + 0.0
+                    near[:, placed] = np.round(matrix @ unit_rows(_matrix(part.column("_v"))).T, 4) + 0.0
                 has_text, has_near = text > 0, has_vector[:, None] & placed[None, :]
                 t = np.where(has_text, _scaled(np.round(text, 4), *text_range), 0.0)
                 v = np.where(has_near, _scaled(near, *vector_range), 0.0)
@@ -455,7 +455,12 @@ def compare_profiles(queries: DataFrame, corpus: DataFrame, index: Index, profil
 
 
 def explain_codes(top_codes: DataFrame, chunks: DataFrame, id_col: str = "doc_id", text: str = "chunk_text", code: str = "violation_code") -> DataFrame:
-    """Codes found in data, joined to the passages that mention them."""
+    """Codes found in data, joined to the passages that mention them.
+
+    ``top_codes`` is a report of a few codes; passages meet it before they are made
+    distinct, so only mentions of those codes are shuffled.
+    """
     mentions = chunks.select(id_col, F.explode_outer(all_codes(F.col(text))).alias("_mention")).filter(F.col("_mention").isNotNull())
-    bare = mentions.select(id_col, F.regexp_replace("_mention", r"[*+]", "").alias(code)).distinct()
-    return top_codes.join(bare, code)
+    bare = mentions.select(id_col, F.regexp_replace("_mention", r"[*+]", "").alias(code))
+    met = bare.join(top_codes.select(code).distinct(), code, "left_semi").distinct()
+    return top_codes.join(met, code)

@@ -33,7 +33,7 @@ for _entity, _char in C.ENTITIES.items():
     _CLEAN = f"replace({_CLEAN}, '{_entity}', '{_char.replace(chr(39), chr(39) * 2)}')"
 _CLEAN = rf"regexp_replace(regexp_replace(regexp_replace({_CLEAN}, '[ \t\x0B\f\r]+', ' ', 'g'), ' ?\n[ \n]*', '" + "\n" + r"', 'g'), '^\s+|\s+$', '', 'g')"
 query("d1_page_text", f"SELECT * FROM (SELECT page_id, url, {_CLEAN} AS page_text FROM pages) WHERE page_text <> ''")(
-    lambda s, d: C.page_text(bind.wide_table(s, d, "pages")).select("page_id", "url", "page_text")
+    lambda s, d: C.page_text(bind.table(s, d, "pages")).select("page_id", "url", "page_text")
 )
 
 _MANUAL = """WITH manual AS (SELECT source AS doc_id, doc_id AS page_number,
@@ -91,7 +91,7 @@ query(
     "d5_parse_scores",
     f"""SELECT l_orderkey, l_linenumber::bigint AS l_linenumber, l_partkey, l_suppkey, array_to_string(list_transform({_points(_tokens('scores'))}, lambda p: p[1] || '=' || p[2]), '|') AS points FROM ({_SCORES})""",
 )(
-    lambda s, d: bind.wide_table(s, d, "lineitem").select(
+    lambda s, d: bind.table(s, d, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         F.concat(
             F.col("l_quantity").cast("int"), F.lit(" "), F.when(F.col("l_suppkey") % 4 == 0, "-").when(F.col("l_suppkey") % 4 == 1, "–").when(F.col("l_suppkey") % 4 == 2, "—").otherwise("9"),
@@ -113,15 +113,16 @@ _PROSE = f"""CASE p_partkey % 3
 query("d6_narrate_rows", f"SELECT page_number, prose FROM (SELECT p_partkey AS page_number, {_PROSE} AS prose FROM part) WHERE prose IS NOT NULL")(
     lambda s, d: C.narrate_rows(bind.manual_rows(s, d)).select("page_number", "prose")
 )
+_HEADING = r"""CASE doc_id_number % 13 WHEN 0 THEN E'APPENDIX 23-A\nINSPECTION WORKSHEET\n' WHEN 4 THEN E'Appendix 23-B\nGuide to Conditions\nFood Source\n' WHEN 7 THEN E'APPENDIX 23-C PENALTY SCHEDULE\n'
+  WHEN 10 THEN E'APPENDIX 23-C\nUNSCORED VIOLATIONS\n' WHEN 2 THEN E'Food Protection\n' WHEN 8 THEN E'General Violations\n' WHEN 11 THEN E'Other Criticals\n' ELSE '' END""".replace("doc_id_number", "page_number")
 _LAYOUT = "CASE WHEN appendix = '23-A' THEN 0 WHEN appendix = '23-B' THEN 1 WHEN appendix IS NOT NULL THEN 2 END"
 query(
     "d7_table_pages",
-    _MANUAL + f"""SELECT doc_id, page_number, concat_ws(E'\\n\\n', {_PREFIX}, prose) AS page_text FROM context JOIN (SELECT p_partkey, {_PROSE} AS prose FROM part) ON p_partkey = page_number
-  WHERE {_LAYOUT} = p_partkey % 3 AND prose IS NOT NULL""",
+    _MANUAL + f"""SELECT doc_id, page_number, CASE WHEN prose IS NOT NULL THEN concat_ws(E'\\n\\n', {_PREFIX}, prose) ELSE regexp_replace({_HEADING} || text, '^\\s+|\\s+$', '', 'g') END AS page_text
+  FROM context LEFT JOIN (SELECT p_partkey, {_PROSE} AS prose FROM part) ON p_partkey = page_number AND {_LAYOUT} = p_partkey % 3""",
 )(
-    # Rows are placed on pages of their own layout; the pages kept here are the rewritten ones.
-    lambda s, d: C.assemble_pages(context(s, d), _placed_rows(s, d))
-    .filter(F.contains("page_text", F.lit("\n\nViolation "))).select("doc_id", "page_number", "page_text")
+    # All pages; rows are placed on pages of their own layout.
+    lambda s, d: C.assemble_pages(context(s, d), _placed_rows(s, d)).select("doc_id", "page_number", "page_text")
 )
 
 _WORDS = r"string_split_regex(trim(text, E' \t\n\r'), '\s+')"

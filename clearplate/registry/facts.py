@@ -151,28 +151,56 @@ query(
   FROM (SELECT DISTINCT (user_id % 12)::varchar AS user_id FROM events) u LEFT JOIN (SELECT user_id, string_agg('  - ' || replace(fact_key, '_', ' ') || ': ' || fact_value, E'\\n' ORDER BY fact_key) AS lines FROM facts GROUP BY 1) t USING (user_id)""",
 )(lambda s, d: U.context_text(bind.table(s, d, "events").select((F.col("user_id") % 12).cast("string").alias("user_id")), bind.memory_vectors(s, d)))
 
-# Language marks stand in for the patterns: the bound conversations are invented words.
-TURN_PATTERNS = [("english", " the "), ("french", " les "), ("german", " der "), ("spanish", " los ")]
+# The bound conversations are invented words: a spoken sentence stands before some turns, chosen by their numbers.
+ASKED = [
+    "May I ask where do you live?", "Please share your work address.", "And which neighbourhood is it?", "Is there a preferred borough?", "What food do you like?", "Which violation code matters?",
+    "Which grade do you track?", "Do you want initial or re-inspection?", "What score threshold should apply?", "How far back do you look?", "And what is your role?", "Please name your company.",
+    # Two requests in one turn: the first in the list of patterns counts.
+    "What is your role, and your home address?",
+]
+SAID = [
+    "Please forget my home address.", "Remove the office now.", "Delete my neighborhood.", "Clear the borough", "erase my favourite cuisine", "FORGET the violation code", "remove grade A",
+    "delete the inspection type", "clear the score cutoff", "forget my time window", "erase my job", "remove my company", "forget the work and home things",
+    "What about Queens?", "It is near the park?", "show me the worst", "Compare both", "The address is gone, forgotten", "I like noodles",
+]
 
 
-def _first(column: str) -> str:
-    return "CASE " + " ".join(f"WHEN regexp_matches({column}, '(?i){p}') THEN '{n}'" for n, p in TURN_PATTERNS) + " END"
+def _spoken_sql() -> str:
+    listed = lambda lines: "[" + ", ".join("'" + x + "'" for x in lines) + "]"
+    return f"""spoken AS (SELECT conv_id, turn, role, CASE WHEN role = 'assistant' AND (conv_id + turn) % {len(ASKED) + 2} < {len(ASKED)} THEN {listed(ASKED)}[(conv_id + turn) % {len(ASKED) + 2} + 1] || ' '
+  WHEN role = 'user' AND (conv_id * 3 + turn) % {len(SAID) + 5} < {len(SAID)} THEN {listed(SAID)}[(conv_id * 3 + turn) % {len(SAID) + 5} + 1] || ' ' ELSE '' END || text AS text FROM conversations)"""
+
+
+_SPOKEN = _spoken_sql()
+
+
+def _first(column: str, patterns) -> str:
+    return "CASE " + " ".join(f"WHEN regexp_matches({column}, '(?i){p.replace(chr(39), chr(39) * 2)}') THEN '{n}'" for n, p in patterns) + " END"
 
 
 def turns_of(s, d):
     return bind.table(s, d, "conversations")
 
 
-query("u5_first_match", f"SELECT * FROM (SELECT conv_id, turn, {_first('text')} AS fact_key FROM conversations WHERE role = 'assistant') WHERE fact_key IS NOT NULL")(
-    lambda s, d: U.detect_request(turns_of(s, d), TURN_PATTERNS).select("conv_id", "turn", "fact_key")
+def spoken(s, d):
+    def line(lines, n, more):
+        n = n % (len(lines) + more)
+        return F.when(n < len(lines), F.concat(F.get(F.array(*map(F.lit, lines)), n.cast("int")), F.lit(" "))).otherwise("")
+
+    said = F.when(F.col("role") == "assistant", line(ASKED, F.col("conv_id") + F.col("turn"), 2)).when(F.col("role") == "user", line(SAID, F.col("conv_id") * 3 + F.col("turn"), 5)).otherwise("")
+    return turns_of(s, d).withColumn("text", F.concat(said, "text"))
+
+
+query("u5_first_match", f"WITH {_SPOKEN} SELECT * FROM (SELECT conv_id, turn, {_first('text', U.REQUEST_PATTERNS)} AS fact_key FROM spoken WHERE role = 'assistant') WHERE fact_key IS NOT NULL")(
+    lambda s, d: U.detect_request(spoken(s, d)).select("conv_id", "turn", "fact_key")
 )
-_CAPTURE = f"""WITH marked AS (SELECT conv_id, turn, role, text, CASE WHEN role = 'assistant' THEN {_first('text')} END AS k FROM conversations WHERE role IN ('user', 'assistant')),
+_CAPTURE = f"""WITH {_SPOKEN}, marked AS (SELECT conv_id, turn, role, text, CASE WHEN role = 'assistant' THEN {_first('text', U.REQUEST_PATTERNS)} END AS k FROM spoken WHERE role IN ('user', 'assistant')),
 near AS (SELECT *, lag(k) OVER (PARTITION BY conv_id ORDER BY turn) AS fact_key FROM marked WHERE role = 'user' OR k IS NOT NULL)
 SELECT conv_id, turn, fact_key, text AS fact_value FROM near WHERE role = 'user' AND fact_key IS NOT NULL"""
-query("u6_capture_unguarded", _CAPTURE)(lambda s, d: U.capture_facts(turns_of(s, d), TURN_PATTERNS, guard=False))
-query("u6_capture", _CAPTURE + f" AND NOT contains(text, '?') AND NOT regexp_matches(trim(text), '(?i){U.QUESTION_STARTERS}')")(lambda s, d: U.capture_facts(turns_of(s, d), TURN_PATTERNS))
-query("u7_detect_delete", f"SELECT * FROM (SELECT conv_id, turn, {_first('text')} AS fact_key FROM conversations WHERE role = 'user') WHERE fact_key IS NOT NULL")(
-    lambda s, d: U.detect_delete(turns_of(s, d), TURN_PATTERNS).select("conv_id", "turn", "fact_key")
+query("u6_capture_unguarded", _CAPTURE)(lambda s, d: U.capture_facts(spoken(s, d), guard=False))
+query("u6_capture", _CAPTURE + f" AND NOT contains(text, '?') AND NOT regexp_matches(trim(text), '(?i){U.QUESTION_STARTERS}')")(lambda s, d: U.capture_facts(spoken(s, d)))
+query("u7_detect_delete", f"WITH {_SPOKEN} SELECT * FROM (SELECT conv_id, turn, {_first('text', U.DELETE_PATTERNS)} AS fact_key FROM spoken WHERE role = 'user') WHERE fact_key IS NOT NULL")(
+    lambda s, d: U.detect_delete(spoken(s, d)).select("conv_id", "turn", "fact_key")
 )
 
 
@@ -257,12 +285,10 @@ SELECT user_id, 'home_address' AS fact_key_a, address AS fact_value_a, address_p
 
 @query("u13_conflicts", _PLACES_SQL)
 def _(s, d):
-    """Customers' nation as address, some region as borough; places by name from the nation and region tables (fixed size)."""
-    nations = bind.table(s, d, "nation").join(bind.table(s, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).limit(100).collect()
-    places: dict[str, str] = {}
-    for n in nations:
-        places[n["r_name"]] = places.get(n["r_name"], f"\\b({n['r_name']}") + f"|{n['n_name']}"
-    places = {pattern + r")\b": place for place, pattern in places.items()}
+    """Customers' nation as address, some region as borough; places by name from the nation and region tables."""
+    regions = bind.table(s, d, "region")
+    places = bind.table(s, d, "nation").join(regions, F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_name").alias("name"), F.col("r_name").alias("place"))
+    places = places.unionByName(regions.select(F.col("r_name").alias("name"), F.col("r_name").alias("place")))
     customers = bind.table(s, d, "customer").select(F.col("c_custkey").cast("string").alias("user_id"), "c_custkey", "c_nationkey")
     address = customers.join(bind.table(s, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select("user_id", F.lit("home_address").alias("fact_key"), F.concat("n_name", F.lit(" street 1")).alias("fact_value"))
     borough = customers.join(bind.table(s, d, "region"), F.col("c_custkey") % 5 == F.col("r_regionkey")).select("user_id", F.lit("home_borough").alias("fact_key"), F.col("r_name").alias("fact_value"))

@@ -25,30 +25,10 @@ INSPECTION_TYPES = {
 GRADES = ["A", "A", "A", "B", "C", "Z", ""]
 
 
-# Tables that grow with the scale, with columns that tell their rows apart.
-_SPREAD_BY = {
-    "lineitem": ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], "orders": ["o_orderkey"], "documents": ["doc_id"], "pages": ["page_id"],
-    "events": ["event_id"], "conversations": ["conv_id", "turn"], "embeddings": ["vec_id"],
-}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def wide_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table ready for work on every core.
-
-    A file with one row group is one task, however many cores there are. A scan with fewer
-    splits than cores is spread by row; a scan with enough splits is left as it is.
-    """
-    df = table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *_SPREAD_BY[name])
-
-
 def _mapped(values: dict[str, str], c: str):
     out = F.lit(None).cast("string")
     for key, value in values.items():
@@ -60,7 +40,7 @@ def raw_inspections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as all-string inspection records."""
     t = lambda name: table(spark, sf_dir, name)
     lines = (
-        wide_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
+        table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
         .join(t("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(t("part").select("p_partkey", "p_type", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
         .join(t("customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"))
@@ -127,7 +107,7 @@ def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as agent requests with a nested credit payload."""
     k = F.get_json_object("props", "$.k").cast("long")
     value = F.col("value")
-    return wide_table(spark, sf_dir, "events").select(
+    return table(spark, sf_dir, "events").select(
         F.col("event_id").cast("string").alias("request_id"),
         F.col("user_id").cast("string").alias("user_name"),
         F.col("event_type").alias("agent_name"),
@@ -219,7 +199,7 @@ def analyst_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as one-page sources."""
-    return wide_table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents").select(
         F.col("doc_id"), F.col("source").alias("source_url"), F.col("lang").alias("doc_type"), F.col("source").alias("doc_label"),
         F.lit(1).alias("page_number"), F.col("text").alias("page_text"),
     )
@@ -233,7 +213,7 @@ def manual_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(n == 7, "APPENDIX 23-C PENALTY SCHEDULE\n").when(n == 10, "APPENDIX 23-C\nUNSCORED VIOLATIONS\n")
         .when(n == 2, "Food Protection\n").when(n == 8, "General Violations\n").when(n == 11, "Other Criticals\n").otherwise("")
     )
-    return wide_table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents").select(
         F.col("source").alias("doc_id"), F.col("doc_id").alias("page_number"), F.concat(heading, F.col("text")).alias("page_text")
     )
 
@@ -259,13 +239,13 @@ def code_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     code = lambda a, b: F.concat(F.lpad((a % 25).cast("string"), 2, "0"), letter(b))
     order, part, supp = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
     text = F.concat(F.lit("Codes "), code(order, part), F.lit("*, "), code(part, supp), F.lit("+ and "), code(order, part), F.lit("; also "), code(supp, order), F.lit("."))
-    return wide_table(spark, sf_dir, "lineitem").select(F.concat_ws("-", order, F.col("l_linenumber"), part, supp).alias("doc_id"), text.alias("chunk_text"))
+    return table(spark, sf_dir, "lineitem").select(F.concat_ws("-", order, F.col("l_linenumber"), part, supp).alias("doc_id"), text.alias("chunk_text"))
 
 
 def search_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with the vector of the same number, where there is one."""
     vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
-    docs = wide_table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("chunk_text"), F.col("lang").alias("doc_type"), F.col("source").alias("doc_label"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("chunk_text"), F.col("lang").alias("doc_type"), F.col("source").alias("doc_label"))
     return docs.join(vectors, "doc_id", "left")
 
 
@@ -279,7 +259,7 @@ def memory_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embeddings as stored user facts."""
     categories = F.array(*map(F.lit, ["location", "preference", "identity", "analytical", "general"]))
     made = F.timestamp_add("MINUTE", F.col("vec_id").cast("int"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
-    return wide_table(spark, sf_dir, "embeddings").select(
+    return table(spark, sf_dir, "embeddings").select(
         (F.col("vec_id") % 10).cast("string").alias("user_id"), F.concat(F.lit("fact_"), "vec_id").alias("fact_key"),
         F.concat(F.lit("value "), "vec_id").alias("fact_value"), F.element_at(categories, (F.col("label") % 5 + 1).cast("int")).alias("category"),
         F.col("embedding").alias("fact_embedding"), F.concat(F.lit("turn "), "vec_id").alias("source_turn"), F.lit(1.0).alias("confidence"),

@@ -229,3 +229,17 @@ def test_written_index(spark, docs, queries, tmp_path):
     index = R.build_index(docs)
     R.write_index(index, str(tmp_path), buckets=4)
     assert rows(R.keyword_search(queries, R.read_index(spark, str(tmp_path)))) == rows(R.keyword_search(queries, index))
+
+
+def test_context_keeps_rows_of_one_page_number(spark):
+    df = spark.createDataFrame([("d", 1, "Food Source one"), ("d", 2, "b plain"), ("d", 2, "a Other Criticals"), ("d", 3, "plain")], "doc_id string, page_number int, page_text string")
+    got = rows(C.forward_fill_context(df), "page_number", "page_text", "section")
+    assert got == [(1, "Food Source one", "Food Source"), (2, "a Other Criticals", "Other Criticals"), (2, "b plain", "Other Criticals"), (3, "plain", "Other Criticals")]
+
+
+def test_rows_of_very_many_cells(spark):
+    cells = ["04A\nTEXT OF THE VIOLATION", *[""] * 1100, "7 8 9 10 28"]
+    money = ["04A", "81.1", "", "TEXT OF THE VIOLATION THAT IS LONG ENOUGH", *["$1"] * 1200, "$99"]
+    df = spark.createDataFrame([(1, "worksheet", cells), (2, "penalty", money)], "id int, layout string, cells array<string>")
+    prose = {r.id: r.prose for r in C.narrate_rows(df).collect()}
+    assert prose[1].endswith("Condition V = 28 points.") and prose[2].endswith("$1, $99.")

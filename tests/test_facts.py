@@ -111,7 +111,7 @@ def test_recall(spark):
     q = spark.createDataFrame([(1, "u", [2.0, 0.0]), (2, "v", [1.0, 0.0]), (3, "w", [1.0, 0.0])], "query_id long, user_id string, embedding array<float>")
     assert rows(U.recall(q, df), "query_id", "fact_key", "similarity", "rank") == [(1, "a", 1.0, 1), (1, "b", 0.3, 2)]
     assert rows(U.recall(q, df, 1), "fact_key") == [("a",)]
-    assert rows(U.recall(q, df, many=1)) == rows(U.recall(q, df))
+    assert rows(U.recall(q, df, cell_facts=1, block_queries=1)) == rows(U.recall(q, df))
     texts = {r.query_id: (r.status, r.text) for r in U.recall_text(q, df).collect()}
     assert texts[1][1].splitlines() == ["Found 2 relevant fact(s) for user u:", "- a: x (category: general, relevance: 1.0, updated: 2024-01-01 00:00)", "- b: y (category: general, relevance: 0.3, updated: 2024-01-01 01:00)"]
     assert texts[2] == ("none_relevant", "") and texts[3] == ("no_facts", "")
@@ -124,7 +124,7 @@ def test_recall_of_a_user_with_most_facts(spark):
     data = [("big" if i % 10 else f"u{i % 7}", f"k{i:04d}", "v", "general", [1.0, float(i % 4), 0.5]) for i in range(600)]
     df = facts(spark, *data)
     q = spark.createDataFrame([(i, "big" if i % 2 else "u3", [1.0, float(i), 0.0]) for i in range(8)], "query_id long, user_id string, embedding array<float>")
-    assert rows(U.recall(q, df, 5, many=50), "query_id", "fact_key", "similarity", "rank") == rows(U.recall(q, df, 5), "query_id", "fact_key", "similarity", "rank")
+    assert rows(U.recall(q, df, 5, cell_facts=50, block_queries=3), "query_id", "fact_key", "similarity", "rank") == rows(U.recall(q, df, 5), "query_id", "fact_key", "similarity", "rank")
 
 
 def test_answers(spark):

@@ -154,3 +154,10 @@ def test_late_rows_are_dropped(spark, tmp_path):
 def test_adapters_cover_whole_tables(spark, sf_dir):
     n = bind.table(spark, sf_dir, "lineitem").count()
     assert bind.raw_inspections(spark, sf_dir).count() == n and bind.result_events(spark, sf_dir).filter("payload IS NOT NULL").count() == n
+
+
+def test_window_ends_before_as_of(spark):
+    days = [(at(d), at(d), "u", "agent", 10, 1.0) for d in (4, 5, 14, 15, 20)]
+    df = spark.createDataFrame(days, "start_time timestamp_ntz, end_time timestamp_ntz, user_name string, agent_name string, tokens long, token_credits double")
+    got = [r.usage_date.day for r in O.daily_usage(df, "2024-01-15", days=10).collect()]
+    assert got == [14, 5]
