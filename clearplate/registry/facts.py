@@ -10,7 +10,7 @@ from clearplate.operators import quality as Q
 from clearplate.registry.base import query
 from clearplate.registry.star_sql import RAW, star
 from clearplate.session import fresh_path
-from clearplate.sources import bind, tables
+from clearplate.sources import bind, tables, versions
 from clearplate.streaming import jobs as X
 
 NEW = "2024-02-01 00:00:00"
@@ -51,13 +51,12 @@ query("s5_upsert", _UPSERT)(lambda s, d: tables.upsert(bind.memory_vectors(s, d)
 
 @query("s5_upsert_partitions", _UPSERT)
 def _(s, d):
-    """The same upsert into a written table, rewriting only touched buckets; done twice."""
-    path = fresh_path(s, "facts")
-    bucketed = lambda df: X.with_bucket(df, ["user_id"])
-    bucketed(bind.memory_vectors(s, d)).write.partitionBy("bucket").parquet(path)
+    """The same upsert into a written table, rewriting only touched parts; done twice."""
+    path, keys = fresh_path(s, "facts"), ["user_id", "fact_key"]
+    versions.replace(bind.memory_vectors(s, d), path, tables.bucket_of(keys, tables.BUCKETS))
     for _ in range(2):
-        tables.upsert_partitions(path, bucketed(updates(s, d)), ["user_id", "fact_key"], "bucket")
-    return s.read.parquet(path).select(*_OUT)
+        tables.upsert_partitions(path, updates(s, d), keys)
+    return versions.read(s, path).select(*_OUT)
 
 
 query("s6_delete", _FACTS + f"SELECT user_id, fact_key, fact_value, category, {_t('created_at')}, {_t('updated_at')} FROM facts f WHERE NOT EXISTS (SELECT 1 FROM upd u WHERE u.user_id = f.user_id AND u.fact_key = f.fact_key)")(
@@ -103,11 +102,14 @@ _RAW_FIELDS = "camis dba boro building street zipcode phone cuisine_description
 
 
 @query(
-    "s9_load_audit", f"""WITH {RAW} SELECT 'r1' AS run_id, 'COMPLETE' AS event_type, '{NEW}' AS event_time, 'load_inspections' AS job, 'landing/inspections' AS inputs, 'raw.inspections' AS output,
+    "s9_load_audit", f"""WITH {RAW} SELECT 'r1' AS run_id, 'COMPLETE' AS event_type, '{NEW}' AS event_time, 'load_inspections' AS job, 'landing/inspections|landing/corrections' AS inputs, 'raw.inspections' AS output,
   '{"|".join(f"{c}:string" for c in _RAW_FIELDS)}|_loaded_at:timestamp_ntz' AS columns, count(*) AS row_count, 'OVERWRITE' AS lifecycle_state FROM raw""",
 )
 def _(s, d):
-    audit = tables.load_audit(bind.raw_inspections(s, d), "load_inspections", "r1", NEW, [{"namespace": "landing", "name": "inspections"}], "raw.inspections")
+    """The row that the load appended to its audit table."""
+    path, log = fresh_path(s, "raw"), fresh_path(s, "audit")
+    tables.write_audited(bind.raw_inspections(s, d), path, log, "load_inspections", "r1", NEW, [{"namespace": "landing", "name": "inspections"}, {"namespace": "landing", "name": "corrections"}], "raw.inspections")
+    audit = s.read.parquet(log)
     return audit.withColumns({
         "inputs": F.transform("inputs", lambda i: F.concat(i["namespace"], F.lit("/"), i["name"])), "columns": F.transform("columns", lambda c: F.concat(c["name"], F.lit(":"), c["type"])),
     })
@@ -339,8 +341,8 @@ def _(s, d):
         F.col("ts").cast("timestamp").alias("start_time"), F.col("event_type").alias("agent_name"), F.round(F.col("value") * 100).cast("long").alias("tokens"), F.col("value").alias("token_credits")
     )
     out, check = fresh_path(s, "hourly"), fresh_path(s, "hourly-checkpoint")
-    X.write_updates(X.hourly_usage(usage), out, check).awaitTermination()
-    return X.latest_values(s, out, ["hour", "agent_name"]).withColumn("total_credits", F.round("total_credits", 6))
+    X.write_updates(X.hourly_usage(usage), out, check, ["hour", "agent_name"]).awaitTermination()
+    return X.latest_values(s, out).withColumn("total_credits", F.round("total_credits", 6))
 
 
 @query("x2_stream_dedupe", "SELECT event_type, count(*) AS events, round(sum(value), 6) AS value FROM events GROUP BY 1")

@@ -2,7 +2,7 @@
 
 Plain Parquet has no row update, so a change is a new DataFrame: the functions that
 take a ``target`` frame return the whole new state, and the caller writes it to a
-new path (or, when the table is partitioned, over the partitions it touches).
+new path. Functions that take a path change a table of versioned parts.
 """
 
 from __future__ import annotations
@@ -13,9 +13,11 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from clearplate.functions.latest import join_null_safe, top_per_key
+from clearplate.session import written
+from clearplate.sources import versions
 
 RATINGS = ("up", "down")
-MAX_BUCKETS = 4096
+BUCKETS = 16
 
 
 class RowCountMismatch(RuntimeError):
@@ -33,20 +35,29 @@ def full_refresh(df: DataFrame, path: str) -> int:
     return stored
 
 
-def replace_by_key(df: DataFrame, path: str, key: str) -> None:
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    """The part of a row in a table cut by key; choose ``buckets`` so that one is some 100 MB."""
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets))
+
+
+def _touched(df: DataFrame, part: Column) -> DataFrame:
+    return df.select(part.cast("string").alias(versions.PART)).distinct()
+
+
+def replace_by_key(df: DataFrame, path: str, key: str, buckets: int = BUCKETS) -> None:
     """Replace all rows of each ``key`` value in ``df``; other values stay. Re-running changes nothing.
 
-    The key is the partition column. Rows of one key are spread over many writers
-    by a second column, so that one large source does not fall to one task.
+    The table is cut by a hash of all columns, so one large key is many parts. Only parts that
+    hold old rows of the keys, or get new ones, are written anew, as one change.
     """
-    spread = F.pmod(F.xxhash64(*[c for c in df.columns if c != key]), F.lit(64))
-    (
-        df.repartition(key, spread)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(key)
-        .parquet(path)
-    )
+    df = written(df, "new-rows")  # read several times below
+    versions.create(df, path)
+    part = bucket_of(df.columns, buckets)
+    held = versions.read(df.sparkSession, path)
+    keys = df.select(key).distinct()
+    parts = written(_touched(df, part).unionByName(_touched(held.join(keys, key, "left_semi"), part)).distinct(), "parts")
+    stay = versions.read(df.sparkSession, path, parts).join(keys, key, "left_anti")
+    versions.replace(stay.unionByName(df), path, part, parts)
 
 
 def last_update_wins(updates: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -76,20 +87,11 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], keep_on_u
     return joined.select(*out)
 
 
-def upsert_partitions(path: str, updates: DataFrame, keys: Sequence[str], bucket: str, keep_on_update: Sequence[str] = ("created_at",)) -> None:
-    """Upsert into a table partitioned by ``bucket``, rewriting only the touched partitions.
-
-    ``bucket`` is a function of ``keys`` with few values (a hash modulo). Up to
-    ``MAX_BUCKETS`` of them become a literal list, which prunes the scan of the target.
-    """
-    target = updates.sparkSession.read.parquet(path)
-    values = [r[0] for r in updates.select(bucket).distinct().limit(MAX_BUCKETS + 1).collect()]
-    if len(values) <= MAX_BUCKETS:
-        touched = target.filter(F.col(bucket).isin(values))
-    else:
-        touched = target.join(updates.select(bucket).distinct(), bucket, "left_semi")
-    merged = upsert(touched, updates, [*keys, bucket], keep_on_update)
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(bucket).parquet(path)
+def upsert_partitions(path: str, updates: DataFrame, keys: Sequence[str], buckets: int = BUCKETS, keep_on_update: Sequence[str] = ("created_at",)) -> None:
+    """Upsert into a table cut by a hash of ``keys``; only the touched parts are read and written anew, as one change."""
+    part = bucket_of(keys, buckets)
+    held = versions.read(updates.sparkSession, path, _touched(updates, part))
+    versions.replace(upsert(held, updates, keys, keep_on_update), path, part)
 
 
 def delete_where(target: DataFrame, doomed: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -141,11 +143,18 @@ def correct_fact(target: DataFrame, changes: DataFrame) -> DataFrame:
     return correct(target, changes, ["user_id", "fact_key"])
 
 
-def load_audit(written: DataFrame, job: str, run_id: str, event_time, inputs: Sequence[Mapping[str, str]], output: str, mode: str = "OVERWRITE") -> DataFrame:
+def write_audited(df: DataFrame, path: str, audit_path: str, job: str, run_id: str, event_time, inputs: Sequence[Mapping[str, str]], output: str, mode: str = "OVERWRITE") -> None:
+    """Write a table and append one row that records the load; the rows are counted while they are written."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode.lower()).parquet(path)
+    append(audit_row(df, seen.get["rows"], job, run_id, event_time, inputs, output, mode), audit_path)
+
+
+def audit_row(df: DataFrame, rows: int, job: str, run_id: str, event_time, inputs: Sequence[Mapping[str, str]], output: str, mode: str = "OVERWRITE") -> DataFrame:
     """One row that records a load: run, time, inputs, output, columns, row count, mode."""
-    fields = [F.struct(F.lit(f.name).alias("name"), F.lit(f.dataType.simpleString()).alias("type")) for f in written.schema]
+    fields = [F.struct(F.lit(f.name).alias("name"), F.lit(f.dataType.simpleString()).alias("type")) for f in df.schema]
     sources = [F.struct(*[F.lit(i[k]).alias(k) for k in ("namespace", "name")]) for i in inputs]
-    return written.agg(F.count(F.lit(1)).alias("row_count")).select(
+    return df.sparkSession.range(1).select(
         F.lit(run_id).alias("run_id"),
         F.lit("COMPLETE").alias("event_type"),
         F.lit(event_time).cast("timestamp_ntz").alias("event_time"),
@@ -153,7 +162,7 @@ def load_audit(written: DataFrame, job: str, run_id: str, event_time, inputs: Se
         F.array(*sources).alias("inputs"),
         F.lit(output).alias("output"),
         F.array(*fields).alias("columns"),
-        "row_count",
+        F.lit(rows).cast("long").alias("row_count"),
         F.lit(mode).alias("lifecycle_state"),
     )
 

@@ -1,0 +1,69 @@
+"""Partitioned tables on plain Parquet whose changes appear whole or not at all.
+
+A change writes the new content of the parts it touches into a folder of its own, and then
+appends one small file to a log that names the version of each part. Readers take, for
+each part, the version logged last. A change that fails half-way has logged nothing and is
+never seen; the same change made again is harmless. One writer at a time is assumed.
+Superseded versions stay until the table is written anew to another path.
+"""
+
+from __future__ import annotations
+
+import os
+from functools import reduce
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+PART, VERSION, NUMBER = "_part", "_version", "_n"
+
+
+def _there(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return None
+
+
+def create(df: DataFrame, path: str) -> None:
+    """An empty table with the columns of ``df``, unless there is one."""
+    df.limit(0).write.mode("ignore").parquet(f"{path}/columns")
+
+
+def read(spark: SparkSession, path: str, parts: DataFrame | None = None) -> DataFrame:
+    """The table as last logged, or only the parts listed in the column ``_part`` of ``parts``.
+
+    Parts and versions are folder names, so the join prunes the scan to the live folders.
+    """
+    columns = spark.read.parquet(f"{path}/columns")
+    log = _there(spark, f"{path}/log")
+    if log is None:
+        return columns
+    live = log.groupBy(PART).agg(F.max_by(VERSION, NUMBER).alias(VERSION))
+    if parts is not None:
+        live = live.join(parts.select(PART).distinct(), PART, "left_semi")
+    schema = T.StructType([*columns.schema.fields, T.StructField(PART, T.StringType()), T.StructField(VERSION, T.StringType())])
+    return spark.read.schema(schema).parquet(f"{path}/data").join(live, [PART, VERSION], "left_semi").select(columns.columns)
+
+
+def replace(df: DataFrame, path: str, part: Column, touched: DataFrame | None = None) -> None:
+    """Make ``df`` the content of the parts its rows fall in by the expression ``part``; other parts stay.
+
+    Parts listed in ``touched`` (column ``_part``) that get no row are empty from then on.
+    """
+    spark = df.sparkSession
+    create(df, path)
+    log = _there(spark, f"{path}/log")
+    number = 0 if log is None else log.agg(F.max(NUMBER)).first()[0] + 1
+    version = f"v{number}-{os.urandom(4).hex()}"
+    placed = df.select(*spark.read.parquet(f"{path}/columns").columns, part.cast("string").alias(PART))
+    placed.withColumn(VERSION, F.lit(version)).repartition(PART).write.mode("append").partitionBy(VERSION, PART).parquet(f"{path}/data")
+    new = _there(spark, f"{path}/data/{VERSION}={version}")
+    named = [] if new is None else [new.select(F.col(PART).cast("string").alias(PART))]
+    named += [] if touched is None else [touched.select(PART)]
+    if named:
+        reduce(DataFrame.unionByName, named).distinct().select(PART, F.lit(version).alias(VERSION), F.lit(number).cast("long").alias(NUMBER)).coalesce(1).write.mode("append").parquet(f"{path}/log")

@@ -14,7 +14,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from clearplate.functions.latest import top_per_key
 from clearplate.operators.facts import latest_events, live
+from clearplate.sources import versions
+from clearplate.sources.tables import bucket_of
 
+# Parts of a state table; choose so many that one is some 100 MB.
 STATE_BUCKETS = 16
 
 
@@ -28,18 +31,19 @@ def hourly_usage(usage: DataFrame, late: str = "1 hour") -> DataFrame:
     )
 
 
-def write_updates(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Append every changed row with the number of its batch; a repeated batch overwrites its own folder."""
+def write_updates(df: DataFrame, path: str, checkpoint: str, keys: Sequence[str], trigger: dict | None = None, buckets: int = STATE_BUCKETS) -> StreamingQuery:
+    """Keep the last value of every changed row. A batch rewrites only the parts it touches; a repeated batch changes nothing."""
+    versions.create(df.sparkSession.createDataFrame([], df.schema).withColumn("batch", F.lit(0).cast("long")), path)
 
     def save(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        merge_latest(batch.sparkSession, path, batch.withColumn("batch", F.lit(number).cast("long")), keys, ["batch"], buckets)
 
     return df.writeStream.outputMode("update").foreachBatch(save).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
-def latest_values(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """Current row per key out of the updates written so far."""
-    return top_per_key(spark.read.parquet(path), keys, [F.desc("batch")]).drop("batch")
+def latest_values(spark: SparkSession, path: str) -> DataFrame:
+    """Current row per key: what the updates have left, one row each."""
+    return versions.read(spark, path).drop("batch")
 
 
 def dedupe_stream(records: DataFrame, keys: Sequence[str], time: str, late: str = "1 hour") -> DataFrame:
@@ -47,33 +51,28 @@ def dedupe_stream(records: DataFrame, keys: Sequence[str], time: str, late: str
     return records.withWatermark(time, late).dropDuplicatesWithinWatermark(list(keys))
 
 
-def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int = STATE_BUCKETS) -> DataFrame:
-    return df.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
-
-
-def merge_latest(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], order: Sequence[str]) -> None:
+def merge_latest(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], order: Sequence[str], buckets: int = STATE_BUCKETS) -> None:
     """Merge a batch into a table that holds the newest row per key.
 
-    Only the buckets the batch touches are read and rewritten. Merging the same batch
-    again changes nothing, so a batch repeated after a failure is harmless.
+    The table is cut by a hash of the keys, and only the parts that the batch touches are
+    read and written anew, as one change. A change that fails half-way is never seen, and
+    merging the same batch again changes nothing.
     """
     newest = [F.col(c).desc_nulls_last() for c in order]
-    incoming = with_bucket(top_per_key(batch, keys, newest), keys)
-    touched = [r[0] for r in incoming.select("bucket").distinct().collect()]  # at most STATE_BUCKETS values
-    if not touched:
-        return
-    held = spark.read.schema(incoming.schema).parquet(path).filter(F.col("bucket").isin(touched)).select(*incoming.columns)
-    merged = top_per_key(held.unionByName(incoming), keys, newest)
-    merged.repartition("bucket", *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+    part = bucket_of(keys, buckets)
+    incoming = top_per_key(batch, keys, newest)
+    versions.create(incoming, path)
+    held = versions.read(spark, path, incoming.select(part.cast("string").alias(versions.PART)))
+    versions.replace(top_per_key(held.unionByName(incoming), keys, newest), path, part)
 
 
-def latest_wins_stream(records: DataFrame, path: str, checkpoint: str, keys: Sequence[str], order: Sequence[str]) -> StreamingQuery:
+def latest_wins_stream(records: DataFrame, path: str, checkpoint: str, keys: Sequence[str], order: Sequence[str], buckets: int = STATE_BUCKETS) -> StreamingQuery:
     """Keep the newest version of each record in a table."""
     spark = records.sparkSession
-    with_bucket(spark.createDataFrame([], records.schema), keys).write.mode("ignore").partitionBy("bucket").parquet(path)
+    versions.create(spark.createDataFrame([], records.schema), path)
 
     def merge(batch: DataFrame, number: int) -> None:
-        merge_latest(spark, path, batch, keys, order)
+        merge_latest(spark, path, batch, keys, order, buckets)
 
     return records.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -84,4 +83,4 @@ def fact_state_stream(events: DataFrame, path: str, checkpoint: str, order: Sequ
 
 
 def fact_state(spark: SparkSession, path: str, order: Sequence[str] = ("ts",)) -> DataFrame:
-    return live(latest_events(spark.read.parquet(path), order)).select("user_id", "fact_key", "fact_value", *order)
+    return live(latest_events(versions.read(spark, path), order)).select("user_id", "fact_key", "fact_value", *order)

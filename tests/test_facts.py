@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 import pytest
 from conftest import rows
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from clearplate.operators import evaluation as E
 from clearplate.operators import facts as U
 from clearplate.sources import tables as T
+from clearplate.sources import versions
 
 DAY = dt.datetime(2024, 1, 1)
 FACT = "user_id string, fact_key string, fact_value string, category string, fact_embedding array<float>, created_at timestamp_ntz, updated_at timestamp_ntz"
@@ -49,7 +51,44 @@ def test_delete_insert_correct(spark, tmp_path):
     assert T.full_refresh(target, str(tmp_path / "t")) == 3
     T.replace_by_key(target, str(tmp_path / "p"), "user_id")
     T.replace_by_key(target.filter("user_id = 'u' AND fact_key = 'a'"), str(tmp_path / "p"), "user_id")
-    assert rows(spark.read.parquet(str(tmp_path / "p")), "user_id", "fact_key") == [("u", "a"), ("v", "a")]
+    assert rows(versions.read(spark, str(tmp_path / "p")), "user_id", "fact_key") == [("u", "a"), ("v", "a")]
+
+
+def test_a_change_that_fails_is_never_seen(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first = spark.createDataFrame([(i, "old") for i in range(50)], "id long, v string")
+    part = T.bucket_of(["id"], 4)
+    versions.replace(first, path, part)
+    broken = first.select("id", F.when(F.col("id") == 33, F.raise_error(F.lit("lost"))).otherwise("new").alias("v"))
+    with pytest.raises(Exception, match="lost"):
+        versions.replace(broken, path, part)
+    assert rows(versions.read(spark, path)) == rows(first)
+    versions.replace(first.filter("id < 40").withColumn("v", F.lit("new")), path, part, first.select(part.cast("string").alias(versions.PART)))
+    assert {r.v for r in versions.read(spark, path).collect()} == {"new"} and versions.read(spark, path).count() == 40
+    versions.replace(first.limit(0), path, part, first.select(part.cast("string").alias(versions.PART)))
+    assert versions.read(spark, path).count() == 0
+
+
+def test_upsert_reads_touched_parts_only(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first = spark.createDataFrame([(i, "old", DAY) for i in range(50)], "id long, v string, created_at timestamp_ntz")
+    versions.replace(first, path, T.bucket_of(["id"], T.BUCKETS))
+    for _ in range(2):
+        T.upsert_partitions(path, first.filter("id = 7").withColumn("v", F.lit("new")).unionByName(first.filter("id = 8").withColumn("id", F.lit(80).cast("long"))), ["id"])
+    got = {r.id: r.v for r in versions.read(spark, path).collect()}
+    assert len(got) == 51 and got[7] == "new" and got[80] == "old"
+
+
+def test_recall_of_one_user_with_nearly_everything(spark):
+    rng = random.Random(4)
+    vec = lambda: [rng.gauss(0, 1) for _ in range(4)]
+    held = [("u" if i % 20 else f"w{i}", f"k{i}", f"v{i}", "general", vec(), DAY) for i in range(400)]
+    df = spark.createDataFrame(held, "user_id string, fact_key string, fact_value string, category string, fact_embedding array<double>, updated_at timestamp_ntz")
+    q = spark.createDataFrame([(i, "u", vec()) for i in range(60)], "query_id long, user_id string, embedding array<double>")
+    small = rows(U.recall(q, df, cell_facts=30, block_queries=7))
+    assert small == rows(U.recall(q, df)) and len(small) > 200
+    plan = U.recall(q, df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan") <= 4
 
 
 def test_ratings(spark):

@@ -146,8 +146,8 @@ def test_late_rows_are_dropped(spark, tmp_path):
         spark.createDataFrame(part, schema).coalesce(1).write.parquet(str(source / f"b{i}"))
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(source))
     out = str(tmp_path / "out")
-    X.write_updates(X.hourly_usage(stream), out, str(tmp_path / "check")).awaitTermination()
-    got = {r.hour.hour: r.total_tokens for r in X.latest_values(spark, out, ["hour", "agent_name"]).collect()}
+    X.write_updates(X.hourly_usage(stream), out, str(tmp_path / "check"), ["hour", "agent_name"]).awaitTermination()
+    got = {r.hour.hour: r.total_tokens for r in X.latest_values(spark, out).collect()}
     assert got == {10: 1, 20: 10}
 
 
