@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clearplate.functions.latest import keep_computed, neighbour, top_per_key
-from clearplate.functions.text import strip
+from clearplate.functions.text import strip, terms
 from clearplate.functions.vector import cosine
 from clearplate.operators.retrieval import first_k, numbers_below, stacked, unit_rows
 from clearplate.session import written
@@ -22,6 +22,7 @@ CATEGORIES = ["location", "preference", "identity", "analytical", "general"]
 DEFAULT_RESULTS, MAX_RESULTS, THRESHOLD = 5, 10, 0.3
 # Facts and queries of a user that meet in one matrix product.
 CELL_FACTS, BLOCK_QUERIES = 20_000, 2048
+VECTOR_SIZE = 64
 TOMBSTONE = "REMOVE"
 CONTEXT_HEADER = (
     "The following facts about this user are known and should be used "
@@ -100,9 +101,31 @@ def embed_text() -> Column:
     return F.concat("fact_key", F.lit(": "), "fact_value")
 
 
+def hashed_vectors(facts: DataFrame, size: int = VECTOR_SIZE) -> DataFrame:
+    """Facts (one per user and key) with a vector made from their text, where no model gives one.
+
+    Terms of "key: value" are hashed to ``size`` places and weighted by how often they occur
+    and in how few of these facts; the vector has length 1, or is zero for a fact without terms.
+    """
+    keys = ["user_id", "fact_key"]
+    each = facts.select(*keys, F.explode(terms(embed_text())).alias("term")).groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf"))
+    rare = each.groupBy("term").agg(F.log((facts.agg(F.count(F.lit(1)).alias("n")).scalar() + 1) / (F.count(F.lit(1)) + 1)).alias("idf"))
+    place = (F.conv(F.substring(F.md5(F.col("term").cast("binary")), 1, 8), 16, 10).cast("long") % size).cast("int")
+    placed = each.join(rare, "term").groupBy(*keys, place.alias("place")).agg(F.sum(F.col("tf") * (F.col("idf") + 1)).alias("w"))
+    whole = placed.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("place", "w"))).alias("_w"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
+    spread = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.coalesce(F.try_element_at("_w", i) / F.col("_norm"), F.lit(0.0)).cast("float"))
+    return facts.drop("fact_embedding").join(whole, keys, "left").withColumn("fact_embedding", spread).drop("_w", "_norm")
+
+
 def store_facts(target: DataFrame, facts: DataFrame, order: Sequence[Column]) -> DataFrame:
-    """Normalise a batch, keep the last fact per key, and upsert it. Vectors come with the batch."""
+    """Normalise a batch, keep the last fact per key, and upsert it.
+
+    Vectors come with the batch; if it has none and the target does, they are made from the
+    text, so a changed value has a new vector.
+    """
     batch = tables.last_update_wins(normalise_facts(facts), ["user_id", "fact_key"], order)
+    if "fact_embedding" in target.columns and "fact_embedding" not in facts.columns:
+        batch = hashed_vectors(batch.select("user_id", "fact_key", *[c for c in batch.columns if c in target.columns and c not in ("user_id", "fact_key")]))
     return tables.upsert(target, batch, ["user_id", "fact_key"])
 
 

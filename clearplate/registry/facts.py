@@ -143,9 +143,39 @@ def messy(s, d):
 
 _NORMAL = r"SELECT user_id, replace(lower(trim(fact_key, E' \t')), ' ', '_') AS fact_key, trim(fact_value) AS fact_value, CASE WHEN category = ' LOCATION ' THEN 'location' ELSE 'general' END AS category FROM messy WHERE trim(fact_value) <> ''"
 query("u1_normalise_facts", _MESSY + _NORMAL)(lambda s, d: U.normalise_facts(messy(s, d)))
-query("u2_store_facts", _MESSY + f", n AS ({_NORMAL}) SELECT user_id, fact_key, max(fact_value) AS fact_value, arg_max(category, (fact_value, category)) AS category FROM n GROUP BY 1, 2")(
-    lambda s, d: U.store_facts(messy(s, d).limit(0), messy(s, d), [F.desc("fact_value"), F.desc("category")])
+_TERMS = r"list_filter(regexp_split_to_array(lower(fact_key || ': ' || fact_value), '[^\p{L}\p{N}]+'), lambda t: t <> '')"
+
+
+def _vectors(name: str, table: str) -> str:
+    """Hashed vectors of a table of facts, as whole ten-thousandths."""
+    return f"""{name}_each AS (SELECT user_id, fact_key, term, count(*) AS tf FROM (SELECT user_id, fact_key, unnest({_TERMS}) AS term FROM {table}) GROUP BY ALL),
+{name}_rare AS (SELECT term, ln(((SELECT count(*) FROM {table}) + 1)::double / (count(*) + 1)) + 1 AS idf FROM {name}_each GROUP BY 1),
+{name}_places AS (SELECT user_id, fact_key, ('0x' || substr(md5(term), 1, 8))::bigint % 64 AS place, sum(tf * idf) AS w FROM {name}_each JOIN {name}_rare USING (term) GROUP BY ALL),
+{name} AS (SELECT user_id, fact_key, array_to_string(list_transform(range(64), lambda i: round((coalesce(m[i], 0) / norm)::float * 1000)::bigint), '|') AS vector
+  FROM (SELECT user_id, fact_key, map_from_entries(list((place, w))) AS m, sqrt(sum(w * w)) AS norm FROM {name}_places GROUP BY 1, 2))"""
+
+
+# Stored before: a third of the keys with other values, and keys that the batch does not have.
+_STORED = """stored AS (SELECT user_id, fact_key, 'stored value' AS fact_value, 'general' AS category FROM batch WHERE length(fact_key) % 3 = 0
+  UNION ALL SELECT user_id, 'only_stored_' || fact_key, 'kept ' || fact_value, category FROM batch WHERE length(fact_key) % 4 = 0)"""
+
+
+@query(
+    "u2_store_facts", _MESSY + f""", n AS ({_NORMAL}), batch AS (SELECT user_id, fact_key, max(fact_value) AS fact_value, arg_max(category, (fact_value, category)) AS category FROM n GROUP BY 1, 2), {_STORED},
+{_vectors('bv', 'batch')}, {_vectors('sv', 'stored')}
+SELECT user_id, fact_key, coalesce(b.fact_value, s.fact_value) AS fact_value, coalesce(b.category, s.category) AS category, coalesce(bv.vector, sv.vector) AS vector
+  FROM batch b FULL JOIN stored s USING (user_id, fact_key) LEFT JOIN bv USING (user_id, fact_key) LEFT JOIN sv USING (user_id, fact_key)""",
 )
+def _(s, d):
+    """A batch into a store that has some of its keys with older values and vectors, and other keys."""
+    order = [F.desc("fact_value"), F.desc("category")]
+    batch = tables.last_update_wins(U.normalise_facts(messy(s, d)), ["user_id", "fact_key"], order)
+    old = batch.filter(F.length("fact_key") % 3 == 0).select("user_id", "fact_key", F.lit("stored value").alias("fact_value"), F.lit("general").alias("category"))
+    other = batch.filter(F.length("fact_key") % 4 == 0).select("user_id", F.concat(F.lit("only_stored_"), "fact_key").alias("fact_key"), F.concat(F.lit("kept "), "fact_value").alias("fact_value"), "category")
+    after = U.store_facts(U.hashed_vectors(old.unionByName(other)), messy(s, d), order)
+    return after.select("user_id", "fact_key", "fact_value", "category", F.transform("fact_embedding", lambda x: F.round(x * 1000).cast("long")).alias("vector"))
+
+
 query("u3_facts_of_user", _FACTS + "SELECT fact_key, fact_value FROM facts WHERE user_id = '3'")(lambda s, d: U.facts_of(bind.memory_vectors(s, d), "3"))
 _HEADER = U.CONTEXT_HEADER.replace("\n", "")
 query(
