@@ -18,7 +18,6 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 import sentencepiece
@@ -58,7 +57,10 @@ class PieceCodec:
         size = sp.get_piece_size()
         self.seed = model.seed
         self.bytes_of: list[bytes] = [b""] * size
-        byte_ids, words, rank = {}, ahocorasick.Automaton(), 0
+        byte_ids, rank = {}, 0
+        # The vocabulary as a tree: (node, character) to node, and the piece that ends at a node.
+        step_to: dict[int, int] = {}
+        piece_at = [-1]
         self.log_p, self.length = np.zeros(size), np.zeros(size, np.int64)
         newline = False
         for i in range(size):
@@ -71,9 +73,16 @@ class PieceCodec:
                 rank += 1
                 self.bytes_of[i], self.length[i], self.log_p[i] = plain.encode(), len(plain), -model.alpha * np.log(rank + 2.0)
                 newline |= "\n" in plain
-                words.add_word(plain, i)
-        words.make_automaton()
-        self.words, self.byte_ids = words, np.array([byte_ids[b] for b in range(256)])
+                node = 0
+                for char in plain:
+                    node = step_to.setdefault(node << 21 | ord(char), len(piece_at))
+                    if node == len(piece_at):
+                        piece_at.append(-1)
+                piece_at[node] = i
+        self.steps = np.array(sorted(step_to), np.int64)
+        self.nodes_to = np.array([step_to[k] for k in self.steps.tolist()], np.int64)
+        self.piece_at = np.array(piece_at, np.int64)
+        self.byte_ids = np.array([byte_ids[b] for b in range(256)])
         self.log_p[self.byte_ids] = -model.alpha * np.log(size + 2.0)
         self.unit = re.compile(r" *[^ ]+| +" if newline else r" *[^ \n]+|\n| +")
         # Characters outside the vocabulary: ids from ``size`` on, each standing for its bytes.
@@ -92,15 +101,31 @@ class PieceCodec:
             self.other_bytes.append(self.byte_ids[np.frombuffer(char.encode("utf-8", "surrogatepass"), np.uint8)])
         return self.other_ids[char]
 
+    def _matches(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """End and id of every piece at every place of a text: all places walk down the tree together."""
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        start, node, depth = np.arange(len(points)), np.zeros(len(points), np.int64), 0
+        ends, found = [], []
+        while len(start):
+            key = node << 21 | points[start + depth]
+            at = np.minimum(np.searchsorted(self.steps, key), len(self.steps) - 1)
+            hit = self.steps[at] == key
+            start, node, depth = start[hit], self.nodes_to[at[hit]], depth + 1
+            piece = self.piece_at[node]
+            whole = piece >= 0
+            ends.append(start[whole] + depth)
+            found.append(piece[whole])
+            inside = start + depth < len(points)
+            start, node = start[inside], node[inside]
+        return np.concatenate(ends), np.concatenate(found)
+
     def _add(self, units: list[str]) -> None:
         """Forward filtering of new units: cumulative draw probabilities of the pieces that end at each character."""
         joined = "\0".join(units) + "\0"
         n = np.fromiter(map(len, units), np.int64, len(units))
         at = np.cumsum(n + 1) - n - 1
         owner = np.repeat(np.arange(len(units)), n + 1)
-        found = list(self.words.iter(joined))
-        end = np.fromiter((e for e, _ in found), np.int64, len(found)) + 1
-        piece = np.fromiter((i for _, i in found), np.int64, len(found))
+        end, piece = self._matches(joined)
         step = self.length[piece]
         covered = np.zeros(len(joined) + 1, bool)
         covered[end[step == 1]] = True
