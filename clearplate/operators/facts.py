@@ -134,7 +134,11 @@ def facts_of(facts: DataFrame, user_id: str) -> DataFrame:
 
 
 def context_text(users: DataFrame, facts: DataFrame) -> DataFrame:
-    """The known facts of each user as one text, '' for a user without facts."""
+    """The known facts of each user as one text, '' for a user without facts.
+
+    A user has one fact per key, and the result is one text of them all, so what is gathered
+    for a user is never more than the text that is asked for.
+    """
     line = F.concat(F.lit("  - "), F.replace("fact_key", F.lit("_"), F.lit(" ")), F.lit(": "), "fact_value")
     per_user = facts.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("fact_key", line.alias("line")))).alias("_lines"))
     body = F.array_join(F.transform("_lines", lambda e: e["line"]), "\n")

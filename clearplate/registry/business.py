@@ -1,4 +1,7 @@
-"""Registered queries: data checks, semantic layer, standing questions, further analytics."""
+"""Registered queries: data checks, semantic layer, standing questions, further analytics.
+
+Fixed values: the output columns, thresholds and first-k limits of the standing questions.
+"""
 
 from __future__ import annotations
 

@@ -1,4 +1,7 @@
-"""Registered queries: usage, cost, audit and feedback reports."""
+"""Registered queries: usage, cost, audit and feedback reports.
+
+Fixed values: the output columns of the reports, and the window lengths in their module.
+"""
 
 from __future__ import annotations
 

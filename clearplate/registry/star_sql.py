@@ -1,4 +1,7 @@
-"""The star schema as SQL for the checking engine: a shared chain of CTEs."""
+"""The star schema as SQL for the checking engine: a shared chain of CTEs.
+
+Fixed values: the names of columns and models, the labels, and the recipes of the keys.
+"""
 
 from __future__ import annotations
 
