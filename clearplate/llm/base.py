@@ -46,6 +46,11 @@ def pack(docs: DataFrame, **added: Column) -> DataFrame:
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), *[c.alias(n) for n, c in added.items()])
 
 
+def id_key(doc_id: str) -> Column:
+    """An id as text that is never null, so that a join on it needs no null-safe form and leaves rows of one key together."""
+    return F.coalesce(F.concat(F.lit("="), F.col(doc_id).cast("string")), F.lit(""))
+
+
 def fold_of(doc_id: str, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; null for a null id."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearplate.llm.base import SPACE, filled, pack, query, table
+from clearplate.llm.base import SPACE, filled, id_key, pack, query, table
 from clearplate.session import dir_tag, fresh_path, written
 
 INDEX_COLUMNS = "digest BINARY, keep_id BIGINT, keep_points BIGINT"
@@ -80,10 +80,9 @@ def drop_copies(docs: DataFrame, index: DigestIndex, doc_id: str = "doc_id", tex
     The text is shuffled once, by id and digest, so copies of one text go to many tasks.
     Rows with one id and equal texts count as one row. Columns of any name pass through.
     """
-    kept = dedupe(docs, index, doc_id, text).filter("kept").select(F.col("doc_id").alias("keep_id"), F.unhex("text_sha256").alias("keep_digest"))
-    rows = pack(docs, id=F.col(doc_id).cast("long"), digest=text_digest(text))
-    same = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("digest") == F.col("keep_digest"))
-    return rows.join(written(kept, "kept"), same).dropDuplicates(["id", "digest"]).select("doc.*")
+    kept = dedupe(docs, index, doc_id, text).filter("kept").select(id_key("doc_id").alias("key"), F.unhex("text_sha256").alias("digest"))
+    rows = pack(docs, key=id_key(doc_id), digest=text_digest(text))
+    return rows.join(written(kept, "kept"), ["key", "digest"]).dropDuplicates(["key", "digest"]).select("doc.*")
 
 
 SQL = r"""

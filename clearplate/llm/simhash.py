@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearplate.llm.base import filled, pack, query, slots, table
+from clearplate.llm.base import filled, id_key, pack, query, slots, table
 from clearplate.llm.components import components
 from clearplate.session import written
 
@@ -203,9 +203,9 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bits:
     An id stands for one document: of repeated rows with one id, one stays. Where all ids
     of a group are null, one of its rows stays.
     """
-    kept = near_duplicates(docs, doc_id, text, bits).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("keep_id")).distinct()
-    rows = pack(docs, id=F.col(doc_id).cast("long"))
-    return rows.join(written(kept, "kept"), F.col("id").eqNullSafe(F.col("keep_id"))).dropDuplicates(["id"]).select("doc.*")
+    kept = near_duplicates(docs, doc_id, text, bits).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(id_key("doc_id").alias("key")).distinct()
+    rows = pack(docs, key=id_key(doc_id))
+    return rows.join(written(kept, "kept"), "key").dropDuplicates(["key"]).select("doc.*")
 
 
 @query("op9_simhash")
