@@ -31,6 +31,7 @@ CUTOFF = 45.0
 # Median of the chi-squared distribution with five degrees of freedom.
 CHI2_MEDIAN = 4.351
 BINS_PER_E = 32
+FILES = 4
 
 
 def _repeated(w: Column) -> Column:
@@ -94,7 +95,7 @@ def _grouped(stats: DataFrame, least: int) -> DataFrame:
     fine = stats.filter("not base_failed").groupBy("fine", "coarse").agg(F.count("*").alias("n"))
     fine = fine.withColumn("group", F.when(F.col("n") >= least, F.col("fine")).otherwise(F.col("coarse")))
     enough = fine.groupBy("group").agg(F.sum("n").alias("size")).filter(F.col("size") >= least).select("group")
-    keys = written(fine.join(enough, "group").select("fine", "group"), "groups")
+    keys = written(fine.join(enough, "group").select("fine", "group").coalesce(FILES), "groups")
     return stats.join(keys, "fine", "left")
 
 
@@ -155,14 +156,15 @@ def _robust_start(rows: DataFrame) -> DataFrame:
 def estimates(rows: DataFrame, share: float = KEEP_SHARE, steps: int = STEPS) -> DataFrame:
     """Minimum-covariance-determinant estimate by ``group``, with the distances' scale ``c``."""
     every = _estimate(rows.groupBy("group").agg(*_moments()), "group")
-    now = written(_robust_start(rows).unionByName(every.withColumn("start", F.lit("all"))), "start")
+    # Few files, so that Spark sees how small the estimates are and broadcasts them.
+    now = written(_robust_start(rows).unionByName(every.withColumn("start", F.lit("all"))).coalesce(FILES), "start")
     w = Window.partitionBy("group", "start")
     for step in range(steps + 1):
         bins = rows.join(now, "group").withColumn("bin", _bin(_distance())).groupBy("group", "start", "bin").agg(*_moments())
         bins = written(bins.select("*", F.sum("n").over(w.orderBy("bin")).alias("upto"), F.sum("n").over(w).alias("all")), "bins")
         if step < steps:
             near = bins.filter(F.col("upto") - F.col("n") < share * F.col("all"))
-            now = written(_estimate(_total(near, "group", "start"), "group", "start"), "step")
+            now = written(_estimate(_total(near, "group", "start"), "group", "start").coalesce(FILES), "step")
     middle = bins.groupBy("group", "start").agg(F.min(F.when(F.col("upto") >= 0.5 * F.col("all"), F.col("bin"))).alias("mid"))
     middle = middle.select("group", "start", (F.exp((F.col("mid") + 0.5) / BINS_PER_E) / CHI2_MEDIAN).alias("c"))
     p = len(STATS)
@@ -186,7 +188,7 @@ def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     stats = written(statistics(docs, doc_id, text, lang, source), "stats")
     stats = written(_grouped(stats, least), "grouped")
     fit = estimates(stats.filter("not base_failed and group is not null").select("group", *STATS))
-    joined = stats.join(written(fit, "fit"), "group", "left")
+    joined = stats.join(written(fit.coalesce(FILES), "fit"), "group", "left")
     distance = F.when(~F.col("base_failed"), _distance() / F.greatest(F.col("c"), F.lit(1.0)))
     out = joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", distance.alias("distance"))
     return out.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= cutoff, F.lit(True)))
