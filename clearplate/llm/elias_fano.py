@@ -1,8 +1,8 @@
 """Elias-Fano sequences over numpy arrays, with vectorised access and search, and their files.
 
 A monotone sequence of n numbers below u keeps the low log2(u / n) bits of each packed, and
-the high bits in unary, about two bits each. A directory over blocks of 512 bits finds the
-k-th one or zero. All queries take and return arrays, and work on memory-mapped parts.
+the high bits in unary, about two bits each. A directory of the ones before each 64-bit word
+finds the k-th one or zero. All queries take and return arrays, and work on memory-mapped parts.
 """
 
 from __future__ import annotations
@@ -14,13 +14,39 @@ import tempfile
 import numpy as np
 from pyarrow import fs
 
-_BLOCK = 512
+_WORD = 64
 _AT_ONCE = 8192  # queries whose intermediate arrays fit a processor's cache
 _BYTE_SELECT = np.full((256, 8), 8, np.uint8)
 for _b in range(256):
     for _k, _p in enumerate(p for p in range(8) if _b >> p & 1):
         _BYTE_SELECT[_b, _k] = _p
-_EIGHT = np.arange(8)
+
+_ONES, _TOPS = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
+_PAIRS, _FOURS, _BYTES = np.uint64(0x5555555555555555), np.uint64(0x3333333333333333), np.uint64(0x0F0F0F0F0F0F0F0F)
+_1, _2, _4, _8, _56, _63, _255 = (np.uint64(x) for x in (1, 2, 4, 8, 56, 63, 255))
+
+
+def _in_word(words: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """Place of the k-th one in each word: counts by byte, summed up to each byte in one product."""
+    s = words - ((words >> _1) & _PAIRS)
+    s = (s & _FOURS) + ((s >> _2) & _FOURS)
+    s = ((s + (s >> _4)) & _BYTES) * _ONES
+    k = k.astype(np.uint64)
+    place = np.bitwise_count(((k * _ONES | _TOPS) - s) & _TOPS).astype(np.uint64) << np.uint64(3)
+    rank = k - (((s << _8) >> place) & _255)
+    return place.astype(np.int64) + _BYTE_SELECT[((words >> place) & _255).astype(np.intp), rank.astype(np.intp)]
+
+
+def _window(words: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The 64 bits from each place on."""
+    word, shift = at >> 6, (at & 63).astype(np.uint64)
+    return (words[word] >> shift) | ((words[word + 1] << _1) << (_63 - shift))
+
+
+def _ones_first(words: np.ndarray) -> np.ndarray:
+    """How many ones each word begins with, from the low end."""
+    zeros = ~words
+    return np.bitwise_count((zeros & (~zeros + _1)) - _1).astype(np.int64)
 
 
 def _pack(values: np.ndarray, width: int) -> np.ndarray:
@@ -42,9 +68,8 @@ class EliasFano:
     def __init__(self, parts: dict[str, np.ndarray], name: str):
         self.n, self.width = (int(x) for x in parts[f"{name}.size"])
         self.low, self.high, self.ones = parts[f"{name}.low"], parts[f"{name}.high"], parts[f"{name}.ones"]
-        self.bytes = self.high.view(np.uint8)
         self.mask = np.uint64((1 << self.width) - 1)
-        self.words = np.append(np.asarray(self.ones), self.n)
+        self.zeros = np.arange(len(self.ones)) * _WORD - self.ones
 
     @staticmethod
     def build(values: np.ndarray, universe: int, name: str) -> dict[str, np.ndarray]:
@@ -54,34 +79,22 @@ class EliasFano:
         width = min(56, max(0, (universe // max(n, 1)).bit_length() - 1))
         high = (values >> np.uint64(width)).astype(np.int64)
         length = n + (universe >> width) + 2
-        bits = np.zeros((length + _BLOCK - 1) // _BLOCK * _BLOCK // 8 + 64, np.uint8)
+        bits = np.zeros((length + _WORD - 1) // _WORD * 8 + 16, np.uint8)
         place = high + np.arange(n)
-        starts = np.flatnonzero(np.concatenate(([True], (place[1:] >> 3) != (place[:-1] >> 3)))) if n else np.zeros(0, np.int64)
         if n:
+            starts = np.flatnonzero(np.concatenate(([True], (place[1:] >> 3) != (place[:-1] >> 3))))
             bits[place[starts] >> 3] = np.bitwise_or.reduceat((1 << (place & 7)).astype(np.uint8), starts)
         words = bits.view(np.uint64)
-        counts = np.bitwise_count(words).astype(np.int64).reshape(-1, 8).sum(axis=1)
-        ones = np.concatenate(([0], np.cumsum(counts)[:-1]))
+        ones = np.concatenate(([0], np.cumsum(np.bitwise_count(words), dtype=np.int64)[:-1]))
         low = _pack(values & np.uint64((1 << width) - 1), width) if width else np.zeros(1, np.uint64)
         return {f"{name}.size": np.array([n, width], np.int64), f"{name}.low": low, f"{name}.high": words, f"{name}.ones": ones}
 
     def _select(self, k: np.ndarray, one: bool) -> np.ndarray:
         """Position of the k-th one (or zero), counted from 0."""
-        before = self.ones if one else np.arange(len(self.ones)) * _BLOCK - self.ones
-        block = np.searchsorted(before, k, side="right") - 1
-        rest = k - before[block]
-        words = self.high[(block * 8)[:, None] + _EIGHT]
-        if not one:
-            words = ~words
-        upto = np.bitwise_count(words).cumsum(axis=1, dtype=np.int64)
-        word = (upto <= rest[:, None]).sum(axis=1)
-        rows = np.arange(len(k))
-        rest = rest - np.where(word > 0, upto[rows, np.maximum(word - 1, 0)], 0)
-        octets = np.ascontiguousarray(words[rows, word]).view(np.uint8).reshape(-1, 8)
-        upto = np.bitwise_count(octets).cumsum(axis=1, dtype=np.int64)
-        octet = (upto <= rest[:, None]).sum(axis=1)
-        rest = rest - np.where(octet > 0, upto[rows, np.maximum(octet - 1, 0)], 0)
-        return block * _BLOCK + word * 64 + octet * 8 + _BYTE_SELECT[octets[rows, octet], rest]
+        before = self.ones if one else self.zeros
+        word = np.searchsorted(before, k, side="right") - 1
+        words = self.high[word]
+        return word * _WORD + _in_word(words if one else ~words, k - before[word])
 
     def _low(self, i: np.ndarray) -> np.ndarray:
         if not self.width:
@@ -94,8 +107,22 @@ class EliasFano:
         """The numbers at places ``i``."""
         if not len(i):
             return np.zeros(0, np.int64)
-        high = (self._select(i, True) - i).astype(np.uint64)
-        return ((high << np.uint64(self.width)) | self._low(i)).astype(np.int64)
+        return self._value(self._select(i, True), i)
+
+    def _value(self, position: np.ndarray, i: np.ndarray) -> np.ndarray:
+        return (((position - i).astype(np.uint64) << np.uint64(self.width)) | self._low(i)).astype(np.int64)
+
+    def access_two(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers at places ``i`` and ``i + 1``: the next one lies few bits further."""
+        if not len(i):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        at = self._select(i, True)
+        gap = _ones_first(~_window(self.high, at + 1))
+        following = at + 1 + gap
+        far = np.flatnonzero(gap == _WORD)
+        if len(far):
+            following[far] = self._select(i[far] + 1, True)
+        return self._value(at, i), self._value(following, i + 1)
 
     def successor(self, x: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         """First place in ``begin..end`` with a number of at least ``x``; ``end`` if there is none."""
@@ -103,8 +130,14 @@ class EliasFano:
             return np.zeros(0, np.int64)
         x = x.astype(np.uint64)
         high = (x >> np.uint64(self.width)).astype(np.int64)
-        first = np.where(high > 0, self._select(np.maximum(high - 1, 0), False) - np.maximum(high - 1, 0), 0)
-        after = self._select(high, False) - high
+        # Numbers with these high bits are the ones right behind the zero that closes the bits before.
+        zero = np.where(high > 0, self._select(np.maximum(high - 1, 0), False), -1)
+        run = _ones_first(_window(self.high, zero + 1))
+        first = zero + 1 - high
+        after = first + run
+        far = np.flatnonzero(run == _WORD)
+        if len(far):
+            after[far] = self._select(high[far], False) - high[far]
         lo, hi = np.clip(first, begin, end), np.clip(after, begin, end)
         target = x & self.mask
         open_ = np.flatnonzero(lo < hi)

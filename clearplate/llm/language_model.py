@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -41,7 +42,7 @@ from clearplate.session import fresh_path, written
 MIN_COUNT = 2
 DISCOUNT = 0.75
 BATCH_CHARS = 1 << 20
-MAX_WORDS = 200_000
+MAX_WORDS = 400_000
 # One byte of log10: 0 is certainty, 255 the least.
 STEP = 0.045
 
@@ -57,16 +58,28 @@ def _code(p: np.ndarray) -> np.ndarray:
 _VALUE = -STEP * np.arange(256)
 
 
+class _Numbering(dict):
+    """Numbers words in the order they are first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 class Tokens:
-    """Hashes of the words of texts, each text closed by END; remembers recent words."""
+    """Words of texts as numbers of this process, each text closed by END; remembers recent words."""
 
     def __init__(self) -> None:
-        self.known: dict[bytes, int] = {}
+        self.known = _Numbering()
+        self.hashes = np.zeros(0, np.uint64)
+        self.era = 0
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of all tokens, and the number of tokens of each text."""
+        """Number of each token, an index of ``hashes``, and the tokens of each text. Beyond MAX_WORDS numbers start anew."""
         if len(self.known) > MAX_WORDS:
             self.known.clear()
+            self.hashes = self.hashes[:0]
+            self.era += 1
         words: list[bytes] = []
         sizes = []
         for t in texts:
@@ -74,10 +87,11 @@ class Tokens:
             words += own
             words.append(b" ")
             sizes.append(len(own) + 1)
-        known = self.known
-        for w in {w for w in words if w not in known}:
-            known[w] = xxhash.xxh64_intdigest(w)
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words)), np.array(sizes, np.int64)
+        codes = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        new = list(islice(self.known, len(self.hashes), None))
+        if new:
+            self.hashes = np.concatenate([self.hashes, np.fromiter(map(xxhash.xxh64_intdigest, new), np.uint64, len(new))])
+        return codes, np.array(sizes, np.int64)
 
 
 def _groups(texts: list[str]) -> Iterator[slice]:
@@ -199,18 +213,19 @@ class Level:
         return self.open[k]
 
     def by_key(self, keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        yield from self._split(np.searchsorted(self.firsts, keys.astype(np.uint64), side="right") - 1)
+        yield from self._split(keys.astype(np.uint64), self.firsts)
 
     def by_place(self, places: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        yield from self._split(np.searchsorted(np.array([s.base for s in self.shards]), places, side="right") - 1)
+        yield from self._split(places, np.array([s.base for s in self.shards]))
 
     @staticmethod
-    def _split(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        order = np.argsort(shard, kind="stable")
-        cuts = np.flatnonzero(np.diff(shard[order])) + 1
-        for rows in np.split(order, cuts):
-            if len(rows) and shard[rows[0]] >= 0:
-                yield int(shard[rows[0]]), rows
+    def _split(keys: np.ndarray, firsts: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """Rows by shard, in key order, so that look-ups go through a shard from front to back."""
+        order = np.argsort(keys, kind="stable")
+        cuts = np.append(np.searchsorted(keys[order], firsts), len(keys))
+        for k in range(len(firsts)):
+            if cuts[k] < cuts[k + 1]:
+                yield k, order[cuts[k] : cuts[k + 1]]
 
 
 class Trie:
@@ -222,6 +237,8 @@ class Trie:
         self.unknown, self.begin = model.distinct, model.distinct + 1  # ids beside the words'
         self.width = model.distinct + 2
         self.tokens_in = Tokens()
+        self.era = 0
+        self.recent = np.zeros((2, 0), np.int64)  # id and count of each number that tokens_in has given out
 
     def ids(self, hashes: np.ndarray) -> np.ndarray:
         """Word ids; ``unknown`` for words not seen."""
@@ -239,13 +256,14 @@ class Trie:
         """Training counts of words; of ``begin``, the number of texts; of ``unknown``, zero."""
         distinct, back = np.unique(ids, return_inverse=True)
         out = np.where(distinct == self.begin, self.m.texts, 0)
-        for k, rows in self.words.by_place(np.where(distinct < self.m.distinct, distinct, -1)):
+        for k, rows in self.words.by_place(np.where(distinct < self.m.distinct, distinct, -1)):  # -1 is in no shard
             out[rows] = self._count(self.words.part(k), distinct[rows] - self.words.shards[k].base)
         return out[back]
 
     @staticmethod
     def _count(part: dict, at: np.ndarray) -> np.ndarray:
-        return part["sums"].access(at + 1) - part["sums"].access(at)
+        before, upto = part["sums"].access_two(at)
+        return upto - before
 
     def _children(self, level: Level, contexts: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each context and word: place of the n-gram (-1 if absent), its code, and the context's left-over code."""
@@ -255,9 +273,8 @@ class Trie:
             relative = contexts[rows] - shard.first
             n = int(part["contexts"][0])
             rows, relative = rows[relative < n], relative[relative < n]
-            own, back = np.unique(relative, return_inverse=True)
-            start, stop = part["pointers"].access(own)[back], part["pointers"].access(own + 1)[back]
-            rest[rows] = part["rest"][own][back]
+            start, stop = part["pointers"].access_two(relative)
+            rest[rows] = part["rest"][relative]
             ask = np.flatnonzero((start < stop) & (words[rows] != self.unknown))
             at = part["children"].find(relative[ask] * self.width + words[rows[ask]], start[ask], stop[ask])
             hit = rows[ask[at >= 0]]
@@ -281,13 +298,19 @@ class Trie:
             count[rows] = self._count(part, at)
         return word, count
 
-    def chains(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Token ids of all texts, the id before each (``begin`` at a text's start), and tokens per text."""
-        hashes, sizes = self.tokens_in(texts)
-        ids = self.ids(hashes)
+    def chains(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Token ids of all texts, the id before each (``begin`` at a text's start), tokens per text, and training counts."""
+        codes, sizes = self.tokens_in(texts)
+        hashes = self.tokens_in.hashes
+        held = self.recent.shape[1] if self.era == self.tokens_in.era else 0
+        self.era = self.tokens_in.era
+        if held < len(hashes):
+            ids = self.ids(hashes[held:])
+            self.recent = np.concatenate([self.recent[:, :held], np.stack([ids, self.counts(ids)])], axis=1)
+        ids, counts = self.recent[:, codes]
         before = np.concatenate(([self.begin], ids[:-1]))
         before[np.concatenate(([0], np.cumsum(sizes)[:-1]))] = self.begin
-        return ids, before, sizes
+        return ids, before, sizes, counts
 
     def unigram(self, counts: np.ndarray) -> np.ndarray:
         return (counts + 1) / (self.m.tokens + self.m.distinct + 1)
@@ -339,7 +362,12 @@ def _count_words(docs: DataFrame, folder: str, buckets: int) -> tuple[list[Shard
 
     def word_keys():
         tokens = Tokens()
-        return lambda texts: tokens(texts)[0]
+
+        def keys(texts: list[str]) -> np.ndarray:
+            codes, _ = tokens(texts)
+            return tokens.hashes[codes]
+
+        return keys
 
     blocks = _counts_by_bucket(docs, word_keys, lambda keys: (keys >> np.uint64(64 - bits)).astype(np.int64))
 
@@ -441,7 +469,7 @@ def train(docs: DataFrame, folder: str, text: str = "text", shards: int | None =
         trie = _trie(shared.value)
 
         def keys(texts: list[str]) -> np.ndarray:
-            ids, before, _ = trie.chains(texts)
+            ids, before, _, _ = trie.chains(texts)
             return before.astype(np.uint64) * np.uint64(width) + ids.astype(np.uint64)
 
         return keys
@@ -456,7 +484,7 @@ def train(docs: DataFrame, folder: str, text: str = "text", shards: int | None =
         trie = _trie(shared_pairs.value)
 
         def keys(texts: list[str]) -> np.ndarray:
-            ids, before, _ = trie.chains(texts)
+            ids, before, _, _ = trie.chains(texts)
             place, _, _ = trie.pair(before, ids)
             context = np.concatenate(([-1], place[:-1]))
             use = np.flatnonzero((place >= 0) & (context >= 0) & (before != trie.begin))
@@ -485,8 +513,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         for batch in batches:
             texts = [t or "" for t in batch.column(0).field(at).to_pylist()]
             for part in _groups(texts):
-                ids, before, sizes = trie.chains(texts[part])
-                counts = trie.counts(ids)
+                ids, before, sizes, counts = trie.chains(texts[part])
                 starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
                 base = np.log10(trie.unigram(counts))
                 sums = [np.add.reduceat(x, starts) for x in ((counts > 0).astype(np.int64), base, trie.log_probabilities(ids, before, counts))]
