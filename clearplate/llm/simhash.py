@@ -21,6 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clearplate.llm.base import filled, id_key, pack, query, slots, table
 from clearplate.llm.components import components
@@ -178,6 +179,15 @@ def links(fps: DataFrame, bits: int = BITS, block: int = BLOCK) -> DataFrame:
     return tiles.mapInPandas(lambda batches: _tiles(batches, bits), "a long, b long").distinct()
 
 
+def _placed(docs: DataFrame, doc_id: str, text: str, bits: int) -> tuple[DataFrame, DataFrame]:
+    """Fingerprints of all documents; and each fingerprint once, with its smallest id and the root of its group."""
+    prints = written(fingerprints(docs, doc_id, text), "prints")
+    groups = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "groups")
+    roots = written(components(links(groups.select("fp"), bits)), "roots")
+    placed = groups.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    return prints, written(placed, "placed")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bits: int = BITS) -> DataFrame:
     """One row per document: ``doc_id, fingerprint, component_id``.
 
@@ -187,25 +197,38 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     a component unless all its ids are null. Repeated rows return repeated rows; other
     columns of any name are ignored; an empty table gives no rows.
     """
-    prints = written(fingerprints(docs, doc_id, text), "prints")
-    groups = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "groups")
-    roots = written(components(links(groups.select("fp"), bits)), "roots")
-    placed = groups.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    placed = written(placed, "placed")
+    prints, placed = _placed(docs, doc_id, text, bits)
     least = written(placed.groupBy("root").agg(F.min("least").alias("component_id")), "least-id")
     named = written(placed.join(least, "root").select("fp", "component_id"), "named")
     return prints.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _with_fingerprint(docs: DataFrame, text: str) -> DataFrame:
+    """Every row as struct ``doc`` with its fingerprint ``fp``."""
+    at = docs.columns.index(text)
+    schema = T.StructType([*pack(docs).schema.fields, T.StructField("fp", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps = np.fromiter((fingerprint(t.as_py() or "") for t in batch.column(0).field(at)), np.uint64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["doc", "fp"])
+
+    return pack(docs).mapInArrow(run, schema)
+
+
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bits: int = BITS) -> DataFrame:
-    """One document of each group, the one with the smallest id; all columns of any name pass through.
+    """One row of each group, one with the smallest id; all columns of any name pass through.
 
-    An id stands for one document: of repeated rows with one id, one stays. Where all ids
-    of a group are null, one of its rows stays.
+    The choice is one id and fingerprint for each group, and a fingerprint lies in one group
+    only. So an id on texts of several groups can stand for each of them, and of rows whose
+    ids are all null every group still keeps one. Where the smallest id has several
+    fingerprints in its group, the smallest of these stays; of equal pairs, any one row.
     """
-    kept = near_duplicates(docs, doc_id, text, bits).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(id_key("doc_id").alias("key")).distinct()
-    rows = pack(docs, key=id_key(doc_id))
-    return rows.join(written(kept, "kept"), "key").dropDuplicates(["key"]).select("doc.*")
+    _, placed = _placed(docs, doc_id, text, bits)
+    first = F.min(F.struct(F.col("least").isNull().alias("none"), "least", "fp"))
+    kept = placed.groupBy("root").agg(first.alias("x")).select(id_key("x.least").alias("key"), F.col("x.fp").alias("fp"))
+    rows = _with_fingerprint(docs, text).withColumn("key", id_key(f"doc.`{doc_id}`"))
+    return rows.join(written(kept, "kept"), ["key", "fp"]).dropDuplicates(["key", "fp"]).select("doc.*")
 
 
 @query("op9_simhash")

@@ -46,6 +46,16 @@ def test_edge_rows(messy, messy_rows):
     assert left.count() == len({w[2] for w in want})
 
 
+def test_each_group_keeps_one_row(spark):
+    rng = random.Random(7)
+    one, two, three, four, five = (" ".join(rng.choice("abcdefgh") + str(rng.randrange(99)) for _ in range(80)) for _ in range(5))
+    rows = [(None, one), (None, two), (None, two), (None, three), (1, four), (1, five), (2, five), (3, three)]
+    want = brute_components([(r[0], brute_fingerprint(r[1])) for r in rows])
+    assert len({w[1] for w in want}) == 5
+    left = [tuple(r) for r in keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(left, key=repr) == sorted([(None, one), (None, two), (3, three), (1, four), (1, five)], key=repr)
+
+
 def test_empty_table(nothing):
     assert near_duplicates(nothing).count() == 0 and keep_one(nothing).count() == 0
 
