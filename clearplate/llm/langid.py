@@ -134,10 +134,9 @@ def score_texts(texts: list[str | None], model: LanguageModel, evidence: int = E
     windows = np.array([len(t.lower()) + 1 for t in given]) * 3.0
     names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
     if model.languages:
-        logits = sums / windows * np.minimum(windows, evidence) + model.prior[:, None]
+        logits = sums + model.prior[:, None]
         best = logits.argmax(axis=0)
-        top = np.exp(logits - logits.max(axis=0))
-        sure = 1.0 / top.sum(axis=0)
+        sure = 1.0 / np.exp((logits - logits.max(axis=0)) * np.minimum(1.0, evidence / windows)).sum(axis=0)
         for k, t in enumerate(given):
             if _LETTER.search(t):
                 names[k], scores[k] = model.languages[best[k]], sure[k]
@@ -147,8 +146,10 @@ def score_texts(texts: list[str | None], model: LanguageModel, evidence: int = E
 def identify(docs: DataFrame, model: LanguageModel, text: str = "text", evidence: int = EVIDENCE) -> DataFrame:
     """Every row as struct ``doc`` with ``lang_pred`` and ``score``.
 
-    The score is the posterior with the evidence of a text counted as that of at most
-    ``evidence`` n-grams, as neighbouring n-grams are far from independent. A text that is
+    The language is that of the greatest posterior, all n-grams counted in full. The score
+    is a tempered posterior: likelihood and prior are scaled alike, down to the weight of at
+    most ``evidence`` n-grams, as neighbouring n-grams are far from independent; so it never
+    changes which language is first. A text that is
     null, empty or without a letter, or an untrained model, gives ``und`` and 0. Ties go
     to the first language in order. Texts of any length are read whole. Repeated rows
     return repeated rows, an empty table none, and columns of any name pass through.
@@ -165,8 +166,11 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", evidence
     return pack(docs).mapInArrow(run, schema)
 
 
-def keep_identified(docs: DataFrame, model: LanguageModel, text: str = "text", least: float = 0.5) -> DataFrame:
-    """Rows whose language is told with a score of ``least`` or more; the rest is rejected."""
+def keep_identified(docs: DataFrame, model: LanguageModel, text: str = "text", least: float = 0.0) -> DataFrame:
+    """Rows whose language is told, with a score of ``least`` or more; by default only ``und`` is rejected.
+
+    The score falls with the number of close languages, not only with doubt about a text.
+    """
     return identify(docs, model, text).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("doc.*")
 
 

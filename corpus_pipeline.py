@@ -10,7 +10,7 @@ from clearplate.session import fresh_path, written
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; texts without letters and undecided ones go."""
+    """Documents whose language can be told; texts without letters go."""
     return langid.keep_identified(docs, langid.split_model(docs))
 
 

@@ -39,6 +39,27 @@ def test_same_as_naive_bayes_by_hand(monkeypatch):
             assert n == model.languages[k] and math.isclose(s, p, rel_tol=1e-5)
 
 
+def test_long_text_outweighs_the_prior():
+    """A rare language with a small advantage per n-gram wins a long text; the score stays below one."""
+    rng = np.random.default_rng(1)
+    logp = np.tile(np.log(rng.dirichlet(np.ones(256))), (2, 1))
+    logp[1] += 0.05
+    model = LanguageModel(["hot", "rare"], np.log([0.999, 0.001]), logp.astype(np.float32))
+    names, scores = score_texts(["some words " * 40, "so"], model)
+    assert names == ["rare", "hot"] and 0.5 < scores[0] < 0.999
+
+
+def test_close_languages_are_kept(spark):
+    """Four languages that are nearly one: no score reaches a half, and no text with letters is lost."""
+    logp = np.tile(np.log(np.full(256, 1 / 256)), (4, 1))
+    logp[2] += 0.001
+    model = LanguageModel(["a", "b", "c", "d"], np.log(np.full(4, 0.25)), logp.astype(np.float32))
+    docs = spark.createDataFrame([(1, "clean words " * 200), (2, "123")], "doc_id long, text string")
+    got = {r["doc"]["doc_id"]: r for r in identify(docs, model).collect()}
+    assert got[1]["lang_pred"] == "c" and got[1]["score"] < 0.5
+    assert [r["doc_id"] for r in keep_identified(docs, model).collect()] == [1]
+
+
 def test_counts_of_training(spark):
     rows = [("ab", "x"), ("ab", "x"), ("zz", "y"), (None, "y"), ("cd", None)]
     model = train(spark.createDataFrame(rows, "text string, lang string"), bits=13)
