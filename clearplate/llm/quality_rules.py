@@ -2,9 +2,10 @@
 
 For each language and source the minimum covariance determinant is estimated by
 concentration steps: take the share of rows nearest to the present centre in Mahalanobis
-distance, compute their mean and covariance, repeat. Two starts are tried (median and
-quartile range per dimension; mean and covariance of all rows) and the smaller
-determinant wins. A row far from its group's estimate is rejected.
+distance, compute their mean and covariance, repeat. Three starts are tried (median and
+quartile range per dimension; mean and covariance of all rows; median and median absolute
+deviation) and the smallest determinant wins. Half of the rows enter an estimate, so up to
+nearly half of a group can be junk, be it copies of one row. A row far from its group's estimate is rejected.
 
 Everything is DataFrame expressions. The statistics are whole numbers (thousandths), so
 sums are exact and results do not depend on the order of rows. Each step is one pass over
@@ -24,7 +25,7 @@ MIN_WORDS = 50
 STATS = ["x1", "x2", "x3", "x4", "x5"]
 # Least standard deviation of each statistic, in thousandths: smaller differences never reject.
 FLOORS = [700, 700, 120, 250, 120]
-KEEP_SHARE = 0.75
+KEEP_SHARE = 0.5
 STEPS = 5
 MIN_GROUP = 100
 CUTOFF = 45.0
@@ -138,26 +139,41 @@ def _bin(d2: Column) -> Column:
     return F.floor(F.log(d2 + 1e-9) * BINS_PER_E).cast("int")
 
 
-def _robust_start(rows: DataFrame) -> DataFrame:
-    """Median and quartile range of each statistic by group, as an estimate without correlations."""
-    long = rows.select("group", F.posexplode(F.array(*STATS)).alias("i", "x")).groupBy("group", "i", "x").agg(F.count("*").alias("n"))
+def _quantiles(counted: DataFrame, x: str, **shares: float) -> DataFrame:
+    """Quantiles of ``x`` by group and statistic, of rows counted by value."""
     w = Window.partitionBy("group", "i")
-    ranked = long.select("*", F.sum("n").over(w.orderBy("x")).alias("upto"), F.sum("n").over(w).alias("all"))
-    quartiles = ranked.groupBy("group", "i").agg(*[F.min(F.when(F.col("upto") >= q * F.col("all"), F.col("x"))).alias(name) for q, name in ((0.25, "a"), (0.5, "m"), (0.75, "b"))])
-    scale = F.greatest((F.col("b") - F.col("a")) / 1.349, F.element_at(F.array(*[F.lit(float(f)) for f in FLOORS]), F.col("i") + 1))
+    ranked = counted.select("*", F.sum("n").over(w.orderBy(x)).alias("upto"), F.sum("n").over(w).alias("all"))
+    return ranked.groupBy("group", "i").agg(*[F.min(F.when(F.col("upto") >= q * F.col("all"), F.col(x))).alias(name) for name, q in shares.items()])
+
+
+def _robust_starts(rows: DataFrame) -> DataFrame:
+    """Estimates without correlations from the median of each statistic by group.
+
+    The scale of ``robust`` is the quartile range, which a quarter of the rows can stretch
+    at will; that of ``deviation`` is the median absolute deviation, which takes half of them.
+    """
+    counted = rows.select("group", F.posexplode(F.array(*STATS)).alias("i", "x")).groupBy("group", "i", "x").agg(F.count("*").alias("n"))
+    counted = written(counted, "counted")
+    quartiles = written(_quantiles(counted, "x", a=0.25, m=0.5, b=0.75).coalesce(FILES), "quartiles")
+    away = counted.join(quartiles, ["group", "i"]).groupBy("group", "i", F.abs(F.col("x") - F.col("m")).alias("d")).agg(F.sum("n").alias("n"))
+    both = quartiles.join(_quantiles(away, "d", s=0.5), ["group", "i"])
+    floor = F.element_at(F.array(*[F.lit(float(f)) for f in FLOORS]), F.col("i") + 1)
+    scales = F.array(
+        F.struct(F.lit("robust").alias("start"), F.greatest((F.col("b") - F.col("a")) / 1.349, floor).alias("s")),
+        F.struct(F.lit("deviation").alias("start"), F.greatest(F.col("s") * 1.4826, floor).alias("s")),
+    )
     p = range(len(STATS))
-    wide = quartiles.withColumn("s", scale).groupBy("group").agg(
+    return both.select("group", "i", "m", F.explode(scales).alias("x")).select("group", "i", "m", "x.*").groupBy("group", "start").agg(
         *[F.max(F.when(F.col("i") == i, F.col("m"))).cast("double").alias(f"m_{i}") for i in p],
         *[(F.max(F.when(F.col("i") == i, F.col("s"))) if i == j else F.lit(0.0)).alias(f"l_{i}_{j}") for i in p for j in range(i + 1)],
     )
-    return wide.select("group", F.lit("robust").alias("start"), *wide.columns[1:])
 
 
 def estimates(rows: DataFrame, share: float = KEEP_SHARE, steps: int = STEPS) -> DataFrame:
     """Minimum-covariance-determinant estimate by ``group``, with the distances' scale ``c``."""
     every = _estimate(rows.groupBy("group").agg(*_moments()), "group")
     # Few files, so that Spark sees how small the estimates are and broadcasts them.
-    now = written(_robust_start(rows).unionByName(every.withColumn("start", F.lit("all"))).coalesce(FILES), "start")
+    now = written(_robust_starts(rows).unionByName(every.withColumn("start", F.lit("all"))).coalesce(FILES), "start")
     w = Window.partitionBy("group", "start")
     for step in range(steps + 1):
         bins = rows.join(now, "group").withColumn("bin", _bin(_distance())).groupBy("group", "start", "bin").agg(*_moments())

@@ -99,6 +99,28 @@ def test_distances_match_numpy(spark):
         assert got[k]["kept"] == (k % 11 != 0)
 
 
+def plain(rng, n):
+    """Distinct words of one to nine letters."""
+    return [rng.choice("abcdefgh") * rng.randrange(1, 8) + str(rng.randrange(100)) for _ in range(n)]
+
+
+def judged(spark, texts):
+    df = spark.createDataFrame([(k, t, "en", "a") for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    return {r["doc_id"]: r for r in judge(df).collect()}
+
+
+@pytest.mark.parametrize("share", [0.34, 0.45])
+def test_a_block_of_identical_junk_is_rejected(spark, share):
+    rng = random.Random(11)
+    n = 400
+    junk = " ".join(w + "###" for w in plain(rng, 150))
+    texts = [junk if k < share * n else " ".join(plain(rng, rng.randrange(60, 400))) for k in range(n)]
+    got = judged(spark, texts)
+    assert not any(r["base_failed"] for r in got.values())
+    assert not any(got[k]["kept"] for k in range(n) if k < share * n)
+    assert sum(got[k]["kept"] for k in range(n) if k >= share * n) >= 0.99 * (1 - share) * n
+
+
 def test_plan_is_native(docs):
     plan = judge(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
