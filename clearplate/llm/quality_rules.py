@@ -24,11 +24,12 @@ from clearplate.session import written
 MIN_WORDS = 50
 STATS = ["x1", "x2", "x3", "x4", "x5"]
 # Least standard deviation of each statistic, in thousandths: smaller differences never reject.
-FLOORS = [700, 700, 120, 250, 120]
+FLOORS = [700, 300, 120, 250, 120]
 KEEP_SHARE = 0.5
 STEPS = 5
 MIN_GROUP = 100
-CUTOFF = 45.0
+# 99.9 % quantile of the chi-squared distribution with five degrees of freedom.
+CUTOFF = 20.515
 # Median of the chi-squared distribution with five degrees of freedom.
 CHI2_MEDIAN = 4.351
 BINS_PER_E = 32

@@ -121,6 +121,19 @@ def test_a_block_of_identical_junk_is_rejected(spark, share):
     assert sum(got[k]["kept"] for k in range(n) if k >= share * n) >= 0.99 * (1 - share) * n
 
 
+def test_each_kind_of_junk_is_rejected(spark):
+    rng = random.Random(12)
+    texts = [" ".join(plain(rng, rng.randrange(60, 400))) for _ in range(300)]
+    spaced = " ".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(200))
+    symbols = " ".join(w + "#" * (k % 2) for k, w in enumerate(plain(rng, 200)))
+    fresh = [f"w{k}x" for k in range(108)]
+    repeated = " ".join(" ".join(fresh[k : k + 4]) + " one two three" for k in range(0, 108, 4))
+    got = judged(spark, [*texts, spaced, symbols, repeated])
+    assert not any(got[k]["base_failed"] for k in (300, 301, 302))
+    assert [got[k]["kept"] for k in (300, 301, 302)] == [False] * 3
+    assert sum(got[k]["kept"] for k in range(300)) >= 297
+
+
 def test_plan_is_native(docs):
     plan = judge(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
