@@ -35,7 +35,7 @@ LEAST_ASSIGN = 12
 KINDS = ["assign", "access", "hex", "block", "login", "random"]
 KEYWORDS = ("passw", "secret", "token", "apikey", "api_key")
 BLOCK = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s\\]*-----END [A-Z ]*PRIVATE KEY-----")
-LOGIN = re.compile(r"://[^\s/:@]{1,64}:([^\s/:@]{6,128})@")
+LOGIN = re.compile(r"://[^\s/:@]+:([^\s/:@]{6,})@")
 RANDOM = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])(?=[0-9+/_-]*[A-Za-z])[A-Za-z0-9+/_-]{20,}={0,2}")
 LEAST_BITS = 3.5
 MAX_OWNERS = 2

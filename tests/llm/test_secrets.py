@@ -51,6 +51,12 @@ def test_tricky_texts():
         assert ",".join(f"{['assign', 'access', 'hex'][k]}:{s}:{e}" for s, k, e, _ in base) == brute_base(text)[4], text
 
 
+def test_long_logins_are_candidates():
+    for user, password in (("u" * 65, "hunter2!"), ("bob", "a.b~" * 40)):
+        text = f"see https://{user}:{password}@host/x"
+        assert (text.index(password), 4, text.index(password) + len(password), password) in scan(text)
+
+
 def test_edge_rows(messy, nothing):
     got = find_secrets(messy, F.col("source"), F.col("lang")).collect()
     assert len(got) == 13 and {r["spans"] for r in got} == {""}
