@@ -9,7 +9,7 @@ pointers to the context's range and searches the successor relative to the conte
 
 Probabilities are smoothed by absolute discounting with interpolation: what the kept
 successors of a context leave over goes to the next shorter context, and at the end to
-add-one unigrams. Level 2 and 3 keep n-grams seen at least MIN_COUNT times; both the
+add-one unigrams. Level 2 and 3 keep n-grams seen at least MIN_COUNT times, in the query all; both the
 probabilities and the weights left over are quantised to one byte of a log scale.
 
 Counts: each task sums its own n-grams, sorts and compresses them into one block per
@@ -526,9 +526,9 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
 @query("op5_language_model")
 def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Learns from documents whose crc32 of the id mod 7 is not 2; null ids teach nothing."""
+    """Learns every n-gram of documents whose crc32 of the id mod 7 is not 2; null ids teach nothing."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = train(docs.filter(fold_of("doc_id", 7) != 2), fresh_path(spark, "trie"))
+    model = train(docs.filter(fold_of("doc_id", 7) != 2), fresh_path(spark, "trie"), least=1)
     held_out = F.coalesce(fold_of("doc.doc_id", 7) == 2, F.lit(False))
     out = score(docs, model)
     return out.select("doc.doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")

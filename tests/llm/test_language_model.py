@@ -2,13 +2,14 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
 
 from clearplate.llm.elias_fano import EliasFano, load, save
-from clearplate.llm.language_model import DISCOUNT, _expand, _squeeze, score, train
+from clearplate.llm.language_model import DISCOUNT, _expand, _squeeze, op5_language_model, score, train
 from clearplate.session import fresh_path
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -109,3 +110,15 @@ def test_elias_fano(tmp_path, n, u):
     assert ((e.find(q, lo, hi) >= 0) == np.isin(q, v)).all()
     if n:
         assert len(e.low) * 64 + len(e.high) * 64 < n * (e.width + 3) + 2048 + u / max(1, 1 << e.width)
+
+
+def test_query_learns_ngrams_seen_once(spark, tmp_path):
+    """A held-out text that repeats a phrase seen once scores above one of the same words in new order."""
+    held = [k for k in range(60) if zlib.crc32(str(k).encode()) % 7 == 2][:2]
+    learn = [k for k in range(60) if zlib.crc32(str(k).encode()) % 7 != 2][:3]
+    rows = [*zip(learn, ("red fox jumps", "blue owl sleeps", "old dog barks")), (held[0], "red fox jumps"), (held[1], "red owl barks")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in op5_language_model(spark, str(tmp_path)).collect()}
+    known, new = got[held[0]], got[held[1]]
+    assert known["held_out"] and new["held_out"] and known["base_score"] == pytest.approx(new["base_score"])
+    assert known["score"] > new["score"] + 1
