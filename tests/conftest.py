@@ -36,8 +36,3 @@ def layer(marts):
     from clearplate.plans.model import semantic_layer
 
     return semantic_layer(marts, "2001-08-01")
-
-
-def rows(df, *columns):
-    """Rows as plain tuples, sorted."""
-    return sorted((tuple(r) for r in (df.select(*columns) if columns else df).collect()), key=repr)

@@ -5,7 +5,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from clearplate.operators import corpus as C

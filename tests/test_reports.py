@@ -5,7 +5,7 @@ import json
 import random
 
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from clearplate.functions.geo import haversine_m

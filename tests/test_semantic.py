@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from clearplate.functions.latest import carry_last, neighbour

@@ -5,7 +5,7 @@ import json
 from decimal import Decimal
 
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from clearplate.functions import text as X
