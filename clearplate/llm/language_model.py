@@ -13,8 +13,9 @@ add-one unigrams. Level 2 and 3 keep n-grams seen at least MIN_COUNT times, in t
 probabilities and the weights left over are quantised to one byte of a log scale.
 
 Counts: each task sums its own n-grams, sorts and compresses them into one block per
-bucket; blocks are shuffled by bucket and merged. A word that is a third of all tokens is
-one number per task by then. Trigrams are counted only where both bigrams are kept, which
+bucket; blocks are shuffled by bucket and merged, and a bucket becomes a shard at once. Buckets
+are runs of contexts with some SHARD tokens, cut by the counts of the level below, so a task's
+memory does not grow with the corpus. A word that is a third of all tokens is one number per task by then. Trigrams are counted only where both bigrams are kept, which
 loses none that reach MIN_COUNT. Shards are files in the shared folder, so a lost executor
 loses none; a task run again writes the same file again. No count, id or level passes
 through the driver, only the list of shards.
@@ -27,7 +28,6 @@ from dataclasses import dataclass, field
 from itertools import islice
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
@@ -40,8 +40,10 @@ from clearplate.llm.elias_fano import EliasFano, load, save
 from clearplate.session import fresh_path, written
 
 MIN_COUNT = 2
+# Tokens whose n-grams one shard holds; a task builds one shard at a time.
+SHARD = 1 << 21
 DISCOUNT = 0.75
-BATCH_CHARS = 1 << 20
+BATCH_CHARS = 1 << 22
 MAX_WORDS = 400_000
 # One byte of log10: 0 is certainty, 255 the least.
 STEP = 0.045
@@ -107,6 +109,7 @@ def _groups(texts: list[str]) -> Iterator[slice]:
 
 # --- counting ---------------------------------------------------------------------------
 
+_SHARDS = {"path": pa.string(), "first": pa.string(), "n": pa.int64(), "tokens": pa.int64(), "cuts": pa.list_(pa.int64())}
 _BLOCKS = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("block", T.BinaryType())])
 
 
@@ -169,9 +172,38 @@ def _counts_by_bucket(docs: DataFrame, keys_of: Callable[[], Callable[[list[str]
     return docs.select("text").mapInArrow(run, _BLOCKS)
 
 
-def _merged(blocks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    keys, counts = zip(*[_expand(b) for b in blocks])
-    return _summed(np.concatenate(keys), np.concatenate(counts))
+def _summed_by_bucket(blocks: DataFrame, build: Callable[[int, np.ndarray, np.ndarray], tuple], at_once: int = 1 << 21) -> DataFrame:
+    """A row ``_SHARDS`` of ``build(bucket, keys, counts)`` for every bucket.
+
+    Blocks of a bucket come one after the other and are summed whenever ``at_once`` keys are
+    held, so a task holds the distinct keys of one bucket and not all that was sent.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held, size = None, [], 0
+
+        def total() -> tuple[np.ndarray, np.ndarray]:
+            keys, counts = zip(*held)
+            return _summed(np.concatenate(keys), np.concatenate(counts))
+
+        def row() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(build(at, *total()), _SHARDS.values())], names=list(_SHARDS))
+
+        for batch in batches:
+            for bucket, block in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if bucket != at and held:
+                    yield row()
+                    held, size = [], 0
+                at = bucket
+                held.append(_expand(block.as_py()))
+                size += len(held[-1][0])
+                if size >= at_once and len(held) > 1:
+                    held = [total()]
+                    size = 0
+        if held:
+            yield row()
+
+    n = slots(blocks.sparkSession)
+    return blocks.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(run, "path string, first string, n long, tokens long, cuts array<long>")
 
 
 # --- the trie ---------------------------------------------------------------------------
@@ -223,9 +255,8 @@ class Level:
         """Rows by shard, in key order, so that look-ups go through a shard from front to back."""
         order = np.argsort(keys, kind="stable")
         cuts = np.append(np.searchsorted(keys[order], firsts), len(keys))
-        for k in range(len(firsts)):
-            if cuts[k] < cuts[k + 1]:
-                yield k, order[cuts[k] : cuts[k + 1]]
+        for k in np.flatnonzero(np.diff(cuts)).tolist():
+            yield k, order[cuts[k] : cuts[k + 1]]
 
 
 class Trie:
@@ -344,20 +375,23 @@ def _trie(model: Model) -> Trie:
 
 # --- building ---------------------------------------------------------------------------
 
-_SHARDS = "path string, first string, n long, tokens long"
+def _cuts(sums: np.ndarray, size: int) -> list[int]:
+    """Places that cut a level in runs of some ``size`` tokens; one place with more is a run of its own."""
+    return np.unique(np.searchsorted(sums, np.arange(size, int(sums[-1]), size))).tolist()
 
 
-def _shards(rows: DataFrame) -> list[Shard]:
-    """The list of written shards in key order: a few numbers per shard."""
-    out, base = [], 0
+def _shards(rows: DataFrame) -> tuple[list[Shard], np.ndarray]:
+    """The written shards in key order, and where the level above them is cut: a few numbers per shard."""
+    out, cuts, base = [], [0], 0
     for r in sorted(written(rows, "shards").collect(), key=lambda r: int(r["first"])):
         out.append(Shard(r["path"], int(r["first"]), base, int(r["n"])))
+        cuts += [base + c for c in [0, *r["cuts"]]]
         base += int(r["n"])
-    return out
+    return out, np.unique(np.array(cuts, np.int64))
 
 
-def _count_words(docs: DataFrame, folder: str, buckets: int) -> tuple[list[Shard], int]:
-    """Level 1: buckets are ranges of the hash, so each merged bucket is a shard."""
+def _count_words(docs: DataFrame, folder: str, buckets: int, size: int) -> tuple[list[Shard], np.ndarray, int]:
+    """Level 1: buckets are ranges of the hash, so each summed bucket is a shard."""
     bits = max(1, (buckets - 1).bit_length())
 
     def word_keys():
@@ -371,52 +405,36 @@ def _count_words(docs: DataFrame, folder: str, buckets: int) -> tuple[list[Shard
 
     blocks = _counts_by_bucket(docs, word_keys, lambda keys: (keys >> np.uint64(64 - bits)).astype(np.int64))
 
-    def build(df: pd.DataFrame) -> pd.DataFrame:
-        keys, counts = _merged(df["block"].tolist())
-        bucket = int(df["bucket"].iloc[0])
+    def build(bucket: int, keys: np.ndarray, counts: np.ndarray) -> tuple:
         first = bucket << (64 - bits)
         span = int(keys[-1]) - first
         sums = np.concatenate(([0], np.cumsum(counts)))
         path = f"{folder}/words-{bucket:05d}"
         save(path, EliasFano.build(keys - np.uint64(first), span, "keys") | EliasFano.build(sums, int(sums[-1]), "sums") | {"span": np.array([span], np.int64)})
-        return pd.DataFrame({"path": [path], "first": [str(first)], "n": [len(keys)], "tokens": [int(sums[-1])]})
+        return path, str(first), len(keys), int(sums[-1]), _cuts(sums, size)
 
-    built = written(blocks.groupBy("bucket").applyInPandas(build, _SHARDS), "words")
-    return _shards(built), int(built.agg(F.sum("tokens")).first()[0] or 0)
+    built = written(_summed_by_bucket(blocks, build), "words")
+    return *_shards(built), int(built.agg(F.sum("tokens")).first()[0] or 0)
 
 
-def _mixed(keys: np.ndarray, buckets: int) -> np.ndarray:
-    return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % buckets
+def _level(docs: DataFrame, keys_of, model: Model, bounds: np.ndarray, folder: str, name: str, least: int, size: int) -> tuple[list[Shard], np.ndarray]:
+    """Count the n-grams of a level and write it: a bucket is a run of contexts between two ``bounds``, and becomes a shard.
 
+    Keys are context * width + word. Runs hold some ``size`` tokens of the level below, which no
+    run of contexts can exceed in distinct n-grams; a single context has at most the vocabulary's.
+    """
+    width = model.distinct + 2
+    ends = np.append(bounds[1:], width if name == "pairs" else sum(s.n for s in model.pairs))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
-def _frequent(docs: DataFrame, keys_of, width: int, buckets: int, least: int) -> DataFrame:
-    """Rows ``context, word, n`` of keys context * width + word counted ``least`` times or more."""
-
-    def merge(df: pd.DataFrame) -> pd.DataFrame:
-        keys, counts = _merged(df["block"].tolist())
+    def build(bucket: int, keys: np.ndarray, counts: np.ndarray) -> tuple:
         keep = counts >= least
-        keys = keys[keep].astype(np.int64)
-        return pd.DataFrame({"context": keys // width, "word": keys % width, "n": counts[keep]})
-
-    blocks = _counts_by_bucket(docs, keys_of, lambda keys: _mixed(keys, buckets))
-    return written(blocks.groupBy("bucket").applyInPandas(merge, "context long, word long, n long"), "frequent")
-
-
-def _build_level(rows: DataFrame, model: Model, folder: str, name: str, shards: int) -> list[Shard]:
-    """Write one level. Rows of one context, at most the vocabulary's size, meet in one shard."""
-    spark = rows.sparkSession
-    shared = spark.sparkContext.broadcast(model)
-
-    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = [df for df in batches if len(df)]
-        if not held:
-            return
-        df = pd.concat(held, ignore_index=True)
-        context, word, n = (df[c].to_numpy(np.int64) for c in ("context", "word", "n"))
+        keys, n = keys[keep].astype(np.int64), counts[keep]
         trie = _trie(shared.value)
-        first = int(context[0])
-        relative = context - first
-        contexts = int(relative[-1]) + 1
+        first, contexts = int(bounds[bucket]), int(ends[bucket] - bounds[bucket])
+        keys -= first * width
+        relative = keys // width
+        word = keys - relative * width
         pointers = np.concatenate(([0], np.cumsum(np.bincount(relative, minlength=contexts))))
         own = np.flatnonzero(np.diff(pointers))
         total = np.zeros(contexts)
@@ -434,28 +452,28 @@ def _build_level(rows: DataFrame, model: Model, folder: str, name: str, shards:
         left = np.clip(left, 1e-11, 1)
         p = (n - DISCOUNT) / total[relative] + left[relative] * shorter
         path = f"{folder}/{name}-{first:020d}"
-        parts = EliasFano.build(pointers, len(word), "pointers") | EliasFano.build(relative * trie.width + word, contexts * trie.width, "children")
+        parts = EliasFano.build(pointers, len(word), "pointers") | EliasFano.build(keys, contexts * width, "children")
+        sums = np.concatenate(([0], np.cumsum(n)))
         if name == "pairs":
-            sums = np.concatenate(([0], np.cumsum(n)))
             parts |= EliasFano.build(sums, int(sums[-1]), "sums")
         save(path, parts | {"codes": _code(p), "rest": _code(left), "contexts": np.array([contexts], np.int64)})
-        yield pd.DataFrame({"path": [path], "first": [str(first)], "n": [len(word)], "tokens": [int(n.sum())]})
+        return path, str(first), len(word), int(n.sum()), _cuts(sums, size)
+
+    def bucket_of(keys: np.ndarray) -> np.ndarray:
+        return np.searchsorted(bounds, (keys // np.uint64(width)).astype(np.int64), side="right") - 1
 
-    ranged = rows.repartitionByRange(shards, "context").sortWithinPartitions("context", "word")
-    return _shards(ranged.mapInPandas(build, _SHARDS))
+    blocks = _counts_by_bucket(docs, keys_of, bucket_of)
+    return _shards(_summed_by_bucket(blocks, build))
 
 
-def train(docs: DataFrame, folder: str, text: str = "text", shards: int | None = None, least: int = MIN_COUNT) -> Model:
+def train(docs: DataFrame, folder: str, text: str = "text", least: int = MIN_COUNT, size: int = SHARD) -> Model:
     """Count and build the trie of all rows of ``docs``; null texts count as empty, and each text has an end.
 
-    ``folder`` must be reached by every executor; ``shards`` sets how many parts each level
-    has and should keep a part within a task's memory.
+    ``folder`` must be reached by every executor. Shards follow the counts: some ``size`` tokens each.
     """
     docs = docs.select(filled(text).alias("text"))
-    parts = shards or max(4, slots(docs.sparkSession) // 4)
-    buckets = max(parts, slots(docs.sparkSession))
     model = Model()
-    model.words, model.tokens = _count_words(docs, folder, parts)
+    model.words, of_words, model.tokens = _count_words(docs, folder, max(4, slots(docs.sparkSession) // 4), size)
     model.distinct = sum(s.n for s in model.words)
     if not model.words:
         return model
@@ -474,8 +492,8 @@ def train(docs: DataFrame, folder: str, text: str = "text", shards: int | None =
 
         return keys
 
-    pairs = _frequent(docs, pair_keys, width, buckets, least)
-    with_pairs = Model(model.words, _build_level(pairs, model, folder, "pairs", parts), [], model.tokens, model.distinct, model.texts)
+    pairs, of_pairs = _level(docs, pair_keys, model, of_words, folder, "pairs", least, size)
+    with_pairs = Model(model.words, pairs, [], model.tokens, model.distinct, model.texts)
     if sum(s.n for s in with_pairs.pairs) * width >= 1 << 63:
         raise ValueError("more pairs than triples of them fit 63 bits")
     shared_pairs = docs.sparkSession.sparkContext.broadcast(with_pairs)
@@ -492,8 +510,8 @@ def train(docs: DataFrame, folder: str, text: str = "text", shards: int | None =
 
         return keys
 
-    triples = _frequent(docs, triple_keys, width, buckets, least)
-    return Model(model.words, with_pairs.pairs, _build_level(triples, with_pairs, folder, "triples", parts), model.tokens, model.distinct, model.texts)
+    triples, _ = _level(docs, triple_keys, with_pairs, of_pairs, folder, "triples", least, size)
+    return Model(model.words, pairs, triples, model.tokens, model.distinct, model.texts)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:

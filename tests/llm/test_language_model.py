@@ -68,7 +68,7 @@ def check(got, texts, brute):
 
 def test_tables_match_brute_force(spark, docs, doc_rows):
     learn = docs.filter("doc_id % 3 > 0")
-    model = train(learn, fresh_path(spark, "trie"), shards=3)
+    model = train(learn, fresh_path(spark, "trie"), size=2_000)
     brute = Brute([r[1] for r in doc_rows if r[0] % 3 > 0])
     assert (model.tokens, model.distinct) == (brute.N, brute.V)
     assert (sum(s.n for s in model.pairs), sum(s.n for s in model.triples)) == (len(brute.pairs), len(brute.triples))
