@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from clearplate.operators import cells as V
 from clearplate.operators import corpus as C
 from clearplate.operators import quality as Q
 from clearplate.operators import retrieval as R
@@ -208,6 +209,29 @@ query("r3_cosine_topk_blocked", _VECTORS + _TOP.format("vec", 10))(
 )
 
 
+
+def _cells(s, d):
+    """The stored cells of the corpus, read back."""
+    path = fresh_path(s, "cells")
+    V.write_cells(bind.search_corpus(s, d), path)
+    return V.read_cells(s, path)
+
+
+@query("r3_cells_all_probed", _VECTORS + _TOP.format("vec", 5))
+def _(s, d):
+    """Every cell asked: the exact answer from the stored cells, crowded ones cut small."""
+    index = _cells(s, d)
+    return V.cell_search(bind.search_queries(s, d), index, probes=len(index.centroids), cell_rows=50, block_queries=16)
+
+
+@query("r3_cells_recall", _VECTORS + ", top AS (" + _TOP.format("vec", 5) + ") SELECT count(DISTINCT query_id) AS queries, count(*) AS wanted, true AS nine_in_ten FROM top")
+def _(s, d):
+    """The default number of cells asked, against brute force: at least nine in ten of the true neighbours."""
+    queries = bind.search_queries(s, d)
+    found = V.recall_of(V.cell_search(queries, _cells(s, d)), R.vector_search(queries, bind.search_corpus(s, d)))
+    return found.select("queries", "wanted", (F.col("found") >= 0.9 * F.col("wanted")).alias("nine_in_ten"))
+
+
 def _hybrid(texts: float, vectors: float) -> str:
     return f"""{_bm25()}, {_VECTORS[5:]},
 tr AS (SELECT query_id, min(score) AS lo, max(score) AS hi FROM kw GROUP BY 1), vr AS (SELECT query_id, min(score) AS lo, max(score) AS hi FROM vec GROUP BY 1),
