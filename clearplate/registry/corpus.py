@@ -12,7 +12,7 @@ from clearplate.plans.verified import top_critical_violations
 from clearplate.registry.base import marts_of, query
 from clearplate.registry.star_sql import star
 from clearplate.session import fresh_path
-from clearplate.sources import bind, tables, versions
+from clearplate.sources import bind, tables
 
 LOADED = "2024-01-31 00:00:00"
 
@@ -162,7 +162,7 @@ def _(s, d):
     again = chunks_of(s, d).filter(F.col("source_url").isin("src1", "src2")).withColumn("chunk_text", F.upper("chunk_text"))
     tables.replace_by_key(again, path, "source_url")
     tables.replace_by_key(again, path, "source_url")
-    return versions.read(s, path).groupBy("source_url").agg(F.count("*").alias("chunks"), F.sum("word_count").alias("words"), F.min("chunk_text").alias("first_text"))
+    return tables.stored(s, path).groupBy("source_url").agg(F.count("*").alias("chunks"), F.sum("word_count").alias("words"), F.min("chunk_text").alias("first_text"))
 
 
 # -- retrieval -------------------------------------------------------------------

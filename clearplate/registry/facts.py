@@ -10,7 +10,7 @@ from clearplate.operators import quality as Q
 from clearplate.registry.base import query
 from clearplate.registry.star_sql import RAW, star
 from clearplate.session import fresh_path
-from clearplate.sources import bind, tables, versions
+from clearplate.sources import bind, tables
 from clearplate.streaming import jobs as X
 
 NEW = "2024-02-01 00:00:00"
@@ -53,10 +53,10 @@ query("s5_upsert", _UPSERT)(lambda s, d: tables.upsert(bind.memory_vectors(s, d)
 def _(s, d):
     """The same upsert into a written table, rewriting only touched parts; done twice."""
     path, keys = fresh_path(s, "facts"), ["user_id", "fact_key"]
-    versions.replace(bind.memory_vectors(s, d), path, tables.bucket_of(keys, tables.BUCKETS))
+    tables.create_cut_by_keys(bind.memory_vectors(s, d), path, keys, part_rows=100)
     for _ in range(2):
         tables.upsert_partitions(path, updates(s, d), keys)
-    return versions.read(s, path).select(*_OUT)
+    return tables.stored(s, path).select(*_OUT)
 
 
 query("s6_delete", _FACTS + f"SELECT user_id, fact_key, fact_value, category, {_t('created_at')}, {_t('updated_at')} FROM facts f WHERE NOT EXISTS (SELECT 1 FROM upd u WHERE u.user_id = f.user_id AND u.fact_key = f.fact_key)")(
@@ -371,8 +371,8 @@ def _(s, d):
         F.col("ts").cast("timestamp").alias("start_time"), F.col("event_type").alias("agent_name"), F.round(F.col("value") * 100).cast("long").alias("tokens"), F.col("value").alias("token_credits")
     )
     out, check = fresh_path(s, "hourly"), fresh_path(s, "hourly-checkpoint")
-    X.write_updates(X.hourly_usage(usage), out, check, ["hour", "agent_name"]).awaitTermination()
-    return X.latest_values(s, out).withColumn("total_credits", F.round("total_credits", 6))
+    X.write_updates(X.hourly_usage(usage), out, check).awaitTermination()
+    return X.latest_values(s, out, ["hour", "agent_name"]).withColumn("total_credits", F.round("total_credits", 6))
 
 
 @query("x2_stream_dedupe", "SELECT event_type, count(*) AS events, round(sum(value), 6) AS value FROM events GROUP BY 1")
@@ -390,4 +390,4 @@ def _(s, d):
 def _(s, d):
     out, check = fresh_path(s, "fact-state"), fresh_path(s, "fact-state-checkpoint")
     X.fact_state_stream(fact_events(stream_of(s, d)), out, check, ["ts", "event_id"]).awaitTermination()
-    return X.fact_state(s, out, ["ts", "event_id"])
+    return X.fact_state(s, check, ["ts", "event_id"])

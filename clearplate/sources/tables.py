@@ -2,22 +2,22 @@
 
 Plain Parquet has no row update, so a change is a new DataFrame: the functions that
 take a ``target`` frame return the whole new state, and the caller writes it to a
-new path. Functions that take a path change a table of versioned parts.
+new path. Functions that take a path overwrite the partitions they touch, and no others.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clearplate.functions.latest import join_null_safe, top_per_key
 from clearplate.session import written
-from clearplate.sources import versions
 
 RATINGS = ("up", "down")
-BUCKETS = 16
+# Rows of one partition of a table cut by key, when it is first written.
+PART_ROWS = 1_000_000
 
 
 class RowCountMismatch(RuntimeError):
@@ -35,29 +35,42 @@ def full_refresh(df: DataFrame, path: str) -> int:
     return stored
 
 
-def bucket_of(keys: Sequence[str], buckets: int) -> Column:
-    """The part of a row in a table cut by key; choose ``buckets`` so that one is some 100 MB."""
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets))
+def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
+    """Make ``df`` the content of the partitions its rows fall in; other partitions stay.
+
+    Finished files are moved into place when all tasks have ended, so a write that fails
+    before changes nothing. A failure during the move can leave some partitions new and
+    others old; the same write made again completes it. One writer at a time is assumed.
+    Rebalancing cuts a large partition into several files.
+    """
+    df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
-def _touched(df: DataFrame, part: Column) -> DataFrame:
-    return df.select(part.cast("string").alias(versions.PART)).distinct()
+def part_of(key: str) -> Column:
+    """A folder name for any value of ``key``: NULL and empty text differ, and long or odd text has a short name."""
+    return F.coalesce(F.sha2(F.col(key).cast("string"), 256), F.lit("none"))
 
 
-def replace_by_key(df: DataFrame, path: str, key: str, buckets: int = BUCKETS) -> None:
+def replace_by_key(df: DataFrame, path: str, key: str) -> None:
     """Replace all rows of each ``key`` value in ``df``; other values stay. Re-running changes nothing.
 
-    The table is cut by a hash of all columns, so one large key is many parts. Only parts that
-    hold old rows of the keys, or get new ones, are written anew, as one change.
+    The table is partitioned by the key, so nothing old is read.
+    """
+    overwrite_partitions(df.withColumn("_part", part_of(key)), path, ["_part"])
+
+
+def create_cut_by_keys(df: DataFrame, path: str, keys: Sequence[str], part_rows: int = PART_ROWS) -> None:
+    """Write a table cut by a hash of ``keys`` into as many partitions as its rows ask for.
+
+    The number is a partition column itself, so that later changes place rows alike.
     """
-    df = written(df, "new-rows")  # read several times below
-    versions.create(df, path)
-    part = bucket_of(df.columns, buckets)
-    held = versions.read(df.sparkSession, path)
-    keys = df.select(key).distinct()
-    parts = written(_touched(df, part).unionByName(_touched(held.join(keys, key, "left_semi"), part)).distinct(), "parts")
-    stay = versions.read(df.sparkSession, path, parts).join(keys, key, "left_anti")
-    versions.replace(stay.unionByName(df), path, part, parts)
+    parts = max(1, -(-df.count() // part_rows))
+    overwrite_partitions(df.withColumns({"_parts": F.lit(parts), "_part": F.pmod(F.xxhash64(*keys), F.lit(parts))}), path, ["_parts", "_part"])
+
+
+def stored(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a partitioned table, without the columns that only name its folders."""
+    return spark.read.parquet(path).drop("_parts", "_part")
 
 
 def last_update_wins(updates: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -87,11 +100,21 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], keep_on_u
     return joined.select(*out)
 
 
-def upsert_partitions(path: str, updates: DataFrame, keys: Sequence[str], buckets: int = BUCKETS, keep_on_update: Sequence[str] = ("created_at",)) -> None:
-    """Upsert into a table cut by a hash of ``keys``; only the touched parts are read and written anew, as one change."""
-    part = bucket_of(keys, buckets)
-    held = versions.read(updates.sparkSession, path, _touched(updates, part))
-    versions.replace(upsert(held, updates, keys, keep_on_update), path, part)
+def upsert_partitions(path: str, updates: DataFrame, keys: Sequence[str], keep_on_update: Sequence[str] = ("created_at",)) -> None:
+    """Upsert into a table cut by a hash of ``keys``; only the touched partitions are read and written anew.
+
+    Their new content is written beside the table first: a path is never overwritten while
+    it is read. An upsert made again changes nothing, which also mends one that failed while
+    its files were moved into place.
+    """
+    spark = updates.sparkSession
+    table = spark.read.parquet(path)
+    parts = table.agg(F.max("_parts")).first()[0]  # from folder names
+    place = {"_parts": F.lit(parts), "_part": F.pmod(F.xxhash64(*keys), F.lit(parts))}
+    touched = updates.select(place["_part"].alias("_part")).distinct()
+    held = table.join(touched, "_part", "left_semi").drop("_parts", "_part")
+    merged = upsert(held, updates, keys, keep_on_update).withColumns(place)
+    overwrite_partitions(written(merged, "merged"), path, ["_parts", "_part"])
 
 
 def delete_where(target: DataFrame, doomed: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from clearplate.functions.geo import haversine_m
 from clearplate.operators import geo as G
 from clearplate.operators import monitoring as O
-from clearplate.sources import bind
+from clearplate.sources import bind, tables
 from clearplate.sources.resultset import name_borough_pairs, result_table
 from clearplate.streaming import jobs as X
 
@@ -120,21 +120,46 @@ def test_map_filters_follow_the_aggregate(layer, marts):
 
 
 def test_fact_state_over_batches(spark, tmp_path):
-    """Batches out of order, one delivered twice: the state is that of a replay of all events."""
+    """Batches out of order, some delivered twice, a restart from the checkpoint, a store that comes after its delete."""
     from clearplate.operators.facts import fold_facts
 
     rng = random.Random(3)
     events = [(f"u{rng.randrange(6)}", f"k{rng.randrange(4)}", str(i), rng.choice(["store", "store", "delete"]), i) for i in range(200)]
     rng.shuffle(events)
+    events += [("late", "k", "gone", "delete", 500), ("late", "k", "old", "store", 400), ("late", "j", "stays", "store", None), ("late", "j", "newer", "store", 1)]
     schema = "user_id string, fact_key string, fact_value string, action string, ts long"
-    source = tmp_path / "in"
-    for i in range(4):
-        spark.createDataFrame(events[i * 50 : i * 50 + 50], schema).coalesce(1).write.parquet(str(source / f"b{i}"))
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(source))
-    out = str(tmp_path / "state")
-    X.fact_state_stream(stream, out, str(tmp_path / "check")).awaitTermination()
-    X.merge_latest(spark, out, spark.createDataFrame(events[:50], schema), ["user_id", "fact_key"], ["ts"])
-    assert rows(X.fact_state(spark, out)) == rows(fold_facts(spark.createDataFrame(events, schema)))
+    source, out, check = tmp_path / "in", str(tmp_path / "changes"), str(tmp_path / "check")
+
+    def deliver(name, part):
+        spark.createDataFrame(part, schema).coalesce(1).write.parquet(str(source / name))
+
+    def run():
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(source))
+        X.fact_state_stream(stream, out, check).awaitTermination()
+
+    for i in range(3):
+        deliver(f"b{i}", events[i * 50 : i * 50 + 50])
+    deliver("delete", [events[200], events[202]])
+    run()
+    assert rows(X.fact_state(spark, check)) == rows(fold_facts(spark.createDataFrame([*events[:150], events[200], events[202]], schema)))
+    deliver("again", events[:50])
+    deliver("late", [events[201], events[203], *events[150:200]])
+    run()
+    assert rows(X.fact_state(spark, check)) == rows(fold_facts(spark.createDataFrame(events, schema)))
+    # The table of changes comes to the same newest record of each key, deletes included.
+    newest = X.latest_values(spark, out, X.FACT_KEY)
+    assert rows(newest) == rows(X.kept_state(spark, check)) and newest.filter("action = 'delete' AND user_id = 'late'").count() == 1
+    assert spark.conf.get(X.STATE_STORE) != X.ROCKSDB
+
+
+def test_repeated_batch_of_updates(spark, tmp_path):
+    """A batch that is written again, as after a failure, leaves one row per key."""
+    path = str(tmp_path / "out")
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "k string, n int")
+    tables.overwrite_partitions(df.withColumn("_at", F.lit(0)), path, ["_at"])
+    for _ in range(2):
+        tables.overwrite_partitions(df.filter("k = 'a'").withColumns({"n": F.lit(5), "_at": F.lit(1)}), path, ["_at"])
+    assert rows(X.latest_values(spark, path, ["k"]), "k", "n") == [("a", 5), ("b", 2)] and spark.read.parquet(path).count() == 3
 
 
 def test_late_rows_are_dropped(spark, tmp_path):
@@ -146,8 +171,8 @@ def test_late_rows_are_dropped(spark, tmp_path):
         spark.createDataFrame(part, schema).coalesce(1).write.parquet(str(source / f"b{i}"))
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(source))
     out = str(tmp_path / "out")
-    X.write_updates(X.hourly_usage(stream), out, str(tmp_path / "check"), ["hour", "agent_name"]).awaitTermination()
-    got = {r.hour.hour: r.total_tokens for r in X.latest_values(spark, out).collect()}
+    X.write_updates(X.hourly_usage(stream), out, str(tmp_path / "check")).awaitTermination()
+    got = {r.hour.hour: r.total_tokens for r in X.latest_values(spark, out, ["hour", "agent_name"]).collect()}
     assert got == {10: 1, 20: 10}
 
 
