@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -10,34 +10,39 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from clearplate.functions.latest import top_per_key
 from clearplate.functions.text import terms
 from clearplate.operators.corpus import all_codes
-from clearplate.session import fresh_path, written
+from clearplate.session import dir_tag, written
 
 # BM25 constants, and fixed values of the scoring profiles.
 K1, B = 1.2, 0.75
 PROFILES = {"default": (1.0, 1.0), "no_reranker": (1.0, 1.0), "keyword_heavy": (3.0, 1.0)}
 DEFAULT_LIMIT = 5
-# At most this many queries travel to every task; a larger batch is cut into blocks instead.
+# A batch of at most this many query vectors travels to every task; a larger one is cut into blocks.
 MAX_BROADCAST_QUERIES = 2048
 CELL_ROWS = 50_000
-# Query terms that travel to every task at a time, and the size of a product's matrices.
-BLOCK_TERMS = 50_000
+# Keyword search cuts a batch into blocks of about so many queries and (query, term) rows, and the corpus into cells.
+BLOCK_QUERIES = 256
+BLOCK_TERMS = 16_000
+CELL_DOCS = 20_000
+# Size of a product's matrices.
 MATRIX_CELLS = 4_000_000
-TERM_FILES = 16
 
 
 @dataclass(frozen=True)
 class Index:
-    """Postings (term, id, tf, length) and lengths (id, length)."""
+    """Postings (term, id, tf, length), lengths (id, length), documents per term (term, df), and documents with their mean length (total, mean)."""
 
     postings: DataFrame
     lengths: DataFrame
+    frequency: DataFrame
+    totals: DataFrame
 
 
 # -- filters and projection --------------------------------------------------------
@@ -73,20 +78,49 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text: str = "chunk_text
     lengths = split.select(id_col, F.size("_terms").alias("length"))
     each = split.select(id_col, F.size("_terms").alias("length"), F.explode_outer("_terms").alias("term")).filter(F.col("term").isNotNull())
     postings = each.groupBy("term", id_col, "length").agg(F.count(F.lit(1)).alias("tf"))
-    return Index(postings, lengths)
+    return _index_of(postings, lengths)
 
 
-def write_index(index: Index, path: str, buckets: int = 64) -> None:
-    """Postings in folders by term hash; a frequent term is spread over several files."""
-    bucket = F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int")
-    spread = F.pmod(F.xxhash64(*[c for c in index.postings.columns if c != "term"]), F.lit(TERM_FILES))
-    placed = index.postings.withColumn("term_bucket", bucket)
-    placed.repartition("term_bucket", spread).sortWithinPartitions("term").write.mode("overwrite").partitionBy("term_bucket").parquet(f"{path}/postings")
-    index.lengths.write.mode("overwrite").parquet(f"{path}/lengths")
+def _index_of(postings: DataFrame, lengths: DataFrame) -> Index:
+    frequency = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    return Index(postings, lengths, frequency, lengths.agg(F.count(F.lit(1)).alias("total"), F.avg("length").alias("mean")))
+
+
+def _bucketed(df: DataFrame, path: str, buckets: int) -> DataFrame:
+    """Write a table bucketed and sorted by term, and read it as such."""
+    name = f"terms_{dir_tag(path)}"
+    df.write.mode("overwrite").bucketBy(buckets, "term").sortBy("term").option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
+
 
+def write_index(index: Index, path: str, buckets: int | None = None) -> Index:
+    """Store an index, postings and frequencies bucketed and sorted by term, and return it as stored.
 
-def read_index(spark, path: str) -> Index:
-    return Index(spark.read.parquet(f"{path}/postings").drop("term_bucket"), spark.read.parquet(f"{path}/lengths"))
+    A join on the term reads the buckets as they lie; within a file, a look-up of few terms skips
+    row groups. ``buckets`` should give buckets of some 100 MB; by default there are as many as shuffle partitions.
+    """
+    spark = index.postings.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    postings = _bucketed(index.postings.repartition(buckets, "term"), f"{path}/postings", buckets)
+    index.lengths.write.mode("overwrite").parquet(f"{path}/lengths")
+    stored = _index_of(postings, spark.read.parquet(f"{path}/lengths"))
+    _bucketed(stored.frequency, f"{path}/frequency", buckets)
+    stored.totals.withColumn("buckets", F.lit(buckets)).write.mode("overwrite").parquet(f"{path}/totals")
+    return read_index(spark, path)
+
+
+def read_index(spark: SparkSession, path: str) -> Index:
+    """Open a stored index, in another session too: its tables are declared over their folders where the catalog lacks them."""
+    totals = spark.read.parquet(f"{path}/totals")
+    buckets = totals.first()["buckets"]
+    tables = []
+    for part in ("postings", "frequency"):
+        name = f"terms_{dir_tag(f'{path}/{part}')}"
+        if not spark.catalog.tableExists(name):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(f"{path}/{part}").schema)
+            spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (term) SORTED BY (term) INTO {buckets} BUCKETS LOCATION '{path}/{part}'")
+        tables.append(spark.table(name))
+    return Index(tables[0], spark.read.parquet(f"{path}/lengths"), tables[1], totals.drop("buckets"))
 
 
 def refresh_index(index: Index, changed: DataFrame, gone: DataFrame | None = None, id_col: str = "doc_id", text: str = "chunk_text") -> Index:
@@ -94,7 +128,7 @@ def refresh_index(index: Index, changed: DataFrame, gone: DataFrame | None = Non
     fresh = build_index(changed, id_col, text)
     touched = changed.select(id_col) if gone is None else changed.select(id_col).unionByName(gone.select(id_col))
     touched = touched.distinct()
-    return Index(
+    return _index_of(
         index.postings.join(touched, id_col, "left_anti").unionByName(fresh.postings),
         index.lengths.join(touched, id_col, "left_anti").unionByName(fresh.lengths),
     )
@@ -105,134 +139,104 @@ def changed_since(chunks: DataFrame, since) -> DataFrame:
 
 
 @dataclass(frozen=True)
-class _Block:
-    """Some queries and the weights of their terms: small enough for every task."""
+class _Asked:
+    """A batch of queries cut into blocks: its weights (query_id, block, term_no, idf), its terms (term, term_no, blocks), and the cuts."""
 
-    query_ids: np.ndarray
-    terms: list[str]
-    weights: np.ndarray  # terms x queries
+    weights: DataFrame
+    terms: DataFrame
+    blocks: int
+    cells: int
+    mean: float
 
 
-def _block_of(held: pd.DataFrame) -> _Block | None:
-    """Rows (query_id, term, idf) as a matrix; a NULL term only makes its query known."""
-    if held.empty:
-        return None
-    query_ids, q = np.unique(held["query_id"].to_numpy(), return_inverse=True)
-    real = held["term"].notna().to_numpy()
-    names, t = np.unique(held["term"].to_numpy()[real].astype(str), return_inverse=True)
-    matrix = np.zeros((len(names), len(query_ids)))
-    matrix[t, q[real]] = held["idf"].to_numpy()[real]
-    return _Block(query_ids, names.tolist(), matrix)
+def _asked(queries: DataFrame, index: Index, block_queries: int, block_terms: int, cell_docs: int) -> _Asked:
+    """Number the known terms of a batch and weigh them (idf). Counts decide how many blocks and cells there are."""
+    spark = queries.sparkSession
+    total, mean = index.totals.first()
+    asked = queries.select("query_id", F.explode_outer(F.array_distinct(terms(F.col("query_text")))).alias("term")).filter(F.col("term").isNotNull())
+    known = index.frequency.join(asked.select("term").distinct(), "term")
+    idf = F.log(1 + (F.lit(total) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    known = written(known.select("term", idf.alias("idf")).withColumn("term_no", F.monotonically_increasing_id()), "terms")
+    weights = written(asked.join(known, "term").select("query_id", "term_no", "idf"), "weights")
+    rows, n = weights.agg(F.count(F.lit(1)), F.count_distinct("query_id")).first()
+    blocks = max(1, -(-rows // block_terms), -(-n // block_queries))
+    weights = weights.withColumn("block", _hashed("query_id", blocks))
+    met = weights.groupBy("term_no").agg(F.collect_set("block").alias("blocks"))
+    cells = max(-(-(total or 0) // cell_docs), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return _Asked(weights, written(known.join(met, "term_no").select("term", "term_no", "blocks"), "asked-terms"), blocks, cells, mean or 0.0)
 
 
-@dataclass(frozen=True)
-class _Batch:
-    """A batch of queries: term weights as a table, and into how many blocks it is cut. A batch of one block is fetched already."""
+def _hashed(column: str, parts: int) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(parts)).cast("int")
 
-    weights: DataFrame
-    parts: int
-    mean_length: float
-    only: _Block | None = None
-
-    def block(self, n: int) -> _Block | None:
-        """Fetch one block; its size is bounded by how the batch was cut."""
-        return _block_of(self.weights.filter(F.pmod(F.xxhash64("query_id"), F.lit(self.parts)) == n).toPandas())
-
-    def run(self, best_of: Callable[[_Block], DataFrame], schema: T.StructType) -> DataFrame:
-        """Candidates of all blocks. Of several blocks each is written before the next is fetched, so the driver holds one at a time."""
-        spark = self.weights.sparkSession
-        if self.parts == 1:
-            return spark.createDataFrame([], schema) if self.only is None else best_of(self.only)
-        path = fresh_path(spark, "candidates")
-        spark.createDataFrame([], schema).write.parquet(path)
-        for n in range(self.parts):
-            block = self.block(n)
-            if block is not None:
-                best_of(block).write.mode("append").parquet(path)
-        return spark.read.schema(schema).parquet(path)
-
-
-def _batch(queries: DataFrame, index: Index, block_terms: int) -> _Batch:
-    """Term weights (idf) of each query; a query without a known term keeps one row without a term.
-
-    Document frequencies are one aggregate over the postings of query terms.
-    """
-    ids = queries.select("query_id")
-    asked = queries.select("query_id", F.explode_outer(F.array_distinct(terms(F.col("query_text")))).alias("term")).filter(F.col("term").isNotNull())
-    hits = index.postings.join(asked.select("term").distinct(), "term", "left_semi")
-    total, mean = index.lengths.agg(F.count(F.lit(1)), F.avg("length")).first()
-    frequency = hits.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = F.log(1 + (F.lit(total) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    known = asked.join(frequency, "term").select("query_id", "term", idf.alias("idf"))
-    weights = ids.join(known, "query_id", "left")
-    head = weights.limit(block_terms + 1).toPandas()
-    if len(head) <= block_terms and head["query_id"].nunique() <= MAX_BROADCAST_QUERIES:
-        return _Batch(weights, 1, mean or 0.0, _block_of(head))
-    weights = written(weights, "term-weights")
-    rows, asking = weights.agg(F.count(F.lit(1)), F.count_distinct("query_id")).first()
-    return _Batch(weights, max(2, -(-rows // block_terms), -(-asking // MAX_BROADCAST_QUERIES)), mean or 0.0)
-
-
-def _gains(index: Index, block: _Block, mean: float, id_col: str) -> DataFrame:
-    """(_id, _term, _gain) of the postings of a block's terms: BM25 without the idf."""
-    spark = index.postings.sparkSession
-    numbered = spark.createDataFrame(pd.DataFrame({"term": block.terms, "_term": range(len(block.terms))}), "term string, _term int")
-    gain = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.lit(mean)))
-    return index.postings.join(F.broadcast(numbered), "term").select(F.col(id_col).alias("_id"), "_term", gain.alias("_gain"))
 
+def _hits(index: Index, asked: _Asked, id_col: str) -> DataFrame:
+    """(block, cell, _id, term_no, gain) of the postings of asked terms: BM25 without the idf. Postings are not shuffled to meet their terms."""
+    gain = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.lit(asked.mean)))
+    met = index.postings.join(asked.terms, "term").select(F.col(id_col).alias("_id"), "term_no", gain.alias("gain"), "blocks")
+    return met.select(F.explode("blocks").alias("block"), _hashed("_id", asked.cells).alias("cell"), "_id", "term_no", "gain")
 
-def _by_document(gains: DataFrame) -> DataFrame:
-    """One row per document with its postings of query terms: at most one per term of the block."""
-    return gains.groupBy("_id").agg(F.collect_list(F.struct("_term", "_gain")).alias("_post"))
 
+def _every_cell(rows: DataFrame, cells: int) -> DataFrame:
+    return rows.withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(cells - 1))))
 
-def _cuts(batches: Iterator[pa.RecordBatch], block: _Block) -> Iterator[pa.RecordBatch]:
-    """As many documents at a time as keep the matrices of this block small."""
-    most = max(1, MATRIX_CELLS // max(1, len(block.query_ids), len(block.terms)))
-    for batch in batches:
-        for start in range(0, batch.num_rows, most):
-            yield batch.slice(start, most)
 
+def _numbers(column: pa.ChunkedArray) -> np.ndarray:
+    return column.to_numpy()
 
-def _ids(batch: pa.RecordBatch) -> np.ndarray:
-    return np.asarray(batch.column("_id").to_pylist())
 
+class _Scorer:
+    """Scores of one cell of documents against one block of queries, some documents at a time."""
 
-def _text_scores(block: _Block, batch: pa.RecordBatch) -> np.ndarray:
-    """Score of each (query, document); 0 where they share no term."""
-    posts = batch.column("_post")
-    doc = np.repeat(np.arange(batch.num_rows), pc.fill_null(pc.list_value_length(posts), 0).to_numpy(zero_copy_only=False))
-    term, gain = (c.to_numpy(zero_copy_only=False) for c in posts.flatten().flatten())
-    used, column = np.unique(term, return_inverse=True)
-    gains = np.zeros((batch.num_rows, len(used)))
-    gains[doc, column] = gain
-    return (gains @ block.weights[used.astype(int)]).T
+    def __init__(self, query_ids: np.ndarray, q: np.ndarray, term: np.ndarray, idf: np.ndarray, ids: np.ndarray, d: np.ndarray, hit: np.ndarray, gain: np.ndarray):
+        self.query_ids, self.ids = query_ids, ids
+        terms, t = np.unique(term, return_inverse=True)
+        self.weights = np.zeros((len(terms), len(query_ids)))
+        self.weights[t, q] = idf
+        order = np.argsort(d, kind="stable")
+        self.d, self.t, self.gain = d[order], np.searchsorted(terms, hit[order]), gain[order]
 
+    def __iter__(self) -> Iterator[tuple[slice, np.ndarray]]:
+        """(documents, queries x documents); 0 where they share no term."""
+        most = max(1, MATRIX_CELLS // max(1, len(self.query_ids), len(self.weights)))
+        for a in range(0, len(self.ids), most):
+            b = min(a + most, len(self.ids))
+            rows = slice(*np.searchsorted(self.d, [a, b]))
+            used, column = np.unique(self.t[rows], return_inverse=True)
+            gains = np.zeros((b - a, len(used)))
+            gains[self.d[rows] - a, column] = self.gain[rows]
+            yield slice(a, b), (gains @ self.weights[used]).T
 
-def _best_by_text(block: _Block, batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    best = _Best(len(block.query_ids), k)
-    for batch in _cuts(batches, block):
-        scores = _text_scores(block, batch)
-        best.add(_ids(batch), np.round(scores, 4), scores > 0)
-    return _out(best.frames(block.query_ids))
 
+def _text_scorer(asked: pa.Table, held: pa.Table) -> _Scorer:
+    query_ids, q = np.unique(_numbers(asked["query_id"]), return_inverse=True)
+    ids, d = np.unique(_numbers(held["_id"]), return_inverse=True)
+    return _Scorer(query_ids, q, _numbers(asked["term_no"]), _numbers(asked["idf"]), ids, d, _numbers(held["term_no"]), _numbers(held["gain"]))
 
-def keyword_candidates(queries: DataFrame, index: Index, k: int, id_col: str = "doc_id", block_terms: int = BLOCK_TERMS) -> DataFrame:
-    """Exact BM25: the best ``k`` of each task per query (query_id, id, score, low, high).
+
+def keyword_candidates(queries: DataFrame, index: Index, k: int, id_col: str = "doc_id", block_queries: int = BLOCK_QUERIES, block_terms: int = BLOCK_TERMS, cell_docs: int = CELL_DOCS) -> DataFrame:
+    """Exact BM25: the best ``k`` of each cell per query (query_id, id, score, low, high).
 
     A frequent word makes nearly every document match nearly every query, so a row per
-    matching pair would be all pairs. Postings are brought together by document instead;
-    a task multiplies its documents with the query weights and keeps ``k`` per query. No
-    term and no document is left out.
+    matching pair would be all pairs. Queries are cut into blocks and documents into cells;
+    a group is the postings of one cell for the terms of one block, it multiplies its
+    matrices and keeps ``k`` per query. One plan for any batch; no term and no document is left out.
     """
-    batch = _batch(queries, index, block_terms)
+    asked = _asked(queries, index, block_queries, block_terms, cell_docs)
     schema = best_schema(queries.schema["query_id"].dataType, index.postings.schema[id_col].dataType)
 
-    def best_of(block: _Block) -> DataFrame:
-        documents = _by_document(_gains(index, block, batch.mean_length, id_col))
-        return documents.mapInArrow(lambda batches: _best_by_text(block, batches, k), schema)
+    def best(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return _table([], schema)
+        scorer = _text_scorer(left, right)
+        kept = _Best(len(scorer.query_ids), k)
+        for docs, scores in scorer:
+            kept.add(scorer.ids[docs], np.round(scores, 4), scores > 0)
+        return _table(kept.frames(scorer.query_ids), schema)
 
-    return batch.run(best_of, schema).withColumnRenamed("_id", id_col)
+    left = _every_cell(asked.weights, asked.cells)
+    found = left.groupBy("block", "cell").cogroup(_hits(index, asked, id_col).groupBy("block", "cell")).applyInArrow(best, schema)
+    return found.withColumnRenamed("_id", id_col)
 
 
 def keyword_search(queries: DataFrame, index: Index, k: int = DEFAULT_LIMIT, id_col: str = "doc_id", **how) -> DataFrame:
@@ -265,6 +269,12 @@ def _out(frames: Iterator[pd.DataFrame]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pandas(frame, preserve_index=False)
 
 
+def _table(frames: Iterable[pd.DataFrame], schema: T.StructType) -> pa.Table:
+    own = list(frames)
+    arrow = to_arrow_schema(schema)
+    return pa.concat_tables([pa.Table.from_pandas(f[schema.names], arrow, preserve_index=False) for f in own]) if own else arrow.empty_table()
+
+
 def first_k(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Positions of the k best scores, equal scores by id."""
     if len(scores) > k:
@@ -376,66 +386,105 @@ def vector_search(queries: DataFrame, corpus: DataFrame, k: int = DEFAULT_LIMIT,
 # -- hybrid ----------------------------------------------------------------------
 
 
-def _ranges(parts: DataFrame, query_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Lowest and highest score of each query, as columns; equal where a query has no score."""
-    seen = parts.groupBy("query_id").agg(F.min("low").alias("low"), F.max("high").alias("high")).toPandas().set_index("query_id").reindex(query_ids)
-    low, high = seen["low"].fillna(0.0).to_numpy()[:, None], seen["high"].fillna(0.0).to_numpy()[:, None]
-    return low, high
+def _scaled(scores: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Scores between 0 and 1 within a query; 1 when all its scores are equal. A query without scores has no range."""
+    wide = high > low
+    return np.where(wide, (scores - np.where(wide, low, 0.0)) / np.where(wide, high - np.where(wide, low, 0.0), 1.0), 1.0)
+
 
+def _with_vectors(rows: DataFrame, vectors: DataFrame) -> DataFrame:
+    """Rows of terms, and behind them rows that carry a vector in place of a term."""
+    return rows.unionByName(vectors, allowMissingColumns=True)
 
-def _scaled(scores: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """Scores between 0 and 1 within a query; 1 when all its scores are equal."""
-    width = high - low
-    return np.where(width > 0, (scores - low) / np.where(width > 0, width, 1.0), 1.0)
 
+class _Both(_Scorer):
+    """As :class:`_Scorer`, with the cosine where both sides have a vector."""
 
-def hybrid_candidates(queries: DataFrame, corpus: DataFrame, index: Index, profiles: Sequence[str], k: int, id_col: str = "doc_id", vector: str = "embedding", block_terms: int = BLOCK_TERMS) -> DataFrame:
-    """The best ``k`` of each task per query and profile (query_id, id, score, profile).
+    def __init__(self, asked: pa.Table, held: pa.Table):
+        query_ids, q = np.unique(_numbers(asked["query_id"]), return_inverse=True)
+        ids, d = np.unique(_numbers(held["_id"]), return_inverse=True)
+        text, hit = (pc.is_valid(t["term_no"]).to_numpy() for t in (asked, held))
+        words, postings = asked.filter(pa.array(text)), held.filter(pa.array(hit))
+        super().__init__(query_ids, q[text], _numbers(words["term_no"]), _numbers(words["idf"]), ids, d[hit], _numbers(postings["term_no"]), _numbers(postings["gain"]))
+        self.has_query, self.query_vectors = self._placed(asked, ~text, q, len(query_ids))
+        self.has_doc, self.doc_vectors = self._placed(held, ~hit, d, len(ids))
+
+    @staticmethod
+    def _placed(rows: pa.Table, vector: np.ndarray, at: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        has = np.zeros(n, bool)
+        has[at[vector]] = True
+        matrix = _matrix(rows.filter(pa.array(vector))["_v"].combine_chunks()) if vector.any() else np.zeros((0, 1))
+        out = np.zeros((n, matrix.shape[1]))
+        out[at[vector]] = unit_rows(matrix)
+        return has, out
+
+    def legs(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(ids, text score, whether it applies, cosine, whether it applies)."""
+        for docs, text in self:
+            both = self.has_query[:, None] & self.has_doc[docs][None, :]
+            near = np.zeros_like(text)
+            if both.any():
+                near = np.where(both, np.round(self.query_vectors @ self.doc_vectors[docs].T, 4) + 0.0, 0.0)
+            yield self.ids[docs], np.round(text, 4), text > 0, near, both
+
+
+_LEGS = ["text_low", "text_high", "near_low", "near_high"]
+
+
+def hybrid_candidates(
+    queries: DataFrame, corpus: DataFrame, index: Index, profiles: Sequence[str], k: int, id_col: str = "doc_id", vector: str = "embedding",
+    block_queries: int = BLOCK_QUERIES, block_terms: int = BLOCK_TERMS, cell_docs: int = CELL_DOCS,
+) -> DataFrame:
+    """The best ``k`` of each cell per query and profile (query_id, id, score, profile).
 
     Both scores are scaled per query to 0..1 over the documents they apply to and averaged by
-    the weights of the profile; a leg that does not apply counts 0. A first pass over each leg
-    finds the ranges. The second brings postings and vectors of a document together, scores it
-    on both legs at once, and keeps ``k`` per query: exact, and no pair becomes a row.
+    the weights of the profile; a leg that does not apply counts 0. Postings and vectors of a
+    cell meet the terms and vectors of a block, as in keyword search: a first pass finds the
+    ranges of both legs, the second scores them at once and keeps ``k`` per query: exact, and no pair becomes a row.
     How the legs are joined is our choice; no reranker follows.
     """
-    batch = _batch(queries, index, block_terms)
-    item = index.postings.schema[id_col].dataType
-    base = best_schema(queries.schema["query_id"].dataType, item)
+    asked = _asked(queries, index, block_queries, block_terms, cell_docs)
+    query_id, item = queries.schema["query_id"].dataType, index.postings.schema[id_col].dataType
+    base = best_schema(query_id, item)
     schema = T.StructType([*base.fields[:3], T.StructField("profile", T.StringType())])
-    vectors = corpus.filter(F.col(vector).isNotNull()).select(F.col(id_col).alias("_id"), F.col(vector).alias("_v"))
-
-    def one_block(block: _Block) -> DataFrame:
-        mine = queries.filter(F.col("query_id").isin(block.query_ids.tolist()))
-        documents = written(_by_document(_gains(index, block, batch.mean_length, id_col)), "postings-by-document")
-        text_range = _ranges(documents.mapInArrow(lambda batches: _best_by_text(block, batches, 1), base), block.query_ids)
-        vector_range = _ranges(vector_candidates(mine, corpus, 1, id_col, vector), block.query_ids)
-        asked = mine.select("query_id", vector).toPandas().set_index("query_id").reindex(block.query_ids)[vector]
-        has_vector = asked.notna().to_numpy()
-        size = len(asked[has_vector].iloc[0]) if has_vector.any() else 1
-        matrix = np.zeros((len(asked), size))
-        if has_vector.any():
-            matrix[has_vector] = unit_rows(stacked(asked[has_vector]))
-
-        def fused(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            best = {p: _Best(len(block.query_ids), k) for p in profiles}
-            for part in _cuts(batches, block):
-                ids, text = _ids(part), _text_scores(block, part)
-                placed = part.column("_v").is_valid().to_numpy(zero_copy_only=False)
-                near = np.zeros_like(text)
-                if placed.any() and has_vector.any():
-                    near[:, placed] = np.round(matrix @ unit_rows(_matrix(part.column("_v"))).T, 4) + 0.0
-                has_text, has_near = text > 0, has_vector[:, None] & placed[None, :]
-                t = np.where(has_text, _scaled(np.round(text, 4), *text_range), 0.0)
-                v = np.where(has_near, _scaled(near, *vector_range), 0.0)
-                for p in profiles:
-                    wt, wv = PROFILES[p]
-                    best[p].add(ids, np.round((t * wt + v * wv) / (wt + wv), 10), has_text | has_near)
+    ranged = T.StructType([base.fields[0], *[T.StructField(n, T.DoubleType()) for n in _LEGS]])
+    query_vectors = queries.filter(F.col(vector).isNotNull()).select("query_id", F.col(vector).alias("_v"), _hashed("query_id", asked.blocks).alias("block"))
+    left = written(_with_vectors(asked.weights, query_vectors), "asked")
+    vectors = corpus.filter(F.col(vector).isNotNull()).select(F.col(id_col).alias("_id"), F.col(vector).alias("_v"), _hashed(id_col, asked.cells).alias("cell"))
+    every_block = vectors.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(asked.blocks - 1))))
+    right = written(_with_vectors(_hits(index, asked, id_col), every_block), "held")
+
+    def in_cells(own: DataFrame):
+        return _every_cell(own, asked.cells).groupBy("block", "cell").cogroup(right.groupBy("block", "cell"))
+
+    def ranges(a: pa.Table, b: pa.Table) -> pa.Table:
+        if not a.num_rows or not b.num_rows:
+            return _table([], ranged)
+        own = _Both(a, b)
+        low, high = np.full((2, len(own.query_ids)), np.inf), np.full((2, len(own.query_ids)), -np.inf)
+        for _, text, has_text, near, has_near in own.legs():
+            for i, (x, has) in enumerate(((text, has_text), (near, has_near))):
+                low[i] = np.minimum(low[i], np.where(has, x, np.inf).min(axis=1))
+                high[i] = np.maximum(high[i], np.where(has, x, -np.inf).max(axis=1))
+        return _table([pd.DataFrame(dict(zip(ranged.names, (own.query_ids, low[0], high[0], low[1], high[1]))))], ranged)
+
+    def fused(a: pa.Table, b: pa.Table) -> pa.Table:
+        if not a.num_rows or not b.num_rows:
+            return _table([], schema)
+        own = _Both(a, b)
+        first = np.unique(_numbers(a["query_id"]), return_index=True)[1]
+        text_low, text_high, near_low, near_high = (_numbers(a[n])[first][:, None] for n in _LEGS)
+        best = {p: _Best(len(own.query_ids), k) for p in profiles}
+        for ids, text, has_text, near, has_near in own.legs():
+            t = np.where(has_text, _scaled(text, text_low, text_high), 0.0)
+            v = np.where(has_near, _scaled(near, near_low, near_high), 0.0)
             for p in profiles:
-                yield from _out(frame[["query_id", "_id", "score"]].assign(profile=p) for frame in best[p].frames(block.query_ids))
-
-        return documents.join(vectors, "_id", "full").mapInArrow(fused, schema)
+                wt, wv = PROFILES[p]
+                best[p].add(ids, np.round((t * wt + v * wv) / (wt + wv), 10), has_text | has_near)
+        return _table([f.assign(profile=p) for p in profiles for f in best[p].frames(own.query_ids)], schema)
 
-    return batch.run(one_block, schema).withColumnRenamed("_id", id_col)
+    seen = in_cells(left).applyInArrow(ranges, ranged).groupBy("query_id").agg(*[(F.min if n.endswith("low") else F.max)(n).alias(n) for n in _LEGS])
+    return in_cells(left.join(written(seen, "ranges"), "query_id")).applyInArrow(fused, schema).withColumnRenamed("_id", id_col)
 
 
 def _ranked(found: DataFrame, k: int, id_col: str) -> DataFrame:

@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clearplate.operators import sketches
 
 
 class SemanticError(ValueError):
@@ -21,7 +22,8 @@ class Part:
 
     sum, count, min and max merge by themselves. key counts distinct keys of the entity: a
     key fixes its foreign keys, so counts per foreign key add up. distinct and median are
-    carried to the last step as grouping values.
+    carried to the last step as grouping values, or on request replaced by sketches that
+    merge by themselves.
     """
 
     kind: str
@@ -136,11 +138,18 @@ class SemanticLayer:
         defaults: bool = False,
         rounded: bool = False,
         facts: Sequence[str] = (),
+        sets: Sequence[Sequence[str]] | None = None,
+        approximate: bool = False,
     ) -> DataFrame:
         """Metrics by dimensions.
 
         Metrics of different facts are aggregated apart and then put side by side, so a
         join never multiplies rows. ``best`` ranks by mean score: low is best.
+
+        ``sets`` names the groupings wanted of the dimensions, ``[]`` being the grand total;
+        all come from one pass over the sums below the joins, and ``grouped_by`` tells which
+        grouping a row is of. ``approximate`` forms distinct counts and medians by sketches
+        (errors in :mod:`clearplate.operators.sketches`), whose size does not grow with the values.
         """
         if facts:
             raise SemanticError("facts and metrics cannot be in one request")
@@ -150,6 +159,9 @@ class SemanticLayer:
         names = [plain for _, plain in dims]
         if len(set(names)) != len(names):
             raise SemanticError("two dimensions share a name")
+        for one in sets or ():
+            if not set(one) <= set(names):
+                raise SemanticError("a grouping names dimensions of the request")
         by_entity: dict[str, list[Metric]] = {}
         for m in metrics:
             owner, plain = self._find("metrics", m)
@@ -171,7 +183,7 @@ class SemanticLayer:
             time = self.model.entities[owner].time
             if recent and time:
                 own.append(_Rule(owner, lambda t=time: F.expr(f"{t} between add_months(date'{self.as_of}', -12) and date'{self.as_of}'")))
-            results += [self._aggregate(self.model.entities[owner], batch, dims, own, rounded) for batch in _batches(wanted)]
+            results += [self._aggregate(self.model.entities[owner], batch, dims, own, rounded, sets, approximate) for batch in _batches(wanted)]
         out = results[0]
         if len(results) > 1:
             # Drill-across: one row per group from each fact, laid over each other. Grouping
@@ -179,7 +191,7 @@ class SemanticLayer:
             for r in results[1:]:
                 out = out.unionByName(r, allowMissingColumns=True)
             measured = [m.name for ms in by_entity.values() for m in ms]
-            out = out.groupBy(*names).agg(*[F.max(m).alias(m) for m in measured])
+            out = out.groupBy(*names, *(["grouped_by"] if sets is not None else [])).agg(*[F.max(m).alias(m) for m in measured])
         if defaults:
             out = out.withColumn("applied_filters", F.array(*map(F.lit, applied)).cast("array<string>"))
         if best is not None:
@@ -207,7 +219,7 @@ class SemanticLayer:
         text = self.model.entities[owner].filters[plain].replace("{as_of}", f"date'{self.as_of}'")
         return _Rule(owner, lambda: F.expr(text))
 
-    def _aggregate(self, entity: Entity, metrics: list[Metric], dims, rules: list[_Rule], rounded: bool) -> DataFrame:
+    def _aggregate(self, entity: Entity, metrics: list[Metric], dims, rules: list[_Rule], rounded: bool, sets: Sequence[Sequence[str]] | None = None, approximate: bool = False) -> DataFrame:
         """Metrics of one entity by dimensions.
 
         Sums are formed at the grain (foreign keys, own dimensions) before a growing
@@ -217,6 +229,8 @@ class SemanticLayer:
         needed.pop(entity.name, None)
         edges = list(dict.fromkeys(e for target in needed for e in self._path(entity.name, target)))
         parts = {f"{m.name}__{p}": part for m in metrics for p, part in m.parts.items()}
+        if approximate:
+            parts = {a: Part({"distinct": "hll", "median": "kll"}.get(p.kind, p.kind), p.expr) for a, p in parts.items()}
         carried = {a: p for a, p in parts.items() if p.kind in ("distinct", "median")}
 
         base = self.tables[entity.table]
@@ -241,11 +255,16 @@ class SemanticLayer:
             merge = _first_step
         for e in growing:
             base = self._attach(base, e, dims, rules, edges)
-        groups = [F.col(f"_d_{d}").alias(d) for _, d in dims]
-        totals = base.groupBy(*groups).agg(
-            *[_carried(p.kind, a) if a in carried else merge(p.kind, a) for a, p in parts.items()]
-        )
-        return totals.select(*[d for _, d in dims], *[_result(m, rounded).alias(m.name) for m in metrics])
+        groups = [f"_d_{d}" for _, d in dims]
+        values = [_carried(p.kind, a) if a in carried else merge(p.kind, a) for a, p in parts.items()]
+        if sets is None:
+            totals = base.groupBy(*groups).agg(*values)
+        else:
+            named = F.concat_ws(",", *[F.when(F.grouping(g) == 0, d) for g, (_, d) in zip(groups, dims)])
+            totals = base.groupingSets([[F.col(f"_d_{d}") for d in one] for one in sets], *map(F.col, groups)).agg(*values, named.alias("grouped_by"))
+        totals = totals.withColumns({a: sketches.estimate(p.kind, a) for a, p in parts.items() if p.kind in ("hll", "kll")})
+        shown = [F.col(f"_d_{d}").alias(d) for _, d in dims] + ([] if sets is None else [F.col("grouped_by")])
+        return totals.select(*shown, *[_result(m, rounded).alias(m.name) for m in metrics])
 
     def _attach(self, df: DataFrame, edge: Relationship, dims, rules, edges) -> DataFrame:
         """Inner join along one edge, carrying only the columns asked for."""
@@ -292,11 +311,13 @@ def _batches(metrics: list[Metric]) -> list[list[Metric]]:
 
 
 def _first_step(kind: str, alias: str) -> Column:
-    return {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max, "key": F.count_distinct}[kind](alias).alias(alias)
+    own = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max, "key": F.count_distinct, "hll": sketches.distinct_sketch, "kll": sketches.quantile_sketch}
+    return own[kind](alias).alias(alias)
 
 
 def _merge(kind: str, alias: str) -> Column:
-    return {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max, "key": F.sum}[kind](alias).alias(alias)
+    own = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max, "key": F.sum, "hll": sketches.merge_distinct, "kll": sketches.merge_quantile}
+    return own[kind](alias).alias(alias)
 
 
 def _carried(kind: str, alias: str) -> Column:

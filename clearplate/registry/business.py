@@ -8,11 +8,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from clearplate.operators import quality as Q
+from clearplate.operators import sketches as K
 from clearplate.plans import analytics as A
 from clearplate.plans import verified as V
 from clearplate.plans.model import semantic_layer
 from clearplate.registry.base import marts_of, query
 from clearplate.registry.star_sql import star
+from clearplate.session import written
 from clearplate.sources.bind import AS_OF
 
 # The bound records have region names in place of boroughs.
@@ -243,6 +245,67 @@ sv(
     lambda s: s.query(["total_inspections"], ["borough"]).withColumn("data_through", s.freshness()),
 )
 
+_SETS = [["borough"], ["cuisine_type"], ["borough", "cuisine_type"], []]
+
+
+def _sets_sql(table: str, sql: str) -> str:
+    return f"""SELECT borough, cuisine_type, concat_ws(',', CASE WHEN grouping(borough) = 0 THEN 'borough' END, CASE WHEN grouping(cuisine_type) = 0 THEN 'cuisine_type' END) AS grouped_by, {sql}
+  FROM {table} GROUP BY GROUPING SETS ((borough), (cuisine_type), (borough, cuisine_type), ())"""
+
+
+sv(
+    "sv_subtotals",
+    f"""SELECT i.borough, i.cuisine_type, i.grouped_by, total_inspections, median_score, closure_rate, total_violation_citations, distinct_violation_codes_cited
+  FROM ({_sets_sql('ir', _cols(_METRIC_SQL, ['total_inspections', 'median_score', 'closure_rate']))}) i
+  JOIN ({_sets_sql('vr', _cols(_CITATION_SQL, ['total_violation_citations', 'distinct_violation_codes_cited']))}) v
+    ON i.borough IS NOT DISTINCT FROM v.borough AND i.cuisine_type IS NOT DISTINCT FROM v.cuisine_type AND i.grouped_by = v.grouped_by""",
+    lambda s: s.query(["total_inspections", "median_score", "closure_rate", "total_violation_citations", "distinct_violation_codes_cited"], ["borough", "cuisine_type"], sets=_SETS),
+)
+
+
+def _in_rank(found, values, by, name):
+    """Share of values below, and up to, an estimated median, against the middle."""
+    met = values.join(found.select(*by, F.col(name).alias("_m")), list(by)).groupBy(*by).agg(
+        F.avg(F.when(F.col("v") < F.col("_m"), 1.0).otherwise(0.0)).alias("below"), F.avg(F.when(F.col("v") <= F.col("_m"), 1.0).otherwise(0.0)).alias("upto")
+    )
+    return met.select(*by, ((F.col("below") <= 0.5 + K.KLL_RANK_ERROR) & (F.col("upto") >= 0.5 - K.KLL_RANK_ERROR)).alias("median_within_error"))
+
+
+def _approximate(layer):
+    names = ["distinct_violation_codes_cited", "median_score", "total_inspections"]
+    exact, close = layer.query(names, ["cuisine_type"]), layer.query(names, ["cuisine_type"], approximate=True)
+    restaurants = layer.tables["dim_restaurant"].select("dim_restaurant_key", F.col("cuisine_description").alias("cuisine_type"))
+    values = layer.tables["fct_inspections"].join(restaurants, "dim_restaurant_key").select("cuisine_type", F.col("inspection_score").alias("v")).filter("v IS NOT NULL")
+    near = F.abs(F.col("_codes") - F.col("distinct_violation_codes_cited")) <= 3 * K.HLL_ERROR * F.col("distinct_violation_codes_cited")
+    both = exact.join(close.select("cuisine_type", F.col("distinct_violation_codes_cited").alias("_codes")), "cuisine_type")
+    return both.select("cuisine_type", "total_inspections", near.alias("codes_within_error")).join(_in_rank(close, values, ["cuisine_type"], "median_score"), "cuisine_type")
+
+
+sv("sv_approximate", "SELECT cuisine_type, count(fct_inspection_key) AS total_inspections, true AS codes_within_error, true AS median_within_error FROM ir WHERE cuisine_type IS NOT NULL GROUP BY 1", _approximate)
+
+
+def _from_sketches(layer):
+    """Sketches kept per day and type of visit; a request over some years merges them and reads no fact."""
+    fact = layer.tables["fct_violations"]
+    kept = written(K.daily(fact, "inspection_date", ["inspection_type"], {"codes": "violation_code", "places": "restaurant_id"}, {"score": "inspection_score"}), "sketches")
+    low, high = "1994-01-01", "1996-12-31"
+    found = K.over(kept, ["inspection_type"], low, high, ["codes", "places"], ["score"])
+    rows = fact.filter(F.col("inspection_date").between(low, high))
+    true = rows.groupBy("inspection_type").agg(F.count_distinct("violation_code").alias("c"), F.count_distinct("restaurant_id").alias("p"))
+    close = lambda a, b: F.abs(F.col(a) - F.col(b)) <= 3 * K.HLL_ERROR * F.col(b)
+    median = _in_rank(found, rows.select("inspection_type", F.col("inspection_score").alias("v")).filter("v IS NOT NULL"), ["inspection_type"], "score")
+    return found.join(true, "inspection_type").join(median, "inspection_type").select(
+        "inspection_type", F.col("rows").alias("citations"), close("codes", "c").alias("codes_within_error"), close("places", "p").alias("places_within_error"), "median_within_error"
+    )
+
+
+sv(
+    "sv_kept_sketches",
+    """SELECT inspection_type, count(*) AS citations, true AS codes_within_error, true AS places_within_error, true AS median_within_error
+  FROM violations WHERE inspection_date BETWEEN DATE '1994-01-01' AND DATE '1996-12-31' GROUP BY 1""",
+    _from_sketches,
+)
+
 # -- further analytics -------------------------------------------------------------
 
 

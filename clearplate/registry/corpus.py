@@ -11,7 +11,7 @@ from clearplate.operators import retrieval as R
 from clearplate.plans.verified import top_critical_violations
 from clearplate.registry.base import marts_of, query
 from clearplate.registry.star_sql import star
-from clearplate.session import fresh_path
+from clearplate.session import dir_tag, fresh_path, work_path
 from clearplate.sources import bind, tables
 
 LOADED = "2024-01-31 00:00:00"
@@ -34,7 +34,7 @@ for _entity, _char in C.ENTITIES.items():
     _CLEAN = f"replace({_CLEAN}, '{_entity}', '{_char.replace(chr(39), chr(39) * 2)}')"
 _CLEAN = rf"regexp_replace(regexp_replace(regexp_replace({_CLEAN}, '[ \t\x0B\f\r]+', ' ', 'g'), ' ?\n[ \n]*', '" + "\n" + r"', 'g'), '^\s+|\s+$', '', 'g')"
 query("d1_page_text", f"SELECT * FROM (SELECT page_id, url, {_CLEAN} AS page_text FROM pages) WHERE page_text <> ''")(
-    lambda s, d: C.page_text(bind.table(s, d, "pages")).select("page_id", "url", "page_text")
+    lambda s, d: C.page_text(bind.web_pages(s, d)).select("page_id", "url", "page_text")
 )
 
 _MANUAL = """WITH manual AS (SELECT source AS doc_id, doc_id AS page_number,
@@ -183,21 +183,29 @@ kw AS (SELECT query_id, doc_id, round(sum(ln(1 + (n - df + 0.5::double) / (df +
 _TOP = "SELECT query_id, doc_id, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM {}) WHERE rank <= {}"
 
 
-def index_of(corpus):
-    return R.build_index(corpus)
+_STORED: set[str] = set()
+
+
+def stored_index(s, d):
+    """The stored index of a data folder's corpus, made on first use in this application, as a search service keeps it."""
+    path = work_path(s, "index", dir_tag(d))
+    if path not in _STORED:
+        R.write_index(R.build_index(bind.search_corpus(s, d)), path)
+        _STORED.add(path)
+    return R.read_index(s, path)
 
 
 query("r1_index_terms", _bm25() + " SELECT term, count(*) AS df, sum(tf)::bigint AS cf FROM post GROUP BY 1")(
-    lambda s, d: index_of(bind.search_corpus(s, d)).postings.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
+    lambda s, d: R.build_index(bind.search_corpus(s, d)).postings.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
 )
-query("r2_bm25", _bm25() + _TOP.format("kw", 5))(lambda s, d: R.keyword_search(bind.search_queries(s, d), index_of(bind.search_corpus(s, d))))
+query("r2_bm25", _bm25() + _TOP.format("kw", 5))(lambda s, d: R.keyword_search(bind.search_queries(s, d), stored_index(s, d)))
 
 
 @query("r2_bm25_written_index", _bm25() + _TOP.format("kw", 5))
 def _(s, d):
-    path = fresh_path(s, "index")
-    R.write_index(index_of(bind.search_corpus(s, d)), path)
-    return R.keyword_search(bind.search_queries(s, d), R.read_index(s, path))
+    """The index made, stored in a few buckets and searched in small blocks and cells."""
+    index = R.write_index(R.build_index(bind.search_corpus(s, d)), fresh_path(s, "index"), buckets=5)
+    return R.keyword_search(bind.search_queries(s, d), index, block_queries=16, cell_docs=100)
 
 
 _VECTORS = """WITH qv AS (SELECT item_id AS query_id, embedding::double[] AS q FROM benchmark JOIN embeddings ON item_id = vec_id),
@@ -244,13 +252,13 @@ ranked AS ({_TOP.format('fused', 5)})"""
 
 
 _FUSED = " SELECT query_id, doc_id, round(score, 4) AS score, rank FROM ranked"
-query("r4_hybrid", _hybrid(1.0, 1.0) + _FUSED)(lambda s, d: R.hybrid(bind.search_queries(s, d), bind.search_corpus(s, d), index_of(bind.search_corpus(s, d))))
+query("r4_hybrid", _hybrid(1.0, 1.0) + _FUSED)(lambda s, d: R.hybrid(bind.search_queries(s, d), bind.search_corpus(s, d), stored_index(s, d)))
 query("r4_hybrid_keyword_heavy", _hybrid(3.0, 1.0) + _FUSED)(
-    lambda s, d: R.hybrid(bind.search_queries(s, d), bind.search_corpus(s, d), index_of(bind.search_corpus(s, d)), "keyword_heavy")
+    lambda s, d: R.hybrid(bind.search_queries(s, d), bind.search_corpus(s, d), stored_index(s, d), "keyword_heavy")
 )
 _EN_OR_SRC1 = {"@or": [{"@eq": {"doc_type": "en"}}, {"@eq": {"doc_label": "src1"}}]}
 query("r5_filtered", _bm25("WHERE lang = 'en' OR source = 'src1'") + _TOP.format("kw", 5))(
-    lambda s, d: R.keyword_search(bind.search_queries(s, d), index_of(bind.search_corpus(s, d).filter(R.attribute_filter(_EN_OR_SRC1))))
+    lambda s, d: R.keyword_search(bind.search_queries(s, d), R.build_index(bind.search_corpus(s, d).filter(R.attribute_filter(_EN_OR_SRC1))))
 )
 query("r5_filter_forms", """SELECT 'either' AS form, count(*) AS documents FROM documents WHERE lang = 'en' OR source = 'src1' UNION ALL SELECT 'both', count(*) FROM documents WHERE lang = 'en' AND source = 'src1'
   UNION ALL SELECT 'two types at once', count(*) FROM documents WHERE lang = 'en' AND lang = 'de'""")(lambda s, d: _filter_forms(bind.search_corpus(s, d)))
@@ -264,14 +272,14 @@ def _filter_forms(corpus):
 
 
 query("r6_projected", _bm25() + f" SELECT query_id, doc_id, score, rank, lang AS doc_type, source AS doc_label FROM ({_TOP.format('kw', 3)}) JOIN documents USING (doc_id)")(
-    lambda s, d: R.with_columns(R.keyword_search(bind.search_queries(s, d), index_of(bind.search_corpus(s, d))), bind.search_corpus(s, d), "doc_id", ["doc_type", "doc_label"], 3)
+    lambda s, d: R.with_columns(R.keyword_search(bind.search_queries(s, d), stored_index(s, d)), bind.search_corpus(s, d), "doc_id", ["doc_type", "doc_label"], 3)
 )
 _PROFILE_TOP = "SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY round((t * {w} + v) / ({w} + 1), 10) DESC, doc_id) AS rank FROM legs"
 query(
     "r7_compare_profiles",
     _hybrid(1.0, 1.0) + f""", a AS ({_PROFILE_TOP.format(w='1.0::double')}), b AS ({_PROFILE_TOP.format(w='3.0::double')})
   SELECT query_id, rank, a.doc_id AS "default", a.doc_id AS no_reranker, b.doc_id AS keyword_heavy FROM a JOIN b USING (query_id, rank) WHERE rank <= 3""",
-)(lambda s, d: R.compare_profiles(bind.search_queries(s, d), bind.search_corpus(s, d), index_of(bind.search_corpus(s, d))))
+)(lambda s, d: R.compare_profiles(bind.search_queries(s, d), bind.search_corpus(s, d), stored_index(s, d)))
 
 
 @query("r8_refresh_index", _bm25("WHERE lang <> 'de'", _SPLIT.replace("lower(text)", "lower(CASE WHEN lang = 'en' THEN text || ' refreshed passage' ELSE text END)")) + " SELECT term, count(*) AS df, sum(tf)::bigint AS cf FROM post GROUP BY 1")
@@ -279,7 +287,7 @@ def _(s, d):
     """English texts changed and German texts went; the rest of the index is kept."""
     docs = bind.search_corpus(s, d)
     changed = docs.filter("doc_type = 'en'").withColumn("chunk_text", F.concat("chunk_text", F.lit(" refreshed passage")))
-    fresh = R.refresh_index(index_of(docs), changed, docs.filter("doc_type = 'de'"))
+    fresh = R.refresh_index(R.build_index(docs), changed, docs.filter("doc_type = 'de'"))
     return fresh.postings.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
 
 

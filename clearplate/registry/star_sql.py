@@ -27,7 +27,7 @@ RAW = f"""
 raw AS (
   SELECT CAST(c_custkey AS varchar) AS camis,
     '  ' || lower(c_name) || ' ' AS dba,
-    upper(r_name) AS boro,
+    CASE WHEN c_custkey % 19 = 0 THEN '0' ELSE upper(r_name) END AS boro,
     CASE WHEN c_custkey % 17 <> 0 THEN CAST(c_custkey % 500 AS varchar) END AS building,
     upper(n_name) || ' STREET' AS street,
     CASE WHEN c_custkey % 31 = 0 THEN '10025-1234' ELSE CAST(c_nationkey AS varchar) END AS zipcode,

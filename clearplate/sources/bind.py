@@ -29,6 +29,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def landed(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table as a load would leave it: spread over the session's cores by ``key``.
+
+    The given tables are one file with one row group each, which is one task for a scan and
+    all that follows it. A landing zone has many files; this stands for it and is part of no operator.
+    """
+    return table(spark, sf_dir, name).repartition(spark.sparkContext.defaultParallelism, key)
+
+
 def _mapped(values: dict[str, str], c: str):
     out = F.lit(None).cast("string")
     for key, value in values.items():
@@ -40,7 +49,7 @@ def raw_inspections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as all-string inspection records."""
     t = lambda name: table(spark, sf_dir, name)
     lines = (
-        table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
+        landed(spark, sf_dir, "lineitem", "l_orderkey").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
         .join(t("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(t("part").select("p_partkey", "p_type", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
         .join(t("customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"))
@@ -58,7 +67,7 @@ def raw_inspections(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = {
         "camis": cust.cast("string"),
         "dba": F.concat(F.lit("  "), F.lower("c_name"), F.lit(" ")),
-        "boro": F.upper("r_name"),
+        "boro": F.when(cust % 19 == 0, "0").otherwise(F.upper("r_name")),  # '0' stands for an unknown one
         "building": F.when(cust % 17 != 0, (cust % 500).cast("string")),
         "street": F.concat(F.upper("n_name"), F.lit(" STREET")),
         "zipcode": F.when(cust % 31 == 0, "10025-1234").otherwise(F.col("c_nationkey").cast("string")),
@@ -199,12 +208,17 @@ def analyst_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as one-page sources."""
-    return table(spark, sf_dir, "documents").select(
+    return landed(spark, sf_dir, "documents", "doc_id").select(
         F.col("doc_id"), F.col("source").alias("source_url"), F.col("lang").alias("doc_type"), F.col("source").alias("doc_label"),
         F.lit(1).alias("page_number"), F.col("text").alias("page_text"),
     )
 
 
+def web_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw web pages."""
+    return landed(spark, sf_dir, "pages", "page_id")
+
+
 def manual_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as pages of one manual per source, some with appendix and section headings."""
     n = F.col("doc_id") % 13
@@ -213,7 +227,7 @@ def manual_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(n == 7, "APPENDIX 23-C PENALTY SCHEDULE\n").when(n == 10, "APPENDIX 23-C\nUNSCORED VIOLATIONS\n")
         .when(n == 2, "Food Protection\n").when(n == 8, "General Violations\n").when(n == 11, "Other Criticals\n").otherwise("")
     )
-    return table(spark, sf_dir, "documents").select(
+    return landed(spark, sf_dir, "documents", "doc_id").select(
         F.col("source").alias("doc_id"), F.col("doc_id").alias("page_number"), F.concat(heading, F.col("text")).alias("page_text")
     )
 
@@ -239,13 +253,13 @@ def code_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     code = lambda a, b: F.concat(F.lpad((a % 25).cast("string"), 2, "0"), letter(b))
     order, part, supp = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
     text = F.concat(F.lit("Codes "), code(order, part), F.lit("*, "), code(part, supp), F.lit("+ and "), code(order, part), F.lit("; also "), code(supp, order), F.lit("."))
-    return table(spark, sf_dir, "lineitem").select(F.concat_ws("-", order, F.col("l_linenumber"), part, supp).alias("doc_id"), text.alias("chunk_text"))
+    return landed(spark, sf_dir, "lineitem", "l_orderkey").select(F.concat_ws("-", order, F.col("l_linenumber"), part, supp).alias("doc_id"), text.alias("chunk_text"))
 
 
 def search_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with the vector of the same number, where there is one."""
     vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("chunk_text"), F.col("lang").alias("doc_type"), F.col("source").alias("doc_label"))
+    docs = landed(spark, sf_dir, "documents", "doc_id").select("doc_id", F.col("text").alias("chunk_text"), F.col("lang").alias("doc_type"), F.col("source").alias("doc_label"))
     return docs.join(vectors, "doc_id", "left")
 
 

@@ -3,13 +3,13 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pyarrow as pa
 import pytest
 from frames import rows
 from pyspark.sql import functions as F
 
 from clearplate.operators import corpus as C
 from clearplate.operators import retrieval as R
+from clearplate.session import dir_tag
 
 
 def pages(spark, *texts):
@@ -177,7 +177,7 @@ def brute_bm25(docs, queries):
     return out
 
 
-@pytest.mark.parametrize("how", [{}, {"block_terms": 1}])
+@pytest.mark.parametrize("how", [{}, {"block_terms": 1}, {"block_queries": 1, "cell_docs": 7}])
 def test_keyword_equals_brute_force(docs, queries, how):
     want = brute_bm25(docs, queries)
     got = R.keyword_search(queries, R.build_index(docs), 7, **how)
@@ -185,16 +185,18 @@ def test_keyword_equals_brute_force(docs, queries, how):
     assert rows(got, "query_id", "doc_id", "score", "rank") == sorted(best, key=repr)
 
 
-def test_small_products_give_the_same(docs, queries, monkeypatch):
-    whole = rows(R.keyword_search(queries, R.build_index(docs), 7))
-    monkeypatch.setattr(R, "MATRIX_CELLS", 10)
-    block = R._Block(np.array([1, 2]), ["a"], np.ones((1, 2)))
-    parts = list(R._cuts(iter([pa.record_batch({"_id": list(range(12))})]), block))
-    assert [p.num_rows for p in parts] == [5, 5, 2]
-    assert rows(R.keyword_search(queries, R.build_index(docs), 7)) == whole
+def test_small_products_give_the_same(monkeypatch):
+    rng = np.random.default_rng(2)
+    q, term = np.divmod(rng.choice(40, 25, replace=False), 10)
+    d, hit = np.divmod(rng.choice(300, 80, replace=False), 10)
+    scorer = lambda: R._Scorer(np.arange(4), q, term, np.arange(1.0, 26), np.arange(30), d, np.where(np.isin(hit, term), hit, term[0]), np.ones(80))
+    ((_, whole),) = list(scorer())
+    monkeypatch.setattr(R, "MATRIX_CELLS", 100)
+    parts = list(scorer())
+    assert len(parts) == 3 and (np.concatenate([p for _, p in parts], axis=1) == whole).all() and whole.any()
 
 
-@pytest.mark.parametrize("how", [{}, {"block_terms": 1}])
+@pytest.mark.parametrize("how", [{}, {"block_terms": 1}, {"block_queries": 1, "cell_docs": 7}])
 @pytest.mark.parametrize("profile", list(R.PROFILES))
 def test_hybrid_is_exact(docs, queries, profile, how):
     """The result equals scoring every pair on both legs."""
@@ -227,10 +229,21 @@ def test_refresh_equals_rebuild(spark, docs):
 
 def test_written_index(spark, docs, queries, tmp_path):
     index = R.build_index(docs)
-    R.write_index(index, str(tmp_path), buckets=4)
+    stored = R.write_index(index, str(tmp_path), buckets=4)
+    assert rows(R.keyword_search(queries, stored)) == rows(R.keyword_search(queries, index))
+    # Opened where the catalog does not know it, as by another session.
+    for part in ("postings", "frequency"):
+        spark.sql(f"DROP TABLE terms_{dir_tag(f'{tmp_path}/{part}')}")
     assert rows(R.keyword_search(queries, R.read_index(spark, str(tmp_path)))) == rows(R.keyword_search(queries, index))
 
 
+def test_postings_are_not_shuffled_to_meet_their_terms(spark, docs, tmp_path):
+    stored = R.write_index(R.build_index(docs), str(tmp_path), buckets=4)
+    asked = stored.frequency.filter("df > 1").select("term").distinct().hint("merge")
+    plan = stored.postings.join(asked, "term")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan and "Bucketed: true" in plan
+
+
 def test_context_keeps_rows_of_one_page_number(spark):
     df = spark.createDataFrame([("d", 1, "Food Source one"), ("d", 2, "b plain"), ("d", 2, "a Other Criticals"), ("d", 3, "plain")], "doc_id string, page_number int, page_text string")
     got = rows(C.forward_fill_context(df), "page_number", "page_text", "section")
