@@ -35,9 +35,10 @@ from clearplate.session import written
 
 BYTE_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
-MAX_UNITS = 300_000
+MAX_UNITS = 400_000
 BLOCK_BYTES = 1 << 23
 BATCH_BYTES = 1 << 20
+NOT_SPELT = (b"", b"")
 
 # The white space of Unicode, which parts the units that byte-level BPE encodes apart.
 SPACES = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -78,16 +79,21 @@ class ByteEncoder:
         self.unit = regex.compile(rf"[{SPACES}]*[^{SPACES}]+|[{SPACES}]+")
         self.units: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = list(map(self.unit.findall, texts))
+    def each(self, texts: list[str]) -> list[bytes]:
+        """Ids of short texts as 32-bit integers."""
+        out: list[bytes] = []
+        for k in range(0, len(texts), 10_000):
+            out += [array("i", x.ids).tobytes() for x in self.whole.encode_batch(texts[k : k + 10_000], add_special_tokens=False)]
+        return out
+
+    def encode(self, text: str) -> bytes:
+        """Ids of a text of any length, by units that are encoded apart."""
+        own = self.unit.findall(text)
         if len(self.units) > MAX_UNITS:
             self.units = {}
-        new = list({u: None for own in cut for u in own if u not in self.units})
-        for k in range(0, len(new), 10_000):
-            part = new[k : k + 10_000]
-            for unit, coded in zip(part, self.whole.encode_batch(part, add_special_tokens=False)):
-                self.units[unit] = array("i", coded.ids).tobytes()
-        return [np.frombuffer(b"".join(map(self.units.__getitem__, own)), np.int32) for own in cut]
+        new = list({u: None for u in own if u not in self.units})
+        self.units.update(zip(new, self.each(new)))
+        return b"".join(map(self.units.__getitem__, own))
 
 
 class PieceEncoder:
@@ -96,13 +102,19 @@ class PieceEncoder:
     def __init__(self, proto: bytes):
         self.whole = sentencepiece.SentencePieceProcessor(model_proto=proto)
         self.bytes_of = [self._bytes(i) for i in range(self.whole.get_piece_size())]
+        # No merge reaches over a blank where no piece has one behind another character.
+        self.parted = not any(b" " in x.lstrip(b" ") for x in self.bytes_of)
 
     def _bytes(self, i: int) -> bytes:
         piece = self.whole.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.whole.is_byte(i) else piece.replace("▁", " ").encode()
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(x, np.int32) for x in self.whole.encode(texts, num_threads=1)]
+    def each(self, texts: list[str]) -> list[bytes]:
+        """Ids as 32-bit integers."""
+        return [array("i", x).tobytes() for x in self.whole.encode(texts, num_threads=1)]
+
+    def encode(self, text: str) -> bytes:
+        return self.each([text])[0]
 
 
 def gallop(a: array, b: array) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int, int]], array, array]:
@@ -113,31 +125,37 @@ def gallop(a: array, b: array) -> tuple[list[tuple[int, int, int]], list[tuple[i
     """
     stretches, odd = [], []
     left, right = array("q"), array("q")
+    add_left, add_right, add_stretch, add_odd = left.append, right.append, stretches.append, odd.append
+    # Runs of ends are compared as bytes: W to an end.
+    raw_a, raw_b, W = a.tobytes(), b.tobytes(), a.itemsize
     i = j = 0
     n = len(a)
     while i < n:
         if a[i] == b[j]:
-            step, done = 1, 1
             # Probe at the present shift, doubling while runs are equal; then halve to the first that differ.
-            while done < n - i and a[i + done : i + done + step] == b[j + done : j + done + step]:
+            x, y = W * i, W * j
+            most = W * (n - i)
+            done = step = W
+            while done < most and raw_a[x + done : x + done + step] == raw_b[y + done : y + done + step]:
                 done += step
                 step += step
-            if done >= n - i:
-                stretches.append((i, j, n - i))
+            if done >= most:
+                add_stretch((i, j, n - i))
                 break
-            while step > 1:
+            while step > W:
                 step >>= 1
-                if i + done + step <= n and a[i + done : i + done + step] == b[j + done : j + done + step]:
+                if done + step <= most and raw_a[x + done : x + done + step] == raw_b[y + done : y + done + step]:
                     done += step
-            stretches.append((i, j, done))
+            done //= W
+            add_stretch((i, j, done))
             i += done
             j += done
             if i >= n:
                 break
-        if a[i] != b[j]:
-            i0, j0, x, y = i, j, a[i], b[j]
-            left.append(i)
-            right.append(j)
+        i0, j0, x, y = i, j, a[i], b[j]
+        if x != y:
+            add_left(i)
+            add_right(j)
             while x != y:
                 if x < y:
                     i += 1
@@ -145,12 +163,11 @@ def gallop(a: array, b: array) -> tuple[list[tuple[int, int, int]], list[tuple[i
                 else:
                     j += 1
                     y = b[j]
-                left.append(i)
-                right.append(j)
-            # The last step past one end meets the other at once only where both have moved.
+                add_left(i)
+                add_right(j)
             i += 1
             j += 1
-            odd.append((i0, i, j0, j))
+            add_odd((i0, i, j0, j))
     return stretches, odd, left, right
 
 
@@ -181,16 +198,66 @@ class Aligner:
 
     def __init__(self, vocabularies: Vocabularies):
         self.a, self.b = ByteEncoder(vocabularies.byte_text), PieceEncoder(vocabularies.piece_proto)
+        # Words met lately, and those met before them; a word that is met again moves up.
+        self.words: dict[str, tuple[bytes, bytes] | None] = {}
+        self.older: dict[str, tuple[bytes, bytes] | None] = {}
         self.length_a, self.length_b = (np.array(list(map(len, x.bytes_of)), np.int64) for x in (self.a, self.b))
 
+    def _spells(self, text: str, ids_a: bytes, ids_b: bytes) -> bool:
+        spelt = (" " + text).encode("utf-8", "surrogatepass")
+        return all(b"".join(map(x.bytes_of.__getitem__, np.frombuffer(ids, np.int32).tolist())) == spelt for x, ids in ((self.a, ids_a), (self.b, ids_b)))
+
+    def _learn(self, words: list[str]) -> None:
+        """Ids on both sides of a blank and the word behind it: NOT_SPELT where they do not spell it, None where it ends or begins in white space."""
+        self.words.update(dict.fromkeys(words))
+        whole = [w for w in words if self.b.parted and w and not (w[0].isspace() or w[-1].isspace())]
+        after_blank = [" " + w for w in whole]
+        sides = self.a.each(after_blank), self.b.each(whole)
+        spelt = [w.encode("utf-8", "surrogatepass") for w in after_blank]
+        size = list(map(len, spelt))
+        right = [True] * len(whole)
+        for side, ids, length in zip((self.a, self.b), sides, (self.length_a, self.length_b)):
+            flat = np.frombuffer(b"".join(ids), np.int32)
+            ends = np.cumsum([0, *map(len, ids)]) // 4
+            fits = np.diff(np.concatenate(([0], np.cumsum(length[flat])))[ends]) == size
+            # All words at once; only if lengths or bytes differ somewhere, one by one.
+            if not fits.all() or b"".join(map(side.bytes_of.__getitem__, flat.tolist())) != b"".join(spelt):
+                right = [r and b"".join(map(side.bytes_of.__getitem__, np.frombuffer(x, np.int32).tolist())) == w for r, x, w in zip(right, ids, spelt)]
+        self.words.update((w, (a, b) if r else NOT_SPELT) for w, a, b, r in zip(whole, *sides, right))
+
+    def ids(self, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
+        """Ids of each text on both sides; none for a text that is empty or that a side does not spell.
+
+        Single blanks between words part a text on both sides, so words are encoded once and
+        remembered. A text with other white space beside a blank is encoded whole.
+        """
+        cut = [t.split(" ") for t in texts]
+        if len(self.words) > MAX_UNITS // 2:
+            self.words, self.older = {}, self.words
+        new = set().union(*cut).difference(self.words)
+        known = new.intersection(self.older)
+        self.words.update((w, self.older[w]) for w in known)
+        if len(known) < len(new):
+            self._learn(list(new - known))
+        out_a, out_b = [], []
+        for text, own in zip(texts, cut):
+            found = list(map(self.words.__getitem__, own))
+            if not text or NOT_SPELT in found:
+                a = b = b""
+            elif None in found:
+                a, b = self.a.encode(" " + text), self.b.encode(text)
+                if not self._spells(text, a, b):
+                    a = b = b""
+            else:
+                a, b = (b"".join(side) for side in zip(*found))
+            out_a.append(a)
+            out_b.append(b)
+        return out_a, out_b
+
     def align(self, texts: list[str]) -> Aligned:
         """Texts that are empty, or that either sequence does not spell out byte for byte, have no tokens."""
         none = np.zeros(0, np.int32)
-        own_a, own_b = self.a.encode([" " + t for t in texts]), self.b.encode(texts)
-        for k, text in enumerate(texts):
-            spelt = (" " + text).encode("utf-8", "surrogatepass")
-            if not text or any(b"".join(map(x.bytes_of.__getitem__, ids.tolist())) != spelt for x, ids in ((self.a, own_a[k]), (self.b, own_b[k]))):
-                own_a[k] = own_b[k] = none
+        own_a, own_b = ([np.frombuffer(x, np.int32) for x in own] for own in self.ids(texts))
         cut_a, cut_b = (np.concatenate(([0], np.cumsum([len(x) for x in own], dtype=np.int64))) for own in (own_a, own_b))
         ids_a, ids_b = np.concatenate([none, *own_a]), np.concatenate([none, *own_b])
         # Offsets run on from text to text, so a text's last end is a common one like any other.

@@ -158,6 +158,16 @@ def test_edge_rows(spark, messy, nothing, messy_rows, sides):
 
 def test_full_caches_are_emptied(sides, monkeypatch):
     monkeypatch.setattr(ta, "MAX_UNITS", 2)
-    own = ta.ByteEncoder(ta.load_vocabularies().byte_text)
-    for text in [" one two three four", " five\n six", " one"]:
-        assert own.encode([text])[0].tolist() == sides[0].encode(text, add_special_tokens=False).ids
+    own = ta.Aligner(ta.load_vocabularies())
+    for text in ["one two three four", "five\n six seven  eight", "one"]:
+        a, b = own.ids([text])
+        assert list(array("i", a[0])) == [x[0] for x in ranges(sides, text)[0]] and list(array("i", b[0])) == [x[0] for x in ranges(sides, text)[1]]
+
+
+def test_words_encoded_apart_are_the_whole_text(sides, doc_rows):
+    """Ids put together from remembered words are those of both libraries on the whole text."""
+    texts = [t for _, t, _, _ in doc_rows if t] + ODD
+    own = ta.Aligner(ta.load_vocabularies())
+    for text, a, b in zip(texts, *own.ids(texts)):
+        want = ranges(sides, text)
+        assert (list(array("i", a)), list(array("i", b))) == tuple([x[0] for x in side] for side in want)
