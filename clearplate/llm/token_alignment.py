@@ -38,7 +38,8 @@ PIECE_VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MAX_UNITS = 400_000
 BLOCK_BYTES = 1 << 23
 BATCH_BYTES = 1 << 20
-NOT_SPELT = (b"", b"")
+# Stands for the ids of a word that they do not spell; no word that they spell has none.
+NOT_SPELT = b""
 
 # The white space of Unicode, which parts the units that byte-level BPE encodes apart.
 SPACES = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -199,8 +200,9 @@ class Aligner:
     def __init__(self, vocabularies: Vocabularies):
         self.a, self.b = ByteEncoder(vocabularies.byte_text), PieceEncoder(vocabularies.piece_proto)
         # Words met lately, and those met before them; a word that is met again moves up.
-        self.words: dict[str, tuple[bytes, bytes] | None] = {}
-        self.older: dict[str, tuple[bytes, bytes] | None] = {}
+        self.words_a: dict[str, bytes | None] = {}
+        self.words_b: dict[str, bytes] = {}
+        self.older: tuple[dict, dict] = {}, {}
         self.length_a, self.length_b = (np.array(list(map(len, x.bytes_of)), np.int64) for x in (self.a, self.b))
 
     def _spells(self, text: str, ids_a: bytes, ids_b: bytes) -> bool:
@@ -209,7 +211,7 @@ class Aligner:
 
     def _learn(self, words: list[str]) -> None:
         """Ids on both sides of a blank and the word behind it: NOT_SPELT where they do not spell it, None where it ends or begins in white space."""
-        self.words.update(dict.fromkeys(words))
+        self.words_a.update(dict.fromkeys(words))
         whole = [w for w in words if self.b.parted and w and not (w[0].isspace() or w[-1].isspace())]
         after_blank = [" " + w for w in whole]
         sides = self.a.each(after_blank), self.b.each(whole)
@@ -223,7 +225,8 @@ class Aligner:
             # All words at once; only if lengths or bytes differ somewhere, one by one.
             if not fits.all() or b"".join(map(side.bytes_of.__getitem__, flat.tolist())) != b"".join(spelt):
                 right = [r and b"".join(map(side.bytes_of.__getitem__, np.frombuffer(x, np.int32).tolist())) == w for r, x, w in zip(right, ids, spelt)]
-        self.words.update((w, (a, b) if r else NOT_SPELT) for w, a, b, r in zip(whole, *sides, right))
+        self.words_a.update(zip(whole, (x if r else NOT_SPELT for x, r in zip(sides[0], right))))
+        self.words_b.update(zip(whole, sides[1]))
 
     def ids(self, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
         """Ids of each text on both sides; none for a text that is empty or that a side does not spell.
@@ -232,16 +235,19 @@ class Aligner:
         remembered. A text with other white space beside a blank is encoded whole.
         """
         cut = [t.split(" ") for t in texts]
-        if len(self.words) > MAX_UNITS // 2:
-            self.words, self.older = {}, self.words
-        new = set().union(*cut).difference(self.words)
-        known = new.intersection(self.older)
-        self.words.update((w, self.older[w]) for w in known)
-        if len(known) < len(new):
+        if len(self.words_a) > MAX_UNITS // 2:
+            self.older = self.words_a, self.words_b
+            self.words_a, self.words_b = {}, {}
+        new = set().union(*cut).difference(self.words_a)
+        if new:
+            known = new.intersection(self.older[0])
+            for mine, older in zip((self.words_a, self.words_b), self.older):
+                mine.update((w, older[w]) for w in known if w in older)
             self._learn(list(new - known))
         out_a, out_b = [], []
+        of_a, of_b = self.words_a.__getitem__, self.words_b.__getitem__
         for text, own in zip(texts, cut):
-            found = list(map(self.words.__getitem__, own))
+            found = list(map(of_a, own))
             if not text or NOT_SPELT in found:
                 a = b = b""
             elif None in found:
@@ -249,7 +255,7 @@ class Aligner:
                 if not self._spells(text, a, b):
                     a = b = b""
             else:
-                a, b = (b"".join(side) for side in zip(*found))
+                a, b = b"".join(found), b"".join(map(of_b, own))
             out_a.append(a)
             out_b.append(b)
         return out_a, out_b
