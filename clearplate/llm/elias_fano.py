@@ -124,10 +124,8 @@ class EliasFano:
             following[far] = self._select(i[far] + 1, True)
         return self._value(at, i), self._value(following, i + 1)
 
-    def successor(self, x: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """First place in ``begin..end`` with a number of at least ``x``; ``end`` if there is none."""
-        if not len(x):
-            return np.zeros(0, np.int64)
+    def _narrowed(self, x: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First place in ``begin..end`` with a number of at least ``x``; the end of the numbers with the high bits of ``x``; its low bits."""
         x = x.astype(np.uint64)
         high = (x >> np.uint64(self.width)).astype(np.int64)
         # Numbers with these high bits are the ones right behind the zero that closes the bits before.
@@ -139,6 +137,7 @@ class EliasFano:
         if len(far):
             after[far] = self._select(high[far], False) - high[far]
         lo, hi = np.clip(first, begin, end), np.clip(after, begin, end)
+        stop = hi.copy()
         target = x & self.mask
         open_ = np.flatnonzero(lo < hi)
         while len(open_):
@@ -147,18 +146,26 @@ class EliasFano:
             lo[open_[less]] = middle[less] + 1
             hi[open_[~less]] = middle[~less]
             open_ = open_[lo[open_] < hi[open_]]
-        return lo
+        return lo, stop, target
+
+    def successor(self, x: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """First place in ``begin..end`` with a number of at least ``x``; ``end`` if there is none."""
+        return self._narrowed(x, begin, end)[0] if len(x) else np.zeros(0, np.int64)
 
     def find(self, x: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Place of each ``x`` in ``begin..end``; -1 where it is not there."""
+        """Place of each ``x`` in ``begin..end``; -1 where it is not there.
+
+        A successor with the same high bits is told by its low bits alone.
+        """
         if len(x) > _AT_ONCE:
             cuts = range(0, len(x), _AT_ONCE)
             return np.concatenate([self.find(x[c : c + _AT_ONCE], begin[c : c + _AT_ONCE], end[c : c + _AT_ONCE]) for c in cuts])
-        at = self.successor(x, begin, end)
-        there = np.flatnonzero(at < end)
         out = np.full(len(x), -1, np.int64)
-        hit = self.access(at[there]) == x[there]
-        out[there[hit]] = at[there[hit]]
+        if len(x):
+            at, stop, target = self._narrowed(x, begin, end)
+            there = np.flatnonzero(at < stop)
+            there = there[self._low(at[there]) == target[there]]
+            out[there] = at[there]
         return out
 
 

@@ -304,8 +304,11 @@ class Trie:
             relative = contexts[rows] - shard.first
             n = int(part["contexts"][0])
             rows, relative = rows[relative < n], relative[relative < n]
-            start, stop = part["pointers"].access_two(relative)
-            rest[rows] = part["rest"][relative]
+            # Rows lie in the order of their contexts, so each context is looked up once.
+            firsts = np.flatnonzero(np.concatenate(([True], relative[1:] != relative[:-1]))) if len(relative) else rows
+            own, each = relative[firsts], np.diff(np.append(firsts, len(relative)))
+            start, stop = (np.repeat(x, each) for x in part["pointers"].access_two(own))
+            rest[rows] = np.repeat(part["rest"][own], each)
             ask = np.flatnonzero((start < stop) & (words[rows] != self.unknown))
             at = part["children"].find(relative[ask] * self.width + words[rows[ask]], start[ask], stop[ask])
             hit = rows[ask[at >= 0]]
