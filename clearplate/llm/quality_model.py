@@ -23,8 +23,8 @@ from pyspark.sql import types as T
 from clearplate.llm.base import fold_of, pack, query, table
 
 FEATURE_BITS = 18
-TRAIN_ROWS = 8000
-ROW_FEATURES = 20_000
+# The labelled sample: all indicators of at most this many rows teach.
+TRAIN_ROWS = 6000
 SMOOTHING = 1.0
 COST = 1.0
 EPOCHS = 12
@@ -39,7 +39,7 @@ _SHAPES: dict[str, tuple[int, int]] = {}
 
 def shape(word: str) -> str:
     """A word with runs of capitals, other letters and digits as one sign each: ``And!!`` is ``Aa!!``."""
-    return _DIGIT.sub("0", _UPPER.sub("A", _LOWER.sub("a", word)))[:12]
+    return _DIGIT.sub("0", _UPPER.sub("A", _LOWER.sub("a", word)))
 
 
 def _hashes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -159,10 +159,11 @@ def _logistic(m: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", rows: int = TRAIN_ROWS, bits: int = FEATURE_BITS) -> QualityModel:
     """Fit on at most ``rows`` labelled documents, those with the smallest hash of the id.
 
-    The ids are chosen first (a bounded list, broadcast to find the texts in one pass); of
-    a longer row at most ROW_FEATURES indicators teach. A fifth of the rows sets the curve
-    from margin to score. Labels other than 0 and 1 are left out; of several labels of one
-    id the smallest counts. With labels of one class only, the score is that class.
+    The ids are chosen first (a bounded list, broadcast to find the texts in one pass). A
+    chosen row teaches by all its indicators, of which there are at most ``2 ** bits``. A fifth
+    of the rows sets the curve from margin to score. Labels other than 0 and 1 are left out; of
+    several labels of one id the smallest counts, and of several texts the first in order.
+    With labels of one class only, the score is that class.
     """
     given = labels.filter(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("id")).agg(F.min(label).alias("y"))
     chosen = given.orderBy(F.xxhash64("id"), "id").limit(rows)
@@ -175,12 +176,12 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
                 row, feature = features(texts[part], bits)
                 cuts = np.searchsorted(row, np.arange(part.stop - part.start + 1))
                 for a, b in zip(cuts[:-1], cuts[1:]):
-                    own = feature[a:b].astype(np.int32)
-                    lists.append(own if len(own) <= ROW_FEATURES else own[np.argsort(own.astype(np.uint32) * np.uint32(0x9E3779B1))[:ROW_FEATURES]])
+                    lists.append(feature[a:b].astype(np.int32))
             yield pd.DataFrame({"id": df["id"], "y": df["y"], "f": lists})
 
     found = docs.select(F.col(doc_id).alias("id"), F.coalesce(text, F.lit("")).alias("text")).join(F.broadcast(chosen), "id")
-    got = found.mapInPandas(run, T.StructType([found.schema["id"], T.StructField("y", T.IntegerType()), T.StructField("f", T.ArrayType(T.IntegerType()))])).limit(2 * rows).toPandas()
+    found = found.groupBy("id", "y").agg(F.min("text").alias("text"))  # an id on many rows is one row of each task before the shuffle
+    got = found.mapInPandas(run, T.StructType([found.schema["id"], T.StructField("y", T.IntegerType()), T.StructField("f", T.ArrayType(T.IntegerType()))])).toPandas()
     got = got.sort_values("id", kind="stable", ignore_index=True)
     x = [np.asarray(f, np.int64) for f in got["f"]]
     y = np.where(got["y"].to_numpy() == 1, 1.0, -1.0)

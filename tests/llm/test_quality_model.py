@@ -43,7 +43,7 @@ def test_features_do_not_depend_on_the_batch():
     row, feature = features(texts)
     for k, t in enumerate(texts):
         assert sorted(features([t])[1]) == sorted(feature[row == k])
-    assert shape("And12!!") == "Aa0!!"
+    assert shape("And12!!") == "Aa0!!" and shape("#" * 40) == "#" * 40
 
 
 def test_edge_rows(spark, messy, nothing):
@@ -57,3 +57,32 @@ def test_edge_rows(spark, messy, nothing):
     assert all(r["score"] > 0.99 for r in score(messy, one).collect())
     none = train(messy, labels.limit(0))
     assert {r["score"] for r in score(messy, none).collect()} == {0.5}
+
+
+def test_an_id_on_very_many_rows(spark):
+    """One labelled id on 20,000 rows is one row of the sample: the others still teach, and both classes are told apart."""
+    good, bad = "calm words of even length follow here", "$$$ buy buy buy now now !!!"
+    rows = [(0, good)] * 20_000 + [(i, f"{good} {i}" if i % 2 else f"{bad} {i}") for i in range(1, 41)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(0, 1)] + [(i, i % 2) for i in range(1, 31)], "doc_id long, quality int")
+    model = train(docs, labels, rows=50)
+    got = {r["doc"]["doc_id"]: r["score"] for r in score(docs, model).collect()}
+    assert min(got[i] for i in range(1, 41, 2)) > 0.5 > max(got[i] for i in range(2, 41, 2))
+
+
+def test_a_long_text_teaches_by_all_its_words(spark):
+    """Only the last of 25,000 different words tells the classes apart; brute force of the fit on the same indicators."""
+    long = " ".join(f"w{i}x" for i in range(25_000))
+    rows = [(i, f"{long} {'good' if i % 2 else 'evil'}") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    model = train(docs, spark.createDataFrame([(i, i % 2) for i in range(12)], "doc_id long, quality int"))
+    assert len(features([rows[0][1]])[1]) > 25_000
+    split = [features([t])[1] for _, t in rows]
+    teach = [k for k in range(12) if k % 5]
+    y = np.array([1.0 if k % 2 else -1.0 for k in range(12)])
+    count = {c: 1.0 + sum(np.bincount(split[k], minlength=1 << 18) for k in teach if y[k] == c) for c in (1.0, -1.0)}
+    ratio = np.log(count[1.0] / count[1.0].sum()) - np.log(count[-1.0] / count[-1.0].sum())
+    w, bias = fit_hinge([split[k] for k in teach], ratio, y[teach])
+    want = [bias + (w * ratio)[f].sum() / np.sqrt(len(f)) for f in split]
+    assert margins([t for _, t in rows], model) == pytest.approx(want, abs=1e-4)
+    assert np.mean(want[1::2]) > np.mean(want[::2])
