@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from clearplate.functions.geo import cell_lat, cell_lon, cell_step, covering_cells, haversine_m
 from clearplate.operators.semantic import SemanticLayer
-from clearplate.plans.build import Marts
+from clearplate.plans.build import Marts, within_days
+from clearplate.session import written
 from clearplate.sources.resultset import name_borough_pairs, result_table
 
 # Fixed values.
@@ -20,30 +21,43 @@ GRADE_A_MAX, GRADE_B_MAX = 13, 27
 COLOURS = {"A": [0, 180, 0, 210], "B": [255, 165, 0, 210], "C": [220, 50, 50, 210]}
 OTHER_COLOUR = [150, 150, 150, 180]
 MISSING_SCORE = "–"
-# A crowded grid cell is cut into this many parts.
-CELL_PARTS = 4
+# A grid cell with more places than this is cut into parts of about so many.
+CELL_PLACES = 20_000
 
 
-def within_radius(df: DataFrame, points: DataFrame, metres: float = CALL_RADIUS_M, salt: int = CELL_PARTS) -> DataFrame:
-    """Pairs of a located row and a point at most ``metres`` apart, with the distance.
+def _in_cells(df: DataFrame, points: DataFrame, metres: float, cell_places: int) -> tuple[DataFrame, DataFrame]:
+    """Places with their cell and part, and points listed in every part of the cells their circle touches.
 
-    ``df`` has latitude and longitude, ``points`` has point_lat and point_lon. Every
-    point is listed in the grid cells its circle touches, so the join is an equality on
-    cells and the distance is checked only there. ``salt`` cuts a crowded cell into that
-    many parts: rows take one part, points are repeated in each.
+    A cell is as wide as the radius, so a circle in it touches nearly all of it, and smaller
+    cells would keep no point away. A crowded cell is cut by its measured number of places instead.
     """
     step, around = cell_step(metres)
     located = df.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).withColumns({
         "_lat": F.col("latitude").cast("double"),
         "_lon": F.col("longitude").cast("double"),
     })
-    part = F.pmod(F.xxhash64(*df.columns), F.lit(salt)) if salt > 1 else F.lit(0).cast("long")
-    located = located.withColumns({"cell_lat": cell_lat(F.col("_lat"), step), "cell_lon": cell_lon(F.col("_lon"), step, around), "_salt": part})
+    cells = {"cell_lat": cell_lat(F.col("_lat"), step), "cell_lon": cell_lon(F.col("_lon"), step, around)}
+    located = located.withColumns(cells)
+    counted = located.groupBy(*cells).agg(F.ceil(F.count(F.lit(1)) / cell_places).alias("_parts"))
+    crowded = written(counted.filter("_parts > 1"), "crowded-cells")  # fewer rows than places / cell_places
+    parts = F.coalesce("_parts", F.lit(1).cast("long"))
+    located = located.join(crowded, list(cells), "left").withColumn("_part", F.pmod(F.xxhash64(*df.columns), parts)).drop("_parts")
     spread = points.withColumn("_cell", F.explode_outer(covering_cells(F.col("point_lat"), F.col("point_lon"), metres)))
-    spread = spread.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt - 1).cast("long"))))
-    spread = spread.select(*points.columns, "_cell.cell_lat", "_cell.cell_lon", "_salt")
+    spread = spread.select(*points.columns, "_cell.cell_lat", "_cell.cell_lon").join(crowded, list(cells), "left")
+    return located, spread.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("_parts")
+
+
+def within_radius(df: DataFrame, points: DataFrame, metres: float = CALL_RADIUS_M, cell_places: int = CELL_PLACES) -> DataFrame:
+    """Pairs of a located row and a point at most ``metres`` apart, with the distance.
+
+    ``df`` has latitude and longitude, ``points`` has point_lat and point_lon. Every
+    point is listed in the grid cells its circle touches, so the join is an equality on
+    cells and the distance is checked only there. A cell with more than ``cell_places``
+    rows is cut into parts by count: rows take one part, points are repeated in each.
+    """
+    located, spread = _in_cells(df, points, metres, cell_places)
     distance = haversine_m(F.col("_lat"), F.col("_lon"), F.col("point_lat"), F.col("point_lon"))
-    near = located.join(spread, ["cell_lat", "cell_lon", "_salt"]).withColumn("distance_m", distance).filter(F.col("distance_m") <= metres)
+    near = located.join(spread, ["cell_lat", "cell_lon", "_part"]).withColumn("distance_m", distance).filter(F.col("distance_m") <= metres)
     return near.select(*df.columns, *points.columns, "distance_m")
 
 
@@ -54,18 +68,18 @@ def nearby_critical(m: Marts, points: DataFrame, as_of: str, metres: float = CAL
     One row per point and restaurant: latest grade, mean score over citations, last date.
     """
     end = F.lit(as_of).cast("date")
-    recent = F.col("inspection_date").between(F.add_months(end, -months), end)
+    first = F.add_months(end, -months)
     columns = ["dim_restaurant_key", "restaurant_name", "street_address", "borough", "cuisine_description", "latitude", "longitude"]
     near = within_radius(m.dim_restaurant.select(*columns), points, metres)
     keys = near.select("dim_restaurant_key").distinct()
     cited = (
-        m.fct_violations.filter(F.col("is_critical_violation") & recent)
+        within_days(m.fct_violations, first, end).filter("is_critical_violation")
         .select("dim_restaurant_key", "fct_inspection_key", "inspection_date")
         .join(keys, "dim_restaurant_key", "left_semi")
         # Citations of one visit count as many equal rows; one row with their number is enough.
         .groupBy("dim_restaurant_key", "fct_inspection_key", "inspection_date").agg(F.count(F.lit(1)).alias("n"))
     )
-    visits = m.fct_inspections.filter(recent).select("fct_inspection_key", "grade", "inspection_score")
+    visits = within_days(m.fct_inspections, first, end).select("fct_inspection_key", "grade", "inspection_score")
     newest = F.struct("inspection_date", "fct_inspection_key", F.coalesce("grade", F.lit("")))
     weight = F.when(F.col("inspection_score").isNotNull(), F.col("n"))
     per = cited.join(visits, "fct_inspection_key").groupBy("dim_restaurant_key").agg(
@@ -86,7 +100,7 @@ def per_restaurant(
     """
     if legacy_by_name:
         return _per_name(layer, start, end, boroughs, cuisines)
-    seen = marts.fct_inspections.filter(F.col("inspection_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    seen = within_days(marts.fct_inspections, F.lit(start).cast("date"), F.lit(end).cast("date"))
     places = marts.dim_restaurant.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
     if boroughs:
         places = places.filter(F.col("borough").isin(list(boroughs)))

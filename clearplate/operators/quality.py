@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clearplate.functions.vector import l2_norm
@@ -116,3 +116,15 @@ def vector_checks(facts: DataFrame, keys: Sequence[str] = ("user_id", "fact_key"
         F.round(F.max(l2_norm(F.col("fact_embedding"))), 4).alias("embedding_norm"),
         (F.count(F.lit(1)) == 1).alias("single_row"),
     )
+
+
+def latest_in_footers(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """One row ``latest``: the greatest value of a column of a stored Parquet table, from file statistics alone.
+
+    The aggregate goes down into the reader, which opens footers and no data. Only the
+    reader of the newer source interface does that, so the frame belongs to a session of its own.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return own.read.parquet(path).agg(F.max(column).alias("latest"))

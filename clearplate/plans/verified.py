@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clearplate.functions.cast import percent
-from clearplate.plans.build import Marts
+from clearplate.plans.build import Marts, within_days
 
 
 def _n(condition: Column | None = None) -> Column:
@@ -29,9 +29,9 @@ def _since(as_of: str, months: int) -> Column:
     return F.add_months(F.lit(as_of).cast("date"), -months)
 
 
-def _days(first: Column, as_of: str, day: str = "inspection_date") -> Column:
-    """Whether a day lies between ``first`` and the reporting date, both included."""
-    return F.col(day).between(first, F.lit(as_of).cast("date"))
+def _up_to(fact: DataFrame, first: Column, as_of: str) -> DataFrame:
+    """Rows from ``first`` to the reporting date, both included."""
+    return within_days(fact, first, F.lit(as_of).cast("date"))
 
 
 def _maybe_round(c: Column, digits: int | None) -> Column:
@@ -114,7 +114,7 @@ def closure_rate(m: Marts, exclude_unknown: bool = False) -> DataFrame:
 
 def re_inspection_rate(m: Marts, as_of: str, exclude_unknown: bool = False) -> DataFrame:
     again = F.col("inspection_type").ilike("%Re-Inspection%")
-    this_year = on_calendar(m.fct_inspections).filter(_days(_year_start(as_of), as_of))
+    this_year = _up_to(on_calendar(m.fct_inspections), _year_start(as_of), as_of)
     out = sums_by_restaurant(this_year, _restaurants(m, exclude_unknown), [], ["borough"], {"total_inspections": _n(), "re_inspections": _n(again)})
     rate = F.round(percent(F.col("re_inspections"), F.col("total_inspections")), 2)
     return out.select("borough", "total_inspections", "re_inspections", rate.alias("re_inspection_rate_pct")).orderBy(F.desc_nulls_last("re_inspection_rate_pct"), "borough")
@@ -123,7 +123,7 @@ def re_inspection_rate(m: Marts, as_of: str, exclude_unknown: bool = False) -> D
 def monthly_trend(m: Marts, as_of: str) -> DataFrame:
     # The year condition is repeated on the fact's own day, where the scan can use it.
     first = F.trunc(_since(as_of, 12), "year")
-    recent = m.fct_inspections.filter(_days(first, as_of))
+    recent = _up_to(m.fct_inspections, first, as_of)
     return (
         with_calendar(recent, m.dim_date, "year_number", "month_name", "month_number")
         .groupBy("year_number", "month_name", "month_number")
@@ -138,7 +138,7 @@ def monthly_trend(m: Marts, as_of: str) -> DataFrame:
 
 def quarterly_critical_trend(m: Marts, as_of: str, borough: str = "Brooklyn") -> DataFrame:
     first = F.trunc(_since(as_of, 24), "year")
-    cited = with_calendar(m.fct_violations.filter(_days(first, as_of)), m.dim_date, "year_number", "quarter_label")
+    cited = with_calendar(_up_to(m.fct_violations, first, as_of), m.dim_date, "year_number", "quarter_label")
     out = sums_by_restaurant(
         cited, _restaurants(m).filter(F.col("borough") == borough), ["year_number", "quarter_label"], ["borough"],
         {"critical_citations": _critical_citations(), "total_citations": F.sum("violation_count")},
@@ -148,7 +148,7 @@ def quarterly_critical_trend(m: Marts, as_of: str, borough: str = "Brooklyn") ->
 
 
 def zip_hotspots(m: Marts, as_of: str, at_least: int = 20, k: int = 20) -> DataFrame:
-    cited = on_calendar(m.fct_violations).filter(_days(_since(as_of, 12), as_of))
+    cited = _up_to(on_calendar(m.fct_violations), _since(as_of, 12), as_of)
     located = _restaurants(m).filter(F.col("zipcode").isNotNull())
     out = sums_by_restaurant(cited, located, [], ["zipcode", "borough"], {"critical_citations": _critical_citations()})
     rate = F.round(F.col("critical_citations") * F.lit(1.0) / F.nullif("restaurants_seen", F.lit(0)), 1)
@@ -167,7 +167,7 @@ def _who_order() -> list[Column]:
 
 
 def highest_risk(m: Marts, as_of: str, at_least: int = 2, k: int = 20, digits: int = 1) -> DataFrame:
-    scored = on_calendar(m.fct_inspections).filter(_days(_year_start(as_of), as_of) & F.col("inspection_score").isNotNull())
+    scored = _up_to(on_calendar(m.fct_inspections), _year_start(as_of), as_of).filter(F.col("inspection_score").isNotNull())
     sums = {"score_sum": F.sum("inspection_score"), "total_critical": F.sum("critical_violations"), "inspections_this_year": _n()}
     out = sums_by_restaurant(scored, _restaurants(m), [], WHO, sums, {"worst_score": F.max("inspection_score")})
     mean = F.round(F.col("score_sum") / F.col("inspections_this_year"), digits)
@@ -188,7 +188,7 @@ def repeat_closures(m: Marts, more_than: int = 1, k: int = 20) -> DataFrame:
 
 
 def by_weekday(m: Marts, as_of: str) -> DataFrame:
-    this_year = m.fct_inspections.filter(_days(_year_start(as_of), as_of))
+    this_year = _up_to(m.fct_inspections, _year_start(as_of), as_of)
     dated = with_calendar(this_year, m.dim_date.withColumnRenamed("day_name_short", "day_name"), "day_name", "day_of_week")
     return (
         dated.groupBy("day_name", "day_of_week")

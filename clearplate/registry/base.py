@@ -50,14 +50,17 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def marts_path(spark: SparkSession, sf_dir: str) -> str:
+    return work_path(spark, "marts", dir_tag(os.path.abspath(sf_dir) if "://" not in sf_dir else sf_dir))
+
+
 def marts_of(spark: SparkSession, sf_dir: str) -> Marts:
     """The written star schema of a data folder, built on first use in this application.
 
     Marts are tables, as in any warehouse; the queries over them read what was
     written. ``build_marts`` is a registered query of its own, always run in full.
     """
-    sf_dir = os.path.abspath(sf_dir) if "://" not in sf_dir else sf_dir
-    target = work_path(spark, "marts", dir_tag(sf_dir))
+    target = marts_path(spark, sf_dir)
     if target not in _BUILT:
         build_marts(bind.raw_inspections(spark, sf_dir), target)
         _BUILT.add(target)

@@ -12,7 +12,7 @@ from clearplate.operators import sketches as K
 from clearplate.plans import analytics as A
 from clearplate.plans import verified as V
 from clearplate.plans.model import semantic_layer
-from clearplate.registry.base import marts_of, query
+from clearplate.registry.base import marts_of, marts_path, query
 from clearplate.registry.star_sql import star
 from clearplate.session import written
 from clearplate.sources.bind import AS_OF
@@ -245,6 +245,16 @@ sv(
     lambda s: s.query(["total_inspections"], ["borough"]).withColumn("data_through", s.freshness()),
 )
 
+
+
+@query("sv_freshness_footers", star(f"SELECT borough, {_cols(_METRIC_SQL, ['total_inspections'])}, (SELECT CAST(max(inspection_date) AS varchar) FROM inspections) AS data_through FROM ir GROUP BY 1"))
+def _(s, d):
+    """The latest day beside an answer, read from the footers of the stored fact."""
+    layer = layer_of(s, d)
+    (latest,) = Q.latest_in_footers(s, f"{marts_path(s, d)}/fct_inspections", "inspection_date").first()
+    return layer.query(["total_inspections"], ["borough"]).withColumn("data_through", F.lit(str(latest)))
+
+
 _SETS = [["borough"], ["cuisine_type"], ["borough", "cuisine_type"], []]
 
 

@@ -72,8 +72,8 @@ def test_stems(spark):
 # -- map -------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("metres, salt", [(804.0, 1), (804.0, 5), (50_000.0, 1)])
-def test_radius_equals_brute_force(spark, metres, salt):
+@pytest.mark.parametrize("metres, cell_places", [(804.0, 10**6), (804.0, 30), (50_000.0, 10**6), (50_000.0, 50)])
+def test_radius_equals_brute_force(spark, metres, cell_places):
     rng = random.Random(7)
     spots = [(i, 40.5 + rng.random() * 0.1, -74.2 + rng.random() * 0.1) for i in range(300)] + [(1000 + i, 40.55, -74.15) for i in range(150)]
     spots += [(2000, None, -74.0), (2001, 89.99, 10.0), (2002, 89.99, -170.0), (2003, 0.0, 179.999), (2004, 0.0, -179.999)]
@@ -81,7 +81,7 @@ def test_radius_equals_brute_force(spark, metres, salt):
     centres = spark.createDataFrame([(1, 40.55, -74.15), (2, 40.52, -74.11), (3, 89.995, 100.0), (4, 0.0, 180.0)], "point_id long, point_lat double, point_lon double")
     d = haversine_m(F.col("latitude"), F.col("longitude"), F.col("point_lat"), F.col("point_lon"))
     want = df.crossJoin(centres).filter(d <= metres)
-    got = G.within_radius(df, centres, metres, salt)
+    got = G.within_radius(df, centres, metres, cell_places)
     assert rows(got, "id", "point_id") == rows(want, "id", "point_id")
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
@@ -98,6 +98,21 @@ def test_inferred_grades(spark):
     assert tuple(strip) == (5, 4, 25.0, 20.5)
 
 
+def test_a_crowded_cell_is_cut_by_its_count(spark):
+    """Nearly a third of all places in one cell: no group of the join holds more than about the bound."""
+    rng = random.Random(5)
+    crowd = [(i, 40.7 + rng.random() / 500, -74.0 + rng.random() / 500) for i in range(3_000)]
+    rest = [(i, 40.0 + rng.random(), -74.5 + rng.random()) for i in range(3_000, 10_000)]
+    df = spark.createDataFrame([*crowd, *rest], "id long, latitude double, longitude double")
+    centres = spark.createDataFrame([(1, 40.701, -73.999), (2, 40.5, -74.2)], "point_id long, point_lat double, point_lon double")
+    located, spread = G._in_cells(df, centres, 804.0, 100)
+    sizes = sorted(r["count"] for r in located.groupBy("cell_lat", "cell_lon", "_part").count().collect())
+    assert sizes[-1] < 150 and sum(sizes) == 10_000
+    assert spread.groupBy("point_id", "cell_lat", "cell_lon", "_part").count().filter("count > 1").count() == 0
+    whole, cut = (rows(G.within_radius(df, centres, 804.0, n), "id", "point_id") for n in (10**6, 100))
+    assert whole == cut and len(whole) > 2_500
+
+
 def test_result_events(spark):
     def event(names, data):
         return json.dumps({"event": "response.table", "data": {"result_set": {"resultSetMetaData": {"numRows": 1, "rowType": [{"name": n} for n in names]}, "data": data}}})

@@ -97,3 +97,63 @@ def test_blocked_look_back_equals_a_window(spark, long_group):
     assert rows(got) == rows(want, "k", "pos", "v", "f")
     assert rows(neighbour(long_group, ["k"], "pos", {"p": "v"}, -1, block=64)) == rows(want, "k", "pos", "v", "p")
     assert rows(neighbour(long_group, ["k"], "pos", {"n": "pos"}, 1, block=64)) == rows(want, "k", "pos", "v", "n")
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("question", [V.re_inspection_rate, V.monthly_trend, V.quarterly_critical_trend, V.zip_hotspots, V.highest_risk, V.by_weekday])
+def test_dated_questions_open_their_months_only(marts, question):
+    scans = [line for line in plan_of(question(marts, "2001-03-15")).splitlines() if "FileScan" in line and "fct_" in line]
+    assert scans and all("inspection_month" in line.split("PartitionFilters: ")[1].split("]")[0] for line in scans)
+
+
+def test_freshness_reads_footers(spark, sf_dir, marts):
+    from clearplate.registry.base import marts_path
+
+    latest = Q.latest_in_footers(spark, f"{marts_path(spark, sf_dir)}/fct_inspections", "inspection_date")
+    assert "PushedAggregation: [MAX(inspection_date)]" in plan_of(latest)
+    assert latest.first()["latest"] == marts.fct_inspections.agg(F.max("inspection_date")).first()[0]
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+
+
+def test_grouping_sets_tell_subtotals_from_missing_values(spark, layer):
+    got = layer.query(["total_inspections"], ["borough", "grade"], sets=[["borough"], ["grade"], []]).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r["grouped_by"], []).append(r)
+    whole = layer.query(["total_inspections"]).first()["total_inspections"]
+    assert set(by) == {"borough", "grade", ""} and by[""][0]["total_inspections"] == whole
+    assert any(r["grade"] is None for r in by["grade"]) and sum(r["total_inspections"] for r in by["grade"]) == whole
+    assert all(r["grade"] is None for r in by["borough"]) and sum(r["total_inspections"] for r in by["borough"]) == whole
+    with pytest.raises(SemanticError):
+        layer.query(["total_inspections"], ["borough"], sets=[["grade"]])
+
+
+def test_sketches_keep_their_error(spark):
+    """Ten days of skewed values: half of them one value, the others spread over five powers of ten."""
+    from clearplate.operators import sketches as K
+
+    df = spark.range(200_000).select(
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 10).cast("int")).alias("d"), (F.col("id") % 3).alias("g"),
+        F.when(F.col("id") % 2 == 0, 1.0).otherwise(F.pow(F.lit(10.0), F.pmod(F.xxhash64("id"), F.lit(5000)) / 1000)).alias("x"), F.pmod(F.hash("id"), F.lit(60_000)).alias("code"),
+    )
+    kept = K.daily(df, "d", ["g"], {"codes": "code"}, {"mid": "x"}).cache()
+    assert kept.count() == 30
+    for first, last in ((None, None), ("2024-01-03", "2024-01-07")):
+        chosen = df if first is None else df.filter(F.col("d").between(first, last))
+        true = {r["g"]: r for r in chosen.groupBy("g").agg(F.count_distinct("code").alias("n"), F.count("*").alias("rows")).collect()}
+        for r in K.over(kept, ["g"], first, last, ["codes"], ["mid"]).collect():
+            assert r["rows"] == true[r["g"]]["rows"] and abs(r["codes"] / true[r["g"]]["n"] - 1) < 3 * K.HLL_ERROR
+            own = chosen.filter(F.col("g") == r["g"])
+            below, upto = own.filter(F.col("x") < r["mid"]).count() / r["rows"], own.filter(F.col("x") <= r["mid"]).count() / r["rows"]
+            assert below <= 0.5 + K.KLL_RANK_ERROR and upto >= 0.5 - K.KLL_RANK_ERROR
+    nothing = K.daily(df.withColumn("x", F.lit(None).cast("double")), "d", [], {}, {"mid": "x"})
+    assert K.over(nothing, [], None, None, [], ["mid"]).first()["mid"] is None
+
+
+def test_unknown_boroughs_are_left_out_by_default(layer):
+    every = layer.query(["total_inspections"], ["borough"]).collect()
+    known = layer.query(["total_inspections"], ["borough"], defaults=True).collect()
+    assert "0" in {r["borough"] for r in every} and "0" not in {r["borough"] for r in known}
