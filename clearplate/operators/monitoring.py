@@ -58,6 +58,20 @@ def daily_usage(usage: DataFrame, as_of: str, days: int = WINDOW_DAYS) -> DataFr
     )
 
 
+def load_payloads(df: DataFrame, path: str, columns: Sequence[str]) -> None:
+    """Write records with each JSON column parsed once, as a VARIANT ``<column>_v`` beside its text.
+
+    Text that is no JSON has no variant. Questions over the stored table read fields of the
+    variant and parse nothing.
+    """
+    df.withColumns({f"{c}_v": F.try_parse_json(c) for c in columns}).write.mode("overwrite").parquet(path)
+
+
+def _payload(df: DataFrame, column: str) -> Column:
+    """The variant of a JSON column: as stored, else parsed here."""
+    return F.col(f"{column}_v") if f"{column}_v" in df.columns else F.try_parse_json(column)
+
+
 def nested_credits(usage: DataFrame, as_of: str, days: int = WINDOW_DAYS) -> DataFrame:
     """Credits by service and model out of the nested payload.
 
@@ -65,7 +79,7 @@ def nested_credits(usage: DataFrame, as_of: str, days: int = WINDOW_DAYS) -> Dat
     enter the explodes. A scalar beside the services (the start time) yields no rows; it
     is also named, as its key is known.
     """
-    rows = _within(usage, "start_time", as_of, days).select(_day("start_time").alias("usage_date"), F.try_parse_json("credits_granular").alias("payload"))
+    rows = _within(usage, "start_time", as_of, days).select(_day("start_time").alias("usage_date"), _payload(usage, "credits_granular").alias("payload"))
     flat = rows
     for source, level in [("payload", "arr"), ("arr.value", "req"), ("req.value", "svc"), ("svc.value", "mdl")]:
         inner = rows.sparkSession.tvf.variant_explode(F.col(source).outer()).select(F.struct("key", "value").alias(level))
@@ -235,27 +249,28 @@ def cost_and_quality(feedback: DataFrame, usage: DataFrame, as_of: str, raw_join
 # -- platform records --------------------------------------------------------------
 
 
-def _attribute(column: str, path: str) -> Column:
-    return F.try_variant_get(F.try_parse_json(column), path, "string")
+def _attribute(df: DataFrame, column: str, path: str) -> Column:
+    return F.try_variant_get(_payload(df, column), path, "string")
 
 
 def platform_feedback(events: DataFrame, k: int = 50) -> DataFrame:
     given = events.filter(F.col("record_name") == FEEDBACK_RECORD)
-    parsed = given.select(F.col("timestamp").alias("event_time"), F.from_json("record_attributes", "user_id string, feedback string").alias("a"), F.col("record_attributes").alias("raw_attributes"))
-    out = parsed.select("event_time", "a.user_id", F.col("a.feedback").alias("feedback_sentiment"), "raw_attributes")
+    named = {"user_id": "$.user_id", "feedback_sentiment": "$.feedback"}
+    attributes = [_attribute(events, "record_attributes", p).alias(n) for n, p in named.items()]
+    out = given.select(F.col("timestamp").alias("event_time"), *attributes, F.col("record_attributes").alias("raw_attributes"))
     return out.orderBy(F.desc("event_time"), "user_id").limit(k)
 
 
 def platform_feedback_daily(events: DataFrame, as_of: str, days: int = WINDOW_DAYS) -> DataFrame:
     rows = _within(events.filter(F.col("record_name") == FEEDBACK_RECORD), "timestamp", as_of, days)
     return (
-        rows.groupBy(_day("timestamp").alias("event_date"), _attribute("record_attributes", "$.feedback").alias("sentiment"))
+        rows.groupBy(_day("timestamp").alias("event_date"), _attribute(events, "record_attributes", "$.feedback").alias("sentiment"))
         .agg(_rows().alias("count")).orderBy(F.desc("event_date"), "sentiment")
     )
 
 
 def requests_with_feedback(requests: DataFrame, as_of: str, days: int = WINDOW_DAYS) -> DataFrame:
-    given = F.size(F.from_json("feedback", "array<string>")) > 0
+    given = F.try_variant_get(_payload(requests, "feedback"), "$[0]", "variant").isNotNull()
     return (
         _within(requests.filter(F.col("feedback").isNotNull() & given), "timestamp", as_of, days)
         .select("timestamp", "user_id", "semantic_model_name", "latest_question", "generated_sql", "response_status_code", "feedback")
@@ -264,7 +279,7 @@ def requests_with_feedback(requests: DataFrame, as_of: str, days: int = WINDOW_D
 
 def agent_requests(requests: DataFrame, as_of: str, k: int = 200, days: int = WINDOW_DAYS) -> DataFrame:
     """Newest requests that carry the id of the agent that made them."""
-    linked = requests.withColumn("agent_request_id", _attribute("source", "$.agent_request_id")).filter("agent_request_id IS NOT NULL")
+    linked = requests.withColumn("agent_request_id", _attribute(requests, "source", "$.agent_request_id")).filter("agent_request_id IS NOT NULL")
     return (
         _within(linked, "timestamp", as_of, days).orderBy(F.desc("timestamp"), "agent_request_id").limit(k)
         .select("timestamp", "user_id", "latest_question", "generated_sql", "agent_request_id", "response_status_code", "feedback")

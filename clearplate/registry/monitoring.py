@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from clearplate.operators import monitoring as O
-from clearplate.registry.base import query
+from clearplate.registry.base import ORACLES, query
+from clearplate.session import fresh_path
 from clearplate.sources import bind
 
 # Windows lie inside the data, so both of their ends leave rows out.
@@ -43,7 +44,7 @@ feedback AS (SELECT a.conv_id || '-' || a.turn AS feedback_id, (a.conv_id % 150)
 
 
 def o(name, sql, build):
-    query(name, None if sql is None else _BOUND + sql)(build)
+    query(name, None if sql is None else sql if sql.startswith(_BOUND) else _BOUND + sql)(build)
 
 
 def r6(df, *columns):
@@ -159,6 +160,21 @@ o(
     "o18_agent_requests", f"""SELECT {_REQUEST}, 'r' || event_id AS agent_request_id, CAST(NULL AS varchar) AS feedback FROM events WHERE event_type = 'purchase' AND {_in("ts")}
   ORDER BY ts DESC, 'r' || event_id LIMIT 200""", lambda s, d: O.agent_requests(bind.analyst_requests(s, d), END, days=DAYS),
 )
+
+
+def stored(s, d, records, *columns):
+    """Records of a data folder as loaded, with their payloads as variants."""
+    path = fresh_path(s, "payloads")
+    O.load_payloads(records(s, d), path, columns)
+    return s.read.parquet(path)
+
+
+# The same questions over stored payloads.
+o("o02_nested_credits_stored", ORACLES["o02_nested_credits"], lambda s, d: O.nested_credits(stored(s, d, bind.usage, "credits_granular"), END, days=DAYS))
+o("o17_platform_feedback_stored", ORACLES["o17_platform_feedback"], lambda s, d: O.platform_feedback(stored(s, d, bind.observability, "record_attributes")))
+o("o17_platform_feedback_daily_stored", ORACLES["o17_platform_feedback_daily"], lambda s, d: O.platform_feedback_daily(stored(s, d, bind.observability, "record_attributes"), END, days=DAYS))
+o("o18_requests_with_feedback_stored", ORACLES["o18_requests_with_feedback"], lambda s, d: O.requests_with_feedback(stored(s, d, bind.analyst_requests, "feedback", "source"), END, days=DAYS))
+o("o18_agent_requests_stored", ORACLES["o18_agent_requests"], lambda s, d: O.agent_requests(stored(s, d, bind.analyst_requests, "feedback", "source"), END, days=DAYS))
 o("o19_tile_daily", f"SELECT {_DAY}, count(*) AS total_requests, round(sum(token_credits), 6) AS total_credits FROM usage WHERE {_in("start_time")} GROUP BY 1", lambda s, d: O.tile_daily(bind.usage(s, d), END, days=DAYS))
 o("o19_tile_by_service", f"SELECT service_type, {_SERVICE} GROUP BY 1", lambda s, d: O.tile_by_service(bind.service_metering(s, d), END, days=DAYS))
 o("o19_tile_serving", f"SELECT CAST(usage_date AS varchar) AS usage_date, consumption_type, credits FROM search WHERE {_in("usage_date")}", lambda s, d: O.tile_serving(bind.search_usage(s, d), END, days=DAYS))

@@ -62,6 +62,26 @@ def test_cost_and_quality_fan_out(spark):
     assert rows(O.cost_and_quality(rated, used, AS_OF, raw_join=True), *columns) == rows(want, *columns)
 
 
+def test_stored_payloads_are_not_parsed_again(spark, tmp_path):
+    payload = json.dumps([{"r1": {"analyst": {"m1": {"input": 3, "output": 2}}, "start_time": "x"}}])
+    df = spark.createDataFrame([(at(10), payload), (at(11), "no json"), (at(12), None)], "start_time timestamp_ntz, credits_granular string")
+    O.load_payloads(df, str(tmp_path / "usage"), ["credits_granular"])
+    stored = spark.read.parquet(str(tmp_path / "usage"))
+    assert dict(stored.dtypes)["credits_granular_v"] == "variant"
+    got, plain = O.nested_credits(stored, AS_OF), O.nested_credits(df, AS_OF)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "parsejson" not in plan.lower() and "parsejson" in plain._jdf.queryExecution().executedPlan().toString().lower()
+    assert rows(got) == rows(plain) and got.first()["total_credits"] == 5
+    asked = spark.createDataFrame([(at(10), "u", '[{"positive":true}]', '{"agent_request_id":"r1"}'), (at(10), "u", "[]", "{}"), (at(10), "u", None, "bad")], "timestamp timestamp_ntz, user_id string, feedback string, source string")
+    asked = asked.withColumns({c: F.lit(None).cast("string") for c in ("semantic_model_name", "latest_question", "generated_sql", "response_status_code")})
+    O.load_payloads(asked, str(tmp_path / "asked"), ["feedback", "source"])
+    kept = spark.read.parquet(str(tmp_path / "asked"))
+    for question in (O.requests_with_feedback, O.agent_requests):
+        found = question(kept, AS_OF)
+        assert "parsejson" not in found._jdf.queryExecution().executedPlan().toString().lower()
+        assert rows(found) == rows(question(asked, AS_OF)) and found.count() == 1
+
+
 def test_stems(spark):
     df = feedback(spark, ("s", 1, "down", at(2)), ("s", 2, "down", at(3)), ("s", 3, "up", at(4)))
     assert rows(O.question_stems(df), "question_prefix", "negative_ratings", "distinct_users") == [("q" * 80, 2, 1)]
