@@ -43,6 +43,7 @@ INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "data", "del",
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 # Elements that hold text or the page itself; their class names say nothing of what is around an article.
 TEXT_TAGS = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "main", "article", "body", "html"}
+ITEMS = {"p", "li", "dt", "dd", "td", "th", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre"}
 BODY = {"article", "main"}
 CHROME = {"nav", "header", "footer", "aside", "form", "menu", "dialog"}
 CHROME_NAMES = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|promo\w*|sponsor\w*|nav\w*|menu\w*|sidebar|side|footer|header|masthead|comments?|commentlist|discussion|talkback|replies|reply|alerts?|disclaimer|gdpr|teasers?|recommend\w*|trending|respond|disqus|cookies?|consent|notice|popup|modal|newsletter|subscribe|signup|share|sharing|social|related|breadcrumbs?|pagination|widget|login|search)(?:$|[\s_-])", re.I)
@@ -142,8 +143,11 @@ def blocks_of(page: str) -> list[Block]:
         if text:
             words = " ".join("".join(text).split())
             if words:
-                owner = stack[stack[-1].block]
-                out.append(Block(words, owner.serial, stack[-1].chrome, stack[-1].body, owner.tag in ("h1", "h2", "h3", "h4", "h5", "h6"), min(1.0, links[1] / len(words)), len(inline)))
+                k = stack[-1].block
+                owner = stack[k]
+                # Paragraphs, list items and cells are near what lies in the same parent.
+                near = stack[stack[k - 1].block] if owner.tag in ITEMS else owner
+                out.append(Block(words, near.serial, stack[-1].chrome, stack[-1].body, owner.tag in ("h1", "h2", "h3", "h4", "h5", "h6"), min(1.0, links[1] / len(words)), len(inline)))
             text.clear()
         links[1] = 0
 
