@@ -1,8 +1,9 @@
 """Exact duplicates against a persistent index of text digests.
 
 The index is a table bucketed and sorted by digest. A batch is first cut to one row per
-digest, so a text that fills a third of the batch is one row from then on; what the index
-lacks is found by a sort-merge anti-join that reads the buckets as they lie, and appended.
+digest, so a text that fills a third of the batch is one row from then on. One sort-merge
+join with the index, which reads the buckets as they lie, tells what the index holds and,
+by what does not match, what it lacks; that is appended.
 A batch sent again finds its own digests there and gets the same answer.
 """
 
@@ -38,13 +39,16 @@ class DigestIndex:
         self.spark.catalog.refreshTable(self.name)
         return self.spark.table(self.name)
 
-    def rows(self) -> DataFrame:
-        """The same rows as plain files, for joins that Spark may split by size."""
-        return self.spark.read.schema(INDEX_COLUMNS).parquet(self.path)
+    def met(self, best: DataFrame) -> DataFrame:
+        """``best``, which holds each digest once, with ``held_id, held_points`` of what is there; ``known`` is null for what is not.
 
-    def append_new(self, best: DataFrame) -> None:
-        """Add what is not there. ``best`` holds each digest once, in the index's columns."""
-        new = best.join(self.bucketed().hint("merge"), "digest", "left_anti")
+        One sort-merge join tells both, and reads the buckets as they lie.
+        """
+        held = self.bucketed().select("digest", F.col("keep_id").alias("held_id"), F.col("keep_points").alias("held_points"), F.lit(True).alias("known"))
+        return best.join(held.hint("merge"), "digest", "left")
+
+    def append(self, new: DataFrame) -> None:
+        """Add digests that are not there, in the index's columns."""
         new.select("digest", "keep_id", "keep_points").repartition(self.buckets, "digest").write.insertInto(self.name)
 
 
@@ -62,14 +66,10 @@ def dedupe(docs: DataFrame, index: DigestIndex, doc_id: str = "doc_id", text: st
     first = F.min(F.struct((-F.col("n_points")).alias("p"), F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("keep_id"), F.col("row").alias("keep_row")))
     best = digests.groupBy("digest").agg(first.alias("b"), F.count("*").alias("group_size"))
     best = written(best.select("digest", "b.keep_id", (-F.col("b.p")).alias("keep_points"), "b.keep_row", "group_size"), "best")
-    index.append_new(best)
-    held = index.rows().select("digest", F.col("keep_id").alias("held_id"), F.col("keep_points").alias("held_points"))
-    groups = best.join(held, "digest").select(
-        "digest",
-        "group_size",
-        F.col("held_id").alias("keep_id"),
-        F.when(F.col("keep_id").eqNullSafe(F.col("held_id")) & (F.col("keep_points") == F.col("held_points")), F.col("keep_row")).alias("keep_row"),
-    )
+    met = written(index.met(best), "met")
+    index.append(met.filter("known is null"))
+    stays = F.col("known").isNull() | (F.col("keep_id").eqNullSafe(F.col("held_id")) & (F.col("keep_points") == F.col("held_points")))
+    groups = met.select("digest", "group_size", F.when(F.col("known"), F.col("held_id")).otherwise(F.col("keep_id")).alias("keep_id"), F.when(stays, F.col("keep_row")).alias("keep_row"))
     joined = digests.join(written(groups, "groups"), "digest")
     return joined.select("doc_id", "keep_id", "group_size", F.coalesce(F.col("row") == F.col("keep_row"), F.lit(False)).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 

@@ -28,6 +28,8 @@ FLOORS = [700, 300, 120, 250, 120]
 KEEP_SHARE = 0.5
 STEPS = 5
 MIN_GROUP = 100
+# The group of rows judged by the whole table; no key of a language or source reads so.
+WHOLE = "*"
 # 99.9 % quantile of the chi-squared distribution with five degrees of freedom.
 CUTOFF = 20.515
 # Median of the chi-squared distribution with five degrees of freedom.
@@ -93,14 +95,23 @@ def statistics(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang
 
 
 def _grouped(stats: DataFrame, least: int) -> DataFrame:
-    """Group key by language and source; groups with few rows are pooled by language, and if still few have none."""
+    """Group key by language and source; groups with few rows are pooled by language, and what is still few with the whole table."""
     fine = stats.filter("not base_failed").groupBy("fine", "coarse").agg(F.count("*").alias("n"))
     fine = fine.withColumn("group", F.when(F.col("n") >= least, F.col("fine")).otherwise(F.col("coarse")))
-    enough = fine.groupBy("group").agg(F.sum("n").alias("size")).filter(F.col("size") >= least).select("group")
-    keys = written(fine.join(enough, "group").select("fine", "group").coalesce(FILES), "groups")
+    size = F.sum("n").over(Window.partitionBy("group"))
+    fine = fine.withColumn("group", F.when(size >= least, F.col("group")).otherwise(F.lit(WHOLE)))
+    keys = written(fine.select("fine", "group").coalesce(FILES), "groups")
     return stats.join(keys, "fine", "left")
 
 
+def _taught(stats: DataFrame) -> DataFrame:
+    """``group`` and vector of the rows that shape an estimate; the whole table's, where some group is judged by it, is shaped by all."""
+    rows = stats.filter("not base_failed").select("group", *STATS)
+    if stats.filter(F.col("group") == WHOLE).isEmpty():
+        return rows
+    return rows.filter(F.col("group") != WHOLE).unionByName(rows.withColumn("group", F.lit(WHOLE)))
+
+
 def _moments() -> list[Column]:
     first = [F.sum(x).alias(f"s_{i}") for i, x in enumerate(STATS)]
     second = [F.sum(F.col(STATS[i]) * F.col(STATS[j])).alias(f"s_{i}_{j}") for i in range(len(STATS)) for j in range(i + 1)]
@@ -198,13 +209,13 @@ def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     get a distance. Others are kept unless their squared distance, scaled so that its
     median is that of a chi-squared variable but never scaled up, exceeds ``cutoff``. Null
     languages and sources are groups of their own; groups below ``least`` rows are pooled
-    by language, and where that is still too small the base verdict stands. Null and empty
-    texts have zero words. Repeated rows return repeated rows, an empty table none; columns
+    by language, and where that is still too small they are judged by the estimate of the
+    whole table, so that every row has a distance. Null and empty texts have zero words. Repeated rows return repeated rows, an empty table none; columns
     of other names are ignored.
     """
     stats = written(statistics(docs, doc_id, text, lang, source), "stats")
     stats = written(_grouped(stats, least), "grouped")
-    fit = estimates(stats.filter("not base_failed and group is not null").select("group", *STATS))
+    fit = estimates(_taught(stats))
     joined = stats.join(written(fit.coalesce(FILES), "fit"), "group", "left")
     distance = F.when(~F.col("base_failed"), _distance() / F.greatest(F.col("c"), F.lit(1.0)))
     out = joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", distance.alias("distance"))

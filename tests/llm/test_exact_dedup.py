@@ -3,6 +3,8 @@ from __future__ import annotations
 import hashlib
 import re
 
+from pyspark.sql import functions as F
+
 from clearplate.llm.exact_dedup import DigestIndex, dedupe, drop_copies
 from clearplate.session import fresh_path
 
@@ -57,12 +59,16 @@ def test_index_lasts_over_batches(spark):
     assert (second[4]["keep_id"], second[4]["kept"], second[5]["kept"]) == (4, True, False)
     replay = {r["doc_id"]: r["kept"] for r in dedupe(spark.createDataFrame([(3, "a  b"), (4, "d"), (5, "d")], schema), again).collect()}
     assert replay == {3: False, 4: True, 5: False}
-    assert again.rows().count() == 3
+    assert again.bucketed().count() == 3
 
 
-def test_anti_join_reads_buckets_as_they_lie(spark):
+def test_index_is_joined_once_as_it_lies(spark):
+    """The index side of the sort-merge join is a bucketed scan without an exchange, also for a batch too large to broadcast."""
     own = index(spark)
     dedupe(spark.createDataFrame([(1, "a b"), (2, "c")], "doc_id long, text string"), own)
-    best = spark.createDataFrame([(bytearray(b"x"), 1, 1)], "digest binary, keep_id long, keep_points long")
-    plan = best.join(own.bucketed().hint("merge"), "digest", "left_anti")._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" in plan and "Bucketed: true" in plan
+    best = spark.range(100).select(F.unhex(F.sha2(F.col("id").cast("string"), 256)).alias("digest"), F.col("id").alias("keep_id"), F.lit(1).alias("keep_points"))
+    met = own.met(best)
+    assert met.filter("known").count() == 0 and met.count() == 100
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    # Only the batch is shuffled, to the index's buckets.
+    assert "SortMergeJoin" in plan and plan.count("Bucketed: true") == 1 and plan.count("Exchange") == 1

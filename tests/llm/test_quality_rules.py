@@ -41,10 +41,13 @@ def test_edge_rows(messy, messy_rows, nothing):
     assert judge(nothing).count() == 0
 
 
-def test_small_groups_keep_the_base_verdict(spark):
-    rows = [(k, " ".join(f"w{k}x{i}" for i in range(60)) + " #" * 40 * k, None, "a") for k in range(3)]
-    got = judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
-    assert all(r["kept"] == (not r["base_failed"]) and r["distance"] is None for r in got) and got
+def test_a_table_of_three_rows_is_judged(spark):
+    rows = [(k, " ".join(f"w{k}x{i}" + "#" * k for i in range(60 + 50 * k)), None, "a") for k in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r for r in judge(df).collect()}
+    stats = {r["doc_id"]: [r[x] for x in STATS] for r in statistics(df).collect()}
+    assert not any(r["base_failed"] for r in got.values())
+    assert np.allclose([got[k]["distance"] for k in range(3)], brute_estimate(np.array([stats[k] for k in range(3)], float)), rtol=1e-6)
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 4, 5, 9, 200])
@@ -99,6 +102,21 @@ def test_distances_match_numpy(spark):
         assert got[k]["kept"] == (k % 11 != 0)
 
 
+def test_small_groups_are_judged_by_the_whole_table(spark):
+    """Twenty rows of two rare languages, three of them junk: each has the distance of the estimate over all rows."""
+    rng = random.Random(21)
+    rows = [(k, " ".join(plain(rng, rng.randrange(60, 400))), "en", "a") for k in range(300)]
+    rows += [(300 + k, " ".join(w + "###" * (k % 7 == 0) for w in plain(rng, 150)), "xx" if k % 2 else None, "b") for k in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r for r in judge(df, least=100).collect()}
+    stats = {r["doc_id"]: [r[x] for x in STATS] for r in statistics(df).collect()}
+    whole = brute_estimate(np.array([stats[r[0]] for r in rows], float))
+    assert np.allclose([got[300 + k]["distance"] for k in range(20)], whole[300:], rtol=1e-6)
+    own = brute_estimate(np.array([stats[k] for k in range(300)], float))
+    assert np.allclose([got[k]["distance"] for k in range(300)], own, rtol=1e-6)
+    assert [got[300 + k]["kept"] for k in range(20)] == [k % 7 != 0 for k in range(20)]
+
+
 def plain(rng, n):
     """Distinct words of one to nine letters."""
     return [rng.choice("abcdefgh") * rng.randrange(1, 8) + str(rng.randrange(100)) for _ in range(n)]
