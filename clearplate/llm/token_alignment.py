@@ -17,14 +17,17 @@ become many rows.
 from __future__ import annotations
 
 import hashlib
+import json
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import regex
 import sentencepiece
+import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,6 +48,12 @@ NOT_SPELT = b""
 SPACES = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
+# Fixed value: the pattern by which byte-level BPE parts a text before its merges.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# Letters below this are the same in every version of Unicode that a library may know.
+LATIN_END = "\u0250"
+
+
 @dataclass(frozen=True)
 class Vocabularies:
     """The contents of both files (some megabytes): a byte-level BPE and a SentencePiece model."""
@@ -79,9 +88,34 @@ class ByteEncoder:
         self.bytes_of = [t.encode() if i in special else bytes(map(symbols.__getitem__, t)) for i, t in enumerate(names)]
         self.unit = regex.compile(rf"[{SPACES}]*[^{SPACES}]+|[{SPACES}]+")
         self.units: dict[str, bytes] = {}
+        self.quick = self._quick(json.loads(text))
+
+    def _quick(self, spec: dict) -> Callable[[str], list[int]] | None:
+        """A faster encoder of the same vocabulary and merges for short texts of Latin letters.
+
+        It ranks merges by the id they make, so it serves where these are in the same order.
+        """
+        model = spec["model"]
+        names = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        made = [model["vocab"][a + b] for a, b in names]
+        plain = spec.get("normalizer") is None and spec["pre_tokenizer"]["type"] == "ByteLevel" and spec["pre_tokenizer"]["use_regex"] and not spec["pre_tokenizer"]["add_prefix_space"]
+        if not plain or any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")) or made != sorted(made) or len(set(made)) < len(made):
+            return None
+        special = self.whole.get_added_tokens_decoder()
+        ranks = {self.bytes_of[i]: i for i in model["vocab"].values() if i not in special}
+        return tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def each(self, texts: list[str]) -> list[bytes]:
         """Ids of short texts as 32-bit integers."""
+        if self.quick:
+            latin = [t for t in texts if t.isascii() or max(t) < LATIN_END]
+            known = {t: array("i", self.quick(t)).tobytes() for t in latin}
+            others = [t for t in texts if t not in known]
+            known.update(zip(others, self._each(others)))
+            return list(map(known.__getitem__, texts))
+        return self._each(texts)
+
+    def _each(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
         for k in range(0, len(texts), 10_000):
             out += [array("i", x.ids).tobytes() for x in self.whole.encode_batch(texts[k : k + 10_000], add_special_tokens=False)]
@@ -118,15 +152,13 @@ class PieceEncoder:
         return self.each([text])[0]
 
 
-def gallop(a: array, b: array) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int, int]], array, array]:
+def gallop(a: array, b: array) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int, int]]]:
     """Groups of two ascending arrays of end offsets with the same last end.
 
-    Returns stretches ``(i, j, n)`` of n one-to-one groups, irregular groups ``(i, i2, j, j2)``,
-    and the overlapping places of the irregular groups, as two arrays.
+    Returns stretches ``(i, j, n)`` of n one-to-one groups, and irregular groups ``(i, i2, j, j2)``.
     """
     stretches, odd = [], []
-    left, right = array("q"), array("q")
-    add_left, add_right, add_stretch, add_odd = left.append, right.append, stretches.append, odd.append
+    add_stretch, add_odd = stretches.append, odd.append
     # Runs of ends are compared as bytes: W to an end.
     raw_a, raw_b, W = a.tobytes(), b.tobytes(), a.itemsize
     i = j = 0
@@ -155,8 +187,6 @@ def gallop(a: array, b: array) -> tuple[list[tuple[int, int, int]], list[tuple[i
                 break
         i0, j0, x, y = i, j, a[i], b[j]
         if x != y:
-            add_left(i)
-            add_right(j)
             while x != y:
                 if x < y:
                     i += 1
@@ -164,12 +194,10 @@ def gallop(a: array, b: array) -> tuple[list[tuple[int, int, int]], list[tuple[i
                 else:
                     j += 1
                     y = b[j]
-                add_left(i)
-                add_right(j)
             i += 1
             j += 1
             add_odd((i0, i, j0, j))
-    return stretches, odd, left, right
+    return stretches, odd
 
 
 @dataclass
@@ -194,6 +222,14 @@ def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - begun, sizes) + np.arange(int(sizes.sum()))
 
 
+def overlaps(a: np.ndarray, b: np.ndarray, odd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the tokens that overlap inside irregular groups: each run of bytes without an end in it is one overlap."""
+    own_a, own_b = _spread(odd[:, 0], odd[:, 1] - odd[:, 0]), _spread(odd[:, 2], odd[:, 3] - odd[:, 2])
+    ends_a, ends_b = a[own_a], b[own_b]
+    ends = np.union1d(ends_a, ends_b)
+    return own_a[np.searchsorted(ends_a, ends)], own_b[np.searchsorted(ends_b, ends)]
+
+
 class Aligner:
     """Both encoders of one process."""
 
@@ -267,12 +303,14 @@ class Aligner:
         cut_a, cut_b = (np.concatenate(([0], np.cumsum([len(x) for x in own], dtype=np.int64))) for own in (own_a, own_b))
         ids_a, ids_b = np.concatenate([none, *own_a]), np.concatenate([none, *own_b])
         # Offsets run on from text to text, so a text's last end is a common one like any other.
-        stretches, odd, left, right = gallop(array("q", np.cumsum(self.length_a[ids_a]).tobytes()), array("q", np.cumsum(self.length_b[ids_b]).tobytes()))
+        ends_a, ends_b = np.cumsum(self.length_a[ids_a]), np.cumsum(self.length_b[ids_b])
+        stretches, odd = gallop(array("q", ends_a.tobytes()), array("q", ends_b.tobytes()))
         runs = np.array(stretches, np.int64).reshape(-1, 3)
         odd = np.array(odd, np.int64).reshape(-1, 4)
         even_a, even_b = _spread(runs[:, 0], runs[:, 2]), _spread(runs[:, 1], runs[:, 2])
         group_a, group_b = np.sort(np.concatenate([even_a, odd[:, 0]])), np.sort(np.concatenate([even_b, odd[:, 2]]))
-        link_a, link_b = np.sort(np.concatenate([even_a, np.frombuffer(left, np.int64)])), np.sort(np.concatenate([even_b, np.frombuffer(right, np.int64)]))
+        left, right = overlaps(ends_a, ends_b, odd)
+        link_a, link_b = np.sort(np.concatenate([even_a, left])), np.sort(np.concatenate([even_b, right]))
         return Aligned(
             cut_a,
             cut_b,
@@ -379,9 +417,11 @@ class _Block:
 
     def row(self, number: int) -> dict:
         """Distinct pairs with their documents; for each document the numbers of its pairs, and how often each is linked."""
-        pairs, place = np.unique(np.concatenate([np.zeros(0, np.int64), *self.pairs]), return_inverse=True)
+        place, pairs = pd.factorize(np.concatenate([np.zeros(0, np.int64), *self.pairs]))
         doc = np.repeat(np.arange(len(self.rows)), self.links)
-        held, times = np.unique(doc * max(1, len(pairs)) + place, return_counts=True)
+        # Numbered in the order they are met, so those of a document stay together.
+        number_of, held = pd.factorize(doc * max(1, len(pairs)) + place)
+        times = np.bincount(number_of, minlength=len(held))
         doc, place = np.divmod(held, max(1, len(pairs)))
         columns = list(zip(*self.rows))
         return {

@@ -4,6 +4,7 @@ import hashlib
 from array import array
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -128,10 +129,11 @@ def test_gallop_against_all_pairs(widths, joined, split):
             a.append(at)
     every = sorted({e for k, e in enumerate(range(1, at + 1)) if k not in split} | {at})
     for b in (a, every):
-        stretches, odd, left, right = ta.gallop(array("q", a), array("q", b))
+        stretches, odd = ta.gallop(array("q", a), array("q", b))
+        left, right = ta.overlaps(np.array(a), np.array(b), np.array(odd, np.int64).reshape(-1, 4))
         groups = sorted([(i + k, i + k + 1, j + k, j + k + 1) for i, j, n in stretches for k in range(n)] + odd)
         assert [a[g[1] - 1] for g in groups] == sorted(set(a) & set(b)) == [b[g[3] - 1] for g in groups]
-        links = sorted([(i + k, j + k) for i, j, n in stretches for k in range(n)] + list(zip(left, right)))
+        links = sorted([(i + k, j + k) for i, j, n in stretches for k in range(n)] + list(zip(left.tolist(), right.tolist())))
         starts_a, starts_b = [0, *a], [0, *b]
         assert links == [(i, j) for i in range(len(a)) for j in range(len(b)) if max(starts_a[i], starts_b[j]) < min(a[i], b[j])]
 
@@ -140,7 +142,7 @@ def test_stretches_are_as_long_as_can_be():
     same = array("q", range(1, 10_001))
     assert ta.gallop(same, same)[0] == [(0, 0, 10_000)]
     b = array("q", [x for x in range(1, 10_001) if x != 5_000])
-    stretches, odd, _, _ = ta.gallop(same, b)
+    stretches, odd = ta.gallop(same, b)
     assert stretches == [(0, 0, 4_999), (5_001, 5_000, 4_999)] and odd == [(4_999, 5_001, 4_999, 5_000)]
 
 
@@ -171,3 +173,16 @@ def test_words_encoded_apart_are_the_whole_text(sides, doc_rows):
     for text, a, b in zip(texts, *own.ids(texts)):
         want = ranges(sides, text)
         assert (list(array("i", a)), list(array("i", b))) == tuple([x[0] for x in side] for side in want)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(st.sampled_from("abeisntABÀßéñ'12.,!?_-$«»½²"), min_size=1, max_size=12), min_size=1, max_size=8))
+def test_quick_encoder_is_the_library(words):
+    own = AT_HAND.setdefault("own", None) or AT_HAND.setdefault("made", ta.ByteEncoder(ta.load_vocabularies().byte_text))
+    AT_HAND["own"] = own
+    assert own.quick is not None
+    texts = [" " + w for w in words]
+    assert own.each(texts) == own._each(texts)
+
+
+AT_HAND: dict = {}
