@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import functools
 import hashlib
 from array import array
 from collections import Counter, defaultdict
@@ -178,11 +179,12 @@ def test_words_encoded_apart_are_the_whole_text(sides, doc_rows):
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.text(st.sampled_from("abeisntABÀßéñ'12.,!?_-$«»½²"), min_size=1, max_size=12), min_size=1, max_size=8))
 def test_quick_encoder_is_the_library(words):
-    own = AT_HAND.setdefault("own", None) or AT_HAND.setdefault("made", ta.ByteEncoder(ta.load_vocabularies().byte_text))
-    AT_HAND["own"] = own
+    own = byte_encoder()
     assert own.quick is not None
     texts = [" " + w for w in words]
     assert own.each(texts) == own._each(texts)
 
 
-AT_HAND: dict = {}
+@functools.cache
+def byte_encoder():
+    return ta.ByteEncoder(ta.load_vocabularies().byte_text)
