@@ -12,7 +12,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -104,7 +103,7 @@ def write_cells(corpus: DataFrame, path: str, cells: int | None = None, id_col:
     wanted = min(cells or round(2 * n**0.5), MAX_CELLS, len(picked))
     centers = centroids_of(sample, wanted) if len(picked) else sample
     probes = probes_for(sample, centers) if len(picked) else 0
-    rows = pd.DataFrame({"cell": range(len(centers)), "centroid": list(centers), "probes": probes})
+    rows = [(cell, center, probes) for cell, center in enumerate(centers.tolist())]
     spark.createDataFrame(rows, "cell int, centroid array<double>, probes int").coalesce(1).write.parquet(f"{path}/centroids")
     held.select(F.lit(0).alias("cell"), id_col, vector).limit(0).write.parquet(f"{path}/columns")
     if len(centers):

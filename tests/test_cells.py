@@ -87,3 +87,17 @@ def test_probes_cover_the_sampled_neighbours():
     assert 1 <= few < many <= 16 and V.probes_for(sample[:1], centers) == 16
     same = np.repeat(sample[:1], 50, axis=0)
     assert len(V.centroids_of(same, 8)) == 1
+
+
+def test_made_and_read_without_arrow_transfer(spark, vectors, asked, tmp_path):
+    """The driver's frames may come and go without Arrow, which is a plain session's setting."""
+    setting = "spark.sql.execution.arrow.pyspark.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        V.write_cells(frame(spark, vectors), str(tmp_path / "index"), cells=20)
+        index = V.read_cells(spark, str(tmp_path / "index"))
+        got = rows(V.cell_search(asked, index, 8, probes=20), "query_id", "doc_id", "score", "rank")
+    finally:
+        spark.conf.set(setting, before)
+    assert got == rows(R.vector_search(asked, frame(spark, vectors), 8), "query_id", "doc_id", "score", "rank")
