@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import glob
 
 from frames import rows
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from clearplate.operators import marts as M
 from clearplate.operators import staging as S
 from clearplate.plans import build
+from clearplate.registry import QUERIES, star
 from clearplate.sources import bind
 
 
@@ -52,3 +54,9 @@ def test_profile_is_that_of_the_newest_record_then_load(spark):
     found = S.latest_profile(frame)
     assert rows(found, "restaurant_id", "restaurant_name") == [("1", "NEW"), ("2", "LATE"), ("3", "A")]
     assert "WindowGroupLimit" not in found._jdf.queryExecution().executedPlan().toString().split("HashAggregate")[-1]
+
+
+def test_landed_json_is_compressed(spark, sf_dir, tmp_path, monkeypatch):
+    monkeypatch.setattr(star, "fresh_path", lambda spark, label: str(tmp_path / label))
+    QUERIES["s1_read_landed_json"](spark, sf_dir).collect()
+    assert glob.glob(str(tmp_path / "landed" / "*.json.gz")) and not glob.glob(str(tmp_path / "landed" / "*.json"))
