@@ -8,6 +8,7 @@ import glob
 from frames import rows
 from pyspark.sql import functions as F
 
+from clearplate.operators import geo as G
 from clearplate.operators import marts as M
 from clearplate.operators import staging as S
 from clearplate.plans import build
@@ -60,3 +61,11 @@ def test_landed_json_is_compressed(spark, sf_dir, tmp_path, monkeypatch):
     monkeypatch.setattr(star, "fresh_path", lambda spark, label: str(tmp_path / label))
     QUERIES["s1_read_landed_json"](spark, sf_dir).collect()
     assert glob.glob(str(tmp_path / "landed" / "*.json.gz")) and not glob.glob(str(tmp_path / "landed" / "*.json"))
+
+
+def test_counts_within_a_radius_are_those_of_the_pairs(spark):
+    places = spark.createDataFrame([(i, 40.7 + i % 5 * 0.004, -73.9) for i in range(200)] + [(999, None, None)], "restaurant_id int, latitude double, longitude double")
+    points = spark.createDataFrame([(i, 40.7 + i % 3 * 0.006, -73.9) for i in range(60)] + [(60, 10.0, 10.0)], "point_id int, point_lat double, point_lon double")
+    want = G.within_radius(places, points, 900.0).groupBy("point_id").agg(F.count("*").alias("restaurants"), F.min("distance_m").alias("nearest_m"))
+    got = G.count_within_radius(places, points, 900.0, cell_places=2)
+    assert rows(got, "point_id", "restaurants", "nearest_m") == rows(want) and got.count() == 60
