@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from clearplate.functions.latest import keep_computed, neighbour, top_per_key
 from clearplate.functions.text import strip, terms
 from clearplate.functions.vector import cosine
-from clearplate.operators.retrieval import first_k, numbers_below, stacked, unit_rows
+from clearplate.operators.retrieval import MATRIX_CELLS, first_k, numbers_below, stacked, unit_rows
 from clearplate.session import written
 from clearplate.sources import tables
 
@@ -225,12 +225,17 @@ def recall(queries: DataFrame, facts: DataFrame, k: int | None = DEFAULT_RESULTS
             return pd.DataFrame(columns=schema.fieldNames())
         f = f.reset_index(drop=True)
         names = np.asarray(f["fact_key"].tolist())
-        scores = np.round(unit_rows(stacked(q["_v"])) @ unit_rows(stacked(f["_v"])).T, 4) + 0.0
-        best = [first_k(row, names, k) for row in scores]
+        asked, held = unit_rows(stacked(q["_v"])), unit_rows(stacked(f["_v"]))
+        best, near = [], []
+        step = max(1, MATRIX_CELLS // len(f))  # the whole product of a block and a cell would be some hundred MB
+        for a in range(0, len(q), step):
+            for row in np.round(asked[a : a + step] @ held.T, 4) + 0.0:
+                best.append(first_k(row, names, k))
+                near.append(row[best[-1]])
         at = np.concatenate(best)
         who = np.repeat(np.arange(len(q)), [len(b) for b in best])
         out = f.loc[at, ["fact_key", "fact_value", "category", "updated_at"]].reset_index(drop=True)
-        return out.assign(query_id=q["query_id"].to_numpy()[who], user_id=key[0], similarity=scores[who, at])[schema.fieldNames()]
+        return out.assign(query_id=q["query_id"].to_numpy()[who], user_id=key[0], similarity=np.concatenate(near))[schema.fieldNames()]
 
     keys = ["user_id", "_block", "_cell"]
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(product, schema)

@@ -31,6 +31,7 @@ CELL_ROWS = 50_000
 BLOCK_QUERIES = 256
 BLOCK_TERMS = 16_000
 CELL_DOCS = 20_000
+BUCKET_WORDS = 4_000_000
 # Size of a product's matrices.
 MATRIX_CELLS = 4_000_000
 
@@ -97,12 +98,14 @@ def write_index(index: Index, path: str, buckets: int | None = None) -> Index:
     """Store an index, postings and frequencies bucketed and sorted by term, and return it as stored.
 
     A join on the term reads the buckets as they lie; within a file, a look-up of few terms skips
-    row groups. ``buckets`` should give buckets of some 100 MB; by default there are as many as shuffle partitions.
+    row groups. There are at least ``buckets``, by default as many as shuffle partitions, and more
+    where the texts have more than BUCKET_WORDS words for each, as one task sorts a bucket.
     """
     spark = index.postings.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    postings = _bucketed(index.postings.repartition(buckets, "term"), f"{path}/postings", buckets)
     index.lengths.write.mode("overwrite").parquet(f"{path}/lengths")
+    words = spark.read.parquet(f"{path}/lengths").agg(F.sum("length")).first()[0] or 0
+    buckets = max(buckets or _shuffle_parts(spark), -(-words // BUCKET_WORDS))
+    postings = _bucketed(index.postings.repartition(buckets, "term"), f"{path}/postings", buckets)
     stored = _index_of(postings, spark.read.parquet(f"{path}/lengths"))
     _bucketed(stored.frequency, f"{path}/frequency", buckets)
     stored.totals.withColumn("buckets", F.lit(buckets)).write.mode("overwrite").parquet(f"{path}/totals")
@@ -147,6 +150,12 @@ class _Asked:
     blocks: int
     cells: int
     mean: float
+    parts: int
+
+    def dealt(self, rows: DataFrame) -> DataFrame:
+        """Rows dealt by block and cell to so many parts that each takes about the postings of CELL_DOCS documents for one block."""
+        few = self.parts <= _shuffle_parts(rows.sparkSession)  # then Spark's own number, which it may lower, is enough
+        return rows if few else rows.repartition(self.parts, "block", "cell")
 
 
 def _asked(queries: DataFrame, index: Index, block_queries: int, block_terms: int, cell_docs: int) -> _Asked:
@@ -162,8 +171,13 @@ def _asked(queries: DataFrame, index: Index, block_queries: int, block_terms: in
     blocks = max(1, -(-rows // block_terms), -(-n // block_queries))
     weights = weights.withColumn("block", _hashed("query_id", blocks))
     met = weights.groupBy("term_no").agg(F.collect_set("block").alias("blocks"))
-    cells = max(-(-(total or 0) // cell_docs), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return _Asked(weights, written(known.join(met, "term_no").select("term", "term_no", "blocks"), "asked-terms"), blocks, cells, mean or 0.0)
+    cells = max(-(-(total or 0) // cell_docs), _shuffle_parts(spark))
+    parts = max(-(-(total or 0) * blocks // CELL_DOCS), _shuffle_parts(spark))
+    return _Asked(weights, written(known.join(met, "term_no").select("term", "term_no", "blocks"), "asked-terms"), blocks, cells, mean or 0.0, parts)
+
+
+def _shuffle_parts(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _hashed(column: str, parts: int) -> Column:
@@ -234,8 +248,8 @@ def keyword_candidates(queries: DataFrame, index: Index, k: int, id_col: str = "
             kept.add(scorer.ids[docs], np.round(scores, 4), scores > 0)
         return _table(kept.frames(scorer.query_ids), schema)
 
-    left = _every_cell(asked.weights, asked.cells)
-    found = left.groupBy("block", "cell").cogroup(_hits(index, asked, id_col).groupBy("block", "cell")).applyInArrow(best, schema)
+    left, right = asked.dealt(_every_cell(asked.weights, asked.cells)), asked.dealt(_hits(index, asked, id_col))
+    found = left.groupBy("block", "cell").cogroup(right.groupBy("block", "cell")).applyInArrow(best, schema)
     return found.withColumnRenamed("_id", id_col)
 
 
@@ -315,10 +329,10 @@ class _Best:
 
 def _best(query_ids: np.ndarray, queries: np.ndarray, batches: Iterator[tuple[np.ndarray, np.ndarray]], k: int) -> Iterator[pd.DataFrame]:
     """Best k of corpus batches (ids, vectors) by cosine."""
-    best = _Best(len(query_ids), k)
+    best, step = _Best(len(query_ids), k), max(1, MATRIX_CELLS // max(1, len(query_ids)))
     for ids, vectors in batches:
-        if len(ids):
-            best.add(ids, np.round(queries @ unit_rows(vectors).T, 4) + 0.0)
+        for a in range(0, len(ids), step):
+            best.add(ids[a : a + step], np.round(queries @ unit_rows(vectors[a : a + step]).T, 4) + 0.0)
     yield from best.frames(query_ids)
 
 
@@ -455,7 +469,7 @@ def hybrid_candidates(
     right = written(_with_vectors(_hits(index, asked, id_col), every_block), "held")
 
     def in_cells(own: DataFrame):
-        return _every_cell(own, asked.cells).groupBy("block", "cell").cogroup(right.groupBy("block", "cell"))
+        return asked.dealt(_every_cell(own, asked.cells)).groupBy("block", "cell").cogroup(asked.dealt(right).groupBy("block", "cell"))
 
     def ranges(a: pa.Table, b: pa.Table) -> pa.Table:
         if not a.num_rows or not b.num_rows:

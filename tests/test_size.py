@@ -5,11 +5,14 @@ from __future__ import annotations
 import datetime as dt
 import glob
 
+import numpy as np
 from frames import rows
 from pyspark.sql import functions as F
 
+from clearplate.operators import facts as U
 from clearplate.operators import geo as G
 from clearplate.operators import marts as M
+from clearplate.operators import retrieval as R
 from clearplate.operators import staging as S
 from clearplate.plans import build
 from clearplate.registry import QUERIES, star
@@ -69,3 +72,33 @@ def test_counts_within_a_radius_are_those_of_the_pairs(spark):
     want = G.within_radius(places, points, 900.0).groupBy("point_id").agg(F.count("*").alias("restaurants"), F.min("distance_m").alias("nearest_m"))
     got = G.count_within_radius(places, points, 900.0, cell_places=2)
     assert rows(got, "point_id", "restaurants", "nearest_m") == rows(want) and got.count() == 60
+
+
+def test_buckets_of_an_index_follow_the_words(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(R, "BUCKET_WORDS", 50)
+    docs = spark.createDataFrame([(i, f"common word number{i} of text") for i in range(100)], "doc_id long, chunk_text string")
+    R.write_index(R.build_index(docs), str(tmp_path / "index"), buckets=2)
+    assert spark.read.parquet(str(tmp_path / "index" / "totals")).first()["buckets"] == 10
+
+
+def test_groups_of_a_search_are_dealt_by_documents(spark, monkeypatch):
+    monkeypatch.setattr(R, "CELL_DOCS", 5)
+    docs = spark.createDataFrame([(i, f"common word number{i % 7}") for i in range(100)], "doc_id long, chunk_text string")
+    asked = spark.createDataFrame([(i, f"common number{i}") for i in range(4)], "query_id long, query_text string")
+    index = R.build_index(docs)
+    cut = R._asked(asked, index, 2, 100, 10)
+    assert cut.parts == 100 * cut.blocks // 5 and cut.dealt(cut.weights.withColumn("cell", F.lit(0))).rdd.getNumPartitions() == cut.parts
+    assert rows(R.keyword_search(asked, index, block_queries=2, cell_docs=10)) == rows(R.keyword_search(asked, index))
+
+
+def test_a_product_of_vectors_is_made_in_slices(monkeypatch):
+    monkeypatch.setattr(R, "MATRIX_CELLS", 40)
+    sizes, add = [], R._Best.add
+    monkeypatch.setattr(R._Best, "add", lambda self, ids, scores, valid=None: sizes.append(scores.size) or add(self, ids, scores, valid))
+    rng = np.random.default_rng(1)
+    asked, held = R.unit_rows(rng.normal(size=(4, 8))), rng.normal(size=(101, 8))
+    (got,) = [f for f in R._best(np.array([7]), asked[:1], iter([(np.arange(101), held)]), 3)]
+    assert max(sizes) <= 40
+    want = R.first_k(np.round(R.unit_rows(held) @ asked[0], 4), np.arange(101), 3)
+    assert got["_id"].tolist() == want.tolist()
+    assert U.MATRIX_CELLS == 4_000_000
