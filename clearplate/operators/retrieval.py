@@ -127,10 +127,13 @@ def read_index(spark: SparkSession, path: str) -> Index:
 
 
 def refresh_index(index: Index, changed: DataFrame, gone: DataFrame | None = None, id_col: str = "doc_id", text: str = "chunk_text") -> Index:
-    """Index after changed (and removed) chunks: entries of touched ids go, new ones come; others are not recomputed."""
+    """Index after changed (and removed) chunks: entries of touched ids go, new ones come; others are not recomputed.
+
+    Touched ids are not made distinct first: that would deal them to other parts than postings by id
+    lie in, and the postings would be shuffled to meet them.
+    """
     fresh = build_index(changed, id_col, text)
     touched = changed.select(id_col) if gone is None else changed.select(id_col).unionByName(gone.select(id_col))
-    touched = touched.distinct()
     return _index_of(
         index.postings.join(touched, id_col, "left_anti").unionByName(fresh.postings),
         index.lengths.join(touched, id_col, "left_anti").unionByName(fresh.lengths),

@@ -102,3 +102,23 @@ def test_a_product_of_vectors_is_made_in_slices(monkeypatch):
     want = R.first_k(np.round(R.unit_rows(held) @ asked[0], 4), np.arange(101), 3)
     assert got["_id"].tolist() == want.tolist()
     assert U.MATRIX_CELLS == 4_000_000
+
+
+def test_landed_documents_are_dealt_so_that_their_postings_fit_a_task(spark, sf_dir):
+    chars = bind.table(spark, sf_dir, "documents").agg(F.avg(F.length("text"))).first()[0]
+    assert bind.LANDED_ROWS["documents"] * chars < 1 << 24
+
+
+def test_a_refresh_leaves_postings_by_id_where_they_lie(spark):
+    docs = spark.createDataFrame([(i % 90, f"common word number{i}") for i in range(100)] + [(None, "no id")], "doc_id long, chunk_text string")
+    changed, gone = docs.filter("doc_id < 10").withColumn("chunk_text", F.lit("new words")), docs.filter("doc_id >= 80")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = R.refresh_index(R.build_index(docs.repartition(3, "doc_id")), changed.repartition(3, "doc_id"), gone).postings
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ENSURE_REQUIREMENTS") == 1  # of the touched ids
+        rebuilt = R.build_index(docs.filter("doc_id IS NULL OR doc_id >= 10 AND doc_id < 80").unionByName(changed)).postings
+        assert rows(found, "term", "doc_id", "tf", "length") == rows(rebuilt, "term", "doc_id", "tf", "length")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
