@@ -12,6 +12,9 @@ successors of a context leave over goes to the next shorter context, and at the
 add-one unigrams. Level 2 and 3 keep n-grams seen at least MIN_COUNT times, in the query all; both the
 probabilities and the weights left over are quantised to one byte of a log scale.
 
+Texts are cut into words twice: to count the words, and to write their ids, from which n-grams
+are counted and texts scored.
+
 Counts: each task sums its own n-grams, sorts and compresses them into one block per
 bucket; blocks are shuffled by bucket and merged, and a bucket becomes a shard at once. Buckets
 are runs of contexts with some SHARD tokens, cut by the counts of the level below, so a task's
@@ -25,7 +28,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -44,12 +46,14 @@ MIN_COUNT = 2
 SHARD = 1 << 21
 DISCOUNT = 0.75
 BATCH_CHARS = 1 << 22
-MAX_WORDS = 400_000
+BATCH_IDS = 5 << 19  # bytes of ids
+LONG_WORD = 64
 # One byte of log10: 0 is certainty, 255 the least.
 STEP = 0.045
 
 _FOLD = bytes.maketrans(bytes(range(65, 91)) + b"\t\n\x0b\x0c\r", bytes(range(97, 123)) + b"     ")
 END = xxhash.xxh64_intdigest(b" ")  # no word holds a blank
+_ALL = np.uint64((1 << 64) - 1)
 
 
 def _code(p: np.ndarray) -> np.ndarray:
@@ -60,47 +64,45 @@ def _code(p: np.ndarray) -> np.ndarray:
 _VALUE = -STEP * np.arange(256)
 
 
-class _Numbering(dict):
-    """Numbers words in the order they are first asked for."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self)
-        return number
-
-
-class Tokens:
-    """Words of texts as numbers of this process, each text closed by END; remembers recent words."""
+def _mixed(h: np.ndarray) -> np.ndarray:
+    """Numbers spread over 64 bits, one to one."""
+    for shift, factor in ((32, 0xD6E8FEB86659FD93), (29, 0x9E3779B97F4A7C15)):
+        h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
+    return h ^ (h >> np.uint64(32))
 
-    def __init__(self) -> None:
-        self.known = _Numbering()
-        self.hashes = np.zeros(0, np.uint64)
-        self.era = 0
 
-    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Number of each token, an index of ``hashes``, and the tokens of each text. Beyond MAX_WORDS numbers start anew."""
-        if len(self.known) > MAX_WORDS:
-            self.known.clear()
-            self.hashes = self.hashes[:0]
-            self.era += 1
-        words: list[bytes] = []
-        sizes = []
-        for t in texts:
-            own = t.encode("utf-8", "surrogatepass").translate(_FOLD).split()
-            words += own
-            words.append(b" ")
-            sizes.append(len(own) + 1)
-        codes = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        new = list(islice(self.known, len(self.hashes), None))
-        if new:
-            self.hashes = np.concatenate([self.hashes, np.fromiter(map(xxhash.xxh64_intdigest, new), np.uint64, len(new))])
-        return codes, np.array(sizes, np.int64)
+def token_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hash of each token and the tokens of each text, which END closes.
 
-
-def _groups(texts: list[str]) -> Iterator[slice]:
+    All words are hashed at once, eight bytes a step, and the few beyond LONG_WORD bytes one by one.
+    """
+    # No UTF-8 text holds the byte 255, so it stands for the end.
+    raw = b" " + b"".join(x for t in texts for x in (t.encode("utf-8", "surrogatepass"), b" \xff ")).translate(_FOLD)
+    blank = np.frombuffer(raw, np.uint8) == 32
+    edges = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    starts, sizes = edges[::2], edges[1::2] - edges[::2]
+    eights = np.frombuffer(raw + bytes(-len(raw) % 8 + 16), np.uint64)
+    out = _mixed(sizes.astype(np.uint64))
+    own, at, left = slice(None), starts, sizes
+    for step in range(0, min(int(sizes.max(initial=0)), LONG_WORD), 8):
+        if step:
+            own = np.flatnonzero(sizes > step)
+            at, left = starts[own] + step, sizes[own] - step
+        place, shift = at >> 3, (at & 7).astype(np.uint64) << np.uint64(3)
+        part = (eights[place] >> shift) | ((eights[place + 1] << np.uint64(1)) << (np.uint64(63) - shift))
+        out[own] = _mixed(out[own] ^ (part & (_ALL >> ((8 - np.minimum(left, 8)).astype(np.uint64) << np.uint64(3)))))
+    for k in np.flatnonzero(sizes > LONG_WORD).tolist():
+        out[k] = xxhash.xxh64_intdigest(raw[starts[k] : starts[k] + sizes[k]])
+    ends = np.flatnonzero(np.frombuffer(raw, np.uint8)[starts] == 255)
+    out[ends] = END
+    return out, np.diff(ends, prepend=-1)
+
+
+def _groups(texts: list[str] | list[bytes], most: int) -> Iterator[slice]:
     start, size = 0, 0
     for k, text in enumerate(texts):
         size += len(text)
-        if size >= BATCH_CHARS:
+        if size >= most:
             yield slice(start, k + 1)
             start, size = k + 1, 0
     if start < len(texts):
@@ -143,8 +145,11 @@ def _summed(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndar
     return keys[starts], np.diff(np.append(starts, len(keys))) if counts is None else np.add.reduceat(counts, starts)
 
 
-def _counts_by_bucket(docs: DataFrame, keys_of: Callable[[], Callable[[list[str]], np.ndarray]], bucket_of: Callable[[np.ndarray], np.ndarray], flush: int = 1 << 22) -> DataFrame:
-    """Blocks of summed keys by bucket; a task sends what it holds whenever that reaches ``flush`` keys."""
+def _counts_by_bucket(rows: DataFrame, keys_of: Callable[[], Callable[[list], np.ndarray]], bucket_of: Callable[[np.ndarray], np.ndarray], at_once: int, flush: int = 1 << 22) -> DataFrame:
+    """Blocks of summed keys by bucket; a task sends what it holds whenever that reaches ``flush`` keys.
+
+    ``rows`` has one column, of which some ``at_once`` characters or bytes are turned into keys at a time.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys_in, held, size = keys_of(), [], 0
@@ -159,9 +164,9 @@ def _counts_by_bucket(docs: DataFrame, keys_of: Callable[[], Callable[[list[str]
             yield pa.RecordBatch.from_arrays([pa.array(bucket[np.concatenate(([0], cuts))].astype(np.int32)), pa.array(blocks, pa.binary())], names=["bucket", "block"])
 
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for part in _groups(texts):
-                held.append(keys_in(texts[part]))
+            values = batch.column(0).to_pylist()
+            for part in _groups(values, at_once):
+                held.append(keys_in(values[part]))
                 size += len(held[-1])
                 if size >= flush:
                     yield from send()
@@ -169,7 +174,7 @@ def _counts_by_bucket(docs: DataFrame, keys_of: Callable[[], Callable[[list[str]
         if size:
             yield from send()
 
-    return docs.select("text").mapInArrow(run, _BLOCKS)
+    return rows.mapInArrow(run, _BLOCKS)
 
 
 def _summed_by_bucket(blocks: DataFrame, build: Callable[[int, np.ndarray, np.ndarray], tuple], at_once: int = 1 << 21) -> DataFrame:
@@ -228,6 +233,9 @@ class Model:
     distinct: int = 0
     texts: int = 0
 
+    def id_type(self) -> np.dtype:
+        return np.dtype(np.int32 if self.distinct + 2 < 1 << 31 else np.int64)
+
 
 class Level:
     """Shards of one level, opened on first use, with queries sent to the shard that answers."""
@@ -267,9 +275,6 @@ class Trie:
         self.words, self.pairs, self.triples = Level(model.words), Level(model.pairs), Level(model.triples)
         self.unknown, self.begin = model.distinct, model.distinct + 1  # ids beside the words'
         self.width = model.distinct + 2
-        self.tokens_in = Tokens()
-        self.era = 0
-        self.recent = np.zeros((2, 0), np.int64)  # id and count of each number that tokens_in has given out
 
     def ids(self, hashes: np.ndarray) -> np.ndarray:
         """Word ids; ``unknown`` for words not seen."""
@@ -332,19 +337,14 @@ class Trie:
             count[rows] = self._count(part, at)
         return word, count
 
-    def chains(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Token ids of all texts, the id before each (``begin`` at a text's start), tokens per text, and training counts."""
-        codes, sizes = self.tokens_in(texts)
-        hashes = self.tokens_in.hashes
-        held = self.recent.shape[1] if self.era == self.tokens_in.era else 0
-        self.era = self.tokens_in.era
-        if held < len(hashes):
-            ids = self.ids(hashes[held:])
-            self.recent = np.concatenate([self.recent[:, :held], np.stack([ids, self.counts(ids)])], axis=1)
-        ids, counts = self.recent[:, codes]
+    def chains(self, coded: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Token ids of all coded texts, the id before each (``begin`` at a text's start), and tokens per text."""
+        kind = self.m.id_type()
+        ids = np.frombuffer(b"".join(coded), kind).astype(np.int64)
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // kind.itemsize
         before = np.concatenate(([self.begin], ids[:-1]))
         before[np.concatenate(([0], np.cumsum(sizes)[:-1]))] = self.begin
-        return ids, before, sizes, counts
+        return ids, before, sizes
 
     def unigram(self, counts: np.ndarray) -> np.ndarray:
         return (counts + 1) / (self.m.tokens + self.m.distinct + 1)
@@ -397,16 +397,7 @@ def _count_words(docs: DataFrame, folder: str, buckets: int, size: int) -> tuple
     """Level 1: buckets are ranges of the hash, so each summed bucket is a shard."""
     bits = max(1, (buckets - 1).bit_length())
 
-    def word_keys():
-        tokens = Tokens()
-
-        def keys(texts: list[str]) -> np.ndarray:
-            codes, _ = tokens(texts)
-            return tokens.hashes[codes]
-
-        return keys
-
-    blocks = _counts_by_bucket(docs, word_keys, lambda keys: (keys >> np.uint64(64 - bits)).astype(np.int64))
+    blocks = _counts_by_bucket(docs.select("text"), lambda: lambda texts: token_hashes(texts)[0], lambda keys: (keys >> np.uint64(64 - bits)).astype(np.int64), BATCH_CHARS)
 
     def build(bucket: int, keys: np.ndarray, counts: np.ndarray) -> tuple:
         first = bucket << (64 - bits)
@@ -420,7 +411,7 @@ def _count_words(docs: DataFrame, folder: str, buckets: int, size: int) -> tuple
     return *_shards(built), int(built.agg(F.sum("tokens")).first()[0] or 0)
 
 
-def _level(docs: DataFrame, keys_of, model: Model, bounds: np.ndarray, folder: str, name: str, least: int, size: int) -> tuple[list[Shard], np.ndarray]:
+def _level(coded: DataFrame, keys_of, model: Model, bounds: np.ndarray, folder: str, name: str, least: int, size: int) -> tuple[list[Shard], np.ndarray]:
     """Count the n-grams of a level and write it: a bucket is a run of contexts between two ``bounds``, and becomes a shard.
 
     Keys are context * width + word. Runs hold some ``size`` tokens of the level below, which no
@@ -428,7 +419,7 @@ def _level(docs: DataFrame, keys_of, model: Model, bounds: np.ndarray, folder: s
     """
     width = model.distinct + 2
     ends = np.append(bounds[1:], width if name == "pairs" else sum(s.n for s in model.pairs))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = coded.sparkSession.sparkContext.broadcast(model)
 
     def build(bucket: int, keys: np.ndarray, counts: np.ndarray) -> tuple:
         keep = counts >= least
@@ -465,7 +456,7 @@ def _level(docs: DataFrame, keys_of, model: Model, bounds: np.ndarray, folder: s
     def bucket_of(keys: np.ndarray) -> np.ndarray:
         return np.searchsorted(bounds, (keys // np.uint64(width)).astype(np.int64), side="right") - 1
 
-    blocks = _counts_by_bucket(docs, keys_of, bucket_of)
+    blocks = _counts_by_bucket(coded.select("ids"), keys_of, bucket_of, BATCH_IDS)
     return _shards(_summed_by_bucket(blocks, build))
 
 
@@ -475,37 +466,67 @@ def train(docs: DataFrame, folder: str, text: str = "text", least: int = MIN_COU
     ``folder`` must be reached by every executor. Shards follow the counts: some ``size`` tokens each.
     """
     docs = docs.select(filled(text).alias("text"))
+    model, cuts = learn_words(docs, folder, size)
+    coded = written(code(pack(docs, text=F.col("text")), model).select("ids"), "ids")
+    return learn_ngrams(coded, model, cuts, folder, least, size)
+
+
+def learn_words(docs: DataFrame, folder: str, size: int = SHARD) -> tuple[Model, np.ndarray]:
+    """Level 1 of the rows' ``text``, and where level 2 is cut."""
     model = Model()
-    model.words, of_words, model.tokens = _count_words(docs, folder, max(4, slots(docs.sparkSession) // 4), size)
+    model.words, cuts, model.tokens = _count_words(docs, folder, max(4, slots(docs.sparkSession) // 4), size)
     model.distinct = sum(s.n for s in model.words)
+    if model.words:
+        model.texts = int(Trie(model).counts(Trie(model).ids(np.array([END], np.uint64)))[0])
+    return model, cuts
+
+
+def code(rows: DataFrame, model: Model) -> DataFrame:
+    """Rows ``doc, text`` as ``doc, ids``: the ids of the text's tokens one after the other."""
+    shared, kind = rows.sparkSession.sparkContext.broadcast(model), model.id_type()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie = _trie(shared.value)
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            for part in _groups(texts, BATCH_CHARS):
+                hashes, sizes = token_hashes(texts[part])
+                raw = trie.ids(hashes).astype(kind).tobytes()
+                cuts = np.concatenate(([0], np.cumsum(sizes * kind.itemsize))).tolist()
+                yield pa.RecordBatch.from_arrays([batch.column(0)[part], pa.array([raw[a:b] for a, b in zip(cuts, cuts[1:])], pa.binary())], names=["doc", "ids"])
+
+    return rows.mapInArrow(run, T.StructType([rows.schema["doc"], T.StructField("ids", T.BinaryType())]))
+
+
+def learn_ngrams(coded: DataFrame, model: Model, of_words: np.ndarray, folder: str, least: int = MIN_COUNT, size: int = SHARD) -> Model:
+    """The model with levels 2 and 3 of all rows' ``ids``."""
     if not model.words:
         return model
-    model.texts = int(Trie(model).counts(Trie(model).ids(np.array([END], np.uint64)))[0])
     width = model.distinct + 2
     if width * width >= 1 << 63:
         raise ValueError("more distinct words than pairs of them fit 63 bits")
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = coded.sparkSession.sparkContext.broadcast(model)
 
     def pair_keys():
         trie = _trie(shared.value)
 
-        def keys(texts: list[str]) -> np.ndarray:
-            ids, before, _, _ = trie.chains(texts)
+        def keys(own: list[bytes]) -> np.ndarray:
+            ids, before, _ = trie.chains(own)
             return before.astype(np.uint64) * np.uint64(width) + ids.astype(np.uint64)
 
         return keys
 
-    pairs, of_pairs = _level(docs, pair_keys, model, of_words, folder, "pairs", least, size)
+    pairs, of_pairs = _level(coded, pair_keys, model, of_words, folder, "pairs", least, size)
     with_pairs = Model(model.words, pairs, [], model.tokens, model.distinct, model.texts)
     if sum(s.n for s in with_pairs.pairs) * width >= 1 << 63:
         raise ValueError("more pairs than triples of them fit 63 bits")
-    shared_pairs = docs.sparkSession.sparkContext.broadcast(with_pairs)
+    shared_pairs = coded.sparkSession.sparkContext.broadcast(with_pairs)
 
     def triple_keys():
         trie = _trie(shared_pairs.value)
 
-        def keys(texts: list[str]) -> np.ndarray:
-            ids, before, _, _ = trie.chains(texts)
+        def keys(own: list[bytes]) -> np.ndarray:
+            ids, before, _ = trie.chains(own)
             place, _, _ = trie.pair(before, ids)
             context = np.concatenate(([-1], place[:-1]))
             use = np.flatnonzero((place >= 0) & (context >= 0) & (before != trie.begin))
@@ -513,7 +534,7 @@ def train(docs: DataFrame, folder: str, text: str = "text", least: int = MIN_COU
 
         return keys
 
-    triples, _ = _level(docs, triple_keys, with_pairs, of_pairs, folder, "triples", least, size)
+    triples, _ = _level(coded, triple_keys, with_pairs, of_pairs, folder, "triples", least, size)
     return Model(model.words, pairs, triples, model.tokens, model.distinct, model.texts)
 
 
@@ -525,16 +546,20 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     repeated rows get equal scores; an empty table gives no rows; columns of any name pass
     through.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index(text)
-    packed = pack(docs)
+    return score_coded(code(pack(docs, text=filled(text)), model), model)
+
+
+def score_coded(coded: DataFrame, model: Model) -> DataFrame:
+    """The figures of ``score`` for rows ``doc, ids``."""
+    shared = coded.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = _trie(shared.value)
         for batch in batches:
-            texts = [t or "" for t in batch.column(0).field(at).to_pylist()]
-            for part in _groups(texts):
-                ids, before, sizes, counts = trie.chains(texts[part])
+            own = batch.column(1).to_pylist()
+            for part in _groups(own, BATCH_IDS):
+                ids, before, sizes = trie.chains(own[part])
+                counts = trie.counts(ids)
                 starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
                 base = np.log10(trie.unigram(counts))
                 sums = [np.add.reduceat(x, starts) for x in ((counts > 0).astype(np.int64), base, trie.log_probabilities(ids, before, counts))]
@@ -542,14 +567,17 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names=["doc", "n_tokens", "n_known", "base_score", "score"])
 
     added = [T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()), T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType())]
-    return packed.mapInArrow(run, T.StructType([*packed.schema.fields, *added]))
+    return coded.mapInArrow(run, T.StructType([coded.schema["doc"], *added]))
 
 
 @query("op5_language_model")
 def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learns every n-gram of documents whose crc32 of the id mod 7 is not 2; null ids teach nothing."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = train(docs.filter(fold_of("doc_id", 7) != 2), fresh_path(spark, "trie"), least=1)
+    docs = table(spark, sf_dir, "documents").select(F.struct("doc_id").alias("doc"), filled("text").alias("text"))
+    taught, folder = fold_of("doc.doc_id", 7) != 2, fresh_path(spark, "trie")
+    words, cuts = learn_words(docs.filter(taught).select("text"), folder)
+    coded = written(code(docs, words), "ids")
+    model = learn_ngrams(coded.filter(taught), words, cuts, folder, least=1)
     held_out = F.coalesce(fold_of("doc.doc_id", 7) == 2, F.lit(False))
-    out = score(docs, model)
+    out = score_coded(coded, model)
     return out.select("doc.doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")

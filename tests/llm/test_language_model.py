@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from clearplate.llm.elias_fano import EliasFano, load, save
-from clearplate.llm.language_model import DISCOUNT, _expand, _squeeze, op5_language_model, score, train
+from clearplate.llm.language_model import DISCOUNT, END, _expand, _squeeze, op5_language_model, score, token_hashes, train
 from clearplate.session import fresh_path
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -122,3 +122,21 @@ def test_query_learns_ngrams_seen_once(spark, tmp_path):
     known, new = got[held[0]], got[held[1]]
     assert known["held_out"] and new["held_out"] and known["base_score"] == pytest.approx(new["base_score"])
     assert known["score"] > new["score"] + 1
+
+
+def test_words_are_hashed_at_once_and_apart():
+    texts = ["", " \t", "a" * 63 + " " + "a" * 64 + " " + "a" * 65 + " " + "a" * 66, "A\tb\x0bB\x0c\ra\nab \x00 \x00\x00 \x1c \ud800 é É \x85", *(f"{'word' * (k % 7)}{k}" for k in range(3000))]
+    for cut in (1, 7, len(texts)):
+        hashes, sizes = zip(*(token_hashes(texts[k : k + cut]) for k in range(0, len(texts), cut)))
+        assert np.concatenate(sizes).tolist() == [len(tokens(t)) for t in texts]
+        words = [w for t in texts for w in tokens(t)]
+        known = dict(zip(words, np.concatenate(hashes).tolist()))
+        assert [known[w] for w in words] == np.concatenate(hashes).tolist() and len(set(known.values())) == len(known) and known[" "] == END
+    assert token_hashes([])[0].size == 0
+
+
+def test_query_cuts_texts_twice(spark, tmp_path):
+    """Once to count the words and once to write their ids; n-grams and scores come from the ids."""
+    spark.createDataFrame([(k, "red fox jumps") for k in range(20)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = op5_language_model(spark, str(tmp_path))
+    assert "ids" in out._jdf.queryExecution().optimizedPlan().toString() and "text" not in out._jdf.queryExecution().optimizedPlan().toString()
