@@ -19,8 +19,10 @@ from __future__ import annotations
 import hashlib
 import json
 from array import array
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain, count, islice, repeat
 
 import numpy as np
 import pandas as pd
@@ -39,10 +41,12 @@ from clearplate.session import written
 BYTE_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MAX_UNITS = 400_000
+# Ids that are remembered with words, each side: text without blanks is one long word.
+MAX_IDS = 1 << 22
 BLOCK_BYTES = 1 << 23
 BATCH_BYTES = 1 << 20
-# Stands for the ids of a word that they do not spell; no word that they spell has none.
-NOT_SPELT = b""
+# What a word is: remembered with its ids; one that ends or begins in white space, whose text is encoded whole; one that its ids do not spell.
+KEPT, WHOLE, NOT_SPELT = range(3)
 
 # The white space of Unicode, which parts the units that byte-level BPE encodes apart.
 SPACES = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -86,6 +90,7 @@ class ByteEncoder:
         symbols = _byte_symbols()
         names = [self.whole.id_to_token(i) or "" for i in range(self.whole.get_vocab_size(with_added_tokens=True))]
         self.bytes_of = [t.encode() if i in special else bytes(map(symbols.__getitem__, t)) for i, t in enumerate(names)]
+        self.length = np.array(list(map(len, self.bytes_of)), np.int64)
         self.unit = regex.compile(rf"[{SPACES}]*[^{SPACES}]+|[{SPACES}]+")
         self.units: dict[str, bytes] = {}
         self.quick = self._quick(json.loads(text))
@@ -115,6 +120,35 @@ class ByteEncoder:
             return list(map(known.__getitem__, texts))
         return self._each(texts)
 
+    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a blank and the word behind it, one word after another, and how many each has.
+
+        No word may end or begin in white space: a blank between two words parts what is encoded
+        apart, so all words of Latin letters go to the quicker encoder in one call.
+        """
+        latin = np.array([self.quick is not None and (w.isascii() or max(w) < LATIN_END) for w in words], bool)
+        if latin.all():
+            return self._latin([" " + w for w in words])
+        picks = latin, ~latin
+        own = [[" " + words[k] for k in np.flatnonzero(p).tolist()] for p in picks]
+        sides = self._latin(own[0]), _joined(self._each(own[1]))
+        sizes = np.zeros(len(words), np.int64)
+        for p, (_, n) in zip(picks, sides):
+            sizes[p] = n
+        ids, starts = np.zeros(int(sizes.sum()), np.int32), np.cumsum(sizes) - sizes
+        for p, (x, n) in zip(picks, sides):
+            ids[_spread(starts[p], n)] = x
+        return ids, sizes
+
+    def _latin(self, after_blank: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = np.array(self.quick("".join(after_blank)), np.int32) if after_blank else np.zeros(0, np.int32)
+        ends, upto = (np.cumsum(x, dtype=np.int64) for x in ([len(w.encode()) for w in after_blank], self.length[ids]))
+        last = np.searchsorted(upto, ends)
+        # A word must end where an id does; if one did not, each would be encoded by itself.
+        if len(ids) and upto[-1] == ends[-1] and (upto[last] == ends).all():
+            return ids, np.diff(last, prepend=-1)
+        return _joined(self.each(after_blank))
+
     def _each(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
         for k in range(0, len(texts), 10_000):
@@ -139,6 +173,7 @@ class PieceEncoder:
         self.bytes_of = [self._bytes(i) for i in range(self.whole.get_piece_size())]
         # No merge reaches over a blank where no piece has one behind another character.
         self.parted = not any(b" " in x.lstrip(b" ") for x in self.bytes_of)
+        self.length = np.array(list(map(len, self.bytes_of)), np.int64)
 
     def _bytes(self, i: int) -> bytes:
         piece = self.whole.id_to_piece(i)
@@ -148,10 +183,20 @@ class PieceEncoder:
         """Ids as 32-bit integers."""
         return [array("i", x).tobytes() for x in self.whole.encode(texts, num_threads=1)]
 
+    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a blank and the word behind it, one word after another, and how many each has."""
+        ids = self.whole.encode(words, num_threads=1)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum())), sizes
+
     def encode(self, text: str) -> bytes:
         return self.each([text])[0]
 
 
+def _joined(ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(b"".join(ids), np.int32), np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+
+
 def gallop(a: array, b: array) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int, int]]]:
     """Groups of two ascending arrays of end offsets with the same last end.
 
@@ -159,27 +204,28 @@ def gallop(a: array, b: array) -> tuple[list[tuple[int, int, int]], list[tuple[i
     """
     stretches, odd = [], []
     add_stretch, add_odd = stretches.append, odd.append
-    # Runs of ends are compared as bytes: W to an end.
-    raw_a, raw_b, W = a.tobytes(), b.tobytes(), a.itemsize
+    # Runs of ends are compared as bytes: W to an end. What follows the last ends differs, so no run goes beyond them.
+    W = a.itemsize
+    raw_a, raw_b = a.tobytes() + b"a", b.tobytes() + b"b"
     i = j = 0
     n = len(a)
     while i < n:
         if a[i] == b[j]:
             # Probe at the present shift, doubling while runs are equal; then halve to the first that differ.
-            x, y = W * i, W * j
-            most = W * (n - i)
-            done = step = W
-            while done < most and raw_a[x + done : x + done + step] == raw_b[y + done : y + done + step]:
-                done += step
+            step = W
+            x, y = W * i + W, W * j + W
+            x2, y2 = x + W, y + W
+            while raw_a[x:x2] == raw_b[y:y2]:
+                x, y = x2, y2
                 step += step
-            if done >= most:
-                add_stretch((i, j, n - i))
-                break
+                x2 += step
+                y2 += step
             while step > W:
                 step >>= 1
-                if done + step <= most and raw_a[x + done : x + done + step] == raw_b[y + done : y + done + step]:
-                    done += step
-            done //= W
+                x2, y2 = x + step, y + step
+                if raw_a[x:x2] == raw_b[y:y2]:
+                    x, y = x2, y2
+            done = x // W - i
             add_stretch((i, j, done))
             i += done
             j += done
@@ -222,95 +268,143 @@ def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - begun, sizes) + np.arange(int(sizes.sum()))
 
 
+def _merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Two ascending arrays as one: a stable sort merges runs."""
+    return np.sort(np.concatenate([a, b]), kind="stable")
+
+
 def overlaps(a: np.ndarray, b: np.ndarray, odd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places of the tokens that overlap inside irregular groups: each run of bytes without an end in it is one overlap."""
     own_a, own_b = _spread(odd[:, 0], odd[:, 1] - odd[:, 0]), _spread(odd[:, 2], odd[:, 3] - odd[:, 2])
     ends_a, ends_b = a[own_a], b[own_b]
-    ends = np.union1d(ends_a, ends_b)
+    ends = _merged(ends_a, ends_b)
+    ends = ends[np.append(True, ends[1:] != ends[:-1])] if len(ends) else ends
     return own_a[np.searchsorted(ends_a, ends)], own_b[np.searchsorted(ends_b, ends)]
 
 
+class _Words:
+    """Numbered words: what each is, and where its ids of both sides lie among those of all."""
+
+    def __init__(self):
+        self.number: dict[str, int] = defaultdict(count().__next__)
+        self.kind = np.zeros(0, np.int8)
+        self.sides = [[np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)] for _ in range(2)]
+
+    def grow(self) -> None:
+        """Room for the words numbered since."""
+        more = np.zeros(len(self.number) - len(self.kind), np.int64)
+        self.kind = np.concatenate([self.kind, more.astype(np.int8)])
+        self.sides = [[ids, np.concatenate([starts, more]), np.concatenate([sizes, more])] for ids, starts, sizes in self.sides]
+
+    def put(self, numbers: np.ndarray, kind: np.ndarray, sides: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        self.kind[numbers] = kind
+        for side, (ids, sizes) in zip(self.sides, sides):
+            side[1][numbers] = len(side[0]) + np.cumsum(sizes) - sizes
+            side[2][numbers] = sizes
+            side[0] = np.concatenate([side[0], ids])
+
+    def get(self, numbers: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids of these words, one word after another, and how many each has; for both sides."""
+        return [(ids[_spread(starts[numbers], sizes[numbers])], sizes[numbers]) for ids, starts, sizes in self.sides]
+
+
 class Aligner:
     """Both encoders of one process."""
 
     def __init__(self, vocabularies: Vocabularies):
         self.a, self.b = ByteEncoder(vocabularies.byte_text), PieceEncoder(vocabularies.piece_proto)
         # Words met lately, and those met before them; a word that is met again moves up.
-        self.words_a: dict[str, bytes | None] = {}
-        self.words_b: dict[str, bytes] = {}
-        self.older: tuple[dict, dict] = {}, {}
-        self.length_a, self.length_b = (np.array(list(map(len, x.bytes_of)), np.int64) for x in (self.a, self.b))
+        self.words, self.older = _Words(), _Words()
+        self.length_a, self.length_b = self.a.length, self.b.length
 
     def _spells(self, text: str, ids_a: bytes, ids_b: bytes) -> bool:
         spelt = (" " + text).encode("utf-8", "surrogatepass")
         return all(b"".join(map(x.bytes_of.__getitem__, np.frombuffer(ids, np.int32).tolist())) == spelt for x, ids in ((self.a, ids_a), (self.b, ids_b)))
 
-    def _learn(self, words: list[str]) -> None:
-        """Ids on both sides of a blank and the word behind it: NOT_SPELT where they do not spell it, None where it ends or begins in white space."""
-        self.words_a.update(dict.fromkeys(words))
-        whole = [w for w in words if self.b.parted and w and not (w[0].isspace() or w[-1].isspace())]
-        after_blank = [" " + w for w in whole]
-        sides = self.a.each(after_blank), self.b.each(whole)
-        spelt = [w.encode("utf-8", "surrogatepass") for w in after_blank]
-        size = list(map(len, spelt))
-        right = [True] * len(whole)
-        for side, ids, length in zip((self.a, self.b), sides, (self.length_a, self.length_b)):
-            flat = np.frombuffer(b"".join(ids), np.int32)
-            ends = np.cumsum([0, *map(len, ids)]) // 4
-            fits = np.diff(np.concatenate(([0], np.cumsum(length[flat])))[ends]) == size
+    def _learn(self, numbers: np.ndarray, words: list[str]) -> None:
+        """Remembers a blank and the word behind it as both sides encode them."""
+        apart = np.array([self.b.parted and w != "" and not (w[0].isspace() or w[-1].isspace()) for w in words], bool)
+        none = np.zeros(0, np.int32), np.zeros(int((~apart).sum()), np.int64)
+        self.words.put(numbers[~apart], np.int8(WHOLE), [none, none])
+        if not apart.all():
+            numbers, words = numbers[apart], [w for w, x in zip(words, apart.tolist()) if x]
+        if not words:
+            return
+        sides = [self.a.words(words), self.b.words(words)]
+        spelt = [(" " + w).encode("utf-8", "surrogatepass") for w in words]
+        lengths, whole = np.fromiter(map(len, spelt), np.int64, len(spelt)), b"".join(spelt)
+        right = np.ones(len(words), bool)
+        for side, (ids, sizes) in zip((self.a, self.b), sides):
+            ends = np.concatenate(([0], np.cumsum(sizes)))
+            fits = np.diff(np.concatenate(([0], np.cumsum(side.length[ids])))[ends]) == lengths
             # All words at once; only if lengths or bytes differ somewhere, one by one.
-            if not fits.all() or b"".join(map(side.bytes_of.__getitem__, flat.tolist())) != b"".join(spelt):
-                right = [r and b"".join(map(side.bytes_of.__getitem__, np.frombuffer(x, np.int32).tolist())) == w for r, x, w in zip(right, ids, spelt)]
-        self.words_a.update(zip(whole, (x if r else NOT_SPELT for x, r in zip(sides[0], right))))
-        self.words_b.update(zip(whole, sides[1]))
+            if not fits.all() or b"".join(map(side.bytes_of.__getitem__, ids.tolist())) != whole:
+                right &= [b"".join(map(side.bytes_of.__getitem__, ids[s:e].tolist())) == w for s, e, w in zip(ends[:-1].tolist(), ends[1:].tolist(), spelt)]
+        self.words.put(numbers, np.where(right, KEPT, NOT_SPELT), sides)
+
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        """The words' numbers; those not met yet are learnt."""
+        if len(self.words.number) > MAX_UNITS // 2 or max(len(x[0]) for x in self.words.sides) > MAX_IDS:
+            self.older, self.words = self.words, _Words()
+        mine, older = self.words, self.older
+        before = len(mine.number)
+        out = np.fromiter(map(mine.number.__getitem__, words), np.int64, len(words))
+        new = list(islice(mine.number, before, None))
+        if new:
+            mine.grow()
+            numbers = np.arange(before, before + len(new))
+            at = np.fromiter(map(older.number.get, new, repeat(-1)), np.int64, len(new))
+            known = at >= 0
+            mine.put(numbers[known], older.kind[at[known]], older.get(at[known]))
+            self._learn(numbers[~known], [w for w, x in zip(new, known.tolist()) if not x])
+        return out
 
-    def ids(self, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
-        """Ids of each text on both sides; none for a text that is empty or that a side does not spell.
+    def _ids(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids of all texts, one text after another, and where each text's begin and end; for both sides.
 
-        Single blanks between words part a text on both sides, so words are encoded once and
-        remembered. A text with other white space beside a blank is encoded whole.
+        None for a text that is empty or that a side does not spell. Single blanks between
+        words part a text on both sides, so words are encoded once and remembered. A text with
+        other white space beside a blank is encoded whole.
         """
-        cut = [t.split(" ") for t in texts]
-        if len(self.words_a) > MAX_UNITS // 2:
-            self.older = self.words_a, self.words_b
-            self.words_a, self.words_b = {}, {}
-        new = set().union(*cut).difference(self.words_a)
-        if new:
-            known = new.intersection(self.older[0])
-            for mine, older in zip((self.words_a, self.words_b), self.older):
-                mine.update((w, older[w]) for w in known if w in older)
-            self._learn(list(new - known))
-        out_a, out_b = [], []
-        of_a, of_b = self.words_a.__getitem__, self.words_b.__getitem__
-        for text, own in zip(texts, cut):
-            found = list(map(of_a, own))
-            if not text or NOT_SPELT in found:
-                a = b = b""
-            elif None in found:
-                a, b = self.a.encode(" " + text), self.b.encode(text)
-                if not self._spells(text, a, b):
-                    a = b = b""
-            else:
-                a, b = b"".join(found), b"".join(map(of_b, own))
-            out_a.append(a)
-            out_b.append(b)
-        return out_a, out_b
+        own = [t.split(" ") for t in texts]
+        numbers = self._numbers(list(chain.from_iterable(own)))
+        cuts = np.concatenate(([0], np.cumsum(list(map(len, own)), dtype=np.int64)))
+        kinds = self.words.kind[numbers]
+        odd: dict[int, tuple[bytes, bytes]] = {}
+        if kinds.any():
+            worst = np.maximum.reduceat(kinds, cuts[:-1])
+            for k in np.flatnonzero(worst == WHOLE).tolist():
+                ids = (self.a.encode(" " + texts[k]), self.b.encode(texts[k])) if texts[k] else (b"", b"")
+                if any(ids) and self._spells(texts[k], *ids):
+                    odd[k] = ids
+            numbers = numbers[np.repeat(worst == KEPT, np.diff(cuts))]
+            cuts = np.concatenate(([0], np.cumsum(np.where(worst == KEPT, np.diff(cuts), 0))))
+        out = []
+        for side, (ids, sizes) in enumerate(self.words.get(numbers)):
+            cut = np.concatenate(([0], np.cumsum(sizes)))[cuts]
+            if odd:
+                parts = [np.frombuffer(odd[k][side], np.int32) if k in odd else ids[s:e] for k, (s, e) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist()))]
+                ids, cut = np.concatenate(parts), np.concatenate(([0], np.cumsum(list(map(len, parts)))))
+            out.append((ids, cut))
+        return out
+
+    def ids(self, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
+        """Ids of each text on both sides as 32-bit integers; none for a text that is empty or that a side does not spell."""
+        a, b = ([ids[s:e].tobytes() for s, e in zip(cut[:-1].tolist(), cut[1:].tolist())] for ids, cut in self._ids(texts))
+        return a, b
 
     def align(self, texts: list[str]) -> Aligned:
         """Texts that are empty, or that either sequence does not spell out byte for byte, have no tokens."""
-        none = np.zeros(0, np.int32)
-        own_a, own_b = ([np.frombuffer(x, np.int32) for x in own] for own in self.ids(texts))
-        cut_a, cut_b = (np.concatenate(([0], np.cumsum([len(x) for x in own], dtype=np.int64))) for own in (own_a, own_b))
-        ids_a, ids_b = np.concatenate([none, *own_a]), np.concatenate([none, *own_b])
+        (ids_a, cut_a), (ids_b, cut_b) = self._ids(texts)
         # Offsets run on from text to text, so a text's last end is a common one like any other.
         ends_a, ends_b = np.cumsum(self.length_a[ids_a]), np.cumsum(self.length_b[ids_b])
         stretches, odd = gallop(array("q", ends_a.tobytes()), array("q", ends_b.tobytes()))
-        runs = np.array(stretches, np.int64).reshape(-1, 3)
-        odd = np.array(odd, np.int64).reshape(-1, 4)
+        runs = np.fromiter(chain.from_iterable(stretches), np.int64, 3 * len(stretches)).reshape(-1, 3)
+        odd = np.fromiter(chain.from_iterable(odd), np.int64, 4 * len(odd)).reshape(-1, 4)
         even_a, even_b = _spread(runs[:, 0], runs[:, 2]), _spread(runs[:, 1], runs[:, 2])
-        group_a, group_b = np.sort(np.concatenate([even_a, odd[:, 0]])), np.sort(np.concatenate([even_b, odd[:, 2]]))
+        group_a, group_b = _merged(even_a, odd[:, 0]), _merged(even_b, odd[:, 2])
         left, right = overlaps(ends_a, ends_b, odd)
-        link_a, link_b = np.sort(np.concatenate([even_a, left])), np.sort(np.concatenate([even_b, right]))
+        link_a, link_b = _merged(even_a, left), _merged(even_b, right)
         return Aligned(
             cut_a,
             cut_b,

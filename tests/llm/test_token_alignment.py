@@ -188,3 +188,49 @@ def test_quick_encoder_is_the_library(words):
 @functools.cache
 def byte_encoder():
     return ta.ByteEncoder(ta.load_vocabularies().byte_text)
+
+
+def test_new_words_are_encoded_in_one_call():
+    """Costs of the 30 GB projection: no call for every word, and none for a word met before."""
+    own = ta.Aligner(ta.load_vocabularies())
+    quick, calls = own.a.quick, []
+    own.a.quick = lambda text: calls.append(text) or quick(text)
+    texts = [" ".join(f"w{k}é" for k in range(s, s + 500)) for s in range(0, 2_000, 500)]
+    first = own.ids(texts)
+    assert len(calls) == 1
+    assert own.ids(texts) == first and len(calls) == 1
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(st.sampled_from("abeisntABÀß'12.,!?_-$«½\n\x1c\xa0漢ж😀▁"), min_size=1, max_size=12).map(lambda w: f"x{w}y"), max_size=8, unique=True))
+def test_words_encoded_together_are_those_encoded_apart(words):
+    own = aligner()
+    for side, apart in ((own.a, [own.a._each([" " + w])[0] for w in words]), (own.b, own.b.each(words))):
+        ids, sizes = side.words(words)
+        assert ids.tobytes() == b"".join(apart) and sizes.tolist() == [len(x) // 4 for x in apart]
+
+
+def test_words_of_all_kinds_move_up(sides, monkeypatch):
+    """Words kept, not spelt and next to white space, Latin and other, in batches that push each other out."""
+    monkeypatch.setattr(ta, "MAX_UNITS", 8)
+    own = ta.Aligner(ta.load_vocabularies())
+    batches = [["one two", "has ▁ it", "two  three", ""], ["жук one 漢字", "", "has two"], [*ODD, "one"], ["▁ one", "жук  two", "three"], [""], ["one two", "has ▁ it"]]
+    for texts in batches * 2:
+        for text, a, b in zip(texts, *own.ids(texts), strict=True):
+            want = ranges(sides, text)
+            assert (list(array("i", a)), list(array("i", b))) == tuple([x[0] for x in side] for side in want)
+
+
+def test_long_words_are_not_all_remembered(sides, monkeypatch):
+    monkeypatch.setattr(ta, "MAX_IDS", 300)
+    own = ta.Aligner(ta.load_vocabularies())
+    for k in range(9):
+        text = f"{k}漢字" * 100 + f" {k}ab" * 50
+        a, b = own.ids([text])
+        assert (list(array("i", a[0])), list(array("i", b[0]))) == tuple([x[0] for x in side] for side in ranges(sides, text))
+        assert all(len(x[0]) <= 300 + max(len(a[0]), len(b[0])) // 4 for x in own.words.sides)
+
+
+@functools.cache
+def aligner():
+    return ta.Aligner(ta.load_vocabularies())
