@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import glob
+import re
 
 import numpy as np
 from frames import rows
@@ -122,3 +123,32 @@ def test_a_refresh_leaves_postings_by_id_where_they_lie(spark):
         assert rows(found, "term", "doc_id", "tf", "length") == rows(rebuilt, "term", "doc_id", "tf", "length")
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+def test_a_visit_is_in_one_part_of_its_month(spark, monkeypatch):
+    monkeypatch.setattr(build, "PART_ROWS", 100)
+    stg = citations(spark, 2000)
+    placed = M.fct_violations(stg, M.dim_date(spark), build.by_month(stg)).withColumn("at", F.spark_partition_id())
+    seen = placed.filter("inspection_date IS NOT NULL").select("restaurant_id", "inspection_date", "at").distinct().collect()
+    assert len(seen) == 31 and len({r["at"] for r in seen}) > 1
+
+
+def test_records_carry_only_what_is_used_of_lines_and_orders(spark, sf_dir):
+    plan = bind.raw_inspections(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    moved = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+    assert moved and not [x for x in moved if "l_suppkey" in x or "n_name" in x]
+    under = plan.split("Exchange hashpartitioning(l_orderkey")[1].split("\n")[1]
+    assert "scored" in under and "described" in under and "l_partkey#" not in under.split("AS scored")[-1]
+
+
+def test_a_write_drops_its_shuffles_and_marts_are_packed(spark, sf_dir, tmp_path):
+    def held() -> set[str]:
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return set(re.findall(r"shuffle_\d+_\d+_\d+\.data", files.mkString("\n")))
+
+    before = held()
+    build.build_marts(bind.raw_inspections(spark, sf_dir), str(tmp_path / "marts"))
+    left = held() - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert len(left) < 5, left
+    assert all(glob.glob(str(tmp_path / "marts" / name / "**" / "*.zstd.parquet"), recursive=True) for name in build.TABLES)
