@@ -141,6 +141,17 @@ def test_records_carry_only_what_is_used_of_lines_and_orders(spark, sf_dir):
     assert "scored" in under and "described" in under and "l_partkey#" not in under.split("AS scored")[-1]
 
 
+def test_views_over_one_staging_share_its_shuffle(spark, sf_dir):
+    kept = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = QUERIES["derive_marts_lazy"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", kept)
+    dealt = [x for x in plan.splitlines() if "Exchange hashpartitioning(restaurant_id" in x and "record_date#" in x]
+    assert sum("ReusedExchange" in x for x in dealt) == 4 and len(dealt) == 5
+
+
 def test_a_write_drops_its_shuffles_and_marts_are_packed(spark, sf_dir, tmp_path):
     def held() -> set[str]:
         files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
