@@ -40,10 +40,12 @@ from clearplate.session import written
 
 BYTE_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
-MAX_UNITS = 400_000
+MAX_UNITS = 200_000
 # Ids that are remembered with words, each side: text without blanks is one long word.
 MAX_IDS = 1 << 22
-BLOCK_BYTES = 1 << 23
+BLOCK_BYTES = 1 << 22
+# Blocks, some 6 MB each, of a file, which a task holds at a time.
+BLOCKS_HELD = 4
 BATCH_BYTES = 1 << 20
 # What a word is: remembered with its ids; one that ends or begins in white space, whose text is encoded whole; one that its ids do not spell.
 KEPT, WHOLE, NOT_SPELT = range(3)
@@ -556,7 +558,7 @@ def _blocks(docs: DataFrame, vocabularies: Vocabularies, doc_id: str, text: str,
             yield full()
 
     made = docs.select(F.col(doc_id).cast("long").alias("doc_id"), filled(text).alias("text")).mapInArrow(run, schema)
-    return written(made.withColumn("block", F.monotonically_increasing_id()), "alignment-blocks")
+    return written(made.withColumn("block", F.monotonically_increasing_id()), "alignment-blocks", BLOCKS_HELD)
 
 
 def pair_counts(pairs: DataFrame) -> DataFrame:
@@ -595,9 +597,11 @@ def link_totals(docs: DataFrame, vocabularies: Vocabularies, doc_id: str = "doc_
     blocks = _blocks(docs, vocabularies, doc_id, text, block_bytes)
     listed = blocks.select("block", F.posexplode(F.arrays_zip("pair", "docs")).alias("at", "x")).select("block", "at", "x.pair", "x.docs")
     found = listed.select("block", "at", "pair").join(pair_counts(listed.select("pair", "docs")), "pair")
-    back = found.groupBy("block").agg(F.collect_list(F.struct("at", "count", "best")).alias("x"))
+    # As many parts as blocks, whatever the session's number: all blocks of a part go to the task as one batch.
+    parts = max(docs.sparkSession.sparkContext.defaultParallelism, blocks.count())
+    back = found.repartition(parts, "block").groupBy("block").agg(F.collect_list(F.struct("at", "count", "best")).alias("x"))
     back = back.select("block", F.col("x.at").alias("at"), F.col("x.count").alias("count"), F.transform("x.best", lambda b: b.cast("int")).alias("best"))
-    both = blocks.drop("pair", "docs").join(back, "block", "left").drop("block")
+    both = blocks.drop("pair", "docs").repartition(parts, "block").join(back, "block", "left").drop("block")
     return both.mapInArrow(_totals, "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string")
 
 

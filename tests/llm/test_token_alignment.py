@@ -10,6 +10,7 @@ import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from clearplate.llm import token_alignment as ta
@@ -234,3 +235,23 @@ def test_long_words_are_not_all_remembered(sides, monkeypatch):
 @functools.cache
 def aligner():
     return ta.Aligner(ta.load_vocabularies())
+
+
+def test_a_task_holds_few_blocks_however_many_there_are(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"some words of text number {i}") for i in range(120)], "doc_id long, text string").coalesce(1)
+    vocabularies, plain, blocks = ta.load_vocabularies(), ta.written, []
+    want = sorted(map(tuple, ta.link_totals(docs, vocabularies).collect()))
+    monkeypatch.setattr(ta, "written", lambda *a: blocks.append(plain(*a)) or blocks[-1])
+    changed = {"spark.sql.shuffle.partitions": "1", "spark.sql.execution.arrow.maxRecordsPerBatch": "1"}
+    kept = {k: spark.conf.get(k) for k in changed}
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        found = ta.link_totals(docs, vocabularies, block_bytes=1)
+        assert sorted(map(tuple, found.collect())) == want
+        assert found.rdd.getNumPartitions() >= 120
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    in_files = blocks[0].groupBy(F.input_file_name()).count().agg(F.sum("count"), F.max("count")).first()
+    assert in_files[0] == 120 and in_files[1] <= ta.BLOCKS_HELD
