@@ -156,9 +156,13 @@ class _Asked:
     parts: int
 
     def dealt(self, rows: DataFrame) -> DataFrame:
-        """Rows dealt by block and cell to so many parts that each takes about the postings of CELL_DOCS documents for one block."""
+        """Rows dealt by block and cell to so many parts that each takes about the postings of CELL_DOCS documents for one block.
+
+        They are sorted here, as a grouping carries its keys a second time through a shuffle and a sort of its own.
+        """
         few = self.parts <= _shuffle_parts(rows.sparkSession)  # then Spark's own number, which it may lower, is enough
-        return rows if few else rows.repartition(self.parts, "block", "cell")
+        dealt = rows.repartition("block", "cell") if few else rows.repartition(self.parts, "block", "cell")
+        return dealt.sortWithinPartitions("block", "cell")
 
 
 def _asked(queries: DataFrame, index: Index, block_queries: int, block_terms: int, cell_docs: int) -> _Asked:
@@ -458,6 +462,7 @@ def hybrid_candidates(
     the weights of the profile; a leg that does not apply counts 0. Postings and vectors of a
     cell meet the terms and vectors of a block, as in keyword search: a first pass finds the
     ranges of both legs, the second scores them at once and keeps ``k`` per query: exact, and no pair becomes a row.
+    Both are one plan, so that postings and vectors are met and shuffled once and both passes read that shuffle.
     How the legs are joined is our choice; no reranker follows.
     """
     asked = _asked(queries, index, block_queries, block_terms, cell_docs)
@@ -469,10 +474,10 @@ def hybrid_candidates(
     left = written(_with_vectors(asked.weights, query_vectors), "asked")
     vectors = corpus.filter(F.col(vector).isNotNull()).select(F.col(id_col).alias("_id"), F.col(vector).alias("_v"), _hashed(id_col, asked.cells).alias("cell"))
     every_block = vectors.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(asked.blocks - 1))))
-    right = written(_with_vectors(_hits(index, asked, id_col), every_block), "held")
+    right = asked.dealt(_with_vectors(_hits(index, asked, id_col), every_block))
 
     def in_cells(own: DataFrame):
-        return asked.dealt(_every_cell(own, asked.cells)).groupBy("block", "cell").cogroup(asked.dealt(right).groupBy("block", "cell"))
+        return asked.dealt(_every_cell(own, asked.cells)).groupBy("block", "cell").cogroup(right.groupBy("block", "cell"))
 
     def ranges(a: pa.Table, b: pa.Table) -> pa.Table:
         if not a.num_rows or not b.num_rows:
@@ -501,7 +506,7 @@ def hybrid_candidates(
         return _table([f.assign(profile=p) for p in profiles for f in best[p].frames(own.query_ids)], schema)
 
     seen = in_cells(left).applyInArrow(ranges, ranged).groupBy("query_id").agg(*[(F.min if n.endswith("low") else F.max)(n).alias(n) for n in _LEGS])
-    return in_cells(left.join(written(seen, "ranges"), "query_id")).applyInArrow(fused, schema).withColumnRenamed("_id", id_col)
+    return in_cells(left.join(seen, "query_id")).applyInArrow(fused, schema).withColumnRenamed("_id", id_col)
 
 
 def _ranked(found: DataFrame, k: int, id_col: str) -> DataFrame:

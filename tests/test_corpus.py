@@ -217,6 +217,36 @@ def test_hybrid_is_exact(docs, queries, profile, how):
     assert rows(got, "query_id", "doc_id", "rank") == sorted(want, key=repr)
 
 
+def hybrid_plan(spark, docs, queries) -> str:
+    kept = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return R.hybrid(queries, docs, R.build_index(docs))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", kept)
+
+
+def test_both_passes_of_a_hybrid_search_read_one_shuffle(spark, docs, queries):
+    plan = hybrid_plan(spark, docs, queries)
+    assert plan.count("FlatMapCoGroupsInArrow") == 2
+    assert plan.count("explode(blocks#") == 1
+    assert len([x for x in plan.splitlines() if "ReusedExchange" in x and "gain#" in x]) == 1
+
+
+def test_hybrid_of_odd_rows(spark):
+    """No text, no vector, neither, and rows that come twice, on both sides."""
+    held = [(1, None, [1.0, 0.0]), (2, "", [0.0, 1.0]), (3, "mice common", None), (4, "mice mice", [1.0, 1.0]), (4, "mice mice", [1.0, 1.0]), (5, "common", None), (6, None, None)]
+    docs = spark.createDataFrame(held, "doc_id long, chunk_text string, embedding array<float>")
+    asked = [(1, "mice", None), (2, None, [1.0, 0.0]), (3, "Mice, mice!", [0.0, 1.0]), (3, "Mice, mice!", [0.0, 1.0]), (4, None, None), (5, "unknown", None)]
+    queries = spark.createDataFrame(asked, "query_id long, query_text string, embedding array<float>")
+    index = R.build_index(docs)
+    got = R.hybrid(queries, docs, index)
+    want = [(1, 1, 4, 0.5), (1, 2, 3, 0.0), (2, 1, 1, 0.5), (2, 2, 4, 0.3536), (2, 3, 2, 0.0), (3, 1, 4, 0.8536), (3, 2, 2, 0.5), (3, 3, 1, 0.0), (3, 4, 3, 0.0)]
+    assert rows(got, "query_id", "rank", "doc_id", "score") == want
+    sides = R.compare_profiles(queries, docs, index)
+    assert rows(sides, "query_id", "rank", "default") == [r[:3] for r in want if r[1] <= 3]
+
+
 def test_refresh_equals_rebuild(spark, docs):
     changed = docs.filter("doc_id < 10").withColumn("chunk_text", F.lit("new words mice"))
     gone = docs.filter("doc_id >= 50")
