@@ -418,6 +418,11 @@ def _with_vectors(rows: DataFrame, vectors: DataFrame) -> DataFrame:
     return rows.unionByName(vectors, allowMissingColumns=True)
 
 
+def _no_null_vectors(rows: DataFrame) -> DataFrame:
+    """Rows of terms with an empty vector: Arrow goes back over the whole run of nulls before it for each null of a list column."""
+    return rows.withColumn("_v", F.coalesce("_v", F.array().cast(rows.schema["_v"].dataType)))
+
+
 class _Both(_Scorer):
     """As :class:`_Scorer`, with the cosine where both sides have a vector."""
 
@@ -477,7 +482,7 @@ def hybrid_candidates(
     right = asked.dealt(_with_vectors(_hits(index, asked, id_col), every_block))
 
     def in_cells(own: DataFrame):
-        return asked.dealt(_every_cell(own, asked.cells)).groupBy("block", "cell").cogroup(right.groupBy("block", "cell"))
+        return _no_null_vectors(asked.dealt(_every_cell(own, asked.cells))).groupBy("block", "cell").cogroup(_no_null_vectors(right).groupBy("block", "cell"))
 
     def ranges(a: pa.Table, b: pa.Table) -> pa.Table:
         if not a.num_rows or not b.num_rows:

@@ -233,6 +233,12 @@ def test_both_passes_of_a_hybrid_search_read_one_shuffle(spark, docs, queries):
     assert len([x for x in plan.splitlines() if "ReusedExchange" in x and "gain#" in x]) == 1
 
 
+def test_term_rows_reach_python_with_an_empty_vector(spark, docs, queries):
+    assert hybrid_plan(spark, docs, queries).count("coalesce(_v#") == 4  # both sides of both passes
+    words, vectors = (spark.createDataFrame(*x) for x in (([(1, 2)], "query_id long, term_no long"), ([(1, [1.0, 2.0]), (2, [])], "query_id long, _v array<float>")))
+    assert rows(R._no_null_vectors(R._with_vectors(words, vectors)), "query_id", "term_no", "_v") == [(1, 2, []), (1, None, [1.0, 2.0]), (2, None, [])]
+
+
 def test_hybrid_of_odd_rows(spark):
     """No text, no vector, neither, and rows that come twice, on both sides."""
     held = [(1, None, [1.0, 0.0]), (2, "", [0.0, 1.0]), (3, "mice common", None), (4, "mice mice", [1.0, 1.0]), (4, "mice mice", [1.0, 1.0]), (5, "common", None), (6, None, None)]
