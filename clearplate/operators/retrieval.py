@@ -31,7 +31,7 @@ CELL_ROWS = 50_000
 BLOCK_QUERIES = 256
 BLOCK_TERMS = 16_000
 CELL_DOCS = 20_000
-BUCKET_WORDS = 4_000_000
+BUCKET_WORDS = 2_000_000
 # Size of a product's matrices.
 MATRIX_CELLS = 4_000_000
 

@@ -82,6 +82,10 @@ def test_buckets_of_an_index_follow_the_words(spark, tmp_path, monkeypatch):
     assert spark.read.parquet(str(tmp_path / "index" / "totals")).first()["buckets"] == 10
 
 
+def test_a_bucket_is_sorted_in_little_memory():
+    assert R.BUCKET_WORDS * 50 <= 1 << 27  # a task that sorts a bucket holds 50 bytes for each word of its texts
+
+
 def test_groups_of_a_search_are_dealt_by_documents(spark, monkeypatch):
     monkeypatch.setattr(R, "CELL_DOCS", 5)
     docs = spark.createDataFrame([(i, f"common word number{i % 7}") for i in range(100)], "doc_id long, chunk_text string")
